@@ -48,10 +48,10 @@ def distributed_rank(df: DataFrame, group: str, order: list[str], rank: str, row
     """Add ``rank`` (0, 1, ...) within ``group`` without sorting a whole group in one task.
 
     Rows of a group are dealt into buckets by a hash of the order columns; ranks run through bucket after bucket and, inside a
-    bucket, by the order columns. The number of buckets follows the row count, so a group that holds a third of all rows is still
-    split into parts of about ``rows_per_bucket`` rows. Rows that agree in all order columns get different ranks, in any order.
+    bucket, by the order columns. There are as many buckets as shuffle partitions, and more once a bucket would exceed ``rows_per_bucket``
+    rows, so a group that holds a third of all rows is spread evenly. Rows that agree in all order columns get different ranks, in any order.
     """
-    n_buckets = max(1, -(-df.count() // rows_per_bucket))
+    n_buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows_per_bucket))
     b, first = fresh(df, "bucket_", "first_")
     spread = df.withColumn(b, F.pmod(F.xxhash64(*order), F.lit(n_buckets)).cast("int"))
     sizes = spread.groupBy(group, b).agg(F.count(F.lit(1)).alias(first))

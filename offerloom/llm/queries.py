@@ -28,6 +28,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(digests).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from offerloom.llm.ngram_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), width=5, percent=80)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from offerloom.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from offerloom.llm.packing import pack_documents
 
@@ -36,6 +48,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op8_toxicity": op8_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
