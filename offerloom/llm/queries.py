@@ -46,11 +46,18 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=4096)
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from offerloom.llm.embedding_dedup import embedding_near_copies
+
+    return embedding_near_copies(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
