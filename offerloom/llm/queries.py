@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerloom.llm import license_scan
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -34,6 +36,12 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=5, percent=80)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from offerloom.llm.license_scan import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "canonical_sha256", "license", "notices")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from offerloom.llm.toxicity import score_toxicity
 
@@ -55,6 +63,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_license_scan": op6_license_scan,
     "op8_toxicity": op8_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
@@ -65,4 +74,5 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op6_license_scan": license_scan.oracle(),
 }
