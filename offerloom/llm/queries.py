@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import license_scan
+from offerloom.llm import license_scan, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(digests).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve_revisits(warc.records_of_pages(table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", warc.header_text(F.col("headers")))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from offerloom.llm.ngram_join import jaccard_components
 
@@ -42,6 +47,12 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "canonical_sha256", "license", "notices")
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from offerloom.llm.mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents"), cap=0.25)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from offerloom.llm.toxicity import score_toxicity
 
@@ -62,8 +73,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_warc_revisits": op4_warc_revisits,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_license_scan": op6_license_scan,
+    "op7_source_mixing": op7_source_mixing,
     "op8_toxicity": op8_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
@@ -74,5 +87,6 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op4_warc_revisits": warc.ORACLE,
     "op6_license_scan": license_scan.oracle(),
 }
