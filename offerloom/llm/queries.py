@@ -30,6 +30,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(digests).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from offerloom.llm.pii import find_pii
+
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from offerloom.llm.url_filter import filter_urls
+
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.resolve_revisits(warc.records_of_pages(table(spark, sf_dir, "pages")))
     return found.withColumn("headers", warc.header_text(F.col("headers")))
@@ -73,6 +85,8 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_bootstrapped_pii": op2_bootstrapped_pii,
+    "op3_url_filter": op3_url_filter,
     "op4_warc_revisits": op4_warc_revisits,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_license_scan": op6_license_scan,
