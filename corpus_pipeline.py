@@ -1,12 +1,57 @@
-"""A corpus pipeline over ``documents``: each stage's output is written as Parquet and read again as the next one's input."""
+"""A corpus pipeline over ``documents``: each stage's output is written as Parquet and read again as the next one's input.
+
+Toxic documents go, then exact copies, then all but one of each group of near copies. The sources are mixed to target weights (no
+source above a quarter), which leaves out what a source has beyond its quota, and the mix is packed into sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from offerloom.llm.common import materialize
+from offerloom.llm.exact_dedup import drop_exact_copies
+from offerloom.llm.mixing import mixed
+from offerloom.llm.ngram_join import drop_near_copies
+from offerloom.llm.packing import pack_documents
+from offerloom.llm.queries import table, tokenizer_path
+from offerloom.llm.toxicity import drop_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_exact_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_copies(docs, width=5, percent=80)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed(docs, cap=0.25)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs, tokenizer_path(), capacity=4096)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
+
+#: SQL can express neither the learned scores nor the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The rows of the last stage, applied to the whole table ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
