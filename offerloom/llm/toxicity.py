@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offerloom.llm.common import materialize
+
 # Words of address and of reporting in English, German, French and Spanish, and characters that stand for letters.
 ADDRESS = frozenset("you your you're u du dein deine ihr euer tu toi ton ta vous votre tú usted ustedes vuestro eres".split())
 REPORT = frozenset("said says called quoted quote wrote word words term sagte schrieb zitat wort dit écrit cite mot dijo escribió cita palabra".split())
@@ -158,7 +160,8 @@ def train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, m
     """At most ``most`` labelled rows that are not held out, in order of a hash of their id: id, text, toxic."""
     marked = labels.where(F.col("toxic").isNotNull() & ~held_out("doc_id")).select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = marked.orderBy(F.xxhash64("label_id"), "label_id").limit(most)
-    return docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(chosen, F.col(id_col) == F.col("label_id")).select(F.col(id_col).alias("id"), "text", "toxic")
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("id", "text", "toxic")  # at most ``most`` rows of two numbers
 
 
 def learn_lexicon(rows: DataFrame, most_terms: int = 400, least_docs: int = 8, least_ratio: float = 20.0) -> list[tuple[str, float]]:
@@ -233,7 +236,7 @@ class ToxicityModel:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_train: int = 20_000) -> ToxicityModel:
     """Learn lexicon and weights from at most ``most_train`` labelled rows that are not held out; only texts enter."""
-    train = train_rows(docs, labels, id_col, text_col, most_train)
+    train = materialize(train_rows(docs, labels, id_col, text_col, most_train), "train")
     lexicon = learn_lexicon(train)
     if not lexicon:
         return ToxicityModel([], None)
