@@ -95,15 +95,20 @@ def _contract(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a[k : k + 50_000]), pa.array(b[k : k + 50_000])], names=["u", "v"])
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 40, few: int = 500_000) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of ``edges`` (columns u, v: long).
 
-    Each partition first contracts its own links to stars; then large-star and small-star rounds alternate until the links form
+    Each partition first contracts its own links to stars. If ``few`` links are left at most (a checked 8 MB), one task finishes
+    them; beyond, large-star and small-star rounds alternate until the links form
     stars. Minimum neighbours are pre-aggregated before each shuffle, so a hub with very many links is one row per task; the join
     that follows is one that AQE can split. Each round is written to the shared folder, which cuts the lineage.
     """
     e = edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).where("u <> v")
-    e = materialize(e.mapInArrow(_contract, EDGE).distinct(), "links")  # u > v: stars of each partition
+    e = materialize(e.mapInArrow(_contract, EDGE), "links")  # u > v: stars of each partition
+    if e.count() <= few:
+        e = materialize(e.coalesce(1).mapInArrow(_contract, EDGE), "links")
+        roots = e.select(F.col("v").alias("node")).distinct()
+        return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
     for _ in range(max_rounds):
         parents = e.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
         loose = parents.where("n > 1").select("u").unionByName(e.select(F.col("v").alias("u")).join(parents.select("u"), "u", "left_semi"))

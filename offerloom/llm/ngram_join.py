@@ -2,9 +2,9 @@
 
 Shingles have one global order, rare ones first. The order is cut into fragments. Each document's shingles fall into these fragments,
 overlaps are counted fragment by fragment for the candidate pairs, and the partial counts are summed per pair. Candidates share a
-shingle of the part of the order that similar documents must share (the prefix). Components need not see all pairs of a group of
-copies: pairs with one hub of each shared shingle are checked first, and later rounds check only pairs that are still in different
-components, until no unchecked candidate pair is left between two components.
+shingle of the part of the order that similar documents must share (the prefix). Components need not see all pairs of a group
+of copies: first each document is compared with one hub of each shared shingle, and then only candidate pairs that are still in
+different components are compared, all of them.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from offerloom.llm.common import connected_components, materialize
 
 #: Counters of the frequency sketch (4 bytes each) and of one message; bits of the filter on document ids. All are fixed bounds.
 COUNTERS, CHUNK, ID_BITS = 1 << 20, 1 << 14, 1 << 24
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 FRAGMENTS = 4
+#: Shingles of more documents than this, by the sketch, are spread over SALTS tasks; up to here one task can read all rows of one.
+FREQUENT, SALTS = 100_000, 64
 
 
 class Shingler:
@@ -36,18 +38,23 @@ class Shingler:
 
     def hashes(self, words: list[bytes]) -> np.ndarray:
         """Sorted distinct hashes; fewer words than ``width`` are one shingle, no words none."""
-        if not words:
-            return np.empty(0, np.uint64)
+        return self.shingles(self.word_hashes(words))
+
+    def word_hashes(self, words: list[bytes]) -> np.ndarray:
         known = self.known
         try:
-            w = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         except KeyError:
             if len(known) > CACHED_WORDS:
                 known.clear()
             for x in words:
                 if x not in known:
                     known[x] = xxhash.xxh64_intdigest(x)
-            w = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+    def shingles(self, w: np.ndarray) -> np.ndarray:
+        if not len(w):
+            return w
         k = min(self.width, len(w))
         n = len(w) - k + 1
         h = np.full(n, k, np.uint64)
@@ -55,7 +62,16 @@ class Shingler:
             h = (h ^ w[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-        return np.unique(h ^ (h >> np.uint64(32)))
+        h ^= h >> np.uint64(32)
+        h.sort()
+        return h if n == 1 else h[np.r_[True, h[1:] != h[:-1]]]
+
+
+def _slices(batches, rows: int = 1000):
+    """Batches in parts, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def _ids_and_texts(batch):
@@ -71,12 +87,12 @@ def _profile(width: int):
 
     def run(batches):
         s, counts = Shingler(width), np.zeros(COUNTERS, np.int64)
-        for batch in batches:
+        for batch in _slices(batches):
             rows, seen = [], []
             for i, text in _ids_and_texts(batch):
-                words = s.words(text)
-                h = s.hashes(words)
-                d = xxhash.xxh3_128_digest(b" ".join(words))
+                w = s.word_hashes(s.words(text))
+                h = s.shingles(w)
+                d = xxhash.xxh3_128_digest(w.tobytes())
                 rows.append((i, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), len(h)))
                 seen.append(h & np.uint64(COUNTERS - 1))
             if rows:
@@ -122,35 +138,67 @@ class Order:
 
 
 def _prefixes(width: int, percent: int, order):
-    """(sig, doc, n, pos): the shingles of each document's prefix. Similar documents share one of these at least."""
+    """(sig, salt, doc, n, pos): the shingles of each document's prefix. Similar documents share one of these at least.
+
+    salt is -1 but for shingles whose sketched frequency exceeds FREQUENT, which it spreads by document.
+    """
 
     def run(batches):
         s, o = Shingler(width), order.value
-        for batch in batches:
-            sig, doc, size, pos = [], [], [], []
+        for batch in _slices(batches):
+            out = [[] for _ in range(5)]
             for i, text in _ids_and_texts(batch):
                 h = s.hashes(s.words(text))
                 n = len(h)
                 if not n or i is None:
                     continue
                 p = n - -(-percent * n // 100) + 1
-                first = np.lexsort((h, o.keys(h)))[:p]
-                sig.append(h[first])
-                doc.append(np.full(len(first), i, np.int64))
-                size.append(np.full(len(first), n, np.int32))
-                pos.append(np.arange(len(first), dtype=np.int32))
-            if sig:
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(sig))), *(pa.array(np.concatenate(x)) for x in (doc, size, pos))], names=["sig", "doc", "n", "pos"])
+                keys = o.keys(h)
+                if p < n:
+                    near = np.flatnonzero(keys <= np.partition(keys, p - 1)[p - 1])
+                    h, keys = h[near], keys[near]
+                first = np.lexsort((h, keys))[:p]
+                often = (keys[first] >> np.uint64(40)) > FREQUENT
+                columns = (h[first].view(np.int64), np.where(often, i % SALTS, -1).astype(np.int32), np.full(p, i, np.int64), np.full(p, n, np.int32), np.arange(p, dtype=np.int32))
+                for c, x in zip(out, columns, strict=True):
+                    c.append(x)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["sig", "salt", "doc", "n", "pos"])
+
+    return run
+
+
+def _repeated_of(percent: int):
+    def run(batches):
+        yield from _repeated(batches, percent)
 
     return run
 
 
+def _repeated(batches, percent: int):
+    """Of rows sorted by (sig, salt, n): those with a neighbour of the same sig that is not too short or long, and all with a salt.
+
+    In order of length, a document without a near enough neighbour has no near enough document at all.
+    """
+    tail, matched = None, False  # the last row, which waits for the next batch, and if it had a neighbour before it
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = t if tail is None else pa.concat_tables([tail, t])
+        sig, salt, n = (t.column(c).to_numpy() for c in ("sig", "salt", "n"))
+        same = np.r_[matched, (sig[1:] == sig[:-1]) & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64))]
+        keep = same | np.r_[same[1:], False] | (salt >= 0)
+        tail, matched = t.slice(len(t) - 1), bool(same[-1])
+        yield from t.slice(0, len(t) - 1).filter(pa.array(keep[:-1])).combine_chunks().to_batches()
+    if tail is not None and (matched or tail.column("salt")[0].as_py() >= 0):
+        yield from tail.combine_chunks().to_batches()
+
+
 def _segments(width: int, order, wanted):
     """(doc, frag, shingles): the segments of the documents whose id passes the filter."""
 
     def run(batches):
         s, o, bits = Shingler(width), order.value, wanted.value
-        for batch in batches:
+        for batch in _slices(batches):
             ids, frags, segs = [], [], []
             for i, text in _ids_and_texts(batch):
                 if i is None or not bits[(i % ID_BITS) >> 3] >> (i & 7) & 1:
@@ -185,15 +233,13 @@ def _id_filter(ids: DataFrame) -> bytes:
     return bytes(out)
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, star_rounds: int = 6) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) for every row of ``docs``.
 
     Two documents link when 100 * |A and B| >= percent * |A or B| for their shingle sets. class_id is the smallest id with the same
     word sequence, component_id the smallest id reachable by links. A null text counts as empty; documents without words have no
     shingles and are their own component. Rows without an id have n_shingles and no component. Rows that repeat an id must repeat
     its text. An empty table gives an empty result; extra columns are ignored. Shingles are compared by 64-bit hashes.
-
-    ``star_rounds`` bounds only how often hubs are tried before all remaining candidate pairs between components are checked.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").cast("binary").alias("text"))
@@ -205,16 +251,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     copies = materialize(copies, "copies")
 
     # Shingles of prefixes that two documents share; copies stand for their class.
-    sigs = texts.mapInArrow(_prefixes(width, percent, order), "sig long, doc long, n int, pos int")
-    heads = sigs.groupBy("sig").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("sig")
-    shared = sigs.join(heads, "sig", "left_semi").join(copies, "doc", "left").select("sig", F.coalesce("rep", "doc").alias("doc"), "n", "pos").distinct()
+    sigs = texts.mapInArrow(_prefixes(width, percent, order), "sig long, salt int, doc long, n int, pos int")
+    again = sigs.repartition("sig", "salt").sortWithinPartitions("sig", "salt", "n").mapInArrow(_repeated_of(percent), sigs.schema)
+    again = materialize(again, "repeated")
+    shared = again.join(copies, "doc", "left").select("sig", F.coalesce("rep", "doc").alias("doc"), "n", "pos").distinct()
     shared = materialize(shared, "shared")
-    several = shared.groupBy("sig").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("sig")
-    shared = materialize(shared.join(several, "sig", "left_semi"), "shared")
-
-    wanted = spark.sparkContext.broadcast(_id_filter(shared.select("doc")))
-    segments = texts.mapInArrow(_segments(width, order, wanted), "doc long, frag int, shingles array<long>").dropDuplicates(["doc", "frag"])
-    segments = materialize(segments, "segments")
 
     def possible(a: str, b: str) -> F.Column:
         """Length filter, and the overlap that is still possible from this shingle on."""
@@ -223,10 +264,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * room >= percent * (na + nb))
 
     def check(pairs: DataFrame) -> DataFrame:
-        """The links among the pairs (a, b, na, nb): partial overlaps by fragment, summed per pair."""
+        """The links among the pairs (a, b, na, nb): partial overlaps by fragment, summed per pair.
+
+        Only documents of these pairs (and those that share their bit of the filter) are cut into segments.
+        """
+        wanted = spark.sparkContext.broadcast(_id_filter(pairs.select(F.explode(F.array("a", "b")).alias("doc"))))
+        segments = materialize(texts.mapInArrow(_segments(width, order, wanted), "doc long, frag int, shingles array<long>"), "segments")
         left = pairs.join(segments.select(F.col("doc").alias("a"), "frag", F.col("shingles").alias("sa")), "a")
         both = left.join(segments.select(F.col("doc").alias("b"), "frag", F.col("shingles").alias("sb")), ["b", "frag"])
-        total = both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("o")).groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
+        part = both.select("a", "b", "frag", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"))
+        part = part.groupBy("a", "b", "frag", "na", "nb").agg(F.max("o").alias("o"))  # rows that repeat an id give the same count
+        total = part.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
         return total.where((100 + percent) * F.col("o") >= percent * (F.col("na") + F.col("nb"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
     def pair_of(x: str, y: str) -> list[F.Column]:
@@ -234,35 +282,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         pick = lambda c, s: F.when(swap, F.col(f"{y if s else x}.{c}")).otherwise(F.col(f"{x if s else y}.{c}"))
         return [pick("doc", True).alias("a"), pick("doc", False).alias("b"), pick("n", True).alias("na"), pick("n", False).alias("nb")]
 
-    links = tested = labels = None
-    active = shared.withColumn("label", F.col("doc"))
-    for turn in range(star_rounds + 1):
-        if turn:
+    links = tested = None
+    labels = spark.createDataFrame([], "node long, component long")
+    for last in (False, True):
+        if last:
             labelled = shared.join(labels, shared["doc"] == labels["node"], "left").select("sig", "doc", "n", "pos", F.coalesce("component", "doc").alias("label"))
             split = labelled.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("sig")
             active = materialize(labelled.join(split, "sig", "left_semi"), "active")
-            if active.isEmpty():
-                break
-        per_label = active.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("k"))
-        weight = per_label.groupBy("sig").agg((F.pow(F.sum("k"), 2) - F.sum(F.col("k") * F.col("k"))).alias("w"), F.sum("k").alias("k"))
-        todo = weight.agg(F.sum("w").alias("w"), F.sum("k").alias("k")).first()
-        last = turn == star_rounds or turn > 0 and (todo.w or 0) <= 8 * (todo.k or 0)
-        if last:  # all candidate pairs that are still in two components
-            met = active.alias("x").join(active.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.label") != F.col("y.label")))
-        else:  # pairs with one hub for each shingle
-            chosen = F.struct(F.xxhash64("doc", F.lit(turn)).alias("h") if turn else F.col("doc").alias("h"), "doc", "n", "pos", "label")
-            hubs = active.groupBy("sig").agg(F.min(chosen).alias("hub")).select("sig", "hub.*")
-            met = active.alias("x").join(hubs.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.label") != F.col("y.label")))
+            apart = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.label") != F.col("y.label"))
+            met = active.alias("x").join(active.alias("y"), apart)
+        else:
+            hubs = shared.groupBy("sig").agg(F.min(F.struct("doc", "n", "pos")).alias("hub")).select("sig", "hub.*")
+            met = shared.alias("x").join(hubs.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.doc") != F.col("y.doc")))
         pairs = met.where(possible("x", "y")).select(*pair_of("x", "y")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        tested = pairs.select("a", "b")
+        if pairs.isEmpty():
+            continue
         found = materialize(check(pairs), "found")
         links = found if links is None else links.unionByName(found)
         labels = materialize(connected_components(links), "labels")
-        if last:
-            break
 
     out = rows.join(copies, "doc", "left").withColumn("class_id", F.coalesce("rep", "doc"))
     out = out.join(labels, out["class_id"] == labels["node"], "left")

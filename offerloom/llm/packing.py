@@ -21,7 +21,7 @@ SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 END_ID = 1
-CACHED_CHUNKS = 700_000
+CACHED_CHUNKS = 300_000
 
 
 def _ranges(prefix: str) -> str:

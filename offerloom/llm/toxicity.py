@@ -26,7 +26,7 @@ QUOTES = "\"'“”„«»‘’‚"
 LOOKS_LIKE = str.maketrans("013457@$", "oieastas")
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + QUOTES + "…–—¿¡"
 WINDOW = 6
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 
 def clean(token: str) -> str:
