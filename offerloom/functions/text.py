@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -82,15 +83,25 @@ def unwrap_click_url(url: Column) -> Column:
 
 def name_from_url(url: Column) -> Column:
     """A readable name from the last useful path segment, or null."""
-    path = F.coalesce(F.try_url_decode(F.try_parse_url(unwrap_click_url(url), F.lit("PATH"))), F.lit(""))
-    seg = F.filter(F.split(path, "/"), lambda s: s != "")
+    path = F.try_url_decode(F.try_parse_url(unwrap_click_url(url), F.lit("PATH")))
+    return let(let(F.filter(F.split(path, "/"), lambda s: s != ""), _useful_segment), lambda s: _title(_without_codes(s)))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _useful_segment(seg: Column) -> Column:
     last, before = F.try_element_at(seg, F.lit(-1)), F.try_element_at(seg, F.lit(-2))
-    skip = last.rlike("(?i)^ml[balmcuv]-?[0-9]+$") | F.lower(last).isin("p", "produto", "products", "product")
-    s = F.when(skip & before.isNotNull(), before).otherwise(last)
+    skip = last.rlike("(?i)^(ml[balmcuv]-?[0-9]+|p|produtos?|products?)$")
+    return F.when(skip & before.isNotNull(), before).otherwise(last)
+
+
+def _without_codes(s: Column) -> Column:
     s = F.replace(F.regexp_replace(s, "(?i)\\.(html?|php|aspx|jsp|json|xml|jm)$", ""), F.lit("_JM"), F.lit(""))
     s = F.regexp_replace(F.regexp_replace(s, "(?i)^ml[balmcuv]-?[0-9]+", ""), "^[-_]+", "")
-    s = F.regexp_replace(F.regexp_replace(s, "[-_]+", " "), "(?i)\\b(oficial|original|novo|usado|frete|gratis|grátis)\\b", "")
-    return _title(s)
+    return F.regexp_replace(F.regexp_replace(s, "[-_]+", " "), "(?i)\\b(oficial|original|novo|usado|frete|gratis|grátis)\\b", "")
 
 
 def name_from_query(query: Column) -> Column:
@@ -100,8 +111,7 @@ def name_from_query(query: Column) -> Column:
 
 
 def _title(s: Column) -> Column:
-    s = F.lower(F.trim(F.regexp_replace(s, "\\s+", " ")))
-    return F.when((F.length(s) >= 4) & ~s.isin(*GENERIC_NAMES), F.initcap(s))
+    return let(F.lower(F.trim(F.regexp_replace(s, "\\s+", " "))), lambda t: F.when((F.length(t) >= 4) & ~t.isin(*GENERIC_NAMES), F.initcap(t)))
 
 
 def marketplace_from_url(url: Column) -> Column:

@@ -55,7 +55,7 @@ def read_listings_jsonl(spark: SparkSession, path: str, schema=None) -> DataFram
 def read_listings_csv(spark: SparkSession, path: str, encoding_fallback: str = "ISO-8859-1", sep: str = ",") -> DataFrame:
     """S3: all ``*.csv`` below ``path`` as text columns. Files that aren't valid UTF-8 are read with ``encoding_fallback``."""
     raw = _reader(spark, "*.csv").option("wholetext", True).text(path)
-    bad = [r.f for r in raw.where(F.contains("value", F.lit("�"))).select(F.col("_metadata.file_path").alias("f")).distinct().collect()]  # names only
+    bad = [r.f for r in raw.where(~F.is_valid_utf8("value")).select(F.col("_metadata.file_path").alias("f")).distinct().collect()]  # names only
     good = [r.f for r in raw.select(F.col("_metadata.file_path").alias("f")).distinct().collect() if r.f not in set(bad)]
 
     def read(files: list[str], encoding: str) -> DataFrame:
