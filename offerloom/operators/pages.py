@@ -27,10 +27,12 @@ def extract_listings_from_pages(pages: DataFrame, url: str = "url", html: str =
     j = lambda *paths: _first(*[F.get_json_object(ld, p) for p in paths])
     text = F.regexp_replace(F.regexp_replace(h, "(?is)<(script|style)[^>]*>.*?</\\1>", " "), "(?s)<[^>]+>", " ")
     meta = _first(F.regexp_extract(h, "(?is)<[^>]*(?:product:price:amount|itemprop=[\"']price[\"'])" + _ATTR, 1), F.regexp_extract(h, "(?is)data-price=[\"']([^\"']+)[\"']", 1))
-    price = F.coalesce(N.parse_money(j("$.offers.price", "$.offers[0].price", "$.offers.lowPrice")), N.parse_money(meta), N.parse_money(text, "search"))
-    before = F.coalesce(N.parse_money(j("$.offers.highPrice")), N.parse_money(blank_to_null(F.regexp_extract(h, "(?is)<(?:del|s)\\b[^>]*>[^0-9<]*([0-9][0-9.,]*)", 1))))
     title = _first(j("$.name"), F.regexp_extract(h, "(?is)<h1[^>]*>(.*?)</h1>", 1), F.regexp_extract(h, "(?is)<title[^>]*>(.*?)</title>", 1))
-    d = pages.select(F.col(url).alias("url"), F.trim(F.regexp_replace(title, "(?s)<[^>]+>|\\s+", " ")).alias("title"), price.alias("price"), before.alias("b_"), j("$.offers.priceCurrency", "$.offers[0].priceCurrency").alias("currency"), N.free_shipping(text).alias("s_"))
+    raw = pages.select(
+        F.col(url).alias("url"), F.trim(F.regexp_replace(title, "(?s)<[^>]+>|\\s+", " ")).alias("title"), _first(j("$.offers.price", "$.offers[0].price", "$.offers.lowPrice"), meta).alias("p_"),
+        _first(j("$.offers.highPrice"), F.regexp_extract(h, "(?is)<(?:del|s)\\b[^>]*>[^0-9<]*([0-9][0-9.,]*)", 1)).alias("b_"), j("$.offers.priceCurrency", "$.offers[0].priceCurrency").alias("currency"), text.alias("t_"),
+    )
+    d = raw.withColumns({"price": F.coalesce(N.parse_money(F.col("p_")), N.parse_money(F.col("t_"), "search")), "b_": N.parse_money(F.col("b_")), "s_": N.free_shipping(F.col("t_"))})
     d = d.withColumn("previous_price", F.when(F.col("b_") > F.col("price"), F.col("b_")))
     return d.select("url", "title", "price", "previous_price", N.discount_pct(F.col("previous_price"), F.col("price")).alias("discount_pct"), "currency", F.col("s_.free").alias("free_shipping"), F.col("s_.cost").alias("shipping_price"))
 

@@ -619,7 +619,7 @@ def _(spark, d):
 
 
 @query("name_from_url", """
-    WITH s AS (SELECT page_id, list_filter(string_split(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/'), x -> x <> '') AS seg FROM pages),
+    WITH s AS (SELECT page_id, list_filter(string_split(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS seg FROM pages),
     n AS (SELECT page_id, trim(regexp_replace(regexp_replace(seg[-1], '(?i)\\.(html?|php|aspx|jsp|json|xml|jm)$', ''), '[-_]+', ' ', 'g')) AS n FROM s)
     SELECT page_id, CASE WHEN length(n) >= 4 THEN upper(substr(n, 1, 1)) || substr(lower(n), 2) END AS name FROM n""")
 def _(spark, d):

@@ -43,7 +43,7 @@ INTERNAL = """
     SELECT p_partkey AS sku_key, round(p_retailprice * 0.6, 2) AS cost_price, cast(p_retailprice AS double) AS sale_price, cast(p_size AS double) AS stock FROM part"""
 
 OFFERS_BY_DAY = """
-    SELECT l_partkey AS sku_key, cast(l_shipdate AS date) AS date, round(l_extendedprice / l_quantity, 2) AS price FROM lineitem"""
+    SELECT l_partkey AS sku_key, cast(l_shipdate AS date) AS date, cast(floor(l_extendedprice * 100 / l_quantity) AS double) / 100 AS price FROM lineitem"""
 
 VIEWS = {"listings": LISTINGS, "gappy": GAPPY, "snapshots": SNAPSHOTS, "series": SERIES, "internal_data": INTERNAL, "offers_by_day": OFFERS_BY_DAY}
 
