@@ -250,12 +250,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     copies = rows.where("n > 0").join(rep.where("rep < last"), ["c1", "c2"]).where("doc <> rep").select("doc", "rep").distinct()
     copies = materialize(copies, "copies")
 
-    # Shingles of prefixes that two documents share; copies stand for their class.
+    # Shingles of prefixes that two documents share. Of equal word sequences only the first document's rows stay.
     sigs = texts.mapInArrow(_prefixes(width, percent, order), "sig long, salt int, doc long, n int, pos int")
     again = sigs.repartition("sig", "salt").sortWithinPartitions("sig", "salt", "n").mapInArrow(_repeated_of(percent), sigs.schema)
-    again = materialize(again, "repeated")
-    shared = again.join(copies, "doc", "left").select("sig", F.coalesce("rep", "doc").alias("doc"), "n", "pos").distinct()
-    shared = materialize(shared, "shared")
+    shared = materialize(again.join(copies.select("doc"), "doc", "left_anti").select("sig", "doc", "n", "pos"), "shared")
 
     def possible(a: str, b: str) -> F.Column:
         """Length filter, and the overlap that is still possible from this shingle on."""
@@ -292,8 +290,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             apart = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.label") != F.col("y.label"))
             met = active.alias("x").join(active.alias("y"), apart)
         else:
-            hubs = shared.groupBy("sig").agg(F.min(F.struct("doc", "n", "pos")).alias("hub")).select("sig", "hub.*")
-            met = shared.alias("x").join(hubs.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.doc") != F.col("y.doc")))
+            together = shared.repartition("sig")  # one shuffle for the hubs and the join with them
+            hubs = together.groupBy("sig").agg(F.min(F.struct("doc", "n", "pos")).alias("hub")).select("sig", "hub.*")
+            met = together.alias("x").join(hubs.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.doc") != F.col("y.doc")))
         pairs = met.where(possible("x", "y")).select(*pair_of("x", "y")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
