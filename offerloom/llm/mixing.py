@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from itertools import islice
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.llm.common import distributed_rank, fresh, materialize
 
-#: Slots of one period of the schedule, and sources at most; both bound what the driver holds.
-PERIOD, MOST_SOURCES = 1 << 15, 100_000
-#: Sources with fewer blocks a period than this share one stream.
-LEAST_BLOCKS = 8
+#: Sources at most, which bounds what the driver and the task that makes the schedule hold.
+MOST_SOURCES = 100_000
 
 
 def capped_weights(counts: dict[str, int], cap: float) -> dict[str, float]:
@@ -39,38 +40,43 @@ def quotas(counts: dict[str, int], weights: dict[str, float]) -> dict[str, int]:
     return {s: min(n, int(weights.get(s, 0) * size + 1e-6)) for s, n in counts.items()}
 
 
-def whole_shares(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Weights as whole numbers of blocks a period, by largest remainders."""
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    out = {s: int(x) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (out[s] - exact[s], s))[: period - sum(out.values())]:
-        out[s] += 1
-    return out
+def pfair_slots(blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of all blocks, slot by slot; holds one block of each source.
 
-
-def pfair_period(shares: dict[str, int]) -> list[tuple[str, int, int]]:
-    """(source, block, slot) of one period, whose length is the sum of the shares.
-
-    Block j (from 0) of a source with q blocks in a period of Q slots is released at floor(j Q / q) and due at ceil((j + 1) Q / q).
-    In each slot the released block that is due first runs. As the shares add up to the period, every block runs inside its window,
-    so after any number of slots a source is less than one block away from its exact share.
+    Block j (from 0) of a source with b of all B blocks is released at floor(j B / b) and due at ceil((j + 1) B / b). In each slot the
+    released block that is due first runs. As the blocks fill all slots, every block runs inside its window, so after any number of
+    slots a source is less than one block away from its exact share.
     """
-    period = sum(shares.values())
-    due: list[tuple[int, str, int]] = []
-    coming = [(0, s, 0) for s, q in sorted(shares.items()) if q]
+    total = sum(blocks.values())
+    due: list[tuple[int, str, int, int]] = []
+    coming = [(0, s, 0) for s, b in sorted(blocks.items()) if b]
     heapq.heapify(coming)
-    out = []
-    for slot in range(period):
+    for slot in range(total):
         while coming and coming[0][0] <= slot:
-            _, s, j = heapq.heappop(coming)
-            heapq.heappush(due, (-(-(j + 1) * period // shares[s]), s, j))
-        deadline, s, j = heapq.heappop(due)
+            release, s, j = heapq.heappop(coming)
+            heapq.heappush(due, (-(-(j + 1) * total // blocks[s]), s, j, release))
+        deadline, s, j, release = heapq.heappop(due)
         assert slot < deadline
-        out.append((s, j, slot))
-        if j + 1 < shares[s]:
-            heapq.heappush(coming, ((j + 1) * period // shares[s], s, j + 1))
-    return out
+        yield s, j, release, deadline, slot
+        if j + 1 < blocks[s]:
+            heapq.heappush(coming, ((j + 1) * total // blocks[s], s, j + 1))
+
+
+def pfair_period(shares: dict[str, int]) -> list[tuple[str, int, int]]:
+    """(source, block, slot) of a whole schedule."""
+    return [(s, j, slot) for s, j, _, _, slot in pfair_slots(shares)]
+
+
+def schedule(spark: SparkSession, blocks: dict[str, int]) -> DataFrame:
+    """The rows of ``pfair_slots`` as a table. One task makes them, as each slot depends on those before, and writes them as they come."""
+
+    def slots(batches):
+        for _ in batches:
+            rows = pfair_slots(blocks)
+            while part := list(islice(rows, 50_000)):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*part, strict=True)], names=["source", "block", "release", "deadline", "slot"])
+
+    return materialize(spark.range(1).coalesce(1).mapInArrow(slots, "source string, block long, release long, deadline long, slot long"), "schedule")
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, cap: float = 0.25, block_rows: int = 8, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
@@ -78,11 +84,11 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, cap: f
 
     ``weights`` are target shares by source; by default the sources' own shares with none above ``cap``. The mix is the largest that
     has these shares without repeating a row: a source gives its quota of rows, in the order of a hash of their id, and in_mix is
-    false for the rest (their other columns are null). The rows of a source form blocks of ``block_rows``; each gets a slot from the
-    Pfair schedule of one period, which repeats. Sources with less than ``LEAST_BLOCKS`` blocks a period share one stream, in
-    which they are spread evenly.
+    false for the rest (their other columns are null). The rows of a source form blocks of ``block_rows``, of which the last may be
+    shorter; each gets a slot from the Pfair schedule of all blocks, so after any number of slots a source is less than one block away
+    from its share of the blocks, however rare it is.
 
-    Only the counts by source (``MOST_SOURCES`` at most, else an error) and one period of the schedule reach the driver. Ranks are
+    Only the counts by source (``MOST_SOURCES`` at most, else an error) reach the driver. Ranks are
     found in buckets, so a source with a third of all rows is many tasks. A null source is a source of its own, named ''. Sources
     without a weight stay out. Rows that repeat an id are rows like any others; null ids too. An empty table gives an empty result.
     Extra columns are ignored.
@@ -95,30 +101,15 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, cap: f
     counts = {r.source: r["count"] for r in found}
     target = weights or (capped_weights(counts, cap) if counts else {})
     quota = quotas(counts, target)
-    shares = whole_shares({s: q for s, q in quota.items() if q}, PERIOD) if any(quota.values()) else {}
-    rare = {s for s, q in shares.items() if q < LEAST_BLOCKS}
-    if rare:
-        streams = {s: quota[s] for s in shares if s not in rare} | {"\x00rare": sum(quota[s] for s in rare)}
-        shares = whole_shares(streams, PERIOD)
-    many = sum(quota[s] for s in rare)
-    rows = [(s, quota[s], "\x00rare" if s in rare else s, many if s in rare else quota[s], shares.get("\x00rare" if s in rare else s, 0)) for s in counts]
-    of_source = spark.createDataFrame(rows, "source string, quota_ long, stream string, stream_rows_ long, share_ long")
-    period = spark.createDataFrame(pfair_period(shares), "stream string, at_ long, slot_ long")
+    of_source = spark.createDataFrame(list(quota.items()), "source string, quota_ long")
+    slots = schedule(spark, {s: -(-q // block_rows) for s, q in quota.items()})
 
     ranked = distributed_rank(materialize(slim.withColumn("h_", F.xxhash64("id")), "mix"), "source", ["h_", "id"], "rank_")
     ranked = ranked.join(F.broadcast(of_source), "source").withColumn("in_mix", F.col("rank_") < F.col("quota_"))
-    place = F.when(F.col("quota_") == F.col("stream_rows_"), F.col("rank_")).otherwise(F.floor((F.col("rank_") + 0.5) / F.col("quota_") * F.col("stream_rows_")))
-    ranked = ranked.withColumn("block", F.when(F.col("in_mix"), F.floor(place / block_rows).cast("long")))
-    ranked = ranked.withColumn("at_", F.when(F.col("in_mix"), F.col("block") % F.col("share_")))
-    planned = ranked.join(F.broadcast(period), ["stream", "at_"], "left")
-    q = F.when(F.col("in_mix"), F.col("share_"))
-    return planned.select(
-        F.col("id").alias(id_col), "source", "in_mix",
-        F.when(F.col("in_mix"), F.regexp_replace("stream", "^\x00", "")).alias("stream"), "block",
-        F.floor(F.col("block") * PERIOD / q).cast("long").alias("release"),
-        F.ceil((F.col("block") + 1) * PERIOD / q).cast("long").alias("deadline"),
-        (F.floor(F.col("block") / q) * PERIOD + F.col("slot_")).cast("long").alias("slot"),
-    )
+    ranked = ranked.withColumn("block", F.floor(F.col("rank_") / block_rows).cast("long"))  # of all rows, so that no join key is null
+    planned = ranked.join(slots, ["source", "block"], "left").withColumn("stream", F.col("source"))
+    places = [F.when(F.col("in_mix"), F.col(c)).alias(c) for c in ("stream", "block", "release", "deadline", "slot")]
+    return planned.select(F.col("id").alias(id_col), "source", "in_mix", *places)
 
 
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, cap: float = 0.25, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:

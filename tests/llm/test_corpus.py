@@ -151,6 +151,18 @@ def test_pfair_lag():
         assert all(abs(done[x] - t * q / period) < 1 for x, q in shares.items())
 
 
+def test_mixing_lag_over_periods(spark):
+    """Shares that no short period holds in whole blocks; over 70,000 slots each source, rare ones too, stays within a block."""
+    n = {"a": 35_001, "b": 17_507, "c": 17_489, "d": 9, "e": 1}
+    df = spark.createDataFrame([(s, k) for s, k in n.items()], "source string, k long").select(F.explode(F.sequence(F.lit(1), "k")).alias("doc_id"), "source")
+    got = mixing.mix_sources(df, weights=n, block_rows=1).select("source", "slot", "release", "deadline").toPandas().sort_values("slot")
+    total = sum(n.values())
+    assert got.slot.tolist() == list(range(total)) and ((got.release <= got.slot) & (got.slot < got.deadline)).all()
+    t = np.arange(1, total + 1)
+    for s, k in n.items():
+        assert np.abs((got.source == s).to_numpy().cumsum() - t * k / total).max() < 1
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 8))
