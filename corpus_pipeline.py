@@ -1,7 +1,7 @@
 """A corpus pipeline over ``documents``: each stage's output is written as Parquet and read again as the next one's input.
 
 Toxic documents go, then exact copies, then all but one of each group of near copies. The sources are mixed to target weights (no
-source above a quarter), which leaves out what a source has beyond its quota, and the mix is packed into sequences.
+source above a quarter); what a source has beyond its quota follows after that mix. All of it is packed into sequences.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixed(docs, cap=0.25)
+    return mixed(docs, cap=0.25, surplus=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,12 +67,24 @@ def pfair_period(shares: dict[str, int]) -> list[tuple[str, int, int]]:
     return [(s, j, slot) for s, j, _, _, slot in pfair_slots(shares)]
 
 
-def schedule(spark: SparkSession, blocks: dict[str, int]) -> DataFrame:
-    """The rows of ``pfair_slots`` as a table. One task makes them, as each slot depends on those before, and writes them as they come."""
+def schedule(spark: SparkSession, *parts: dict[str, int]) -> DataFrame:
+    """The rows of ``pfair_slots`` of one mix after the other as a table; numbers count on from mix to mix.
+
+    One task makes them, as each slot depends on those before, and writes them as they come.
+    """
+
+    def chained():
+        done, before = 0, dict.fromkeys(parts[0], 0)
+        for blocks in parts:
+            for s, j, *times in pfair_slots(blocks):
+                yield s, before[s] + j, *(done + t for t in times)
+            done += sum(blocks.values())
+            for s, b in blocks.items():
+                before[s] += b
 
     def slots(batches):
         for _ in batches:
-            rows = pfair_slots(blocks)
+            rows = chained()
             while part := list(islice(rows, 50_000)):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*part, strict=True)], names=["source", "block", "release", "deadline", "slot"])
 
@@ -84,14 +96,16 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, cap: f
 
     ``weights`` are target shares by source; by default the sources' own shares with none above ``cap``. The mix is the largest that
     has these shares without repeating a row: a source gives its quota of rows, in the order of a hash of their id, and in_mix is
-    false for the rest (their other columns are null). The rows of a source form blocks of ``block_rows``, of which the last may be
-    shorter; each gets a slot from the Pfair schedule of all blocks, so after any number of slots a source is less than one block away
-    from its share of the blocks, however rare it is.
-
-    Only the counts by source (``MOST_SOURCES`` at most, else an error) reach the driver. Ranks are
-    found in buckets, so a source with a third of all rows is many tasks. A null source is a source of its own, named ''. Sources
-    without a weight stay out. Rows that repeat an id are rows like any others; null ids too. An empty table gives an empty result.
-    Extra columns are ignored.
+    false for the rest. What is left then follows as a second mix, in which each source has its share of the rows left, so every row has
+    a place and all sources end together. The rows of a source form blocks of ``block_rows``, of which the last in either mix may be
+    shorter; each gets a slot from the Pfair schedule of all blocks of its mix, so after any number of slots of a mix a source is less
+    than one block away from its share of the blocks, however rare it is. Blocks, releases, deadlines and slots of the second mix count
+    on from those of the first.
+
+    Only the counts by source (``MOST_SOURCES`` at most, else an error) reach the driver. Ranks are found in buckets, so a source with a
+    third of all rows is many tasks. A null source is a source of its own, named ''. Sources without a weight stay out: in_mix is false
+    and they have no stream, block or slot. Rows that repeat an id are rows like any others; null ids too. An empty table gives an empty
+    result. Extra columns are ignored.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"))
@@ -101,20 +115,23 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, cap: f
     counts = {r.source: r["count"] for r in found}
     target = weights or (capped_weights(counts, cap) if counts else {})
     quota = quotas(counts, target)
-    of_source = spark.createDataFrame(list(quota.items()), "source string, quota_ long")
-    slots = schedule(spark, {s: -(-q // block_rows) for s, q in quota.items()})
+    left = {s: n - quota[s] for s, n in counts.items() if target.get(s, 0) > 0}
+    blocks = [{s: -(-q // block_rows) for s, q in part.items()} for part in (quota, left)]
+    of_source = spark.createDataFrame([(s, q, blocks[0][s], s in left) for s, q in quota.items()], "source string, quota_ long, first_ long, planned_ boolean")
+    slots = schedule(spark, *blocks)
 
     ranked = distributed_rank(materialize(slim.withColumn("h_", F.xxhash64("id")), "mix"), "source", ["h_", "id"], "rank_")
     ranked = ranked.join(F.broadcast(of_source), "source").withColumn("in_mix", F.col("rank_") < F.col("quota_"))
-    ranked = ranked.withColumn("block", F.floor(F.col("rank_") / block_rows).cast("long"))  # of all rows, so that no join key is null
+    in_first, in_second = F.floor(F.col("rank_") / block_rows), F.col("first_") + F.floor((F.col("rank_") - F.col("quota_")) / block_rows)
+    ranked = ranked.withColumn("block", F.when(F.col("in_mix"), in_first).otherwise(in_second).cast("long"))  # of all rows, so that no join key is null
     planned = ranked.join(slots, ["source", "block"], "left").withColumn("stream", F.col("source"))
-    places = [F.when(F.col("in_mix"), F.col(c)).alias(c) for c in ("stream", "block", "release", "deadline", "slot")]
+    places = [F.when(F.col("planned_"), F.col(c)).alias(c) for c in ("stream", "block", "release", "deadline", "slot")]
     return planned.select(F.col("id").alias(id_col), "source", "in_mix", *places)
 
 
-def mixed(docs: DataFrame, weights: dict[str, float] | None = None, cap: float = 0.25, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """The rows of the mix with their columns, in the order of the schedule."""
-    plan = mix_sources(docs, weights, cap, id_col=id_col, source_col=source_col).where("in_mix")
+def mixed(docs: DataFrame, weights: dict[str, float] | None = None, cap: float = 0.25, id_col: str = "doc_id", source_col: str = "source", surplus: bool = False) -> DataFrame:
+    """The rows of the mix with their columns, in the order of the schedule; with ``surplus`` those of the second mix after them."""
+    plan = mix_sources(docs, weights, cap, id_col=id_col, source_col=source_col).where(F.col("slot").isNotNull() if surplus else F.col("in_mix"))
     pid, slot = fresh(docs, "id_", "slot_")
     plan = materialize(plan.groupBy(F.col(id_col).alias(pid)).agg(F.min("slot").alias(slot)), "plan")
     chosen = docs.join(plan, F.col(id_col).eqNullSafe(F.col(pid)))

@@ -151,6 +151,22 @@ def test_pfair_lag():
         assert all(abs(done[x] - t * q / period) < 1 for x, q in shares.items())
 
 
+def test_mixing_surplus(spark):
+    """One rare source makes the capped mix tiny; all other rows follow after it."""
+    n = {"a": 400, "b": 300, None: 1}
+    df = spark.createDataFrame([(i, "t", "en", s, 0) for i, s in enumerate(s for s, k in n.items() for _ in range(k))], DOC)
+    got = mixing.mix_sources(df, cap=0.25).collect()
+    assert Counter(r.source for r in got if r.in_mix) == {"a": 1, "b": 1, "": 1}
+    assert len(got) == 701 and all(r.release <= r.slot < r.deadline for r in got)
+    assert {r.slot for r in got} == set(range(3 + 50 + 38)) and max(Counter(r.slot for r in got).values()) == 8
+    assert max(r.slot for r in got if r.in_mix) < min(r.slot for r in got if not r.in_mix)
+    assert len({(r.source, r.block) for r in got}) == len({r.slot for r in got})
+    kept = mixing.mixed(df, cap=0.25, surplus=True)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(701)) and mixing.mixed(df, cap=0.25).count() == 3
+    only = mixing.mix_sources(df, weights={"a": 1.0, "b": 1.0}).where("source = ''").collect()
+    assert [(r.in_mix, r.stream, r.block, r.slot) for r in only] == [(False, None, None, None)]
+
+
 def test_mixing_lag_over_periods(spark):
     """Shares that no short period holds in whole blocks; over 70,000 slots each source, rare ones too, stays within a block."""
     n = {"a": 35_001, "b": 17_507, "c": 17_489, "d": 9, "e": 1}

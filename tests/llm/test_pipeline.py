@@ -40,3 +40,8 @@ def test_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, DATA).collect()
     assert {r.doc_id for r in packed} == set(after)
     assert max(r.offset + r.length for r in packed) <= 4096
+
+
+def test_mixing_keeps_all(spark):
+    docs = queries.table(spark, DATA, "documents")
+    assert sorted(r.doc_id for r in corpus_pipeline.mixing(spark, docs, DATA).select("doc_id").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect())
