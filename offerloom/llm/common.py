@@ -44,6 +44,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def strata(n0: int, n1: int, most: int) -> tuple[int, int]:
+    """Rows to take of two kinds with n0 and n1 rows: ``most`` at most, half of each kind, and more of one if the other has fewer."""
+    k1 = min(n1, max(most // 2, most - n0))
+    return min(n0, most - k1), k1
+
+
 def distributed_rank(df: DataFrame, group: str, order: list[str], rank: str, rows_per_bucket: int = 50_000) -> DataFrame:
     """Add ``rank`` (0, 1, ...) within ``group`` without sorting a whole group in one task.
 

@@ -8,6 +8,7 @@ words of reporting around it speak for quotation, words of address for abuse. A
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import materialize
+from offerloom.llm.common import materialize, strata
 
 # Words of address and of reporting in English, German, French and Spanish, and characters that stand for letters.
 ADDRESS = frozenset("you your you're u du dein deine ihr euer tu toi ton ta vous votre tú usted ustedes vuestro eres".split())
@@ -156,35 +157,66 @@ def held_out(id_col: str) -> F.Column:
     return F.crc32(F.col(id_col).cast("string")) % 5 == 0
 
 
+def labelled(labels: DataFrame) -> DataFrame:
+    """(label_id, toxic) of the labels that are not held out."""
+    return labels.where(F.col("toxic").isNotNull() & ~held_out("doc_id")).select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
+
+
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.where(~held_out(id_col)).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+
 def train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
-    """At most ``most`` labelled rows that are not held out, in order of a hash of their id: id, text, toxic."""
-    marked = labels.where(F.col("toxic").isNotNull() & ~held_out("doc_id")).select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
-    chosen = marked.orderBy(F.xxhash64("label_id"), "label_id").limit(most)
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("id", "text", "toxic")  # at most ``most`` rows of two numbers
+    """At most ``most`` labelled rows that are not held out, in order of a hash of their id: id, text, toxic, weight.
+
+    If there are more, up to half of them are toxic ones and up to half the others, as far as there are so many; weight is the number of
+    labelled rows that a row of its kind stands for.
+    """
+    marked = labelled(labels)
+    n = {r.toxic: r.n for r in marked.groupBy((F.col("toxic") == 1).cast("int").alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    k = strata(n.get(0, 0), n.get(1, 0), most)
+    of = [marked.where((F.col("toxic") == 1) == bool(t)).orderBy(F.xxhash64("label_id"), "label_id").limit(k[t]).withColumn("weight", F.lit(n.get(t, 0) / max(1, k[t]))) for t in (0, 1)]
+    return texts_of(docs, id_col, text_col).join(F.broadcast(of[0].unionByName(of[1])), F.col("id") == F.col("label_id")).select("id", "text", "toxic", "weight")  # at most ``most`` rows of three numbers
 
 
 def learn_lexicon(rows: DataFrame, most_terms: int = 400, least_docs: int = 8, least_ratio: float = 20.0) -> list[tuple[str, float]]:
-    """Words that stand out in toxic documents, with the log of their smoothed ratio; at most ``most_terms``.
+    """Words that stand out in the toxic ones of ``rows`` (text, toxic), with the log of their smoothed ratio; at most ``most_terms``.
 
     Counts are document frequencies, so a word counts once for a document. Words need ``least_docs`` toxic documents and a share
-    among them that is ``least_ratio`` times the share among the others.
+    among them that is ``least_ratio`` times the share among the others. Each task counts its words before they are shuffled, and only
+    the terms are collected.
     """
-    n = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not n.get(1) or not n.get(0):
-        return []
 
-    def words(batches):
+    def sums(counts):
+        words = list(counts[0].keys() | counts[1].keys())
+        columns = [pa.array(words, pa.string())] + [pa.array([c[w] for w in words], pa.int64()) for c in (counts[1], counts[0])]
+        return pa.RecordBatch.from_arrays(columns, names=["word", "a", "b"])
+
+    def count(batches):
+        counts, forms = (Counter(), Counter()), {}
         for batch in batches:
-            out_w, out_t = [], []
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for w in {clean(t) for t in text.split()} - {""}:
-                    out_w.append(w)
-                    out_t.append(toxic)
-            yield pa.RecordBatch.from_arrays([pa.array(out_w, pa.string()), pa.array(out_t, pa.int32())], names=["word", "toxic"])
-
-    counts = rows.select("text", "toxic").mapInArrow(words, "word string, toxic int").groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    ratio = F.log(((F.col("a") + 0.5) / (n[1] + 1)) / ((F.col("b") + 0.5) / (n[0] + 1)))
+                found = set()
+                for t in set(text.split()):
+                    w = forms.get(t)
+                    if w is None:
+                        w = forms[t] = clean(t)
+                    found.add(w)
+                found.add("")  # stands for the document
+                counts[toxic == 1].update(found)
+                if len(forms) > CACHED_WORDS:
+                    forms.clear()
+                if len(counts[0]) + len(counts[1]) > CACHED_WORDS:
+                    yield sums(counts)
+                    counts = (Counter(), Counter())
+        yield sums(counts)
+
+    counts = rows.select("text", "toxic").mapInArrow(count, "word string, a long, b long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counts = materialize(counts.where((F.col("a") >= least_docs) | (F.col("word") == "")), "words")
+    n = counts.where("word = ''").first()
+    if not n or not n.a or not n.b:
+        return []
+    ratio = F.log(((F.col("a") + 0.5) / (n.a + 1)) / ((F.col("b") + 0.5) / (n.b + 1)))
     best = counts.where((F.col("a") >= least_docs) & (F.length("word") >= 3)).withColumn("w", ratio).where(F.col("w") >= math.log(least_ratio))
     return [(r.word, r.w) for r in best.orderBy(F.desc(F.col("w") * F.sqrt("a")), "word").limit(most_terms).collect()]
 
@@ -201,14 +233,14 @@ def feature_udf(lexicon: list[tuple[str, float]]):
     return features
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 40) -> np.ndarray:
-    """Weights and, last, the intercept of a ridge logistic model, by Newton's method."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 40, c: np.ndarray | float = 1.0) -> np.ndarray:
+    """Weights and, last, the intercept of a ridge logistic model of rows that count ``c`` times, by Newton's method."""
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
     penalty = np.r_[np.full(x.shape[1] - 1, l2), 1e-6]
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (p - y) + penalty * w)
+        step = np.linalg.solve((x * (c * p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (c * (p - y)) + penalty * w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
@@ -235,21 +267,21 @@ class ToxicityModel:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_train: int = 20_000) -> ToxicityModel:
-    """Learn lexicon and weights from at most ``most_train`` labelled rows that are not held out; only texts enter."""
-    train = materialize(train_rows(docs, labels, id_col, text_col, most_train), "train")
-    lexicon = learn_lexicon(train)
+    """Learn the lexicon from all labelled rows that are not held out, and the weights from at most ``most_train`` of them; only texts enter."""
+    lexicon = learn_lexicon(texts_of(docs, id_col, text_col).join(labelled(labels), F.col("id") == F.col("label_id")))
     if not lexicon:
         return ToxicityModel([], None)
-    known = train.select("id", "toxic", feature_udf(lexicon)("text").alias("x")).orderBy("id").collect()  # most_train rows of numbers
-    w = fit_logistic(np.array([r.x for r in known], float), np.array([r.toxic for r in known], float))
+    train = train_rows(docs, labels, id_col, text_col, most_train)
+    known = train.select("id", "toxic", "weight", feature_udf(lexicon)("text").alias("x")).orderBy("id").collect()  # most_train rows of numbers
+    w = fit_logistic(*(np.array([r[k] for r in known], float) for k in ("x", "toxic")), c=np.array([r.weight for r in known]))
     return ToxicityModel(lexicon, [float(v) for v in w])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_train: int = 20_000) -> DataFrame:
     """(doc_id, held_out, score, predicted, hits, quoted) for every row of ``docs``.
 
-    Learns only from rows of ``labels`` (doc_id, toxic) with crc32(doc_id as text) mod 5 other than 0, and of these from at most
-    ``most_train``; no column but the text enters a score. hits counts lexicon terms, quoted those in quotation. Null and empty texts
+    Learns only from rows of ``labels`` (doc_id, toxic) with crc32(doc_id as text) mod 5 other than 0: the lexicon from all of these, the
+    weights from at most ``most_train``, drawn by kind; no column but the text enters a score. hits counts lexicon terms, quoted those in quotation. Null and empty texts
     have the score of a text without hits. With labels of one kind or none, all scores are 0. Rows that repeat each get a row; a null
     id has held_out null. An empty table gives an empty result. Extra columns are ignored.
     """

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import materialize
+from offerloom.llm.common import materialize, strata
 
 #: (verdict, rule): a host, and the path from its first slash.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -71,8 +71,9 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """(page_id, host, path, rule, verdict, score) for every row of ``pages``.
 
     A rule's verdict stands. URLs without a rule get the verdict of boosted trees that are trained on URLs which a rule labels, on at
-    most ``most_train`` of them in order of a hash. score is the trees' probability of block, for all URLs. Suffix statistics: the share
-    of a suffix among all URLs, and the smoothed share of block among the labelled ones used for training.
+    most ``most_train`` of them, drawn by verdict in order of a hash and weighted to the numbers of all. score is the trees' probability
+    of block, for all URLs. Suffix statistics: the share of a suffix among all URLs, and the smoothed share of block among all its
+    labelled ones.
 
     Null URLs and URLs without ``://`` have an empty host and path and fit no rule. If the labelled URLs are all of one kind or there
     are none, the trees can't be trained: score is null and URLs without a rule are allowed. Rows that repeat each get a row. An
@@ -83,21 +84,23 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     base = base.withColumns({"host": host, "path": path}).withColumn("match", rule_match(F.col("host"), F.col("path"), rules))
     rows = materialize(lexical_features(base, "url", "host", "path"), "urls")
 
-    chosen = rows.where("match is not null").withColumn("label", (F.col("match.verdict") == "block").cast("double")).orderBy(F.xxhash64("url"), "page_id").limit(most_train)
-    chosen = materialize(chosen, "labelled")
-    total = rows.count()
-    rate = chosen.agg(F.avg("label").alias("r"), F.count_distinct("label").alias("k")).first()
+    known = rows.where("match is not null").withColumn("label", (F.col("match.verdict") == "block").cast("double"))
+    n = {int(r.label): r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n0, n1 = n.get(0, 0), n.get(1, 0)
+    of = [known.where(F.col("label") == t).orderBy(F.xxhash64("url"), "page_id").limit(k).withColumn("weight", F.lit(n.get(t, 0) / max(1, k))) for t, k in enumerate(strata(n0, n1, most_train))]
+    chosen = materialize(of[0].unionByName(of[1]), "labelled")
+    total, rate = rows.count(), n1 / max(1, n0 + n1)
     share = rows.groupBy("suffix").agg((F.count(F.lit(1)) / F.lit(max(1, total))).alias("suffix_share"))
-    block = chosen.groupBy("suffix").agg(((F.sum("label") + 5 * F.lit(rate.r or 0.0)) / (F.count(F.lit(1)) + 5)).alias("suffix_block"))
-    stats = materialize(share.join(block, "suffix", "left").fillna({"suffix_block": rate.r or 0.0}), "suffixes")
+    block = known.groupBy("suffix").agg(((F.sum("label") + 5 * F.lit(rate)) / (F.count(F.lit(1)) + 5)).alias("suffix_block"))
+    stats = materialize(share.join(block, "suffix", "left").fillna({"suffix_block": rate}), "suffixes")
 
     verdict = F.coalesce("match.verdict", F.when(F.col("score") >= 0.5, "block").otherwise("allow"))
-    if rate.k < 2:
+    if not (n0 and n1):
         scored = rows.withColumn("score", F.lit(None).cast("double"))
     else:
         to_vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        train = to_vector.transform(chosen.join(stats, "suffix", "left")).select("features", "label").coalesce(2)
-        trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7, checkpointInterval=-1).fit(train)
+        train = to_vector.transform(chosen.join(stats, "suffix", "left")).select("features", "label", "weight").coalesce(2)
+        trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7, checkpointInterval=-1, weightCol="weight").fit(train)
         ready = to_vector.transform(rows.join(stats, "suffix", "left"))
         scored = trees.transform(ready).withColumn("score", vector_to_array("probability")[1])
     return scored.select("page_id", "host", "path", F.col("match.rule").alias("rule"), verdict.alias("verdict"), "score")

@@ -241,6 +241,19 @@ def test_url_filter(spark):
     assert (alone.verdict, alone.score) == ("allow", None)
 
 
+def test_url_suffixes_beyond_sample(spark, monkeypatch):
+    """Suffix statistics are of all labelled URLs, and both verdicts are trained on, however few rows the trees may take."""
+    urls = [f"http://h{k}.com/{k}" for k in range(5)] + [f"http://a{k}.s{k % 50}.net/x" for k in range(400)] + [f"http://a{k}.b.org/fr/" for k in range(8)]
+    seen = {}
+    real = url_filter.materialize
+    monkeypatch.setattr(url_filter, "materialize", lambda df, name: seen.setdefault(name, real(df, name)))
+    url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), most_train=20, rounds=1).count()
+    rate = 400 / 408
+    got = {r.suffix: r.suffix_block for r in seen["suffixes"].collect()}
+    assert all(got[f"s{k}.net"] == pytest.approx((8 + 5 * rate) / 13) for k in range(50)) and got["b.org"] == pytest.approx(5 * rate / 13)
+    assert Counter((r.label, round(r.weight, 6)) for r in seen["labelled"].collect()) == {(1.0, round(400 / 12, 6)): 12, (0.0, 1.0): 8}
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(k, f"https://www.X.com/p{k % 5}/?utm_source=a" if k % 7 else None, None if k % 3 else "same") for k in range(60)], "page_id long, url string, html string")
     recs = warc.records_of_pages(pages)
@@ -309,3 +322,20 @@ def test_toxicity(spark):
     assert got[600].score == got[601].score < 0.5 and all(0 <= r.score <= 1 for r in got.values())
     assert toxicity.drop_toxic(df, lab).columns == df.columns
     assert toxicity.score_toxicity(df, lab.limit(0)).where("score <> 0").count() == 0
+
+
+def test_toxic_terms_beyond_sample(spark):
+    """A term of few toxic documents, themselves few, is learned though the model is fitted to a small sample; numbers of both kinds count."""
+    rng = random.Random(11)
+    texts = [words(rng, 20) + (" scumbag" if k % 50 == 0 else "") + (" worthless" if k % 250 == 0 else "") for k in range(4000)]
+    df = docs_of(spark, texts)
+    lab = spark.createDataFrame([(k, int(k % 50 == 0)) for k in range(4000)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(df, lab, most_train=100)
+    assert {t for t, _ in model.lexicon} == {"scumbag", "worthless"}
+    free = [k for k in range(4000) if zlib.crc32(str(k).encode()) % 5]
+    toxic = sum(k % 50 == 0 for k in free)
+    train = toxicity.train_rows(df, lab, "doc_id", "text", 100).collect()
+    assert Counter(r.toxic for r in train) == {0: 50, 1: 50} and sum(r.weight for r in train) == pytest.approx(len(free))
+    assert {r.weight for r in train if r.toxic} == {toxic / 50}
+    got = toxicity.score_toxicity(df, lab, most_train=100).collect()
+    assert all(r.predicted == (r.doc_id % 50 == 0) for r in got)
