@@ -23,7 +23,7 @@ def training_table(internal: DataFrame, daily: DataFrame) -> DataFrame:
 def train_price_model(table: DataFrame, rounds: int = 300, step: float = 0.1, seed: int = 42, scale: bool = False, max_depth: int = 5) -> tuple[PipelineModel, DataFrame]:
     """Boosted trees on 80 % of the rows, and the scored other rows. With fewer than 3 rows both use all of them.
 
-    The split is by a hash of the SKU, so it is the same on every run.
+    The split is by a hash of the SKU, so it is the same on every run. Where a checkpoint folder is set, the rounds' lineage is cut there.
     """
     if len(table.limit(3).take(3)) < 3:
         train = test = table
@@ -33,7 +33,7 @@ def train_price_model(table: DataFrame, rounds: int = 300, step: float = 0.1, se
     stages = [VectorAssembler(inputCols=list(FEATURES), outputCol="raw" if scale else "features", handleInvalid="skip")]
     if scale:
         stages.append(StandardScaler(inputCol="raw", outputCol="features", withMean=True))
-    stages.append(GBTRegressor(maxIter=rounds, stepSize=step, seed=seed, maxDepth=max_depth, checkpointInterval=-1))
+    stages.append(GBTRegressor(maxIter=rounds, stepSize=step, seed=seed, maxDepth=max_depth, checkpointInterval=10))
     model = Pipeline(stages=stages).fit(train)
     return model, model.transform(test)
 

@@ -580,13 +580,13 @@ def _(spark, d):
 def _(spark, d):
     """Rows only: a trained model."""
     t = _training(spark, d)
-    model, _ = pricing.train_price_model(t, rounds=20)
+    model, _ = pricing.train_price_model(t)
     return pricing.suggest_prices_ml(model, t)
 
 
 @query("price_model_error")
 def _(spark, d):
-    _, scored = pricing.train_price_model(_training(spark, d), rounds=20)
+    _, scored = pricing.train_price_model(_training(spark, d))
     return summary.regression_metrics(scored)
 
 

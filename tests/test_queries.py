@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from offerloom.operators import pricing
 from offerloom.plans import catalog
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -30,3 +31,20 @@ def test_same_rows(spark, duck, name):
     got, want = catalog.QUERIES[name](spark, DATA).toPandas(), duck.execute(catalog.ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+@pytest.mark.parametrize("name", ["suggest_ml", "price_model_error"])
+def test_price_model_rounds(spark, monkeypatch, name):
+    """Both queries train as many rounds as the reference."""
+
+    class Stop(Exception):
+        pass
+
+    def fit(trees, table, params=None):
+        raise Stop(trees.getMaxIter(), trees.getStepSize())
+
+    monkeypatch.setattr(pricing.GBTRegressor, "fit", fit)
+    with pytest.raises(Stop) as found:
+        catalog.QUERIES[name](spark, DATA)
+    assert found.value.args == (300, 0.1)
