@@ -32,6 +32,13 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that :func:`materialize` wrote, once nothing reads it any more."""
+    for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that ``df`` does not have, made from ``names`` (input may carry any extra columns)."""
     taken = {c.lower() for c in df.columns}

@@ -2,9 +2,10 @@
 
 Shingles have one global order, rare ones first. The order is cut into fragments. Each document's shingles fall into these fragments,
 overlaps are counted fragment by fragment for the candidate pairs, and the partial counts are summed per pair. Candidates share a
-shingle of the part of the order that similar documents must share (the prefix). Components need not see all pairs of a group
-of copies: first each document is compared with one hub of each shared shingle, and then only candidate pairs that are still in
-different components are compared, all of them.
+shingle of the part of the order that similar documents must share (the prefix), and pass a bound on their overlap from small
+bitmaps of their sets. Components need not see all pairs of a group of copies: first each document is compared with the hubs of
+its shared shingles, the most similar one before the others. Candidate pairs that are then still in different components are found
+inside tasks, in blocks; each task passes on only as many of them as can join its components, until none is left.
 """
 
 from __future__ import annotations
@@ -17,14 +18,20 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import connected_components, materialize
+from offerloom.llm.common import connected_components, discard, materialize
 
 #: Counters of the frequency sketch (4 bytes each) and of one message; bits of the filter on document ids. All are fixed bounds.
-COUNTERS, CHUNK, ID_BITS = 1 << 20, 1 << 14, 1 << 24
+COUNTERS, CHUNK, ID_BITS = 1 << 20, 1 << 14, 1 << 26
 CACHED_WORDS = 200_000
 FRAGMENTS = 4
-#: Shingles of more documents than this, by the sketch, are spread over SALTS tasks; up to here one task can read all rows of one.
+#: Shingles of more documents than this, by the sketch, and of 8 times the mean counter are spread over SALTS tasks.
 FREQUENT, SALTS = 100_000, 64
+#: Bits at most of the bitmap of a document's set; it has about two for each shingle.
+MOST_BITS = 8192
+#: Documents of one shingle, and partners of one document, that a task takes at once.
+TILE, SPAN = 2048, 1000
+#: Rounds in which a task passes on what can join its components; then it passes on all pairs that are left.
+SPARSE_ROUNDS = 3
 
 
 class Shingler:
@@ -82,8 +89,23 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint64, copy=False).view(np.int64)
 
 
+def _bitmap(h: np.ndarray) -> bytes:
+    """For each bit, the parity of the number of shingles that fall on it. Sets differ in at least as many shingles as their bitmaps in bits."""
+    size = min(MOST_BITS, max(256, 1 << (2 * len(h) - 1).bit_length()))
+    return np.packbits((np.bincount(((h >> np.uint64(32)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)).tobytes()
+
+
+def _fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (the last axis, 64-bit words) as those of ``words`` words that the same sets have."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
 def _profile(width: int):
-    """doc_id, class of the word sequence (two longs), number of shingles; at the end of a partition its part of the sketch."""
+    """doc_id, class of the word sequence (two longs), number of shingles, bitmap; at the end of a partition its part of the sketch."""
+    names = ["doc", "c1", "c2", "n", "bits", "chunk", "counts"]
 
     def run(batches):
         s, counts = Shingler(width), np.zeros(COUNTERS, np.int64)
@@ -93,16 +115,16 @@ def _profile(width: int):
                 w = s.word_hashes(s.words(text))
                 h = s.shingles(w)
                 d = xxhash.xxh3_128_digest(w.tobytes())
-                rows.append((i, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), len(h)))
+                rows.append((i, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), len(h), _bitmap(h)))
                 seen.append(h & np.uint64(COUNTERS - 1))
             if rows:
                 counts += np.bincount(np.concatenate(seen).astype(np.int64), minlength=COUNTERS)
-                cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names=["doc", "c1", "c2", "n", "chunk", "counts"])
+                cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 4 + [pa.binary()], strict=True)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names=names)
         for k in range(0, COUNTERS, CHUNK):
             if (part := counts[k : k + CHUNK]).any():
                 packed = zlib.compress(part.tobytes(), 1)
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.array([k // CHUNK], pa.int32()), pa.array([packed], pa.binary())], names=["doc", "c1", "c2", "n", "chunk", "counts"])
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.nulls(1, pa.binary()), pa.array([k // CHUNK], pa.int32()), pa.array([packed], pa.binary())], names=names)
 
     return run
 
@@ -123,6 +145,7 @@ class Order:
 
     def __init__(self, counts: np.ndarray, fragments: int):
         self.counts = np.minimum(counts, (1 << 24) - 1).astype(np.uint32)
+        self.frequent = max(FREQUENT, 8 * int(self.counts.mean()))
         c = np.sort(self.counts.astype(np.int64))
         mass, pivots = np.cumsum(c), []
         for f in range(1, fragments):
@@ -140,7 +163,7 @@ class Order:
 def _prefixes(width: int, percent: int, order):
     """(sig, salt, doc, n, pos): the shingles of each document's prefix. Similar documents share one of these at least.
 
-    salt is -1 but for shingles whose sketched frequency exceeds FREQUENT, which it spreads by document.
+    salt is -1 but for shingles whose sketched frequency stands out, which it spreads by document.
     """
 
     def run(batches):
@@ -158,7 +181,7 @@ def _prefixes(width: int, percent: int, order):
                     near = np.flatnonzero(keys <= np.partition(keys, p - 1)[p - 1])
                     h, keys = h[near], keys[near]
                 first = np.lexsort((h, keys))[:p]
-                often = (keys[first] >> np.uint64(40)) > FREQUENT
+                often = (keys[first] >> np.uint64(40)) > o.frequent
                 columns = (h[first].view(np.int64), np.where(often, i % SALTS, -1).astype(np.int32), np.full(p, i, np.int64), np.full(p, n, np.int32), np.arange(p, dtype=np.int32))
                 for c, x in zip(out, columns, strict=True):
                     c.append(x)
@@ -224,7 +247,7 @@ def _sketch(spark: SparkSession, parts: DataFrame) -> np.ndarray:
 
 
 def _id_filter(ids: DataFrame) -> bytes:
-    """A bit for each id modulo ID_BITS: 2 MB at most, whatever the number of ids."""
+    """A bit for each id modulo ID_BITS: 8 MB at most, whatever the number of ids."""
     slot = F.pmod(F.col("doc"), F.lit(ID_BITS))
     rows = ids.select(F.floor(slot / 32768).alias("b"), (slot % 32768).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect()
     out = bytearray(ID_BITS // 8)
@@ -233,6 +256,132 @@ def _id_filter(ids: DataFrame) -> bytes:
     return bytes(out)
 
 
+def _bounded(percent: int):
+    """Of pairs (a, b, na, nb, bits of a, bits of b) those that the bitmaps leave possible, with the number of bits that differ."""
+
+    def run(batches):
+        for batch in batches:
+            na, nb = (batch.column(k).to_numpy().astype(np.int64) for k in (2, 3))
+            diff = np.empty(batch.num_rows, np.int64)
+            for k, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                w = min(len(x), len(y))
+                diff[k] = np.bitwise_count(_fold(x, w) ^ _fold(y, w)).sum()
+            go = np.flatnonzero((100 + percent) * diff <= (100 - percent) * (na + nb))
+            kept = [batch.column(k).take(pa.array(go)) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(diff[go])], names=["a", "b", "na", "nb", "diff"])
+
+    return run
+
+
+def _complete_groups(batches, keys: list[str]):
+    """Tables that hold whole groups only, of batches sorted by ``keys``, with the ends of the groups."""
+    rest = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = t if rest is None else pa.concat_tables([rest, t])
+        differs = np.zeros(len(t) - 1, bool)
+        for c in keys:
+            k = t.column(c).to_numpy()
+            differs |= k[1:] != k[:-1]
+        ends = np.flatnonzero(differs) + 1
+        if len(ends):
+            yield t.slice(0, ends[-1]), ends
+            t = t.slice(ends[-1])
+        rest = t
+    if rest is not None and len(rest):
+        yield rest, np.array([len(rest)])
+
+
+def _crossing(percent: int, sparse: bool):
+    """Of rows (sig, lo, hi, block, doc, n, pos, label, bits) sorted by (sig, lo, hi): pairs of one group that may be similar.
+
+    They have different labels and, where lo and hi differ, different blocks. ``sparse``: a pair is passed on only if no pairs
+    before it join its labels, so there are fewer pairs than labels in a group; else all are. Pairs are made and tested in
+    vectors as long as the batch, and those that fail never leave the task.
+    """
+
+    def run(batches):
+        for t, ends in _complete_groups(batches, ["sig", "lo", "hi"]):
+            doc, n, pos, label, block, lo, hi = (t.column(c).to_numpy().astype(np.int64) for c in ("doc", "n", "pos", "label", "block", "lo", "hi"))
+            group = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            end, raw = ends[group], t.column("bits").to_pylist()
+            width = np.fromiter(map(len, raw), np.int64, len(raw)) // 8
+            at = np.cumsum(width) - width
+            words = np.frombuffer(b"".join(raw), np.uint64)
+            _, code = np.unique(np.column_stack([group, label]), axis=0, return_inverse=True)
+            code = code.ravel()
+            root = np.arange(code.max() + 1)
+            i, d, out = np.arange(len(doc)), 0, []
+            while True:
+                d += 1
+                i = i[end[i] - i > d]
+                if not len(i):
+                    break
+                j = i + d
+                go = (root[code[i]] != root[code[j]]) & ((lo[i] == hi[i]) | (block[i] != block[j])) & (doc[i] != doc[j])
+                x, y = i[go], j[go]
+                less, more = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+                room = 1 + np.minimum(n[x] - 1 - pos[x], n[y] - 1 - pos[y])
+                go = (100 * less >= percent * more) & ((100 + percent) * room >= percent * (n[x] + n[y]))
+                x, y = x[go], y[go]
+                narrow = np.minimum(width[x], width[y])
+                for w in np.unique(narrow):
+                    for k in range(0, len(of := np.flatnonzero(narrow == w)), 4096):
+                        u, v = x[of[k : k + 4096]], y[of[k : k + 4096]]
+                        diff = np.bitwise_count(_rows(words, at, width, u, w) ^ _rows(words, at, width, v, w)).sum(1, dtype=np.int64)
+                        near = (100 + percent) * diff <= (100 - percent) * (n[u] + n[v])
+                        for p, q in zip(u[near].tolist(), v[near].tolist(), strict=True):
+                            if sparse:
+                                r, s = _top(root, code[p]), _top(root, code[q])
+                                if r == s:
+                                    continue
+                                root[max(r, s)] = min(r, s)
+                            out.append((p, q))
+                if sparse:
+                    while (root[root] != root).any():
+                        root = root[root]
+            if out:
+                p, q = np.array(out).T
+                p, q = np.where(doc[p] < doc[q], p, q), np.where(doc[p] < doc[q], q, p)
+                yield pa.RecordBatch.from_arrays([pa.array(doc[p]), pa.array(doc[q]), pa.array(n[p].astype(np.int32)), pa.array(n[q].astype(np.int32))], names=["a", "b", "na", "nb"])
+
+    return run
+
+
+def _top(root: np.ndarray, k: int) -> int:
+    while root[k] != k:
+        k = root[k]
+    return k
+
+
+def _rows(words: np.ndarray, at: np.ndarray, width: np.ndarray, rows: np.ndarray, w: int) -> np.ndarray:
+    """The bitmaps of ``rows``, all folded to ``w`` words."""
+    out = np.empty((len(rows), w), np.uint64)
+    for own in np.unique(width[rows]):
+        of = np.flatnonzero(width[rows] == own)
+        out[of] = _fold(words[at[rows[of]][:, None] + np.arange(own)], w)
+    return out
+
+
+def _overlaps(batches):
+    """(a, b, frag, na, nb, o) of rows sorted by (a, salt, frag, b): the shingles of a, then those of each of its partners b."""
+    key = mine = None
+    for batch in batches:
+        out = [[] for _ in range(6)]
+        arrays = batch.column("shingles")
+        starts, values = arrays.offsets.to_numpy(), arrays.values.to_numpy()
+        for k, (a, salt, frag, b, na, nb) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "frag", "b", "na", "nb")), strict=True)):
+            shingles = values[starts[k] : starts[k + 1]]
+            if b is None:
+                key, mine = (a, salt, frag), shingles.copy()
+            elif key == (a, salt, frag):
+                o = len(np.intersect1d(mine, shingles, assume_unique=True))
+                for col, v in zip(out, (a, b, frag, na, nb, o), strict=True):
+                    col.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()], strict=True)], names=["a", "b", "frag", "na", "nb", "o"])
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) for every row of ``docs``.
 
@@ -243,8 +392,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    profile = materialize(texts.mapInArrow(_profile(width), "doc long, c1 long, c2 long, n long, chunk int, counts binary"), "profile")
+    profile = materialize(texts.mapInArrow(_profile(width), "doc long, c1 long, c2 long, n long, bits binary, chunk int, counts binary"), "profile")
     rows = profile.where("chunk is null").select("doc", "c1", "c2", "n")
+    bits = profile.where("chunk is null and n > 0").select("doc", "bits")
     order = spark.sparkContext.broadcast(Order(_sketch(spark, profile.where("chunk is not null").select("chunk", "counts")), FRAGMENTS))
     rep = rows.where("n > 0").groupBy("c1", "c2").agg(F.min("doc").alias("rep"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("m"))
     copies = rows.where("n > 0").join(rep.where("rep < last"), ["c1", "c2"]).where("doc <> rep").select("doc", "rep").distinct()
@@ -255,61 +405,88 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     again = sigs.repartition("sig", "salt").sortWithinPartitions("sig", "salt", "n").mapInArrow(_repeated_of(percent), sigs.schema)
     shared = materialize(again.join(copies.select("doc"), "doc", "left_anti").select("sig", "doc", "n", "pos"), "shared")
 
-    def possible(a: str, b: str) -> F.Column:
-        """Length filter, and the overlap that is still possible from this shingle on."""
-        na, nb, pa_, pb = (F.col(f"{x}.{c}").cast("long") for c in ("n", "pos") for x in (a, b))
-        room = F.lit(1) + F.least(na - 1 - pa_, nb - 1 - pb)
-        return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * room >= percent * (na + nb))
-
-    def check(pairs: DataFrame) -> DataFrame:
+    def verify(pairs: DataFrame) -> DataFrame:
         """The links among the pairs (a, b, na, nb): partial overlaps by fragment, summed per pair.
 
-        Only documents of these pairs (and those that share their bit of the filter) are cut into segments.
+        Only documents of these pairs (and those that share their bit of the filter) are cut into segments. The segments of b go to
+        those of a, which are there once for SPAN partners.
         """
-        wanted = spark.sparkContext.broadcast(_id_filter(pairs.select(F.explode(F.array("a", "b")).alias("doc"))))
+        wanted = spark.sparkContext.broadcast(_id_filter(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))))
         segments = materialize(texts.mapInArrow(_segments(width, order, wanted), "doc long, frag int, shingles array<long>"), "segments")
-        left = pairs.join(segments.select(F.col("doc").alias("a"), "frag", F.col("shingles").alias("sa")), "a")
-        both = left.join(segments.select(F.col("doc").alias("b"), "frag", F.col("shingles").alias("sb")), ["b", "frag"])
-        part = both.select("a", "b", "frag", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"))
+        spans = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SPAN).alias("spans"))
+        partners = pairs.join(spans, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("spans")))
+        theirs = partners.join(segments, partners["b"] == segments["doc"]).select("a", "salt", "frag", "b", "na", "nb", "shingles")
+        none = F.lit(None)
+        of_a = partners.select("a", "salt").distinct().join(segments, F.col("a") == F.col("doc"))
+        of_a = of_a.select("a", "salt", "frag", none.cast("long").alias("b"), none.cast("int").alias("na"), none.cast("int").alias("nb"), "shingles")
+        met = of_a.unionByName(theirs).repartition("a", "salt", "frag").sortWithinPartitions("a", "salt", "frag", F.asc_nulls_first("b"))
+        part = met.mapInArrow(_overlaps, "a long, b long, frag int, na int, nb int, o long")
         part = part.groupBy("a", "b", "frag", "na", "nb").agg(F.max("o").alias("o"))  # rows that repeat an id give the same count
         total = part.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
-        return total.where((100 + percent) * F.col("o") >= percent * (F.col("na") + F.col("nb"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-    def pair_of(x: str, y: str) -> list[F.Column]:
-        swap = F.col(f"{x}.doc") > F.col(f"{y}.doc")
-        pick = lambda c, s: F.when(swap, F.col(f"{y if s else x}.{c}")).otherwise(F.col(f"{x if s else y}.{c}"))
-        return [pick("doc", True).alias("a"), pick("doc", False).alias("b"), pick("n", True).alias("na"), pick("n", False).alias("nb")]
-
-    links = tested = None
+        enough = (100 + percent) * F.col("o") >= percent * (F.col("na").cast("long") + F.col("nb"))
+        links = materialize(total.where(enough).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+        discard(segments)
+        return links
+
+    def apart(pairs: DataFrame) -> DataFrame:
+        """The pairs whose documents are in different components so far."""
+        of = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))
+        both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select(*pairs.columns)
+
+    links = spark.createDataFrame([], "u long, v long")
     labels = spark.createDataFrame([], "node long, component long")
-    for last in (False, True):
-        if last:
-            labelled = shared.join(labels, shared["doc"] == labels["node"], "left").select("sig", "doc", "n", "pos", F.coalesce("component", "doc").alias("label"))
-            split = labelled.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("sig")
-            active = materialize(labelled.join(split, "sig", "left_semi"), "active")
-            apart = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.label") != F.col("y.label"))
-            met = active.alias("x").join(active.alias("y"), apart)
-        else:
-            together = shared.repartition("sig")  # one shuffle for the hubs and the join with them
-            hubs = together.groupBy("sig").agg(F.min(F.struct("doc", "n", "pos")).alias("hub")).select("sig", "hub.*")
-            met = together.alias("x").join(hubs.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.doc") != F.col("y.doc")))
-        pairs = met.where(possible("x", "y")).select(*pair_of("x", "y")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tested = pairs.select("a", "b")
-        if pairs.isEmpty():
+
+    # Each document against the hubs (the smallest ids) of its shingles: first the hub that its bitmap is nearest to.
+    hubs = shared.groupBy("sig").agg(F.min(F.struct("doc", "n", "pos")).alias("hub"))
+    met = shared.join(hubs, "sig").where("doc <> hub.doc")
+    na, nb, pa_, pb = (F.col(c).cast("long") for c in ("hub.n", "n", "hub.pos", "pos"))
+    room = F.lit(1) + F.least(na - 1 - pa_, nb - 1 - pb)  # the overlap that is still possible from this shingle on
+    possible = (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * room >= percent * (na + nb))
+    pairs = met.where(possible).select(F.col("hub.doc").alias("a"), F.col("doc").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb")).distinct()
+    with_bits = pairs.join(bits.select(F.col("doc").alias("a"), F.col("bits").alias("bits_a")), "a").join(bits.select(F.col("doc").alias("b"), F.col("bits").alias("bits_b")), "b")
+    near = with_bits.select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(_bounded(percent), "a long, b long, na int, nb int, diff long")
+    near = materialize(near, "near")
+    first = near.groupBy("b").agg(F.min(F.struct("diff", "a", "na", "nb")).alias("x")).select("x.a", "b", "x.na", "x.nb")
+    tested = near.select("a", "b")
+    for todo in (first, near.drop("diff").distinct()):
+        todo = materialize(apart(todo), "pairs")
+        if not todo.isEmpty():
+            links = links.unionByName(verify(todo))
+            labels = materialize(connected_components(links), "labels")
+
+    # What shares a shingle and is still apart, in blocks.
+    k = 0
+    while k <= SPARSE_ROUNDS:
+        labelled = shared.join(labels, shared["doc"] == labels["node"], "left").select("sig", "doc", "n", "pos", F.coalesce("component", "doc").alias("label"))
+        split = labelled.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.ceil(F.count(F.lit(1)) / TILE).alias("blocks")).where("x < y").select("sig", "blocks")
+        active = labelled.join(split, "sig").withColumn("block", F.pmod(F.xxhash64("doc", F.lit(k)), F.col("blocks"))).join(bits, "doc")
+        tiled = active.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        tiled = tiled.select("sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "doc", "n", "pos", "label", "bits")
+        tiled = tiled.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", *(["n"] if k == 0 else []), F.xxhash64("doc", F.lit(k)))
+        crossing = materialize(tiled.mapInArrow(_crossing(percent, k < SPARSE_ROUNDS), "a long, b long, na int, nb int").distinct(), "crossing")
+        if crossing.isEmpty():
+            break
+        todo = materialize(crossing.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if todo.isEmpty():  # nothing new: what is left are pairs that failed and those they hid
+            k = max(k + 1, SPARSE_ROUNDS)
             continue
-        found = materialize(check(pairs), "found")
-        links = found if links is None else links.unionByName(found)
+        k += 1
+        tested = tested.unionByName(todo.select("a", "b"))
+        links = links.unionByName(verify(todo))
         labels = materialize(connected_components(links), "labels")
 
+    discard(shared)
     out = rows.join(copies, "doc", "left").withColumn("class_id", F.coalesce("rep", "doc"))
     out = out.join(labels, out["class_id"] == labels["node"], "left")
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), "class_id", F.coalesce("component", "class_id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component stays (the one with the smallest id), with its columns."""
+    """One document of each component stays (the one with the smallest id), with its columns.
+
+    Documents without words stay, and rows without an id. Rows that repeat an id must repeat its text, and all stay or go. An
+    empty table gives an empty result.
+    """
     gone = jaccard_components(docs, id_col, text_col, width, percent).where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(materialize(gone, "gone"), id_col, "left_anti").select(*docs.columns)
