@@ -26,7 +26,7 @@ CACHED_WORDS = 200_000
 FRAGMENTS = 4
 #: Shingles of more documents than this, by the sketch, and of 8 times the mean counter are spread over SALTS tasks.
 FREQUENT, SALTS = 100_000, 64
-#: Bits at most of the bitmap of a document's set; it has about two for each shingle.
+#: Bits at most of the bitmap of a document's set; it has one or two for each shingle.
 MOST_BITS = 8192
 #: Documents of one shingle, and partners of one document, that a task takes at once.
 TILE, SPAN = 2048, 1000
@@ -91,7 +91,7 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 def _bitmap(h: np.ndarray) -> bytes:
     """For each bit, the parity of the number of shingles that fall on it. Sets differ in at least as many shingles as their bitmaps in bits."""
-    size = min(MOST_BITS, max(256, 1 << (2 * len(h) - 1).bit_length()))
+    size = min(MOST_BITS, max(128, 1 << (len(h) - 1).bit_length() if len(h) else 0))
     return np.packbits((np.bincount(((h >> np.uint64(32)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)).tobytes()
 
 
@@ -294,7 +294,7 @@ def _complete_groups(batches, keys: list[str]):
 
 
 def _crossing(percent: int, sparse: bool):
-    """Of rows (sig, lo, hi, block, doc, n, pos, label, bits) sorted by (sig, lo, hi): pairs of one group that may be similar.
+    """Of rows (sig, lo, hi, block, doc, n, pos, label, bits) sorted by (sig, lo, hi): pairs of one group that may be similar, with its sig.
 
     They have different labels and, where lo and hi differ, different blocks. ``sparse``: a pair is passed on only if no pairs
     before it join its labels, so there are fewer pairs than labels in a group; else all are. Pairs are made and tested in
@@ -344,7 +344,8 @@ def _crossing(percent: int, sparse: bool):
             if out:
                 p, q = np.array(out).T
                 p, q = np.where(doc[p] < doc[q], p, q), np.where(doc[p] < doc[q], q, p)
-                yield pa.RecordBatch.from_arrays([pa.array(doc[p]), pa.array(doc[q]), pa.array(n[p].astype(np.int32)), pa.array(n[q].astype(np.int32))], names=["a", "b", "na", "nb"])
+                sig = t.column("sig").to_numpy()[p]
+                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(doc[p]), pa.array(doc[q]), pa.array(n[p].astype(np.int32)), pa.array(n[q].astype(np.int32))], names=["sig", "a", "b", "na", "nb"])
 
     return run
 
@@ -455,19 +456,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             links = links.unionByName(verify(todo))
             labels = materialize(connected_components(links), "labels")
 
-    # What shares a shingle and is still apart, in blocks.
-    k = 0
+    # What shares a shingle and is still apart, in blocks. Shingles that give no pair in one round are done.
+    k, active_sigs = 0, shared
     while k <= SPARSE_ROUNDS:
-        labelled = shared.join(labels, shared["doc"] == labels["node"], "left").select("sig", "doc", "n", "pos", F.coalesce("component", "doc").alias("label"))
+        labelled = active_sigs.join(labels, F.col("doc") == F.col("node"), "left").select("sig", "doc", "n", "pos", F.coalesce("component", "doc").alias("label"))
         split = labelled.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.ceil(F.count(F.lit(1)) / TILE).alias("blocks")).where("x < y").select("sig", "blocks")
         active = labelled.join(split, "sig").withColumn("block", F.pmod(F.xxhash64("doc", F.lit(k)), F.col("blocks"))).join(bits, "doc")
         tiled = active.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         tiled = tiled.select("sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "doc", "n", "pos", "label", "bits")
         tiled = tiled.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", *(["n"] if k == 0 else []), F.xxhash64("doc", F.lit(k)))
-        crossing = materialize(tiled.mapInArrow(_crossing(percent, k < SPARSE_ROUNDS), "a long, b long, na int, nb int").distinct(), "crossing")
+        crossing = materialize(tiled.mapInArrow(_crossing(percent, k < SPARSE_ROUNDS), "sig long, a long, b long, na int, nb int"), "crossing")
         if crossing.isEmpty():
             break
-        todo = materialize(crossing.join(tested, ["a", "b"], "left_anti"), "pairs")
+        todo = materialize(crossing.drop("sig").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        active_sigs = materialize(active_sigs.join(crossing.select("sig").distinct(), "sig", "left_semi"), "active")
         if todo.isEmpty():  # nothing new: what is left are pairs that failed and those they hid
             k = max(k + 1, SPARSE_ROUNDS)
             continue
