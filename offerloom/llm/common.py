@@ -14,11 +14,13 @@ from pyspark.sql.window import Window
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one where that is unset and the master is local."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="offerloom-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
@@ -57,16 +59,20 @@ def strata(n0: int, n1: int, most: int) -> tuple[int, int]:
     return min(n0, most - k1), k1
 
 
-def distributed_rank(df: DataFrame, group: str, order: list[str], rank: str, rows_per_bucket: int = 50_000) -> DataFrame:
+def distributed_rank(df: DataFrame, group: str, order: list[str], rank: str, rows_per_bucket: int = 50_000, ranges: str | None = None) -> DataFrame:
     """Add ``rank`` (0, 1, ...) within ``group`` without sorting a whole group in one task.
 
-    Rows of a group are dealt into buckets by a hash of the order columns; ranks run through bucket after bucket and, inside a
-    bucket, by the order columns. There are as many buckets as shuffle partitions, and more once a bucket would exceed ``rows_per_bucket``
+    Rows of a group are dealt into buckets by a hash of the order columns, or by equal parts of the span of ``ranges`` (a column of
+    numbers that are spread about evenly); ranks run through bucket after bucket and, inside a bucket, by the order columns. There are as many buckets as shuffle partitions, and more once a bucket would exceed ``rows_per_bucket``
     rows, so a group that holds a third of all rows is spread evenly. Rows that agree in all order columns get different ranks, in any order.
     """
-    n_buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows_per_bucket))
+    found = df.agg(F.count(F.lit(1)).alias("n"), *([F.min(ranges).alias("low"), F.max(ranges).alias("high")] if ranges else [])).first()
+    n_buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-found.n // rows_per_bucket))
     b, first = fresh(df, "bucket_", "first_")
-    spread = df.withColumn(b, F.pmod(F.xxhash64(*order), F.lit(n_buckets)).cast("int"))
+    bucket = F.pmod(F.xxhash64(*order), F.lit(n_buckets))
+    if ranges and found.n:
+        bucket = F.floor((F.col(ranges).cast("double") - float(found.low)) / ((found.high - found.low) / n_buckets + 1))
+    spread = df.withColumn(b, bucket.cast("int"))
     sizes = spread.groupBy(group, b).agg(F.count(F.lit(1)).alias(first))
     before = Window.partitionBy(group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(F.col(group).alias("g_"), F.col(b).alias("b_"), F.coalesce(F.sum(first).over(before), F.lit(0)).alias(first))

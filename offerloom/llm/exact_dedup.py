@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from offerloom.llm.common import fresh
 
 #: Slots of the broadcast filter; a proven bound of its size (so many integers at most), whatever the input.
-SLOTS = 1 << 17
+SLOTS = 1 << 20
+
+
+def _candidates(docs: DataFrame, text: Column, prefix_chars: int, used: str) -> DataFrame:
+    """``docs`` with ``used``: true for rows whose text may have an equal, null for rows whose length or prefix is unique.
+
+    One pre-aggregated count by (length, prefix hash) decides both: a class that occurs once, and so a length that occurs once, is
+    settled. The other classes are hashed to ``SLOTS`` slots; the list of used slots is broadcast, so no text moves.
+    """
+    n, head, slot = fresh(docs, "len_", "head_", "slot_")
+    hashed = docs.withColumns({n: F.length(text), head: F.xxhash64(F.substring(text, 1, prefix_chars))})
+    repeated = hashed.groupBy(n, head).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    slot_of = F.pmod(F.xxhash64(n, head), F.lit(SLOTS)).cast("int")
+    slots = repeated.select(slot_of.alias(slot)).distinct().withColumn(used, F.lit(True))
+    return hashed.withColumn(slot, slot_of).join(F.broadcast(slots), slot, "left").drop(n, head, slot)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 128) -> DataFrame:
@@ -16,34 +31,23 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Returns every row once, with all its columns and keep_id (id of the row that stays), group_size and kept.
 
-    1. Rows are counted by text length; only lengths that occur twice go on.
-    2. Of these, rows are counted by (length, hash of the first ``prefix_chars`` characters). The classes that occur twice are
-       hashed to ``SLOTS`` slots, and the list of used slots is broadcast.
-    3. Only rows of a used slot have their whole text digested (SHA-256), where they were read; equal digests form a group.
-
-    Each count is pre-aggregated in the map tasks, and what is joined back is one row per group, so a group that holds a third of all
-    rows is a few partial counts, and its join is one that AQE splits. No step shuffles text that the caller doesn't select. If all
-    slots are used (very large inputs), step 3 digests every row; the result is the same.
+    Rows are counted by text length and by hash of the first ``prefix_chars`` characters. Only rows of a class that occurs twice (and
+    of its slot of the filter) have their whole text digested (SHA-256), where they were read; equal digests form a group. Counts
+    are pre-aggregated in the map tasks, and what is joined back is one row per group, so a group that holds a third of all
+    rows is a few partial counts, and its join is one that AQE splits. No step shuffles text that the caller doesn't select. Once all
+    slots are used (some million repeated classes), every row is digested, which costs hashing and no shuffle; the result is the same.
 
     A null text counts as empty; all empty texts form one group. An id of null is kept as null and never chosen over another id.
     Rows that repeat both id and text are all marked kept. An empty table gives an empty result. Extra columns pass through;
     columns named keep_id, group_size or kept are replaced.
     """
     docs = docs.drop("keep_id", "group_size", "kept")
-    n, head, slot, used, key = fresh(docs, "len_", "head_", "slot_", "used_", "key_")
+    used, key = fresh(docs, "used_", "key_")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    hashed = docs.withColumns({n: F.length(text), head: F.xxhash64(F.substring(text, 1, prefix_chars))})
-
-    repeated_len = hashed.groupBy(n).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(n)
-    same_len = hashed.select(n, head).join(repeated_len, n, "left_semi")
-    repeated_head = same_len.groupBy(n, head).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    slot_of = F.pmod(F.xxhash64(n, head), F.lit(SLOTS)).cast("int")
-    slots = repeated_head.select(slot_of.alias(slot)).distinct().withColumn(used, F.lit(True))
-
     digest = F.when(F.col(used), F.concat(F.lit("t"), F.sha2(text, 256))).otherwise(F.concat(F.lit("i"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    rows = hashed.withColumn(slot, slot_of).join(F.broadcast(slots), slot, "left").withColumn(key, digest)
+    rows = _candidates(docs, text, prefix_chars, used).withColumn(key, digest)
     groups = rows.where(F.col(used)).groupBy(key).agg(F.max(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
-    out = rows.drop(n, head, slot, used).join(groups, key, "left").drop(key)
+    out = rows.drop(used).join(groups, key, "left").drop(key)
     alone = F.col("group_size").isNull()
     return out.withColumns({
         "keep_id": F.when(alone, F.col(id_col)).otherwise(F.col("keep_id")),
@@ -52,7 +56,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     })
 
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_dedup` keeps, with their columns. Texts move once, in the join that drops the copies."""
-    gone = exact_dedup(docs.select(id_col, text_col), id_col, text_col).where("not kept").select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 128) -> DataFrame:
+    """One row of each text stays, the one with the largest id, with all its columns.
+
+    The refinement is that of :func:`exact_dedup`. Rows that it settles early stay where they are; the others are digested and meet
+    by digest, and each map task passes on one row of each digest only, so a group that holds a third of all rows doesn't meet whole.
+
+    A null text counts as empty. An id of null loses to any other. Of rows that agree in id and text one stays, chosen by a hash of
+    all columns. Rows that share an id but no text all stay. An empty table gives an empty result.
+    """
+    used, key, rank = fresh(docs, "used_", "key_", "rank_")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = _candidates(docs, text, prefix_chars, used)
+    order = Window.partitionBy(key).orderBy(F.col(id_col).desc_nulls_last(), F.xxhash64(*[F.col(c) for c in docs.columns]))
+    first = rows.where(F.col(used)).withColumn(key, F.sha2(text, 256)).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return rows.where(F.col(used).isNull()).select(*docs.columns).unionByName(first.select(*docs.columns))
