@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from itertools import islice
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.llm.common import distributed_rank, fresh, materialize
 
-#: Sources at most, which bounds what the driver and the task that makes the schedule hold.
-MOST_SOURCES = 100_000
+#: Sources and, unless the caller sets the size of a block, blocks at most (but for the last ones of the sources): they bound the schedule.
+MOST_SOURCES, MOST_BLOCKS = 100_000, 1 << 17
 
 
 def capped_weights(counts: dict[str, int], cap: float) -> dict[str, float]:
@@ -67,72 +67,111 @@ def pfair_period(shares: dict[str, int]) -> list[tuple[str, int, int]]:
     return [(s, j, slot) for s, j, _, _, slot in pfair_slots(shares)]
 
 
-def schedule(spark: SparkSession, *parts: dict[str, int]) -> DataFrame:
-    """The rows of ``pfair_slots`` of one mix after the other as a table; numbers count on from mix to mix.
+class Schedule:
+    """The blocks of each source: the hash at which each starts, and its number, release, deadline, slot and mix.
 
-    One task makes them, as each slot depends on those before, and writes them as they come.
+    Made on the driver from the counts by source and the hash at the start of each block, which are as many as there are blocks.
     """
 
-    def chained():
-        done, before = 0, dict.fromkeys(parts[0], 0)
-        for blocks in parts:
+    FIELDS = ("block", "release", "deadline", "slot", "in_mix")
+
+    def __init__(self, starts: dict[str, list[tuple[int, int]]], parts: list[dict[str, int]]):
+        self.slots = 0
+        rows: dict[str, list[tuple[int, int, int, int, bool]]] = {s: [] for s in starts}
+        before = dict.fromkeys(starts, 0)
+        for k, blocks in enumerate(parts):
             for s, j, *times in pfair_slots(blocks):
-                yield s, before[s] + j, *(done + t for t in times)
-            done += sum(blocks.values())
+                rows[s].append((before[s] + j, *(self.slots + t for t in times), k == 0))
+            self.slots += sum(blocks.values())
             for s, b in blocks.items():
-                before[s] += b
+                before[s] = before.get(s, 0) + b
+        self.of = {}
+        for s, found in starts.items():
+            if rows[s]:
+                columns = zip(*sorted(rows[s]), strict=True)
+                self.of[s] = (np.array([h for _, h in sorted(found)], np.int64), *(np.array(c) for c in columns))
+
+    def places(self, sources: pd.Series, hashes: pd.Series) -> pd.DataFrame:
+        """The block of each row: the last one of its source that starts at its hash or before."""
+        out = {c: np.full(len(sources), -1, np.int64) for c in self.FIELDS}
+        for s, rows in sources.groupby(sources).indices.items():
+            if s in self.of:
+                first, *columns = self.of[s]
+                at = np.searchsorted(first, hashes.to_numpy(np.int64)[rows], "right") - 1
+                for c, x in zip(self.FIELDS, columns, strict=True):
+                    out[c][rows] = x[at]
+        return pd.DataFrame(out)
+
+
+def _source(source_col: str) -> Column:
+    return F.coalesce(F.col(source_col).cast("string"), F.lit(""))
+
+
+def _plan(docs: DataFrame, weights: dict[str, float] | None, cap: float, block_rows: int | None, id_col: str, source_col: str):
+    """The schedule of ``docs`` (broadcast, or None for an empty table) and the function that gives each row its place."""
+    spark = docs.sparkSession
+    slim = materialize(docs.select(_source(source_col).alias("source"), F.xxhash64(id_col).alias("h_")), "mix")
+    found = slim.groupBy("source").count().limit(MOST_SOURCES + 1).collect()
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
+    counts = {r.source: r["count"] for r in found}
+    block_rows = block_rows or max(8, -(-sum(counts.values()) // MOST_BLOCKS))
+    target = weights or (capped_weights(counts, cap) if counts else {})
+    quota = quotas(counts, target)
+    left = {s: n - quota[s] for s, n in counts.items() if target.get(s, 0) > 0}
+    parts = [{s: -(-q // block_rows) for s, q in part.items()} for part in (quota, left)]
 
-    def slots(batches):
-        for _ in batches:
-            rows = chained()
-            while part := list(islice(rows, 50_000)):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*part, strict=True)], names=["source", "block", "release", "deadline", "slot"])
+    of_source = spark.createDataFrame([(s, q) for s, q in quota.items() if s in left], "source string, quota_ long")
+    ranked = distributed_rank(slim, "source", ["h_"], "rank_", ranges="h_").join(F.broadcast(of_source), "source")
+    since = F.when(F.col("rank_") < F.col("quota_"), F.col("rank_")).otherwise(F.col("rank_") - F.col("quota_"))
+    starts: dict[str, list[tuple[int, int]]] = {s: [] for s in left}
+    for r in ranked.where(since % block_rows == 0).select("source", "rank_", "h_").collect():  # one row a block
+        starts[r.source].append((r.rank_, r.h_))
+    shared = spark.sparkContext.broadcast(Schedule(starts, parts))
 
-    return materialize(spark.range(1).coalesce(1).mapInArrow(slots, "source string, block long, release long, deadline long, slot long"), "schedule")
+    def place(sources: pd.Series, hashes: pd.Series) -> pd.DataFrame:
+        return shared.value.places(sources, hashes)
 
+    place = F.pandas_udf(place, "block long, release long, deadline long, slot long, in_mix long")
+    return shared.value, place(_source(source_col), F.xxhash64(id_col))
 
-def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, cap: float = 0.25, block_rows: int = 8, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+
+def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, cap: float = 0.25, block_rows: int | None = None, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
     """A place in the mix for each row: id, source, in_mix, stream, block, release, deadline, slot.
 
     ``weights`` are target shares by source; by default the sources' own shares with none above ``cap``. The mix is the largest that
     has these shares without repeating a row: a source gives its quota of rows, in the order of a hash of their id, and in_mix is
     false for the rest. What is left then follows as a second mix, in which each source has its share of the rows left, so every row has
-    a place and all sources end together. The rows of a source form blocks of ``block_rows``, of which the last in either mix may be
-    shorter; each gets a slot from the Pfair schedule of all blocks of its mix, so after any number of slots of a mix a source is less
-    than one block away from its share of the blocks, however rare it is. Blocks, releases, deadlines and slots of the second mix count
-    on from those of the first.
-
-    Only the counts by source (``MOST_SOURCES`` at most, else an error) reach the driver. Ranks are found in buckets, so a source with a
-    third of all rows is many tasks. A null source is a source of its own, named ''. Sources without a weight stay out: in_mix is false
-    and they have no stream, block or slot. Rows that repeat an id are rows like any others; null ids too. An empty table gives an empty
-    result. Extra columns are ignored.
+    a place and all sources end together. The rows of a source form blocks of ``block_rows`` (by default 8, or more, so that there are
+    at most ``MOST_BLOCKS``), of which the last in either mix may be shorter; each gets a slot from the Pfair schedule of all blocks of
+    its mix, so after any number of slots of a mix a source is less than one block away from its share of the blocks, however rare it
+    is. Blocks, releases, deadlines and slots of the second mix count on from those of the first.
+
+    The counts by source (``MOST_SOURCES`` at most, else an error) and the hash at the start of each block reach the driver; rows find
+    their block by their hash. Ranks are found in buckets, so a source with a third of all rows is many tasks. A null source is a
+    source of its own, named ''. Sources without a weight stay out: in_mix is false and they have no stream, block or slot. Rows that
+    repeat an id, and rows without an id, have one hash and so share a block. An empty table gives an empty result. Extra columns are
+    ignored.
     """
-    spark = docs.sparkSession
-    slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"))
-    found = slim.groupBy("source").count().limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    counts = {r.source: r["count"] for r in found}
-    target = weights or (capped_weights(counts, cap) if counts else {})
-    quota = quotas(counts, target)
-    left = {s: n - quota[s] for s, n in counts.items() if target.get(s, 0) > 0}
-    blocks = [{s: -(-q // block_rows) for s, q in part.items()} for part in (quota, left)]
-    of_source = spark.createDataFrame([(s, q, blocks[0][s], s in left) for s, q in quota.items()], "source string, quota_ long, first_ long, planned_ boolean")
-    slots = schedule(spark, *blocks)
-
-    ranked = distributed_rank(materialize(slim.withColumn("h_", F.xxhash64("id")), "mix"), "source", ["h_", "id"], "rank_")
-    ranked = ranked.join(F.broadcast(of_source), "source").withColumn("in_mix", F.col("rank_") < F.col("quota_"))
-    in_first, in_second = F.floor(F.col("rank_") / block_rows), F.col("first_") + F.floor((F.col("rank_") - F.col("quota_")) / block_rows)
-    ranked = ranked.withColumn("block", F.when(F.col("in_mix"), in_first).otherwise(in_second).cast("long"))  # of all rows, so that no join key is null
-    planned = ranked.join(slots, ["source", "block"], "left").withColumn("stream", F.col("source"))
-    places = [F.when(F.col("planned_"), F.col(c)).alias(c) for c in ("stream", "block", "release", "deadline", "slot")]
-    return planned.select(F.col("id").alias(id_col), "source", "in_mix", *places)
+    _, place = _plan(docs, weights, cap, block_rows, id_col, source_col)
+    rows = docs.select(F.col(id_col), _source(source_col).alias("source"), place.alias("p_"))
+    planned = F.col("p_.slot") >= 0
+    places = [F.when(planned, F.col(f"p_.{c}")).alias(c) for c in ("block", "release", "deadline", "slot")]
+    return rows.select(id_col, "source", (F.col("p_.in_mix") == 1).alias("in_mix"), F.when(planned, F.col("source")).alias("stream"), *places)
 
 
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, cap: float = 0.25, id_col: str = "doc_id", source_col: str = "source", surplus: bool = False) -> DataFrame:
-    """The rows of the mix with their columns, in the order of the schedule; with ``surplus`` those of the second mix after them."""
-    plan = mix_sources(docs, weights, cap, id_col=id_col, source_col=source_col).where(F.col("slot").isNotNull() if surplus else F.col("in_mix"))
-    pid, slot = fresh(docs, "id_", "slot_")
-    plan = materialize(plan.groupBy(F.col(id_col).alias(pid)).agg(F.min("slot").alias(slot)), "plan")
-    chosen = docs.join(plan, F.col(id_col).eqNullSafe(F.col(pid)))
-    return chosen.repartitionByRange(F.col(slot)).sortWithinPartitions(slot, id_col).select(*docs.columns)
+    """The rows of the mix with their columns, in the order of the schedule; with ``surplus`` those of the second mix after them.
+
+    Partition k holds the k-th part of the slots, so rows move once and files written from the result follow the mix by their number.
+    Nulls, repeated ids, sources without a weight and empty tables: as in :func:`mix_sources`.
+    """
+    schedule, place = _plan(docs, weights, cap, None, id_col, source_col)
+    slot, mix = fresh(docs, "slot_", "mix_")
+    chosen = docs.withColumn(mix, place).where(F.col(f"{mix}.slot") >= 0)
+    if not surplus:
+        chosen = chosen.where(F.col(f"{mix}.in_mix") == 1)
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    chosen = chosen.withColumn(slot, F.col(f"{mix}.slot"))
+    part = F.floor(F.col(slot) * parts / max(1, schedule.slots)).cast("int")
+    return chosen.repartitionById(parts, part).sortWithinPartitions(slot, id_col).select(*docs.columns)
