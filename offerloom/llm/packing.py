@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 
 from offerloom.llm.common import distributed_rank, materialize
 
+#: Code points of texts that are split here: Latin, Greek, Cyrillic, Hebrew, Arabic, punctuation, currency, arrows and common signs, CJK
+#: signs, kana, ideographs, Hangul, full-width forms. Tests compare each of them with the library.
+PLAIN = ((0x0000, 0x02FF), (0x0370, 0x0482), (0x048A, 0x052F), (0x05D0, 0x05EA), (0x0621, 0x064A), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x20A0, 0x20BF), (0x2100, 0x218B), (0x2190, 0x23FF), (0x2500, 0x27BF), (0x3000, 0x3029), (0x3041, 0x3096), (0x309D, 0x30FF), (0x3400, 0x4DB5), (0x4E00, 0x9FD5), (0xAC00, 0xD7A3), (0xFF01, 0xFFEE))
 #: Special tokens and contractions of the tokenizer file word_bpe_49k.json, and Unicode's white space (fixed values).
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -41,8 +44,9 @@ class WordTokenizer:
     """Ids of texts under a word-level BPE file, as little-endian unsigned 32-bit bytes; equal to the tokenizers library's.
 
     No token spans white space, and chunks between white space repeat, so each worker keeps the ids of the chunks it has met and only
-    new chunks are split and go through BPE. Texts with special tokens, a capital sigma (whose lower case depends on its place in
-    Python), characters beyond the basic plane or separators that only Python takes for white space go to the library whole.
+    new chunks are split and go through BPE. Texts that, in normal form C, hold special tokens, a capital sigma (whose lower case
+    depends on its place in Python), separators that only Python takes for white space, or any character outside ``PLAIN`` go to the
+    library whole.
     """
 
     def __init__(self, path: str):
@@ -54,11 +58,12 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         letters, numbers = _ranges("L"), _ranges("N")
         self.find = re.compile(f"[{letters}]+|{CONTRACTIONS}|[{numbers}]|[^{SPACES}{letters}{numbers}]+").findall
-        self.odd = re.compile("[\\x1c-\\x1fΣ\U00010000-\U0010ffff]").search
+        plain = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in PLAIN)
+        self.odd = re.compile(f"[\\x1c-\\x1fΣ]|[^{plain}]").search
         # Byte-level alphabet: printable Latin-1 stands for itself, other bytes for characters from 256 on.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in plain]
-        byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in printable]
+        byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
         ranks = {}
         for token, i in self.whole.get_vocab(with_added_tokens=False).items():
             if token in SPECIAL:
@@ -80,12 +85,11 @@ class WordTokenizer:
                 known[c] = ids.tobytes()
 
     def ids(self, text: str) -> bytes:
-        if self.odd(text) or "<|" in text and any(s in text for s in SPECIAL):
+        normal = text if text.isascii() else unicodedata.normalize("NFC", text)
+        if self.odd(normal) or "<|" in text and any(s in text for s in SPECIAL):
             found = self.whole.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(found)}I", *found)
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        chunks = text.split()
+        chunks = normal.split()
         try:
             return b"".join(map(self.known.__getitem__, chunks))
         except KeyError:
@@ -101,28 +105,31 @@ def _tokenizer(path: str) -> WordTokenizer:
 PIECES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """One row per piece of at most ``capacity`` tokens: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text", place_col: str | None = None, with_ids: bool = False) -> DataFrame:
+    """One row per piece of at most ``capacity`` tokens: doc_id, piece, start, length, ids_crc32, place and, if asked for, ids.
 
     A document's ids are its text's (null: empty), then the end id. Only longer documents are cut, into pieces of ``capacity``.
+    place is the value of ``place_col`` (long), or 0.
     """
-    schema = T.StructType([*PIECES, T.StructField("ids", T.BinaryType())]) if with_ids else PIECES
+    fields = [*PIECES, T.StructField("place", T.LongType())]
+    schema = T.StructType([*fields, T.StructField("ids", T.BinaryType())] if with_ids else fields)
     end = struct.pack("<I", END_ID)
 
     def cut(batches):
         tok = _tokenizer(tokenizer_path)
         for batch in batches:
             out = [[] for _ in schema]
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, text, place in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 ids = tok.ids(text or "") + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
-                    for col, v in zip(out, (i, k, at // 4, len(part) // 4, zlib.crc32(part), part), strict=False):
+                    for col, v in zip(out, (i, k, at // 4, len(part) // 4, zlib.crc32(part), place, part), strict=False):
                         col.append(v)
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=False)], names=schema.names)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(cut, schema)
+    place = F.col(place_col).cast("long") if place_col else F.lit(0).cast("long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), place.alias("place")).mapInArrow(cut, schema)
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int, int]]:
@@ -156,11 +163,12 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return rows
 
 
-def best_fit_pack(pieces: DataFrame, capacity: int, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
+def best_fit_pack(pieces: DataFrame, capacity: int, order: tuple[str, ...] = ("doc_id", "piece"), ranges: str | None = None) -> DataFrame:
     """Give each row of ``pieces`` (column length, 1 to ``capacity``) a sequence_id and an offset.
 
     Only the histogram (at most ``capacity`` rows) reaches the driver. The plan is joined to the pieces on their length, and a piece's
     rank within its length picks its place. Ranks are found by :func:`distributed_rank`, so one very frequent length is many tasks.
+    With ``ranges`` (a column of non-negative longs, the first of ``order``) ranks follow that column; else the order of a hash.
     ``pieces`` should be a written table: it is read several times. No rows give no rows; rows that repeat each get a place.
     """
     spark = pieces.sparkSession
@@ -169,7 +177,7 @@ def best_fit_pack(pieces: DataFrame, capacity: int, order: tuple[str, ...] = ("d
         raise ValueError(f"lengths must lie between 1 and {capacity}")
     segments = spark.createDataFrame(plan(histogram, capacity), "length_ long, first_ long, n_ long, seq_ long, at_ long, per_ long")
     segments = segments.groupBy("length_").agg(F.sort_array(F.collect_list(F.struct("first_", "n_", "seq_", "at_", "per_"))).alias("plan_"))
-    ranked = distributed_rank(pieces, "length", list(order), "rank_").join(F.broadcast(segments), F.col("length") == F.col("length_"))
+    ranked = distributed_rank(pieces, "length", list(order), "rank_", ranges=ranges).join(F.broadcast(segments), F.col("length") == F.col("length_"))
     mine = F.element_at(F.filter("plan_", lambda s: (s["first_"] <= F.col("rank_")) & (F.col("rank_") < s["first_"] + s["n_"])), 1)
     k = F.col("rank_") - F.col("s_.first_")
     return ranked.withColumn("s_", mine).select(
@@ -179,9 +187,12 @@ def best_fit_pack(pieces: DataFrame, capacity: int, order: tuple[str, ...] = ("d
     )
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", place_col: str | None = None) -> DataFrame:
     """Tokenize, cut and pack whole documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    Null and empty texts are one piece with the end id alone. An empty table gives an empty result. Extra columns are ignored.
+    Pieces of one length take their places in the buckets' order of ``place_col`` if that is given, else of their ids. Null and empty
+    texts are one piece with the end id alone. Rows that repeat each are documents of their own; an id may be null. An empty table
+    gives an empty result. Extra columns are ignored.
     """
-    return best_fit_pack(materialize(token_pieces(docs, tokenizer_path, capacity, id_col, text_col), "pieces"), capacity)
+    pieces = materialize(token_pieces(docs, tokenizer_path, capacity, id_col, text_col, place_col), "pieces")
+    return best_fit_pack(pieces, capacity, ("place", "doc_id", "piece"), ranges="place" if place_col else None).drop("place")
