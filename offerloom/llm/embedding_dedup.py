@@ -19,30 +19,32 @@ from offerloom.llm.common import connected_components, distributed_rank, forest,
 
 BLOCK = 512  # rows of a tile that are compared at once
 STRIPS = 128  # ranges of the first axis at most
+BUNDLE_BYTES = 64 << 20  # of the tiles that travel together
 SLACK = 1e-4  # more than single precision can be off in a bound
 
 
-def _clean(dim: int):
-    """vec_id, key of the vector (two longs; null for vectors that link with nothing) and the vector as bytes."""
+def _clean(batches):
+    """vec_id, length and key of the vector (null for vectors that link with nothing) and the vector as bytes.
 
-    def run(batches):
-        for batch in batches:
-            ids, k1, k2, raw = [], [], [], []
-            for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids.append(i)
-                x = None
-                if v is not None and len(v) == dim and None not in v and i is not None:
-                    x = np.array(v, np.float64) + 0.0  # -0.0 becomes 0.0
-                    if not np.isfinite(x).all() or not np.isfinite(s := x @ x) or s == 0:
-                        x = None
-                b = None if x is None else x.tobytes()
-                d = None if b is None else xxhash.xxh3_128_digest(b)
-                k1.append(None if d is None else int.from_bytes(d[:8], "big", signed=True))
-                k2.append(None if d is None else int.from_bytes(d[8:], "big", signed=True))
-                raw.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(raw, pa.binary())], names=["vec_id", "k1", "k2", "raw"])
-
-    return run
+    Vectors are divided by a power of two, which is exact and keeps squares of very large and very small components in range.
+    """
+    for batch in batches:
+        ids, dims, k1, k2, raw = [], [], [], [], []
+        for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x = None
+            if v and None not in v and i is not None:
+                x = np.array(v, np.float64) + 0.0  # -0.0 becomes 0.0
+                top = np.abs(x).max()
+                x = np.ldexp(x, -int(np.frexp(top)[1])) + 0.0 if 0 < top < np.inf else None
+            b = None if x is None else x.tobytes()
+            d = None if b is None else xxhash.xxh3_128_digest(b)
+            ids.append(i)
+            dims.append(None if b is None else len(x))
+            k1.append(None if d is None else int.from_bytes(d[:8], "big", signed=True))
+            k2.append(None if d is None else int.from_bytes(d[8:], "big", signed=True))
+            raw.append(b)
+        columns = [pa.array(c, t) for c, t in ((ids, pa.int64()), (dims, pa.int32()), (k1, pa.int64()), (k2, pa.int64()), (raw, pa.binary()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "dim", "k1", "k2", "raw"])
 
 
 def _unit(raw) -> np.ndarray:
@@ -50,15 +52,19 @@ def _unit(raw) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
-def _moments(dim: int):
-    """Partial sums of the products of all pairs of dimensions, one row each: at most dim * dim rows a task."""
+def _moments(dim: int, partial: bool):
+    """The sum of u u' over the unit vectors of a partition (or, if ``partial``, of such sums), as one row."""
 
     def run(batches):
         total = np.zeros((dim, dim))
         for batch in batches:
-            u = _unit(batch.column(0).to_pylist())
-            total += u.T @ u
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim * dim), pa.int32()), pa.array(total.ravel())], names=["at", "s"])
+            if partial:
+                for s in batch.column(0).to_pylist():
+                    total += np.frombuffer(s).reshape(dim, dim)
+            elif batch.num_rows:
+                u = _unit(batch.column(0).to_pylist())
+                total += u.T @ u
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
 
     return run
 
@@ -66,8 +72,9 @@ def _moments(dim: int):
 def _project(axis: np.ndarray):
     def run(batches):
         for batch in batches:
-            u = _unit(batch.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(u @ axis)], names=["vec", "m", "raw", "pc"])
+            if batch.num_rows:
+                u = _unit(batch.column(2).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(u @ axis)], names=["vec", "m", "raw", "pc"])
 
     return run
 
@@ -77,7 +84,9 @@ def _pack_tile(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 class _Tile:
-    def __init__(self, ids, counts, vectors, axes, cuts):
+    def __init__(self, row, axes, cuts):
+        ids, counts, vectors = (row[c] for c in ("ids", "counts", "vectors"))
+        self.low, self.high = row["low"], row["high"]
         self.ids, self.counts = np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int64)
         x = np.frombuffer(vectors, np.float64).reshape(len(self.ids), -1)
         self.raw, self.norm = x, np.sqrt((x * x).sum(1))
@@ -108,30 +117,40 @@ def _links(a: _Tile, b: _Tile, same: bool, cuts, threshold: float):
 
 
 def _compare(axes: np.ndarray, cuts: list[int], threshold: float):
-    """(vec, n, low): for each vector with links in this pair of tiles their number and the smallest vector it is connected to."""
+    """(vec, n, low) of rows sorted by (ba, bb, side): bundles of tiles (side 0 first) that are compared with each other.
+
+    For each vector with links in a pair of tiles their number and the smallest vector it is connected to. A task holds the tiles of
+    one bundle; those of the other come one by one. In a bundle that meets itself each tile meets those before it and itself.
+    """
+    reach = (2 - 2 * threshold) ** 0.5 + SLACK
+
+    def pair(a: _Tile, b: _Tile):
+        na, nb = np.zeros(len(a.ids), np.int64), np.zeros(len(b.ids), np.int64)
+        u, v = np.empty(0, np.int64), np.empty(0, np.int64)
+        for x, y in _links(a, b, a is b, cuts, threshold):
+            if len(x):
+                na += np.bincount(x, weights=b.counts[y], minlength=len(na)).astype(np.int64)
+                nb += np.bincount(y, weights=a.counts[x], minlength=len(nb)).astype(np.int64)
+                u, v = forest(np.concatenate([u, a.ids[x]]), np.concatenate([v, b.ids[y]]))
+        if len(u):
+            ids, n = np.concatenate([a.ids, b.ids]), np.concatenate([na, nb])
+            ids, n = ids[n > 0], n[n > 0]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n), pa.array(v[np.searchsorted(u, ids)])], names=["vec", "n", "low"])
 
     def run(batches):
+        key, held = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                same = row["ta"] == row["tb"]
-                a = _Tile(row["ids"], row["counts"], row["vectors"], axes, cuts)
-                b = a if same else _Tile(row["ids2"], row["counts2"], row["vectors2"], axes, cuts)
-                na, nb = np.zeros(len(a.ids), np.int64), np.zeros(len(b.ids), np.int64)
-                u, v = np.empty(0, np.int64), np.empty(0, np.int64)
-                for x, y in _links(a, b, same, cuts, threshold):
-                    if not len(x):
-                        continue
-                    na += np.bincount(x, weights=b.counts[y], minlength=len(na)).astype(np.int64)
-                    nb += np.bincount(y, weights=a.counts[x], minlength=len(nb)).astype(np.int64)
-                    nodes, low = forest(np.concatenate([u, a.ids[x]]), np.concatenate([v, b.ids[y]]))
-                    u, v = nodes, low
-                if not len(u):
-                    continue
-                ids = np.concatenate([a.ids, b.ids])
-                n = np.concatenate([na, nb])
-                ids, n = ids[n > 0], n[n > 0]
-                low = v[np.searchsorted(u, ids)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n), pa.array(low)], names=["vec", "n", "low"])
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                if key != (row["ba"], row["bb"]):
+                    key, held = (row["ba"], row["bb"]), []
+                tile = _Tile(row, axes, cuts)
+                if row["side"] == 0:
+                    held.append(tile)
+                if row["side"] == 1 or row["ba"] == row["bb"]:
+                    for other in held:
+                        if max(tile.low, other.low) - min(tile.high, other.high) <= reach:
+                            yield from pair(other, tile)
 
     return run
 
@@ -140,30 +159,45 @@ def embedding_near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``.
 
     n_links counts the other rows with a cosine of at least ``threshold``, component_id is the smallest id reachable by links, kept
-    says that it is the row's own. All rows are compared. Equal vectors are one class with a count, so a vector that a third of all
-    rows share is compared once and its links are counted by multiplying. Tiles have at most ``tile_rows`` classes. Pairs of tiles
-    whose ranges on the first axis are too far apart for any link are not compared. No pair leaves a task: each pair of tiles
-    gives, per vector, a count and one link.
-
-    Vectors that are null, zero, hold null or non-finite components, or have another length than the most frequent one (the greater
-    of equally frequent) link with nothing. Rows that repeat an id count as rows; a null id gives null and kept false. An empty table
-    gives an empty result. Extra columns are ignored.
+    says that it is the row's own. All rows of equal length are compared. Equal vectors are one class with a count, so a vector that a
+    third of all rows share is compared once and its links are counted by multiplying. Tiles have at most ``tile_rows`` classes;
+    tiles travel in bundles, so a tile is sent once for each bundle it meets. Pairs of tiles whose ranges on the first axis are too far
+    apart for any link are not compared. No pair leaves a task: each pair of tiles gives, per vector, a count and one link.
+
+    Vectors that are null, empty, zero, or hold null or non-finite components link with nothing; vectors of different lengths don't
+    link with each other. Rows that repeat an id count as rows; a null id gives null and kept false, and links with nothing. An empty
+    table gives an empty result. Extra columns are ignored.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
-    top = rows.where("v is not null and size(v) > 0").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    dim = top.d if top else 1
-    keyed = materialize(rows.mapInArrow(_clean(dim), "vec_id long, k1 long, k2 long, raw binary"), "vectors")
-    classes = keyed.where("k1 is not null").groupBy("k1", "k2").agg(F.min("vec_id").alias("vec"), F.count(F.lit(1)).alias("m"), F.first("raw").alias("raw"))
-    classes = materialize(classes, "classes")
-
-    sums = classes.select("raw").mapInArrow(_moments(dim), "at int, s double").groupBy("at").agg(F.sum("s").alias("s")).collect()  # dim * dim rows
-    moment = np.zeros(dim * dim)
-    moment[[r["at"] for r in sums]] = [r["s"] for r in sums]
-    axes = np.linalg.eigh(moment.reshape(dim, dim))[1][:, ::-1]
+    keyed = materialize(rows.mapInArrow(_clean, "vec_id long, dim int, k1 long, k2 long, raw binary"), "vectors")
+    classes = keyed.where("k1 is not null").groupBy("dim", "k1", "k2").agg(F.min("vec_id").alias("vec"), F.count(F.lit(1)).alias("m"), F.first("raw").alias("raw"))
+    classes = materialize(classes.withColumn("number", F.monotonically_increasing_id()), "classes")  # two classes may have one id
+    found = None
+    for r in classes.groupBy("dim").count().where("count > 1").collect():  # a row for each length
+        of_dim = _links_of(classes.where(F.col("dim") == r.dim).select(F.col("number").alias("vec"), "m", "raw"), r.dim, threshold, tile_rows)
+        found = of_dim if found is None else found.unionByName(of_dim)
+    if found is None:
+        found = vectors.sparkSession.createDataFrame([], "vec long, n long, low long")
+
+    labels = connected_components(found.select(F.col("vec").alias("u"), F.col("low").alias("v")))
+    direct = found.groupBy("vec").agg(F.sum("n").alias("n"))
+    of_class = classes.select("k1", "k2", "m", F.col("vec").alias("id"), "number").join(direct, F.col("number") == F.col("vec"), "left").join(labels, F.col("number") == F.col("node"), "left")
+    of_class = of_class.select("k1", "k2", "id", (F.col("m") - 1 + F.coalesce("n", F.lit(0))).alias("n"), F.coalesce("component", "number").alias("label"))
+    of_class = of_class.join(of_class.groupBy("label").agg(F.min("id").alias("c")), "label").drop("label", "id")
+    out = keyed.select("vec_id", "k1", "k2").join(of_class, ["k1", "k2"], "left")
+    out = out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+def _links_of(classes: DataFrame, dim: int, threshold: float, tile_rows: int) -> DataFrame:
+    """(vec, n, low) for the classes (vec, m, raw) of one length: see :func:`_compare`."""
+    spark = classes.sparkSession
+    sums = classes.select("raw").mapInArrow(_moments(dim, False), "s binary").repartition(8).mapInArrow(_moments(dim, True), "s binary").collect()  # 8 rows
+    moment = sum(np.frombuffer(r.s).reshape(dim, dim) for r in sums)
+    axes = np.linalg.eigh(moment)[1][:, ::-1]
     cuts = sorted({max(1, dim // 4), max(1, dim // 2), dim})
 
-    placed = materialize(classes.select("vec", "m", "raw").mapInArrow(_project(axes[:, 0]), "vec long, m long, raw binary, pc double"), "placed")
+    placed = materialize(classes.mapInArrow(_project(axes[:, 0]), "vec long, m long, raw binary, pc double"), "placed")
     n_strips = min(STRIPS, -(-placed.count() // tile_rows))
     edges = sorted(set(placed.approxQuantile("pc", [k / n_strips for k in range(1, n_strips)], 0.1 / n_strips))) if n_strips > 1 else []
     strip = F.lit(0)
@@ -172,24 +206,20 @@ def embedding_near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col
     ranked = distributed_rank(placed.withColumn("strip", strip), "strip", ["vec"], "rank_")
     numbered = ranked.withColumn("part", F.floor(F.col("rank_") / tile_rows).cast("long"))
     tiles = numbered.groupBy("strip", "part").applyInPandas(_pack_tile, "strip int, part long, ids binary, counts binary, vectors binary, low double, high double")
-    tiles = materialize(tiles.withColumn("tile", F.col("strip") * F.lit(1 << 32) + F.col("part")), "tiles")
+    together = max(1, BUNDLE_BYTES // (8 * dim * tile_rows))
+    bundle = F.col("strip") * F.lit(1 << 32) + F.floor(F.col("part") / together).cast("long")
+    tiles = materialize(tiles.withColumn("bundle", bundle), "tiles")
 
-    # Pairs of strips within reach of each other (at most STRIPS rows come to the driver), then pairs of their tiles.
+    # Pairs of strips within reach of each other (at most STRIPS rows come to the driver), then pairs of their bundles.
     reach = (2 - 2 * threshold) ** 0.5 + SLACK
     span = tiles.groupBy("strip").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
     near = [(a["strip"], b["strip"]) for a in span for b in span if a["strip"] <= b["strip"] and b["low"] - a["high"] <= reach]
     near = spark.createDataFrame(near, "sa int, sb int")
-    of = tiles.select("strip", "tile")
-    pairs = near.join(of.select(F.col("strip").alias("sa"), F.col("tile").alias("ta")), "sa").join(of.select(F.col("strip").alias("sb"), F.col("tile").alias("tb")), "sb")
-    pairs = pairs.where("ta <= tb").select("ta", "tb")
-    first = tiles.select(F.col("tile").alias("ta"), "ids", "counts", "vectors")
-    second = tiles.select(F.col("tile").alias("tb"), F.col("ids").alias("ids2"), F.col("counts").alias("counts2"), F.col("vectors").alias("vectors2"))
-    found = materialize(pairs.join(first, "ta").join(second, "tb").mapInArrow(_compare(axes, cuts, threshold), "vec long, n long, low long"), "found")
-
-    labels = connected_components(found.select(F.col("vec").alias("u"), F.col("low").alias("v")))
-    direct = found.groupBy("vec").agg(F.sum("n").alias("n"))
-    of_class = classes.select("k1", "k2", "m", "vec").join(direct, "vec", "left").join(labels, F.col("vec") == F.col("node"), "left")
-    of_class = of_class.select("k1", "k2", (F.col("m") - 1 + F.coalesce("n", F.lit(0))).alias("n"), F.coalesce("component", "vec").alias("c"))
-    out = keyed.select("vec_id", "k1", "k2").join(of_class, ["k1", "k2"], "left")
-    out = out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    of = tiles.select("strip", "bundle").distinct()
+    pairs = near.join(of.select(F.col("strip").alias("sa"), F.col("bundle").alias("ba")), "sa").join(of.select(F.col("strip").alias("sb"), F.col("bundle").alias("bb")), "sb")
+    pairs = pairs.where("ba <= bb").select("ba", "bb")
+    content = ["ids", "counts", "vectors", "low", "high"]
+    first = pairs.join(tiles, F.col("ba") == F.col("bundle")).select("ba", "bb", F.lit(0).alias("side"), *content)
+    second = pairs.where("ba < bb").join(tiles, F.col("bb") == F.col("bundle")).select("ba", "bb", F.lit(1).alias("side"), *content)
+    met = first.unionByName(second).repartition("ba", "bb").sortWithinPartitions("ba", "bb", "side")
+    return materialize(met.mapInArrow(_compare(axes, cuts, threshold), "vec long, n long, low long"), "found")

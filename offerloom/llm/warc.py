@@ -27,21 +27,25 @@ def resolve_revisits(records: DataFrame, rows_per_bucket: int = 100_000) -> Data
 
     ``records`` has rec_id, url, ts (long), kind ('response' or 'revisit'), etag, last_modified (long) and headers (map, names in
     lower case). A revisit is joined to the response of the same canonical URL with the greatest (ts, rec_id) before its own.
-    validation: 'etag' if both have an entity tag and they agree; else, if one lacks it, 'last_modified' if both have the time and
+    validation: 'etag' if both have an entity tag and they agree by weak comparison (a leading W/ doesn't count); else, if one lacks it, 'last_modified' if both have the time and
     the response's is not later; 'mismatch' if the validator that both have disagrees; 'unvalidated' if there is none;
     'unresolved' without an earlier response. headers of a validated revisit are the response's with the permitted ones (RENEWED)
     of the revisit in their place; else null.
 
     The as-of join is a window over (URL, time bucket); the last response of earlier buckets is carried over from a table with one
-    row per URL and bucket. Buckets are cut so that one holds about ``rows_per_bucket`` records, so a URL with a third of all
-    records is split by time. Records without URL or time match nothing. Rows that repeat each get a row. An empty table gives
+    row per URL and bucket. Buckets are ranges of time with about ``rows_per_bucket`` records each (Spark's range partitions, which
+    follow a sample of the times), so a URL with a third of all records is split by time, however uneven its times are; only
+    records of one instant stay together. Records without URL or time match nothing. Rows that repeat each get a row. An empty table gives
     an empty result. Extra columns are ignored.
     """
     r = records.select("rec_id", canonical_url(F.col("url")).alias("url_key"), F.col("ts").cast("long").alias("ts"), "kind", "etag", F.col("last_modified").cast("long").alias("last_modified"), "headers")
-    r = materialize(r.where("kind in ('response', 'revisit')"), "records")
-    span = r.agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    width = max(1, ((span.b or 0) - (span.a or 0) + 1) // max(1, -(-span.n // rows_per_bucket)))
-    r = r.withColumn("bucket", F.floor((F.col("ts") - (span.a or 0)) / width))
+    r = r.where("kind in ('response', 'revisit')")
+    buckets = max(1, -(-r.count() // rows_per_bucket))
+    if buckets > 1:
+        r = r.repartitionByRange(buckets, "ts").withColumn("bucket", F.spark_partition_id())
+    else:
+        r = r.withColumn("bucket", F.lit(0))
+    r = materialize(r, "records")
     full = F.when(F.col("kind") == "response", F.struct("ts", "rec_id", "etag", "last_modified", "headers"))
     usable = F.col("url_key").isNotNull() & F.col("ts").isNotNull()
 
@@ -55,10 +59,11 @@ def resolve_revisits(records: DataFrame, rows_per_bucket: int = 100_000) -> Data
     out = matched.unionByName(lost.select(*matched.columns))
 
     f = lambda c: F.col(f"found.{c}")
+    weak = lambda c: F.regexp_replace(c, "^W/", "")
     tags, times = F.col("etag").isNotNull() & f("etag").isNotNull(), F.col("last_modified").isNotNull() & f("last_modified").isNotNull()
     validation = (
         F.when(F.col("found").isNull(), "unresolved")
-        .when(tags, F.when(F.col("etag") == f("etag"), "etag").otherwise("mismatch"))
+        .when(tags, F.when(weak(F.col("etag")) == weak(f("etag")), "etag").otherwise("mismatch"))
         .when(times, F.when(f("last_modified") <= F.col("last_modified"), "last_modified").otherwise("mismatch"))
         .otherwise("unvalidated")
     )
