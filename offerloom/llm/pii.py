@@ -2,11 +2,13 @@
 
 Seeds (spans of the fixed patterns) induce lexical patterns: the words beside them. Patterns and the instances they extract form a
 graph. A pattern's score for a kind is the smoothed mean of its instances' scores, an instance's score the best of its patterns';
-both are recomputed in turns. Unseen identifier-like tokens whose score is high become spans.
+both are recomputed in turns. Instances whose score is high become spans and, from the next turn on, count like seeds, so the other
+words beside them become patterns too. Turns end when nothing changes.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
@@ -15,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import materialize
+from offerloom.llm.common import discard, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+").match
@@ -26,6 +28,9 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _TOKEN = re.compile(r"\S+")
+# Forms of identifiers that the fixed patterns don't take: addresses that are spelt out, runs of groups of digits, single tokens.
+_SPELT = re.compile(r"[A-Za-z0-9._%+-]+ ?(?:[(\[{] ?at ?[)\]}]| at |@) ?[A-Za-z0-9-]+(?: ?(?:[(\[{] ?dot ?[)\]}]| dot |\.) ?[A-Za-z0-9-]+)+", re.I)
+_GROUPS = re.compile(r"[+(]{0,2}[0-9]+(?:[ ()./-]{1,2}[0-9]+)+")
 _EDGES = ".,;:!?()[]{}<>\"'`*&$%#=|"
 
 
@@ -71,48 +76,59 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _context(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of a place: the word before, the two words before, the word after. They stay within 60 characters and a line."""
-    left = text[max(0, start - 60) : start].rsplit("\n", 1)[-1].split()
-    right = text[end : end + 60].split("\n", 1)[0].split()
+    """Lexical patterns of a place: one to three words before, one or two after, one on each side; all within 60 characters and a line."""
     norm = lambda w: w.lower().strip(_EDGES)
-    out = []
-    if left and (a := norm(left[-1])):
-        out.append(f"L {a}")
-        if len(left) > 1 and (b := norm(left[-2])):
-            out.append(f"LL {b} {a}")
-    if right and (a := norm(right[0])):
-        out.append(f"R {a}")
+    left = [norm(w) for w in text[max(0, start - 60) : start].rsplit("\n", 1)[-1].split()[-3:]]
+    right = [norm(w) for w in text[end : end + 60].split("\n", 1)[0].split()[:2]]
+    out = [f"L {' '.join(left[-k:])}" for k in range(1, len(left) + 1) if all(left[-k:])]
+    out += [f"R {' '.join(right[:k])}" for k in range(1, len(right) + 1) if all(right[:k])]
+    if left and right and left[-1] and right[0]:
+        out.append(f"M {left[-1]} _ {right[0]}")
     return out
 
 
-def _other_tokens(text: str, spans: list[tuple[int, int, int]]):
-    """Identifier-like tokens outside the spans: they hold a digit or @, five characters at least, and no mark at their edges."""
-    k = 0
-    last = -1
-    for d in re.finditer("[0-9@]", text):
-        if d.start() < last:
-            continue
-        a = d.start()
-        while a > 0 and not text[a - 1].isspace():
-            a -= 1
-        m = _TOKEN.match(text, a)
-        a, b = m.start(), m.end()
-        last = b
-        while a < b and text[a] in _EDGES:
-            a += 1
-        while b > a and text[b - 1] in _EDGES:
-            b -= 1
-        while k < len(spans) and spans[k][2] <= a:
-            k += 1
-        if b - a >= 5 and not (k < len(spans) and spans[k][0] < b):
-            yield a, b
-
-
-OCCURRENCES = "array<struct<kind:int,start:long,end:long,inst:string,patterns:array<string>>>"
+def _may_be(text: str) -> int:
+    """The kinds (as bits) that a text of this form may be: an address has a sign for "at", the others have so many digits."""
+    n, groups = sum(c.isdigit() for c in text), len(re.findall("[0-9]+", text))
+    at = "@" in text or re.search(r"[^a-z]at[^a-z]", text, re.I) is not None
+    letters = any(c.isalpha() for c in text)
+    return at << 0 | (groups == 4 and n <= 12 and not letters) << 1 | (12 <= n <= 19 and not letters) << 2 | (6 <= n <= 15 and not letters) << 3
+
+
+def _others(text: str, spans: list[tuple[int, int, int]]):
+    """(start, end, possible kinds) of identifier-like places outside the spans: the longest form at each, no marks at its edges."""
+    found = []
+    if " dot " in text or "@" in text or re.search(r"[(\[{] ?at ?[)\]}]", text, re.I):
+        found += [m.span() for m in _SPELT.finditer(text)]
+    if _DIGIT.search(text):
+        found += [m.span() for m in _GROUPS.finditer(text)]
+        last = -1
+        for d in re.finditer("[0-9@]", text):
+            if d.start() >= last:
+                a = d.start()
+                while a > 0 and not text[a - 1].isspace():
+                    a -= 1
+                a, last = _TOKEN.match(text, a).span()
+                b = last
+                while a < b and text[a] in _EDGES:
+                    a += 1
+                while b > a and text[b - 1] in _EDGES:
+                    b -= 1
+                found.append((a, b))
+    taken = [(a, b) for a, _, b in spans]
+    for a, b in sorted(found, key=lambda x: x[0] - x[1]):
+        if b - a >= 5 and (may := _may_be(text[a:b])):
+            taken_at = bisect.bisect_left(taken, (a, b))
+            if not any(x < b and a < y for x, y in taken[max(0, taken_at - 1) : taken_at + 1]):
+                taken.insert(taken_at, (a, b))
+                yield a, b, may
+
+
+OCCURRENCES = "array<struct<kind:int,may:int,start:long,end:long,inst:string,patterns:array<string>>>"
 
 
 def _find(batches):
-    kind_t = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("inst", pa.string()), ("patterns", pa.list_(pa.string()))]))
+    kind_t = pa.list_(pa.struct([("kind", pa.int32()), ("may", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("inst", pa.string()), ("patterns", pa.list_(pa.string()))]))
     for batch in batches:
         ids, keys, counts, shas, found = [], [], ([], [], [], []), [], []
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -124,8 +140,8 @@ def _find(batches):
                 c.append(sum(s[1] == k for s in spans))
             listed = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
             shas.append(hashlib.sha256(listed.encode()).hexdigest())
-            rows = [{"kind": k, "start": a, "end": b, "inst": text[a:b].lower(), "patterns": _context(text, a, b)} for a, k, b in spans]
-            rows += [{"kind": None, "start": a, "end": b, "inst": text[a:b].lower(), "patterns": _context(text, a, b)} for a, b in _other_tokens(text, spans)]
+            rows = [{"kind": k, "may": 1 << k, "start": a, "end": b, "inst": text[a:b].lower(), "patterns": _context(text, a, b)} for a, k, b in spans]
+            rows += [{"kind": None, "may": may, "start": a, "end": b, "inst": text[a:b].lower(), "patterns": _context(text, a, b)} for a, b, may in _others(text, spans)]
             found.append(rows)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), *(pa.array(c, pa.int64()) for c in counts), pa.array(shas), pa.array(found, kind_t)],
@@ -133,40 +149,50 @@ def _find(batches):
         )
 
 
-def bootstrap(occurrences: DataFrame, rounds: int = 3, least_pattern: float = 0.5, accept: float = 0.9, smoothing: float = 2.0) -> DataFrame:
-    """(inst, kind): unseen instances whose score reaches ``accept``.
+def bootstrap(occurrences: DataFrame, most_rounds: int = 8, least_seeds: int = 3, least_pattern: float = 0.5, accept: float = 0.8, smoothing: float = 1.0) -> DataFrame:
+    """(inst, kind, score): unseen instances whose score reaches ``accept``.
 
-    ``occurrences`` has kind (null: not a seed), inst and patterns. Each distinct (pattern, instance) is one edge of the graph. A
-    pattern's score for a kind is the sum of its instances' scores over their number plus ``smoothing``, so it needs at
-    least 18 seeds and almost no other instance to reach 0.9. Only patterns of ``least_pattern`` take part in the next step.
+    ``occurrences`` has kind (null: not a seed), may (possible kinds as bits), inst and patterns. Each distinct (pattern, instance) is
+    one edge of the graph. A pattern's score for a kind is the sum of its instances' scores over their number plus ``smoothing``. Seeds
+    count 1, and so do accepted instances; others count their score. Patterns take part if they reach ``least_pattern`` and have
+    ``least_seeds`` seeds or accepted instances. Rounds end when the scores stay as they are, or after ``most_rounds``.
     """
-    edges = occurrences.select("kind", "inst", F.explode("patterns").alias("pattern")).groupBy("pattern", "inst").agg(F.min("kind").alias("kind"))
+    edges = occurrences.select("kind", "may", "inst", F.explode("patterns").alias("pattern")).groupBy("pattern", "inst").agg(F.min("kind").alias("kind"), F.max("may").alias("may"))
     edges = materialize(edges, "graph")
-    open_edges = edges.where("kind is null").select("pattern", "inst")
-    seeds = edges.where("kind is not null").groupBy("pattern", "kind").agg(F.count(F.lit(1)).cast("double").alias("s"))
+    open_edges = edges.where("kind is null").select("pattern", "inst", "may")
+    seeds = edges.where("kind is not null").groupBy("pattern", "kind").agg(F.count(F.lit(1)).cast("double").alias("s"), F.count(F.lit(1)).alias("sure"))
     size = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    scores = None
-    for _ in range(rounds):
+    scores, before = None, None
+    for _ in range(most_rounds):
         mass = seeds
         if scores is not None:
-            mass = mass.unionByName(open_edges.join(scores, "inst").groupBy("pattern", "kind").agg(F.sum("score").alias("s"))).groupBy("pattern", "kind").agg(F.sum("s").alias("s"))
-        strong = mass.join(size, "pattern").withColumn("p", F.col("s") / (F.col("n") + smoothing)).where(F.col("p") >= least_pattern).select("pattern", "kind", "p")
-        scores = materialize(open_edges.join(strong, "pattern").groupBy("inst", "kind").agg(F.max("p").alias("score")), "scores")
-    best = scores.groupBy("inst").agg(F.max(F.struct("score", -F.col("kind"))).alias("b"), F.min("kind").alias("k0"))
-    return best.where(F.col("b.score") >= accept).select("inst", (-F.col("b")["col2"]).cast("int").alias("kind"))
-
-
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3) -> DataFrame:
+            more = open_edges.join(scores, "inst").groupBy("pattern", "kind").agg(F.sum("score").alias("s"), F.count_if(F.col("score") == 1).alias("sure"))
+            mass = mass.unionByName(more).groupBy("pattern", "kind").agg(F.sum("s").alias("s"), F.sum("sure").alias("sure"))
+        strong = mass.where(F.col("sure") >= least_seeds).join(size, "pattern").withColumn("p", F.col("s") / (F.col("n") + smoothing)).where(F.col("p") >= least_pattern).select("pattern", "kind", "p")
+        reached = open_edges.join(strong, "pattern").where(F.expr("(may >> kind) & 1 = 1")).groupBy("inst", "kind").agg(F.max("p").alias("p"))
+        last, scores = scores, materialize(reached.select("inst", "kind", "p", F.when(F.col("p") >= accept, 1.0).otherwise(F.col("p")).alias("score")), "scores")
+        if last is not None:
+            discard(last)
+        now = scores.agg(F.count(F.lit(1)).alias("n"), F.sum(F.round("score", 6)).alias("s"), F.count_if(F.col("score") == 1).alias("sure")).first()
+        if now == before or not now.n:
+            break
+        before = now
+    best = scores.where("score = 1").groupBy("inst").agg(F.max(F.struct("p", -F.col("kind"))).alias("b"))
+    return best.select("inst", (-F.col("b")["col2"]).cast("int").alias("kind"), F.col("b.p").alias("score"))
+
+
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_rounds: int = 8) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) for every row of ``docs``.
 
     The counts and base_sha256 are of the fixed patterns; spans lists these and the spans that bootstrapping adds, as kind:start:end
-    by start and kind, with ends exclusive, in code points. A null text counts as empty. Rows that repeat each get a row; a null id
+    by start and kind, with ends exclusive, in code points. Bootstrapping adds what stands beside other identifiers of its kind and has
+    a form that fits: spelt-out addresses, groups of digits, tokens with a digit or @. A null text counts as empty. Rows that repeat each get a row; a null id
     stays null. An empty table gives an empty result. Extra columns are ignored.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(texts.mapInArrow(_find, f"doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, found {OCCURRENCES}"), "pii")
     each = rows.select("doc_id", "text_key", F.explode("found").alias("o")).select("doc_id", "text_key", "o.*")
-    known = bootstrap(each, rounds)
+    known = bootstrap(each, most_rounds)
     added = each.where("kind is null").drop("kind").join(known, "inst").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "kind", "end")).alias("more"))
     base = F.transform(F.filter("found", lambda o: o["kind"].isNotNull()), lambda o: F.struct(o["start"].alias("start"), o["kind"].alias("kind"), o["end"].alias("end")))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
