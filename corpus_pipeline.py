@@ -1,12 +1,15 @@
 """A corpus pipeline over ``documents``: each stage's output is written as Parquet and read again as the next one's input.
 
 Toxic documents go, then exact copies, then all but one of each group of near copies. The sources are mixed to target weights (no
-source above a quarter); what a source has beyond its quota follows after that mix. All of it is packed into sequences.
+source above a quarter); what a source has beyond its quota follows after that mix. The mix is the order of the rows in the files of
+that stage. All of it is packed into sequences, documents of one length in the order of the mix.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from offerloom.llm.common import materialize
 from offerloom.llm.exact_dedup import drop_exact_copies
@@ -34,7 +37,12 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, tokenizer_path(), capacity=4096)
+    try:  # the row's place in the files that the stage before wrote: number of the file, then of the row
+        part = F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1).try_cast("long")
+        placed = docs.select("doc_id", "text", (F.coalesce(part, F.lit(0)) * (1 << 32) + F.col("_metadata.row_index")).alias("place"))
+    except AnalysisException:  # not read from files
+        return pack_documents(docs, tokenizer_path(), capacity=4096)
+    return pack_documents(placed, tokenizer_path(), capacity=4096, place_col="place")
 
 
 STAGES = [
