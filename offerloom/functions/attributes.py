@@ -102,7 +102,7 @@ def detect_brand_substring(c: Column, brands: tuple[str, ...] = KNOWN_BRANDS, ex
     """The longest brand that is part of the text (equal lengths by name); an expected brand that occurs wins; null if none."""
     t = F.lower(c)
     ordered = sorted(set(brands), key=lambda b: (-len(b), b))
-    found = F.get(F.filter(F.array(*map(F.lit, ordered)), lambda b: F.contains(t, b)), 0)
+    found = F.coalesce(*[F.when(F.contains(t, F.lit(b)), b) for b in ordered], F.lit(None).cast("string"))
     if expected is not None:
         found = F.when(F.contains(t, F.lower(expected)), F.lower(expected)).otherwise(found)
     return F.replace(found, F.lit("-"), F.lit(" "))

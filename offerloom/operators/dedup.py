@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from offerloom.functions.names import fresh
 from offerloom.functions.text import norm_txt_ws, url_norm
 
 
@@ -21,13 +22,19 @@ def keep_first_by(df: DataFrame, keys: list[str | Column], order: list[Column] |
     """Of each key the first row in ``order``, then by all columns."""
     keys = [F.col(k) if isinstance(k, str) else k for k in keys]
     w = Window.partitionBy(*keys).orderBy(*(order or []), *_tie_break(df, set()))
-    return df.withColumn("rn_", F.row_number().over(w)).where("rn_ = 1").drop("rn_")
+    (rank,) = fresh(df, "rn_")
+    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
 
 
 def dedup_offers(df: DataFrame) -> DataFrame:
-    """Exact copies go, then the newest row of each (marketplace, url) stays, then of each (marketplace, title, price)."""
+    """The newest row of each (marketplace, url) stays, then of each (marketplace, title, price); so exact copies go too.
+
+    Rows without a url are no copies of each other: in the first step each is a group of its own, by a hash of the whole row.
+    """
     newest = [F.col("captured_at").desc_nulls_last(), F.col("url").desc_nulls_last()]
-    return keep_first_by(keep_first_by(df.dropDuplicates(), ["marketplace", "url"], newest), ["marketplace", "title", "price"], newest)
+    url = _has("url")
+    groups = [F.col("marketplace"), F.when(url, F.col("url")), F.when(~url, F.xxhash64(*_hashable(df)))]
+    return keep_first_by(keep_first_by(df, groups, newest), ["marketplace", "title", "price"], newest)
 
 
 def latest_snapshot(df: DataFrame) -> DataFrame:
@@ -40,6 +47,10 @@ def latest_per_key(df: DataFrame, key: str, date: str) -> DataFrame:
     return keep_first_by(df, [key], [F.col(date).desc_nulls_last()])
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.to_json(F.col(f"`{c}`")) if "map" in t else F.col(f"`{c}`") for c, t in df.dtypes]
+
+
 def _has(c: str) -> Column:
     return F.col(c).isNotNull() & (F.trim(F.col(c)) != "")
 

@@ -160,7 +160,7 @@ def clean_market_items(items: DataFrame) -> dict[str, DataFrame]:
 
 
 def with_product(df: DataFrame, brands: tuple[str, ...] | None = None) -> DataFrame:
-    """Brand, size, model_norm, product_signature and product_id of each offer; the id needs no shuffle."""
+    """Brand, size, model_norm, product_signature and product_id of each row, from its title and sku_norm; the id needs no shuffle."""
     detect = (lambda c: E.detect_brand_substring(c, brands)) if brands else E.detect_brand_substring
     d = df.withColumn("size_str", E.size_parts(F.col("title"), F.col("sku_norm"))["size"])
     d = d.withColumn("brand", F.coalesce(detect(F.col("title")), detect(F.col("sku_norm"))))
@@ -179,10 +179,14 @@ def unify_products(df: DataFrame, brands: tuple[str, ...] | None = None) -> dict
     for c in OFFER_COLUMNS[1:]:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
-    d = with_product(df, brands)
-    offers = d.select(*OFFER_COLUMNS)
-    products = products_agg(d)
-    return {"unified_products": products, "unified_offers": offers, "unify_stats": unify_stats(d)}
+    # Offers repeat their titles, so attributes are worked out once for each (title, sku_norm) and joined back.
+    seen = df.groupBy("title", "sku_norm", "url").agg(F.count(F.lit(1)).alias("n_rows"), F.min("captured_at").alias("first_seen"), F.max("captured_at").alias("last_seen"))
+    known = with_product(seen.select("title", "sku_norm").distinct(), brands)
+    of_title = known.withColumnsRenamed({"title": "title_", "sku_norm": "sku_"})
+    same = F.col("title").eqNullSafe(F.col("title_")) & F.col("sku_norm").eqNullSafe(F.col("sku_"))
+    products = seen.join(of_title, same)
+    offers = df.select(*OFFER_COLUMNS[1:]).join(of_title.select("title_", "sku_", "product_id"), same).select(*OFFER_COLUMNS)
+    return {"unified_products": products_agg(products), "unified_offers": offers, "unify_stats": unify_stats(products)}
 
 
 def build_canonical(df: DataFrame, config: MatchConfig = DEFAULT) -> DataFrame:

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from offerloom.functions import attributes as E
 from offerloom.functions import numbers as N
+from offerloom.config import KNOWN_BRANDS
+from offerloom.functions.names import fresh
 from offerloom.functions.text import blank_to_null
+from offerloom.operators.dedup import keep_first_by
 
 _ATTR = "[^>]*?(?:content|data-price|value)=[\"']([^\"']+)[\"']"
 
@@ -37,15 +40,19 @@ def extract_listings_from_pages(pages: DataFrame, url: str = "url", html: str =
     return d.select("url", "title", "price", "previous_price", N.discount_pct(F.col("previous_price"), F.col("price")).alias("discount_pct"), "currency", F.col("s_.free").alias("free_shipping"), F.col("s_.cost").alias("shipping_price"))
 
 
-def enrich_listings(listings: DataFrame, details: DataFrame) -> DataFrame:
-    """Listings with what their detail page (same url) adds: a lower price, and size and brand where these are blank."""
-    d = details.select(F.col("url").alias("url_"), F.col("title").alias("detail_title"), F.col("price").alias("detail_price")).dropDuplicates(["url_"])
-    out = listings.join(d, F.col("url") == F.col("url_"), "left")
-    out = out.withColumn("price", F.least("price", "detail_price"))
+def enrich_listings(listings: DataFrame, details: DataFrame, brands: tuple[str, ...] = KNOWN_BRANDS) -> DataFrame:
+    """Listings with what their detail page (same url) adds: a lower price, and size and brand where these are blank.
+
+    Of several details of one url the cheapest counts, then the first by title.
+    """
+    url, title, price = fresh(listings, "url_", "detail_title", "detail_price")
+    d = details.select(F.col("url").alias(url), F.col("title").alias(title), F.col("price").alias(price))
+    d = keep_first_by(d, [url], [F.col(price).asc_nulls_last()])
+    out = listings.join(d, F.col("url") == F.col(url), "left").withColumn("price", F.least("price", price))
     if "size" in listings.columns:
-        out = out.withColumn("size", F.coalesce(blank_to_null(F.col("size")), E.size_canonical(F.col("detail_title"))))
+        out = out.withColumn("size", F.coalesce(blank_to_null(F.col("size")), E.size_canonical(F.col(title))))
     if "brand" in listings.columns:
-        out = out.withColumn("brand", F.coalesce(blank_to_null(F.col("brand")), E.detect_brand_substring(F.col("detail_title"))))
+        out = out.withColumn("brand", F.coalesce(blank_to_null(F.col("brand")), E.detect_brand_substring(F.col(title), brands)))
     return out.select(*listings.columns)
 
 

@@ -21,12 +21,15 @@ TITLE_UNITS = "(?i)\\b[0-9]{1,2}\\s?(?:un|uni|unid|unidades|pçs|pcs|peças)\\b"
 TITLE_RIM = "(?i)\\b(?:aro|rin)\\s?[0-9]{2}\\b"
 
 
-def audit_df(df: DataFrame, columns=("brand", "model", "size", "seller"), n: int = 5000) -> dict[str, DataFrame]:
-    """Missing rates, missing rates by marketplace, and the first ``n`` rows with something missing."""
+def audit_df(df: DataFrame, columns=("brand", "model", "size", "seller"), n: int | None = 5000) -> dict[str, DataFrame]:
+    """Missing rates, missing rates by marketplace, and the first ``n`` rows with something missing (None: all, in no order)."""
     bad = F.lit(False)
     for c in columns:
         bad = bad | is_blank(F.col(c))
-    return {"missing_rate": missing_rate(df, list(columns)), "missing_by_marketplace": missing_by_marketplace(df, columns), "issues": df.where(bad).orderBy("marketplace", "url", "title").limit(n)}
+    issues = df.where(bad)
+    if n is not None:
+        issues = issues.orderBy("marketplace", "url", "title", *columns).limit(n)
+    return {"missing_rate": missing_rate(df, list(columns)), "missing_by_marketplace": missing_by_marketplace(df, columns), "issues": issues}
 
 
 def precheck_price_sanity(s: str = "") -> Column:
@@ -61,6 +64,14 @@ def missing_columns(df: DataFrame, expected: tuple[str, ...]) -> DataFrame:
     return want.join(have, "column_name", "left_anti")
 
 
+def unfilled_columns(df: DataFrame, expected: tuple[str, ...]) -> DataFrame:
+    """Expected columns that ``df`` lacks or that hold no value in any row: the union of the names minus those with a value."""
+    here = [c for c in expected if c in df.columns]
+    counts = count_where(df, {c: ~is_blank(F.col(c)) for c in here}).where("n > 0").select(F.col("metric").alias("column_name")) if here else None
+    want = df.sparkSession.createDataFrame([(c,) for c in expected], "column_name string")
+    return want if counts is None else want.join(counts, "column_name", "left_anti")
+
+
 def key_with_many_triplets(df: DataFrame) -> DataFrame:
     """Keys that stand for several (brand, model, size)."""
     out = df.groupBy("canonical_key").agg(F.count_distinct(F.struct(*TRIPLET)).alias("distinct_triplets"))

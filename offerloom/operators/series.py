@@ -7,33 +7,69 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from offerloom.functions import numbers as N
+from offerloom.functions.names import fresh
 from offerloom.operators.summary import snapshot_mean
 
 
 def _with_global(df: DataFrame, values: DataFrame) -> DataFrame:
     """Each row with the columns of the one-row frame ``values``, by a broadcast of that row."""
-    one = "one_"
+    (one,) = fresh(df, "one_")
     return df.withColumn(one, F.lit(1)).join(F.broadcast(values.withColumn(one, F.lit(1))), one, "left").drop(one)
 
 
+def exact_quantiles(df: DataFrame, column: str, at: dict[str, float], parts: int = 200) -> DataFrame:
+    """One row with the exact quantiles ``at`` of a column, named by the keys, interpolated linearly; nulls don't count.
+
+    Distinct values are counted and dealt into ``parts`` ranges of about equal numbers of rows (edges by approximate quantiles). Running
+    counts inside each range, on top of the counts of the ranges before, give every value its ranks, so no task holds more than one
+    range. The windows over ranges have ``parts`` rows at most.
+    """
+    v = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    edges = v.agg(F.percentile_approx("v", F.array(*[F.lit(k / parts) for k in range(1, parts)]), F.lit(10 * parts)).alias("edges"))
+    counts = _with_global(v.groupBy("v").agg(F.count(F.lit(1)).alias("c")), edges)
+    dealt = counts.select("v", "c", F.size(F.filter("edges", lambda e: e < F.col("v"))).alias("b"))
+    every = Window.orderBy("b")
+    sizes = dealt.groupBy("b").agg(F.sum("c").alias("n"))
+    sizes = sizes.select("b", F.coalesce(F.sum("n").over(every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"), F.sum("n").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
+    inside = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = dealt.join(F.broadcast(sizes), "b").withColumn("first", F.col("start") + F.coalesce(F.sum("c").over(inside), F.lit(0)))
+    of_rank = lambda k: F.max(F.when((F.col("first") <= k) & (k < F.col("first") + F.col("c")), F.col("v")))
+    picked, out = [], []
+    for name, q in at.items():
+        place = (F.col("total") - 1) * F.lit(float(q))
+        low, high, share = of_rank(F.floor(place)), of_rank(F.ceil(place)), F.max(place - F.floor(place))
+        picked += [low.alias(f"low_{name}"), high.alias(f"high_{name}"), share.alias(f"share_{name}")]
+        out.append((F.col(f"low_{name}") * (1 - F.col(f"share_{name}")) + F.col(f"high_{name}") * F.col(f"share_{name}")).alias(name))
+    return ranked.agg(*picked).select(*out)
+
+
 def clip_quantiles(df: DataFrame, column: str, lo: float = 0.01, hi: float = 0.99, accuracy: int | None = None) -> DataFrame:
     """Values outside two quantiles of the whole column are set to these; ``accuracy`` uses approximate ones."""
-    at = F.array(F.lit(lo), F.lit(hi))
-    q = F.percentile_approx(column, at, F.lit(accuracy)) if accuracy else F.percentile(column, at)
-    bounds = df.agg(q.alias("q_")).select(F.round(F.col("q_")[0], 6).alias("lo_"), F.round(F.col("q_")[1], 6).alias("hi_"))
-    clipped = F.when(F.col(column).isNotNull(), F.least(F.greatest(F.col(column), "lo_"), "hi_"))
-    return _with_global(df, bounds).withColumn(column, clipped).drop("lo_", "hi_")
+    low, high = fresh(df, "lo_", "hi_")
+    if accuracy:
+        q = df.agg(F.percentile_approx(column, F.array(F.lit(lo), F.lit(hi)), F.lit(accuracy)).alias("q"))
+        q = q.select(F.col("q")[0].alias(low), F.col("q")[1].alias(high))
+    else:
+        q = exact_quantiles(df, column, {low: lo, high: hi})
+    bounds = q.select(F.round(low, 6).alias(low), F.round(high, 6).alias(high))
+    clipped = F.when(F.col(column).isNotNull(), F.least(F.greatest(F.col(column), low), high))
+    return _with_global(df, bounds).withColumn(column, clipped).drop(low, high)
 
 
 def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
     """Nulls become the median of their column."""
-    medians = df.agg(*[F.round(F.median(c), 6).alias(f"{c}_med_") for c in columns])
-    out = _with_global(df, medians)
-    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}_med_")) for c in columns}).drop(*[f"{c}_med_" for c in columns])
+    medians = fresh(df, *[f"{c}_med_" for c in columns])
+    out = df
+    for c, m in zip(columns, medians, strict=True):
+        out = _with_global(out, exact_quantiles(df, c, {m: 0.5}))
+    return out.withColumns({c: F.coalesce(F.col(c), F.round(m, 6)) for c, m in zip(columns, medians, strict=True)}).drop(*medians)
 
 
 def series_features(df: DataFrame, key: str = "product_id", when: str = "data_coleta", price: str = "preco", threshold: float = 0.3, tie: tuple[str, ...] = ()) -> DataFrame:
-    """Difference to the price before, means of the last 7 and 30 rows, and whether the difference exceeds 30 %."""
+    """Difference to the price before, means of the last 7 and 30 rows, and whether the difference exceeds 30 %.
+
+    Rows of one time follow ``tie``.
+    """
     w = Window.partitionBy(key).orderBy(when, *tie)
     p = F.col(price)
 
@@ -53,7 +89,7 @@ def price_features(df: DataFrame, money_style: str = "auto_tail") -> DataFrame:
         d = d.withColumn("estoque", N.parse_stock(F.col("estoque")))
     d = impute_median(d.withColumn("data_coleta", N.parse_ts(F.col("data_coleta"))), ["preco"])
     d = d.withColumns({"dia_semana": N.weekday_of(F.col("data_coleta")), "fim_de_semana": N.is_weekend(F.col("data_coleta"))})
-    return series_features(clip_quantiles(d, "preco"))
+    return series_features(clip_quantiles(d, "preco"), tie=tuple(c for c, t in d.dtypes if not t.startswith(("map", "variant"))))
 
 
 def price_change(snapshots: DataFrame, threshold: float = 0.05) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from offerloom.functions.names import fresh
 from offerloom.functions.text import is_blank
 
 DIGITS = 6
@@ -30,27 +31,41 @@ def joined_set(c: Column, sep: str = ",") -> Column:
     return F.array_join(F.array_sort(F.collect_set(F.when(F.trim(c) != "", c))), sep)
 
 
+def _null_safe_join(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``df`` with the columns of ``other``, whose keys are named with ``_`` at the end; null keys match null keys."""
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
+    return df.join(other, same, how).drop(*[f"{k}_" for k in keys])
+
+
 def canonical_summary(listings: DataFrame, accuracy: int | None = None) -> DataFrame:
     """A1, A2, L1: per (canonical_key, brand, model, size) counts, price statistics, marketplaces and evidence files.
 
-    n_listings counts all rows, the statistics all prices. media_correta is the mean of the prices within [p10, p90]; its second pass
-    joins the bounds back on the same keys, so no group's prices are gathered. Groups without a price have no marketplaces.
+    n_listings counts all rows, the statistics all prices. Prices are counted before anything else; percentiles weigh them by their
+    counts. media_correta is the mean of the prices within [p10, p90]: the bounds are joined back to the counted prices. With
+    ``accuracy`` percentiles are approximate and come from a pass of their own. Groups without a price have no marketplaces.
     """
     keys = ["canonical_key", "brand", "model", "size"]
-    p = F.col("price")
-    stats = listings.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_listings"), F.count(p).alias("n_prices"), joined_set(F.col("marketplace")).alias("m_"), joined_set(F.col("source_file")).alias("evidence_files"),
-        F.min(p).alias("min_price"), F.max(p).alias("max_price"), exact_mean(p).alias("mean_price"), quantiles(p, [0.1, 0.5, 0.9], accuracy).alias("q_"),
+    p, n = F.col("price"), F.col("n_")
+    # One row for each price of a group and source: the only pass over the listings.
+    rows = listings.groupBy(*keys, "price", "marketplace", "source_file").agg(F.count(F.lit(1)).alias("n_"))
+    cents = F.sum(p.cast("decimal(18,2)") * n)
+    of_price = F.sum(F.when(p.isNotNull(), n))
+    stats = rows.groupBy(*keys).agg(
+        F.sum(n).alias("n_listings"), F.coalesce(of_price, F.lit(0)).alias("n_prices"), joined_set(F.col("marketplace")).alias("m_"), joined_set(F.col("source_file")).alias("evidence_files"),
+        F.min(p).alias("min_price"), F.max(p).alias("max_price"), (cents.cast("double") / of_price).alias("mean_price"),
+        F.percentile(p, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)), n if not accuracy else F.lit(0).cast("long")).alias("q_"),
     )
+    if accuracy:
+        approx = listings.groupBy(*[F.col(k).alias(f"{k}_") for k in keys]).agg(quantiles(p, [0.1, 0.5, 0.9], accuracy).alias("q_"))
+        stats = _null_safe_join(stats.drop("q_"), approx, keys)
     for i, c in enumerate(("p10", "median_price", "p90")):
         stats = stats.withColumn(c, F.round(F.col("q_")[i], DIGITS))
     bounds = stats.select(*[F.col(k).alias(f"{k}_") for k in keys], "p10", "p90")
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
-    trimmed = listings.where("price IS NOT NULL").join(bounds, same).where("price BETWEEN p10 AND p90")
-    trimmed = trimmed.groupBy(*[f"{k}_" for k in keys]).agg(exact_mean(p).alias("media_correta"))
-    out = stats.join(trimmed, same, "left")
+    trimmed = _null_safe_join(rows.where("price IS NOT NULL").select(*keys, "price", "n_"), bounds, keys).where("price BETWEEN p10 AND p90")
+    trimmed = trimmed.groupBy(*[F.col(k).alias(f"{k}_") for k in keys]).agg((cents.cast("double") / F.sum(n)).alias("media_correta"))
+    out = _null_safe_join(stats, trimmed, keys, "left")
     out = out.withColumn("marketplaces", F.when(F.col("n_prices") > 0, F.col("m_")).otherwise(""))
     cols = [*keys, "n_listings", "marketplaces", "min_price", "max_price", "mean_price", "median_price", "p10", "p90", "media_correta", "evidence_files"]
     return out.select(*cols)
@@ -67,18 +82,20 @@ def top_spread(summary: DataFrame, least: int = 5, n: int = 50) -> DataFrame:
 
 
 def products_agg(offers: DataFrame) -> DataFrame:
-    """A3: one row per product; "first" is the least by title and url."""
-    order = F.struct(F.col("title").alias("a"), F.col("url").alias("b"))
-    first = lambda c: F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order))
+    """A3: one row per product; "first" is the least by title and url.
+
+    ``offers`` has one row for each (title, sku_norm, url), with first_seen and last_seen.
+    """
+    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(F.col("title").alias("a"), F.col("url").alias("b"), F.col(c).alias("c"))))["c"]
     return offers.groupBy("product_id").agg(
-        *[first(c).alias(c) for c in ("product_signature", "brand", "size_str", "model_norm")], first("title").alias("example_title"),
-        F.count_distinct("url").alias("n_offers"), F.min("captured_at").alias("first_seen"), F.max("captured_at").alias("last_seen"),
+        *[first(c).alias(c) for c in ("product_signature", "brand", "size_str", "model_norm")], F.min("title").alias("example_title"),
+        F.count_distinct("url").alias("n_offers"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
     )
 
 
 def unify_stats(offers: DataFrame) -> DataFrame:
-    """A5: totals of a unification."""
-    s = offers.agg(F.count(F.lit(1)).alias("rows_in"), F.count_distinct("product_id").alias("products_out"))
+    """A5: totals of a unification; ``offers`` has product_id and n_rows, the number of rows that it stands for."""
+    s = offers.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows_in"), F.count_distinct("product_id").alias("products_out"))
     return s.select("rows_in", "products_out", F.col("rows_in").alias("offers_out"), (F.col("rows_in") / F.greatest(F.lit(1), "products_out")).alias("avg_offers_per_product"))
 
 
@@ -145,13 +162,11 @@ def search_run_report(hits: DataFrame, most: int = 50) -> DataFrame:
 
     ``hits`` has term, title, price, url and promo. Counts cover all rows; only the nested list is limited.
     """
+    totals = hits.groupBy("term").agg(F.count(F.lit(1)).alias("produtos_encontrados"), F.count_if(F.col("promo")).alias("promocoes"), F.round(exact_mean(F.col("price")), 2).alias("preco_medio"))
     w = Window.partitionBy("term").orderBy(F.col("price").asc_nulls_last(), "title", "url")
-    ranked = hits.withColumn("rn_", F.row_number().over(w))
-    item = F.when(F.col("rn_") <= most, F.struct("rn_", "title", "price", "url"))
-    return ranked.groupBy("term").agg(
-        F.count(F.lit(1)).alias("produtos_encontrados"), F.count_if(F.col("promo")).alias("promocoes"), F.round(exact_mean(F.col("price")), 2).alias("preco_medio"),
-        F.transform(F.array_sort(F.collect_list(item)), lambda x: F.struct(x["title"].alias("titulo"), x["price"].alias("preco"), x["url"].alias("link"))).alias("produtos"),
-    )
+    top = hits.select("term", "title", "price", "url").withColumn("rn_", F.row_number().over(w)).where(F.col("rn_") <= most)  # each task passes on so many
+    top = top.groupBy(F.col("term").alias("t_")).agg(F.transform(F.array_sort(F.collect_list(F.struct("rn_", "title", "price", "url"))), lambda x: F.struct(x["title"].alias("titulo"), x["price"].alias("preco"), x["url"].alias("link"))).alias("produtos"))
+    return totals.join(top, F.col("term").eqNullSafe(F.col("t_")), "left").drop("t_")
 
 
 def first_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
@@ -176,10 +191,21 @@ def top_values(df: DataFrame, group: str, value: str, k: int) -> DataFrame:
 
 
 def price_examples(df: DataFrame, group: str = "canonical_key") -> DataFrame:
-    """The rows with the lowest, the upper-median and the highest price of each group, one per url, those without url left out."""
+    """The rows with the lowest, the upper-median and the highest price of each group, one per url, those without url left out.
+
+    Rows without a price or a group don't count.
+    """
     w = Window.partitionBy(group)
-    d = df.where("price IS NOT NULL").withColumns({"rn_": F.row_number().over(w.orderBy("price", "url", "title")), "n_": F.count(F.lit(1)).over(w)})
-    d = d.where((F.col("rn_") == 1) | (F.col("rn_") == F.floor(F.col("n_") / 2) + 1) | (F.col("rn_") == F.col("n_"))).where(~is_blank(F.col("url")))
+    d = df.where(F.col("price").isNotNull() & F.col(group).isNotNull()).select(group, "title", "price", "seller", "marketplace", "url")
+    # Ranks of the prices come from their counts; only rows of the three wanted prices are ranked one by one.
+    by_price = w.orderBy("price").rowsBetween(Window.unboundedPreceding, -1)
+    prices = d.groupBy(group, "price").agg(F.count(F.lit(1)).alias("c_"))
+    prices = prices.withColumns({"before_": F.coalesce(F.sum("c_").over(by_price), F.lit(0)), "n_": F.sum("c_").over(w)})
+    wanted = F.array(F.lit(1).cast("long"), F.floor(F.col("n_") / 2) + 1, F.col("n_"))
+    prices = prices.withColumn("want_", F.filter(F.array_distinct(wanted), lambda k: (k > F.col("before_")) & (k <= F.col("before_") + F.col("c_")))).where(F.size("want_") > 0)
+    d = d.join(prices.drop("c_", "n_"), [group, "price"])
+    d = d.withColumn("rn_", F.col("before_") + F.row_number().over(Window.partitionBy(group, "price").orderBy("url", "title", "seller", "marketplace")))
+    d = d.where(F.array_contains("want_", F.col("rn_"))).where(~is_blank(F.col("url")))
     d = d.withColumn("u_", F.row_number().over(Window.partitionBy(group, "url").orderBy("rn_"))).where("u_ = 1")
     return d.select(group, F.row_number().over(w.orderBy("rn_")).alias("example"), "title", "price", "seller", "marketplace", "url")
 

@@ -116,7 +116,7 @@ def _(spark, d):
 OFFERS = f"SELECT marketplace, title, price, url, collected_at AS captured_at, {ROW} FROM gappy"
 DEDUP_OFFERS = f"""
     x AS ({OFFERS}), x0 AS (SELECT DISTINCT * FROM x),
-    x1 AS (SELECT * FROM x0 QUALIFY row_number() OVER (PARTITION BY marketplace, url ORDER BY captured_at DESC NULLS LAST, url DESC NULLS LAST, marketplace NULLS LAST, title NULLS LAST, price NULLS LAST, url NULLS LAST, captured_at NULLS LAST, {ROW}) = 1),
+    x1 AS (SELECT * FROM x0 QUALIFY row_number() OVER (PARTITION BY marketplace, CASE WHEN trim(url) <> '' THEN url END, CASE WHEN coalesce(trim(url), '') = '' THEN concat_ws(',', title, price, captured_at, {ROW}) END ORDER BY captured_at DESC NULLS LAST, url DESC NULLS LAST, marketplace NULLS LAST, title NULLS LAST, price NULLS LAST, url NULLS LAST, captured_at NULLS LAST, {ROW}) = 1),
     x2 AS (SELECT * FROM x1 QUALIFY row_number() OVER (PARTITION BY marketplace, title, price ORDER BY captured_at DESC NULLS LAST, url DESC NULLS LAST, {ROW}) = 1)"""
 
 
@@ -338,7 +338,7 @@ def _(spark, d):
 
 @query("audit_issues", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM gappy WHERE " + " OR ".join(BLANK.format(c) for c in ("brand", "model", "size", "seller")), "gappy")
 def _(spark, d):
-    return quality.audit_df(views.gappy(spark, d), n=2_000_000_000)["issues"].select(*ROW.split(", "))
+    return quality.audit_df(views.gappy(spark, d), n=None)["issues"].select(*ROW.split(", "))
 
 
 @query("count_by_marketplace", "SELECT marketplace, count(*) AS n FROM gappy GROUP BY 1", "gappy")
@@ -519,7 +519,7 @@ def _(spark, d):
 
 @query("price_features", """
     WITH q AS (SELECT round(quantile_cont(preco, 0.01), 6) AS lo, round(quantile_cont(preco, 0.99), 6) AS hi FROM series), c AS (SELECT product_id, event_id, data_coleta, least(greatest(preco, lo), hi) AS preco FROM series, q)
-    SELECT product_id, event_id, round(preco, 6) AS preco, isodow(data_coleta) - 1 AS dia_semana, CASE WHEN isodow(data_coleta) >= 6 THEN 1 ELSE 0 END AS fim_de_semana, round(preco - lag(preco) OVER (PARTITION BY product_id ORDER BY data_coleta), 4) AS preco_diff FROM c""", "series")
+    SELECT product_id, event_id, round(preco, 6) AS preco, isodow(data_coleta) - 1 AS dia_semana, CASE WHEN isodow(data_coleta) >= 6 THEN 1 ELSE 0 END AS fim_de_semana, round(preco - lag(preco) OVER (PARTITION BY product_id ORDER BY data_coleta, preco, event_id), 4) AS preco_diff FROM c""", "series")
 def _(spark, d):
     f = series.price_features(views.series(spark, d))
     return f.select("product_id", "event_id", F.round("preco", 6).alias("preco"), "dia_semana", "fim_de_semana", F.round("preco_diff", 4).alias("preco_diff"))
