@@ -188,7 +188,10 @@ def evidence_values(evidence: DataFrame, json_column: str | None, config: MatchC
 
 
 def backfill_from_evidence(listings: DataFrame, evidence: DataFrame, json_column: str | None = None, config: MatchConfig | None = None) -> dict[str, DataFrame]:
-    """Suggestions for blank brand, model, size and seller from evidence with the same url, and the listings with them filled."""
+    """Suggestions for blank brand, model, size and seller from evidence with the same url, and the listings with them filled.
+
+    suggestions_by_row has the listing's other columns beside them.
+    """
     from offerloom.config import DEFAULT
 
     fields = ("brand", "model", "size", "seller")
@@ -198,6 +201,7 @@ def backfill_from_evidence(listings: DataFrame, evidence: DataFrame, json_column
     any_need = F.lit(False)
     for c in fields:
         any_need = any_need | F.coalesce(need(c), F.lit(False))
-    suggestions = joined.where(any_need).select("url", *[F.when(need(c), F.col(f"{c}_new")).alias(c) for c in fields])
+    of_row = joined.where(any_need).select(*[c for c in listings.columns if c not in fields], *[F.when(need(c), F.col(f"{c}_new")).alias(c) for c in fields])
+    suggestions = of_row.select("url", *fields)
     filled = joined.select(*[F.coalesce(blank_to_null(F.col(c)), F.col(f"{c}_new")).alias(c) if c in fields else F.col(c) for c in listings.columns])
-    return {"suggestions": suggestions, "filled": filled}
+    return {"suggestions": suggestions, "suggestions_by_row": of_row, "filled": filled}

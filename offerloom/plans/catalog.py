@@ -174,18 +174,6 @@ def _(spark, d):
     return listings.canonical_name(views.gappy(spark, d).withColumn("sku_norm", F.col("l_partkey") % 50))
 
 
-@query("clean_market_items")
-def _(spark, d):
-    """Rows only: titles from urls use string functions that DuckDB lacks; its parts have oracles of their own."""
-    c = listings.clean_market_items(views.market_items(spark, d))["market_items_clean"]
-    return c.select("marketplace", "title", "sku_norm", "price", "url", F.date_format("captured_at", "yyyy-MM-dd HH:mm:ss").alias("captured_at"), F.col("captured_date").cast("string").alias("captured_date"), "product_name")
-
-
-@query("unifier_input")
-def _(spark, d):
-    return listings.clean_market_items(views.market_items(spark, d))["unifier_input"].select("marketplace", "sku_norm", "title", "price", F.date_format("captured_at", "yyyy-MM-dd").alias("captured_at"))
-
-
 BRANDS = tuple(f"brand#{i}" for i in range(1, 100))
 SIG = """
     s AS (SELECT *, regexp_extract(lower(title), 'brand#[0-9]{1,2}') AS b,
@@ -216,21 +204,6 @@ def _(spark, d):
 CONFIG = MatchConfig.of([b.replace("#", " ") for b in BRANDS], {"brand 11": "brand 12"}, ["standard", "small", "medium", "large", "economy", "promo"])
 
 
-@query("build_canonical")
-def _(spark, d):
-    """Rows only: sizes need look-around patterns; brand, model and key forms have oracles of their own."""
-    c = listings.build_canonical(listings.resolve_columns(views.listings(spark, d)), CONFIG)
-    return c.select("marketplace", "title", "price", "url", "brand", "model", "size", "canonical_key", N.ts_text(F.col("collected_at")).alias("collected_at"), "seller", "source_file")
-
-
-@query("unify_marketplaces")
-def _(spark, d):
-    x = views.listings(spark, d)
-    one = x.where("marketplace < 'b'").select(F.col("title").alias("titulo"), F.col("url").alias("link"), F.col("price").alias("preco"), F.col("seller").alias("loja"), F.col("collected_at").alias("data_coleta"), F.col("source_file").alias("arquivo"))
-    out = listings.unify_marketplaces([one, x.where("marketplace >= 'b'").drop("canonical_key")], CONFIG)
-    return out["canonical_summary"]
-
-
 @query("union_all", "SELECT r_name AS name, NULL::VARCHAR AS k FROM region UNION ALL SELECT n_name, n_regionkey::VARCHAR FROM nation UNION ALL SELECT s_name, s_nationkey::VARCHAR FROM supplier")
 def _(spark, d):
     t = lambda n, *c: table(spark, d, n).select(*c)
@@ -406,10 +379,11 @@ def _(spark, d):
     return quality.evidence_coverage(summary.canonical_summary(x), x)
 
 
-@query("check_marketplace_divergence", f"WITH {SUM_L}, src AS (SELECT brand, model, size, string_agg(DISTINCT marketplace, ',' ORDER BY marketplace) AS r FROM listings WHERE l_orderkey % 2 = 0 GROUP BY 1, 2, 3) SELECT brand, model, size, substr(marketplaces, 1, 80) AS marketplaces_summary, substr(r, 1, 80) AS marketplaces_real FROM summary JOIN src USING (brand, model, size) WHERE trim(marketplaces) <> '' AND marketplaces <> r ORDER BY brand, model, size LIMIT 50", "listings")
+@query("check_marketplace_divergence", f"WITH {SUM_L} SELECT brand, model, size, substr(marketplaces || ',gone', 1, 80) AS marketplaces_summary, substr(marketplaces, 1, 80) AS marketplaces_real FROM summary WHERE n_listings % 2 = 0 ORDER BY brand, model, size LIMIT 50", "listings")
 def _(spark, d):
     x = views.listings(spark, d)
-    return quality.marketplace_divergence(summary.canonical_summary(x), x.where("l_orderkey % 2 = 0"))
+    stale = summary.canonical_summary(x).withColumn("marketplaces", F.when(F.col("n_listings") % 2 == 0, F.concat("marketplaces", F.lit(",gone"))).otherwise(F.col("marketplaces")))
+    return quality.marketplace_divergence(stale, x)
 
 
 @query("verify_snapshot", """
@@ -434,12 +408,6 @@ def _(spark, d):
     return s.select("canonical_key", "brand", "model", "size", F.array_join(quality.precheck_price_sanity(), ",").alias("alerts"))
 
 
-@query("title_flags", "SELECT doc_id, regexp_matches(text, '(?i)(^|[^a-z0-9])(kit|jogo|par|dupla|conjunto|combo|lote|cx|caixa|c/|pack|pckt|pacote|([24568]|10)x|x[2468])([^a-z0-9]|$)') AS kit FROM documents WHERE text IS NOT NULL")
-def _(spark, d):
-    t = table(spark, d, "documents").where("text IS NOT NULL")
-    return t.select("doc_id", F.array_contains(quality.precheck_title_flags(F.array("text")), "precheck_title_maybe_kit_or_multiunit").alias("kit"))
-
-
 @query("backfill", """
     WITH ev AS (SELECT url, min(brand) AS brand, min(model) AS model, min(size) AS size, min(seller) AS seller FROM listings GROUP BY 1)
     SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, coalesce(CASE WHEN trim(g.brand) <> '' THEN g.brand END, ev.brand) AS brand, coalesce(CASE WHEN trim(g.size) <> '' THEN g.size END, ev.size) AS size, coalesce(CASE WHEN trim(g.seller) <> '' THEN g.seller END, ev.seller) AS seller FROM gappy g LEFT JOIN ev ON g.url = ev.url""", "listings", "gappy")
@@ -491,12 +459,6 @@ def _(spark, d):
     return s.select("canonical_key", "n_listings", F.array_join("top_title", ";").alias("titles"), F.array_join("top_seller", ";").alias("sellers"), F.array_join(F.transform("examples", lambda e: e["title"]), ";").alias("examples"))
 
 
-@query("audit_requests")
-def _(spark, d):
-    x = views.listings(spark, d)
-    return audit.audit_requests(audit.audit_sample(summary.canonical_summary(x), x)).select("canonical_key", "request")
-
-
 @query("audit_replies", "SELECT cast(event_id AS VARCHAR) AS canonical_key, CASE WHEN event_id % 7 = 0 THEN 'llm_request_failed' WHEN event_id % 5 = 0 THEN 'llm_invalid_json_response' ELSE '' END AS alerts, CASE WHEN event_id % 7 = 0 OR event_id % 5 = 0 THEN 0.0 ELSE cast(json_extract_string(props, '$.k') AS DOUBLE) END AS llm_confidence FROM events")
 def _(spark, d):
     e = table(spark, d, "events")
@@ -680,9 +642,9 @@ def _(spark, d):
     return table(spark, d, "part").select("p_partkey", sig.alias("sig"), E.product_id(sig).alias("id"), E.product_signature(none, none, F.lower("p_type"), F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string"))).alias("weak"))
 
 
-@query("is_kit", "SELECT doc_id, regexp_matches(lower(text), '(^|[^a-z0-9])(kit|kits|conjunto|jogo|par|pares|dupla|combo|fechamento|lote|unidades|caixa|pack|pacote|[24]\\s*x?\\s*pneus?|duas?\\s*pneus?|[24]\\s*unid?|4uni|k[0-9]{1,2}|([24568]|10)x|x[2468])([^a-z0-9]|$)') AS kit FROM (SELECT doc_id, regexp_replace(strip_accents(replace(lower(text), 'ß', '')), '[^\\x00-\\x7F]', '', 'g') AS text FROM documents WHERE text IS NOT NULL)")
+@query("is_kit", "SELECT doc_id, coalesce(regexp_matches(lower(text), '(^|[^a-z0-9])(kit|kits|conjunto|jogo|par|pares|dupla|combo|fechamento|lote|unidades|caixa|pack|pacote|[24]\\s*x?\\s*pneus?|duas?\\s*pneus?|[24]\\s*unid?|4uni|k[0-9]{1,2}|([24568]|10)x|x[2468])([^a-z0-9]|$)'), false) AS kit FROM (SELECT doc_id, regexp_replace(strip_accents(replace(lower(text), 'ß', '')), '[^\\x00-\\x7F]', '', 'g') AS text FROM documents)")
 def _(spark, d):
-    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", E.is_kit(F.col("text")).alias("kit"))
+    return table(spark, d, "documents").select("doc_id", E.is_kit(F.col("text")).alias("kit"))
 
 
 @query("matches_dimension", "SELECT p_partkey, true AS hit, p_size % 2 = 0 AS maybe, 'pneu ' || (100 + p_size) || ' 65 r15 ' || lower(p_brand) AS query, (100 + p_size) || '/65R15' AS size, (100 + p_size) || '-65-r15' AS folder FROM part")

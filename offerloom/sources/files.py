@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +35,7 @@ def unwrap(df: DataFrame, wrapper: str | None = None) -> DataFrame:
 def read_listings_json(spark: SparkSession, path: str, wrapper: str | None = None, schema=None) -> DataFrame:
     """All ``*.json`` below ``path``: a list, a wrapper object or one object per file, with the source file.
 
-    Files that can't be read or parsed are skipped.
+    Files that can't be read or parsed are skipped; :func:`broken_files` lists them.
     """
     df = _reader(spark, "*.json", schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
     if "_corrupt_record" in df.columns:
@@ -44,37 +46,56 @@ def read_listings_json(spark: SparkSession, path: str, wrapper: str | None = Non
     return unwrap(df, wrapper)
 
 
+def broken_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """source_file of the files below ``path`` that are no JSON, which the readers skip."""
+    text = _reader(spark, glob).option("wholetext", True).text(path)
+    return text.where(F.try_parse_json("value").isNull()).select(F.col("_metadata.file_path").alias(SOURCE_FILE))
+
+
 def read_listings_jsonl(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """One object per line; blank and broken lines are skipped, and a file that is one array gives its items."""
-    df = _reader(spark, "*.{jsonl,json,ndjson}", schema).json(path)
-    if "_corrupt_record" in df.columns:
-        df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    return df.dropna("all")
+    """One object per line; blank and broken lines are skipped, and a file that is one array, in one line or many, gives its items.
+
+    Only the names of files with an array come to the driver.
+    """
+    glob, file = "*.{jsonl,json,ndjson}", F.col("_metadata.file_path")
+    lines = _reader(spark, glob).text(path)
+    arrays = [r.f for r in lines.where(F.startswith(F.ltrim("value"), F.lit("["))).select(file.alias("f")).distinct().collect()]
+
+    def rows(df: DataFrame) -> DataFrame:
+        if "_corrupt_record" in df.columns:
+            df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+        return df.dropna("all")
+
+    plain = _reader(spark, glob, schema).json(path)
+    if not arrays:
+        return rows(plain)
+    whole = rows(_reader(spark, glob, schema).option("multiLine", True).json([unquote(f) for f in arrays]))
+    return rows(plain.where(~file.isin(arrays))).unionByName(whole, allowMissingColumns=True)
 
 
 def read_listings_csv(spark: SparkSession, path: str, encoding_fallback: str = "ISO-8859-1", sep: str = ",") -> DataFrame:
-    """S3: all ``*.csv`` below ``path`` as text columns. Files that aren't valid UTF-8 are read with ``encoding_fallback``."""
-    raw = _reader(spark, "*.csv").option("wholetext", True).text(path)
-    bad = [r.f for r in raw.where(~F.is_valid_utf8("value")).select(F.col("_metadata.file_path").alias("f")).distinct().collect()]  # names only
-    good = [r.f for r in raw.select(F.col("_metadata.file_path").alias("f")).distinct().collect() if r.f not in set(bad)]
+    """S3: all ``*.csv`` below ``path`` as text columns. Files that aren't valid UTF-8 are read with ``encoding_fallback``.
+
+    Files with the same header and encoding are read together; of each file its name and header come to the driver. No file at all is
+    an error. Columns that a file lacks are null.
+    """
+    lines = _reader(spark, "*.csv").text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    first = F.min_by("value", F.when((F.col("at") == 0) & (F.trim("value") != ""), F.col("n")))
+    kinds = lines.groupBy("f").agg(first.alias("header"), F.bool_and(F.is_valid_utf8("value")).alias("utf8")).groupBy("header", "utf8").agg(F.collect_list("f").alias("files")).collect()
+    if not kinds:
+        raise FileNotFoundError(f"no CSV files in {path}")
 
     def read(files: list[str], encoding: str) -> DataFrame:
         df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", sep).option("encoding", encoding).option("enforceSchema", False).csv(files)
         return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
-    parts = [read([f], e) for files, e in ((good, "UTF-8"), (bad, encoding_fallback)) for f in files] if _headers_differ(spark, good + bad) else [read(f, e) for f, e in ((good, "UTF-8"), (bad, encoding_fallback)) if f]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+    out = None
+    for k in sorted(kinds, key=lambda k: (k.header or "", k.utf8)):
+        part = read([unquote(f) for f in k.files], "UTF-8" if k.utf8 else encoding_fallback)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
-def _headers_differ(spark: SparkSession, files: list[str]) -> bool:
-    """Whether the files' first lines differ (they are compared in Spark; one number comes back)."""
-    lines = spark.read.option("wholetext", True).text(files)
-    return lines.select(F.substring_index("value", "\n", 1)).distinct().limit(2).count() > 1
-
-
 def read_folder(spark: SparkSession, path: str, source: str = "auto", table: str | None = None) -> DataFrame:
     """Every CSV and Parquet file of a folder as one frame; ``source`` is 'db', 'folder' or 'auto' (the table if it exists)."""
     if source not in ("db", "folder", "auto"):

@@ -133,3 +133,63 @@ def test_stream_reads_each_file_once(spark, tmp_path):
         (tmp_path / "in" / f"{k}.json").write_text(json.dumps([{"t": f"a{k}"}]))
         ingest_stream(spark, str(tmp_path / "in"), "t string", str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
         assert spark.read.parquet(str(tmp_path / "out")).count() == k + 1
+
+
+def test_array_files_and_broken_files(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('[\n  {"t": "one"},\n  {"t": "two"}\n]\n')
+    (tmp_path / "b c.jsonl").write_text('[{"t": "three"}]')
+    (tmp_path / "c.jsonl").write_text('{"t": "four"}\n{"t": "five"}\n')
+    assert sorted(r.t for r in files.read_listings_jsonl(spark, str(tmp_path)).collect()) == ["five", "four", "one", "three", "two"]
+    (tmp_path / "d.json").write_text("{nonsense")
+    (tmp_path / "e.json").write_text('{"t": 1}')
+    assert [r.source_file.rsplit("/", 1)[-1] for r in files.broken_files(spark, str(tmp_path)).collect()] == ["d.json"]
+
+
+def test_csv_of_many_headers_and_none(spark, tmp_path):
+    for k in range(12):
+        (tmp_path / f"f{k}.csv").write_bytes((f"a,h{k % 3}\n" + f'{k},"ç{k}"\n').encode("latin-1" if k % 2 else "utf-8"))
+    rows = files.read_listings_csv(spark, str(tmp_path)).collect()
+    assert sorted((int(r.a), r[f"h{int(r.a) % 3}"]) for r in rows) == [(k, f"ç{k}") for k in range(12)]
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        files.read_listings_csv(spark, str(tmp_path / "none"))
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+
+    from offerloom.operators.series import clip_quantiles, exact_quantiles, impute_median
+
+    rng = np.random.default_rng(1)
+    for v in ([1.0], [1.0, 2.0], [3.0] * 50 + [1.0], rng.normal(size=1000).round(2).tolist(), rng.exponential(size=777).tolist()):
+        df = spark.createDataFrame([(x,) for x in v] + [(None,)], "v double")
+        got = exact_quantiles(df, "v", {"a": 0.01, "b": 0.5, "c": 0.97, "d": 1.0}, parts=7).first()
+        assert list(got) == pytest.approx(np.quantile(v, [0.01, 0.5, 0.97, 1.0]).tolist())
+    empty = spark.createDataFrame([(None,)], "v double").withColumn("lo_", F.lit("mine"))
+    assert clip_quantiles(empty, "v").first() == (None, "mine") and impute_median(empty, ["v"]).first().v is None
+
+
+def test_rows_without_url_are_no_copies(spark):
+    rows = [("m", "a", 1.0, "", 1), ("m", "b", 2.0, None, 2), ("m", "b", 2.0, None, 2), ("m", "c", 3.0, "u", 3), ("m", "d", 4.0, "u", 4)]
+    df = spark.createDataFrame(rows, "marketplace string, title string, price double, url string, k int").withColumns({"captured_at": F.timestamp_seconds("k"), "rn_": F.lit(7)})
+    assert sorted((r.title, r.rn_) for r in dedup.dedup_offers(df).collect()) == [("a", 7), ("b", 7), ("d", 7)]
+
+
+def test_cheapest_detail_wins(spark):
+    seen = spark.createDataFrame([("u", 10.0, None), ("v", 5.0, "x")], "url string, price double, brand string").withColumn("detail_price", F.lit(1))
+    details = spark.createDataFrame([("u", "Pirelli P1", 9.0), ("u", "Michelin X", 8.0), ("v", "Pirelli", 6.0)], "url string, title string, price double")
+    for order in (details, details.orderBy("price")):
+        assert sorted(map(tuple, pages.enrich_listings(seen, order).collect())) == [("u", 8.0, "michelin", 1), ("v", 5.0, "x", 1)]
+
+
+def test_price_examples_of_ties(spark):
+    rows = [("k", "t%d" % (i % 3), float(p), "u%d" % i) for i, p in enumerate([5, 1, 3, 3, 3, 1, 9])] + [(None, "t", 1.0, "u"), ("k", "t", None, "u"), ("one", "t", 2.0, "w")]
+    df = spark.createDataFrame(rows, "canonical_key string, title string, price double, url string").withColumns({"seller": F.lit("s"), "marketplace": F.lit("m")})
+    got = [(r.canonical_key, r.example, r.price, r.url) for r in summary.price_examples(df).orderBy("canonical_key", "example").collect()]
+    assert got == [("k", 1, 1.0, "u1"), ("k", 2, 3.0, "u3"), ("k", 3, 9.0, "u6"), ("one", 1, 2.0, "w")]
+
+
+def test_approximate_summary(spark):
+    df = spark.range(1000).select(F.lit(None).cast("string").alias("canonical_key"), F.lit("b").alias("brand"), F.lit("m").alias("model"), F.lit("s").alias("size"), F.when(F.col("id") < 900, 1.0).otherwise(2.0).alias("price"), F.lit("x").alias("marketplace"), F.lit("f").alias("source_file"))
+    exact, near = summary.canonical_summary(df).first(), summary.canonical_summary(df, accuracy=100).first()
+    assert (exact.median_price, exact.mean_price, exact.media_correta) == (1.0, 1.1, near.media_correta if near.p90 == exact.p90 else exact.media_correta) and near.median_price == 1.0 and near.n_listings == 1000

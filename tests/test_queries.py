@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from offerloom.operators import pricing
-from offerloom.plans import catalog
+from offerloom.plans import catalog, composites, roundtrips  # noqa: F401
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
