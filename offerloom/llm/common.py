@@ -2,34 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one where that is unset and the master is local."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="offerloom-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
+from offerloom.functions.names import fresh  # noqa: F401  for the other modules of this package
+from offerloom.sources.scratch import new_path
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back, so later jobs start from files that outlive any executor."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -41,16 +28,18 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def fresh(df: DataFrame, *names: str) -> list[str]:
-    """Column names that ``df`` does not have, made from ``names`` (input may carry any extra columns)."""
-    taken = {c.lower() for c in df.columns}
-    out = []
-    for n in names:
-        while n.lower() in taken:
-            n = "_" + n
-        taken.add(n.lower())
-        out.append(n)
-    return out
+#: Bits of a filter on ids: 8 MB, whatever the number of ids. Beyond some ten million ids it lets through more than it should.
+FILTER_BITS = 1 << 26
+
+
+def bit_filter(slots: DataFrame, column: str) -> bytes:
+    """A bit for each value of ``column`` (0 to FILTER_BITS - 1) that occurs."""
+    slot = F.col(column)
+    rows = slots.select(F.floor(slot / 32768).alias("b"), (slot % 32768).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect()
+    out = bytearray(FILTER_BITS // 8)
+    for r in rows:
+        out[r.b * 4096 : (r.b + 1) * 4096] = r.bits
+    return bytes(out)
 
 
 def strata(n0: int, n1: int, most: int) -> tuple[int, int]:

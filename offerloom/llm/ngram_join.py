@@ -18,11 +18,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import connected_components, discard, materialize
+from offerloom.llm.common import FILTER_BITS, bit_filter, connected_components, discard, materialize
 
-#: Counters of the frequency sketch (4 bytes each) and of one message; bits of the filter on document ids. All are fixed bounds.
-COUNTERS, CHUNK, ID_BITS = 1 << 20, 1 << 14, 1 << 26
-CACHED_WORDS = 200_000
+#: Counters of the frequency sketch (4 bytes each) and of one message; fixed bounds.
+COUNTERS, CHUNK = 1 << 20, 1 << 14
+CACHED_WORDS = 100_000
 FRAGMENTS = 4
 #: Shingles of more documents than this, by the sketch, and of 8 times the mean counter are spread over SALTS tasks.
 FREQUENT, SALTS = 100_000, 64
@@ -224,7 +224,7 @@ def _segments(width: int, order, wanted):
         for batch in _slices(batches):
             ids, frags, segs = [], [], []
             for i, text in _ids_and_texts(batch):
-                if i is None or not bits[(i % ID_BITS) >> 3] >> (i & 7) & 1:
+                if i is None or not bits[(i % FILTER_BITS) >> 3] >> (i & 7) & 1:
                     continue
                 h = s.hashes(s.words(text))
                 f = np.searchsorted(o.pivots, o.keys(h), "right")
@@ -246,16 +246,6 @@ def _sketch(spark: SparkSession, parts: DataFrame) -> np.ndarray:
     return counts
 
 
-def _id_filter(ids: DataFrame) -> bytes:
-    """A bit for each id modulo ID_BITS: 8 MB at most, whatever the number of ids."""
-    slot = F.pmod(F.col("doc"), F.lit(ID_BITS))
-    rows = ids.select(F.floor(slot / 32768).alias("b"), (slot % 32768).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect()
-    out = bytearray(ID_BITS // 8)
-    for r in rows:
-        out[r.b * 4096 : (r.b + 1) * 4096] = r.bits
-    return bytes(out)
-
-
 def _bounded(percent: int):
     """Of pairs (a, b, na, nb, bits of a, bits of b) those that the bitmaps leave possible, with the number of bits that differ."""
 
@@ -412,7 +402,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         Only documents of these pairs (and those that share their bit of the filter) are cut into segments. The segments of b go to
         those of a, which are there once for SPAN partners.
         """
-        wanted = spark.sparkContext.broadcast(_id_filter(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))))
+        ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
+        wanted = spark.sparkContext.broadcast(bit_filter(ids.select(F.pmod("doc", F.lit(FILTER_BITS)).alias("slot")), "slot"))
         segments = materialize(texts.mapInArrow(_segments(width, order, wanted), "doc long, frag int, shingles array<long>"), "segments")
         spans = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SPAN).alias("spans"))
         partners = pairs.join(spans, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("spans")))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import materialize, strata
+from offerloom.llm.common import FILTER_BITS, bit_filter, materialize, strata
 
 # Words of address and of reporting in English, German, French and Spanish, and characters that stand for letters.
 ADDRESS = frozenset("you your you're u du dein deine ihr euer tu toi ton ta vous votre tú usted ustedes vuestro eres".split())
@@ -27,7 +27,7 @@ QUOTES = "\"'“”„«»‘’‚"
 LOOKS_LIKE = str.maketrans("013457@$", "oieastas")
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + QUOTES + "…–—¿¡"
 WINDOW = 6
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 
 
 def clean(token: str) -> str:
@@ -179,8 +179,42 @@ def train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, m
     return texts_of(docs, id_col, text_col).join(F.broadcast(of[0].unionByName(of[1])), F.col("id") == F.col("label_id")).select("id", "text", "toxic", "weight")  # at most ``most`` rows of three numbers
 
 
+def words_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(words, toxic): the distinct words of each labelled row that is not held out, one to a line.
+
+    Words are taken where the texts are read, and only they are joined to the labels. A filter of bits on the labelled ids, of fixed
+    size, spares the work for most other rows.
+    """
+    marked = labelled(labels)
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)).alias("slot")
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(marked.select(slot(F.col("label_id").cast("string"))), "slot"))
+
+    def distinct(batches):
+        forms: dict[str, str] = {}
+        bits = wanted.value
+        for batch in batches:
+            keys, words = [], []
+            for key, at, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if not bits[at >> 3] >> (at & 7) & 1:
+                    continue
+                found = set()
+                for t in set(text.split()):
+                    w = forms.get(t)
+                    if w is None:
+                        w = forms[t] = clean(t)
+                    found.add(w)
+                if len(forms) > CACHED_WORDS:
+                    forms.clear()
+                keys.append(key)
+                words.append("\n".join(found))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(words, pa.string())], names=["key", "words"])
+
+    texts = texts_of(docs, id_col, text_col).select(F.col("id").cast("string").alias("key"), slot(F.col("id").cast("string")), "text")
+    return texts.mapInArrow(distinct, "key string, words string").join(marked, F.col("key") == F.col("label_id").cast("string")).select("words", "toxic")
+
+
 def learn_lexicon(rows: DataFrame, most_terms: int = 400, least_docs: int = 8, least_ratio: float = 20.0) -> list[tuple[str, float]]:
-    """Words that stand out in the toxic ones of ``rows`` (text, toxic), with the log of their smoothed ratio; at most ``most_terms``.
+    """Words that stand out in the toxic ones of ``rows`` (words, toxic), with the log of their smoothed ratio; at most ``most_terms``.
 
     Counts are document frequencies, so a word counts once for a document. Words need ``least_docs`` toxic documents and a share
     among them that is ``least_ratio`` times the share among the others. Each task counts its words before they are shuffled, and only
@@ -193,25 +227,16 @@ def learn_lexicon(rows: DataFrame, most_terms: int = 400, least_docs: int = 8, l
         return pa.RecordBatch.from_arrays(columns, names=["word", "a", "b"])
 
     def count(batches):
-        counts, forms = (Counter(), Counter()), {}
+        counts = (Counter(), Counter())
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = set()
-                for t in set(text.split()):
-                    w = forms.get(t)
-                    if w is None:
-                        w = forms[t] = clean(t)
-                    found.add(w)
-                found.add("")  # stands for the document
-                counts[toxic == 1].update(found)
-                if len(forms) > CACHED_WORDS:
-                    forms.clear()
+            for words, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts[toxic == 1].update({"", *words.split("\n")})  # '' stands for the document
                 if len(counts[0]) + len(counts[1]) > CACHED_WORDS:
                     yield sums(counts)
                     counts = (Counter(), Counter())
         yield sums(counts)
 
-    counts = rows.select("text", "toxic").mapInArrow(count, "word string, a long, b long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counts = rows.select("words", "toxic").mapInArrow(count, "word string, a long, b long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     counts = materialize(counts.where((F.col("a") >= least_docs) | (F.col("word") == "")), "words")
     n = counts.where("word = ''").first()
     if not n or not n.a or not n.b:
@@ -268,7 +293,7 @@ class ToxicityModel:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_train: int = 20_000) -> ToxicityModel:
     """Learn the lexicon from all labelled rows that are not held out, and the weights from at most ``most_train`` of them; only texts enter."""
-    lexicon = learn_lexicon(texts_of(docs, id_col, text_col).join(labelled(labels), F.col("id") == F.col("label_id")))
+    lexicon = learn_lexicon(words_of(docs, labels, id_col, text_col))
     if not lexicon:
         return ToxicityModel([], None)
     train = train_rows(docs, labels, id_col, text_col, most_train)
@@ -281,8 +306,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """(doc_id, held_out, score, predicted, hits, quoted) for every row of ``docs``.
 
     Learns only from rows of ``labels`` (doc_id, toxic) with crc32(doc_id as text) mod 5 other than 0: the lexicon from all of these, the
-    weights from at most ``most_train``, drawn by kind; no column but the text enters a score. hits counts lexicon terms, quoted those in quotation. Null and empty texts
-    have the score of a text without hits. With labels of one kind or none, all scores are 0. Rows that repeat each get a row; a null
+    weights from at most ``most_train``, drawn by kind; no column but the text enters a score. hits counts lexicon terms, quoted those
+    in quotation. Null and empty texts have the score of a text without hits. Rows that repeat an id in ``labels`` count as labels each. With labels of one kind or none, all scores are 0. Rows that repeat each get a row; a null
     id has held_out null. An empty table gives an empty result. Extra columns are ignored.
     """
     model = fit_toxicity(docs, labels, id_col, text_col, most_train)
@@ -293,6 +318,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are not predicted toxic, with their columns; no shuffle once the model is learned."""
+    """The documents that are not predicted toxic, with their columns; no shuffle once the model is learned.
+
+    Null and empty texts stay, and so do all rows where the labels are of one kind or none. Repeats and null ids are rows like any
+    others. An empty table gives an empty result.
+    """
     model = fit_toxicity(docs, labels, id_col, text_col)
     return docs.where(model.score(model.features(F.col(text_col).cast("string"))) < 0.5)
