@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from offerloom.llm.common import discard, materialize
 
 KINDS = ("email", "ip", "card", "phone")
+SLICE = 500
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+").match
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # The whole run of digits is taken even where no address follows: no later start in the run could match either.
@@ -129,7 +130,7 @@ OCCURRENCES = "array<struct<kind:int,may:int,start:long,end:long,inst:string,pat
 
 def _find(batches):
     kind_t = pa.list_(pa.struct([("kind", pa.int32()), ("may", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("inst", pa.string()), ("patterns", pa.list_(pa.string()))]))
-    for batch in batches:
+    for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):  # few texts and spans are objects at a time
         ids, keys, counts, shas, found = [], [], ([], [], [], []), [], []
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             text = text or ""
@@ -155,7 +156,7 @@ def bootstrap(occurrences: DataFrame, most_rounds: int = 8, least_seeds: int = 3
     ``occurrences`` has kind (null: not a seed), may (possible kinds as bits), inst and patterns. Each distinct (pattern, instance) is
     one edge of the graph. A pattern's score for a kind is the sum of its instances' scores over their number plus ``smoothing``. Seeds
     count 1, and so do accepted instances; others count their score. Patterns take part if they reach ``least_pattern`` and have
-    ``least_seeds`` seeds or accepted instances. Rounds end when the scores stay as they are, or after ``most_rounds``.
+    ``least_seeds`` seeds or accepted instances. Rounds end when the scores stay as they are (to three decimals), or after ``most_rounds``.
     """
     edges = occurrences.select("kind", "may", "inst", F.explode("patterns").alias("pattern")).groupBy("pattern", "inst").agg(F.min("kind").alias("kind"), F.max("may").alias("may"))
     edges = materialize(edges, "graph")
@@ -173,7 +174,7 @@ def bootstrap(occurrences: DataFrame, most_rounds: int = 8, least_seeds: int = 3
         last, scores = scores, materialize(reached.select("inst", "kind", "p", F.when(F.col("p") >= accept, 1.0).otherwise(F.col("p")).alias("score")), "scores")
         if last is not None:
             discard(last)
-        now = scores.agg(F.count(F.lit(1)).alias("n"), F.sum(F.round("score", 6)).alias("s"), F.count_if(F.col("score") == 1).alias("sure")).first()
+        now = scores.agg(F.count(F.lit(1)).alias("n"), F.sum(F.round("score", 3)).alias("s"), F.count_if(F.col("score") == 1).alias("sure")).first()
         if now == before or not now.n:
             break
         before = now
