@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from offerloom.functions.names import fresh  # noqa: F401  for the other modules of this package
-from offerloom.sources.scratch import new_path
+from offerloom.sources.scratch import new_path, remove
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
@@ -23,9 +23,8 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete a table that :func:`materialize` wrote, once nothing reads it any more."""
-    for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove(df.sparkSession, folder)
 
 
 #: Bits of a filter on ids: 8 MB, whatever the number of ids. Beyond some ten million ids it lets through more than it should.
