@@ -42,6 +42,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op3 that SQL can express."""
+    return op3_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule")
+
+
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.resolve_revisits(warc.records_of_pages(table(spark, sf_dir, "pages")))
     return found.withColumn("headers", warc.header_text(F.col("headers")))
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "url_rules": url_rules,
 }
 
 ORACLE: dict[str, str] = {
@@ -102,5 +108,10 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
     "op4_warc_revisits": warc.ORACLE,
+    "url_rules": """
+        WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+             p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r)
+        SELECT page_id, host, path, CASE WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/' WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+               WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule FROM p""",
     "op6_license_scan": license_scan.oracle(),
 }

@@ -115,6 +115,54 @@ def test_tokenizer_equals_the_library():
         assert t.ids(x) == struct.pack(f"<{len(e.ids)}I", *e.ids), x
 
 
+def test_ngram_join_odd_rows(spark):
+    """Null ids, extra columns and very long texts; copies in groups far larger than a tile."""
+    rng = random.Random(8)
+    long = words(rng, 20_000, 5000)
+    base = words(rng, 60)
+    near = [" ".join(f"x{k}" if j == k % 60 else w for j, w in enumerate(base.split())) for k in range(300)]  # one word each changed: all similar
+    rows = [(None, base), (None, ""), (1, long), (2, long + " end"), *((10 + k, t) for k, t in enumerate(near))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"label": F.lit("a"), "n": F.lit(1), "bits": F.lit(2)})
+    got = ngram_join.jaccard_components(df).collect()
+    want = brute_components(near)
+    by_id = {r.doc_id: r.component_id for r in got if r.doc_id is not None}
+    assert len(got) == len(rows) and (by_id[1], by_id[2]) == (1, 1) and [by_id[10 + k] for k in range(300)] == [10 + c for _, c in want]
+    assert sorted((r.n_shingles, r.component_id) for r in got if r.doc_id is None) == [(0, None), (56, None)]
+    kept = ngram_join.drop_near_copies(df)
+    assert kept.columns == df.columns and kept.where("doc_id is null").count() == 2
+
+
+def test_crossing_pairs_in_blocks(spark, monkeypatch):
+    """Small tiles and spans: the components stay those of brute force."""
+    monkeypatch.setattr(ngram_join, "TILE", 4)
+    monkeypatch.setattr(ngram_join, "SPAN", 3)
+    rng = random.Random(13)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for _ in range(60):  # a cloud of texts near the threshold
+        t = base[:]
+        for _ in range(rng.randrange(6)):
+            t[rng.randrange(120)] = f"y{rng.randrange(10**6)}"
+        texts.append(" ".join(t))
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs_of(spark, texts)).collect()}
+    assert [got[k] for k in range(60)] == [c for _, c in brute_components(texts)]
+
+
+def test_packing_odd_rows(spark):
+    df = docs_of(spark, ["a b c", "a b c", None, "d " * 200]).withColumns({"length": F.lit(1), "place": F.lit(2), "rank_": F.lit(3), "plan_": F.lit(4)})
+    twice = packing.pack_documents(df.unionByName(df).unionByName(df.where("doc_id = 0").withColumn("doc_id", F.lit(None).cast("long"))), tokenizer_path(), capacity=64).collect()
+    assert Counter((r.doc_id, r.piece) for r in twice) == Counter({(0, 0): 2, (1, 0): 2, (2, 0): 2, (None, 0): 1, **{(3, k): 2 for k in range(4)}})
+    places = sorted((r.sequence_id, r.offset, r.length) for r in twice)
+    assert all(b[0] != a[0] or b[1] == a[1] + a[2] for a, b in zip(places, places[1:], strict=False))
+
+
+def test_packing_follows_places(spark):
+    """Documents of one length fill the sequences in the order of their places."""
+    df = spark.createDataFrame([(k, "a b c", 1000 - k) for k in range(1000)], "doc_id long, text string, at long")
+    rows = packing.pack_documents(df, tokenizer_path(), capacity=8, place_col="at").orderBy("sequence_id", "offset").collect()
+    assert [r.doc_id for r in rows] == list(range(999, -1, -1))
+
+
 def test_packing(spark, texts):
     rows = packing.pack_documents(docs_of(spark, texts), tokenizer_path(), capacity=64).collect()
     t = packing.WordTokenizer(tokenizer_path())
@@ -179,6 +227,38 @@ def test_mixing_surplus(spark):
     assert [(r.in_mix, r.stream, r.block, r.slot) for r in only] == [(False, None, None, None)]
 
 
+def test_mixing_against_a_plain_schedule(spark):
+    """Every row's slot, by sorting the rows of a source by the hash of their id and dealing blocks slot by slot."""
+    n = {"a": 95, "b": 60, "c": 31, "d": 3}
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(s for s, k in n.items() for _ in range(k))], "doc_id long, source string")
+    rows = df.withColumn("h", F.xxhash64("doc_id")).collect()
+    quota, slots, at = mixing.quotas(n, mixing.capped_weights(n, 0.4)), {}, 0
+    rest = {s: k - quota[s] for s, k in n.items()}
+    order = {s: [r.doc_id for r in sorted((r for r in rows if r.source == s), key=lambda r: r.h)] for s in n}
+    for part, skip in ((quota, dict.fromkeys(n, 0)), (rest, quota)):
+        left = {s: -(-k // 8) for s, k in part.items()}
+        total, done = sum(left.values()), Counter()
+        for t in range(total):
+            ready = [s for s in sorted(left) if done[s] < left[s] and done[s] * total // left[s] <= t]
+            s = min(ready, key=lambda s: (-(-(done[s] + 1) * total // left[s]), s))
+            for i in order[s][skip[s] + 8 * done[s] : skip[s] + min(part[s], 8 * (done[s] + 1))]:
+                slots[i] = at + t
+            done[s] += 1
+        at += total
+    assert {r.doc_id: r.slot for r in mixing.mix_sources(df, cap=0.4).collect()} == slots
+    kept = mixing.mixed(df, cap=0.4, surplus=True).withColumn("p", F.spark_partition_id()).collect()
+    assert [slots[r.doc_id] for r in kept] == sorted(slots.values())
+
+
+def test_mixing_odd_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a"), (None, None), (2, "b")], "doc_id long, source string").withColumns({"slot": F.lit("x"), "p_": F.lit(1), "h_": F.lit(2)})
+    got = mixing.mix_sources(df, cap=0.5).collect()
+    assert len(got) == 5 and all(r.release <= r.slot < r.deadline for r in got)
+    kept = mixing.mixed(df, cap=0.5, surplus=True)
+    assert kept.columns == df.columns and sorted(map(str, kept.collect())) == sorted(map(str, df.collect()))
+    assert mixing.mixed(df.limit(0)).count() == 0
+
+
 def test_mixing_lag_over_periods(spark):
     """Shares that no short period holds in whole blocks; over 70,000 slots each source, rare ones too, stays within a block."""
     n = {"a": 35_001, "b": 17_507, "c": 17_489, "d": 9, "e": 1}
@@ -330,6 +410,13 @@ def test_url_filter(spark):
     assert (alone.verdict, alone.score) == ("allow", None)
 
 
+def test_url_filter_odd_rows(spark):
+    df = spark.createDataFrame([(1, "http://a.net/x"), (1, "http://a.net/x"), (None, None), (2, "http://b.org/fr/")], "page_id long, url string").withColumns({"host": F.lit(1), "label": F.lit(2), "match": F.lit(3)})
+    got = url_filter.filter_urls(df, rounds=1).collect()
+    assert Counter((r.page_id, r.verdict) for r in got if r.page_id) == {(1, "block"): 2, (2, "allow"): 1} and len(got) == 4
+    assert url_filter.filter_urls(df.limit(0)).count() == 0
+
+
 def test_url_suffixes_beyond_sample(spark, monkeypatch):
     """Suffix statistics are of all labelled URLs, and both verdicts are trained on, however few rows the trees may take."""
     urls = [f"http://h{k}.com/{k}" for k in range(5)] + [f"http://a{k}.s{k % 50}.net/x" for k in range(400)] + [f"http://a{k}.b.org/fr/" for k in range(8)]
@@ -447,6 +534,10 @@ def test_toxicity(spark):
     assert got[600].score == got[601].score < 0.5 and all(0 <= r.score <= 1 for r in got.values())
     assert toxicity.drop_toxic(df, lab).columns == df.columns
     assert toxicity.score_toxicity(df, lab.limit(0)).where("score <> 0").count() == 0
+    assert toxicity.score_toxicity(df.limit(0), lab).count() == 0 and toxicity.drop_toxic(df.limit(0), lab).count() == 0
+    odd = df.withColumns({"words": F.lit("a"), "toxic": F.lit(1), "slot": F.lit(2), "label_id": F.lit(3)})
+    again = toxicity.score_toxicity(odd.unionByName(odd.where("doc_id < 3")), lab.unionByName(lab.where("doc_id < 9"))).collect()
+    assert len(again) == len(texts) + 3 and all(0 <= r.score <= 1 for r in again)
 
 
 def test_toxic_terms_beyond_sample(spark):
