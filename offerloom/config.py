@@ -29,7 +29,7 @@ class MatchConfig:
         return cls(tuple(sorted({fold(b) for b in brands} - {""})), pairs(brand_aliases), tuple(sorted(phrases, key=lambda p: (-len(p), p))), pairs(model_aliases))
 
 
-# Brands, model phrases and words of the tyre trade in Brazil.
+# Brands, model phrases and words of the tyre trade in Brazil. Stop words are written as folding leaves them (no accents).
 KNOWN_BRANDS = (
     "goodyear", "pirelli", "michelin", "dunlop", "bridgestone", "continental", "hankook", "bfgoodrich", "firestone", "kumho", "atras",
     "maxxis", "formula", "yokohama", "toyo", "nitto", "general", "cooper", "falken", "nexen", "sumitomo",
@@ -49,6 +49,7 @@ GENERIC_NAMES = ("p", "produto", "products", "product", "click", "clicks", "coun
 
 DEFAULT = MatchConfig.of(KNOWN_BRANDS, {}, MODEL_PHRASES, {})
 
+# Names of fields in the files of the shops.
 #: Column names that stand for each canonical field, the first that exists wins.
 COLUMN_ALIASES = {
     "title": ("title", "titulo", "nome", "produto", "product_title"),

@@ -74,11 +74,21 @@ def safe_part(c: Column, default: str = "NA") -> Column:
     return F.coalesce(blank_to_null(t), F.lit(default))
 
 
+# Hosts of click tracking and their parameters, path segments and words that name no product, file endings.
+CLICK_HOST = "^click.*mercadolivre\\.com"
+CLICK_PARAMETERS = ("url", "u", "redirect", "redirectUrl", "dest", "go", "to")
+PLAIN_SEGMENT = "(?i)^(ml[balmcuv]-?[0-9]+|p|produtos?|products?)$"
+PAGE_ENDING = "(?i)\\.(html?|php|aspx|jsp|json|xml|jm)$"
+ITEM_CODE = "(?i)^ml[balmcuv]-?[0-9]+"
+SALES_WORDS = "(?i)\\b(oficial|original|novo|usado|frete|gratis|grátis)\\b"
+SEARCH_ENDING = "(?i)(_[0-9]{8}_[0-9]{6})?\\.(json|csv|txt)$"
+
+
 def unwrap_click_url(url: Column) -> Column:
     """The target in the redirect parameters of a click-tracking link; other links stay."""
     host = F.lower(F.try_parse_url(url, F.lit("HOST")))
-    target = F.coalesce(*[F.try_parse_url(url, F.lit("QUERY"), F.lit(k)) for k in ("url", "u", "redirect", "redirectUrl", "dest", "go", "to")])
-    return F.when(host.rlike("^click.*mercadolivre\\.com"), F.coalesce(F.try_url_decode(target), url)).otherwise(url)
+    target = F.coalesce(*[F.try_parse_url(url, F.lit("QUERY"), F.lit(k)) for k in CLICK_PARAMETERS])
+    return F.when(host.rlike(CLICK_HOST), F.coalesce(F.try_url_decode(target), url)).otherwise(url)
 
 
 def name_from_url(url: Column) -> Column:
@@ -94,19 +104,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def _useful_segment(seg: Column) -> Column:
     last, before = F.try_element_at(seg, F.lit(-1)), F.try_element_at(seg, F.lit(-2))
-    skip = last.rlike("(?i)^(ml[balmcuv]-?[0-9]+|p|produtos?|products?)$")
+    skip = last.rlike(PLAIN_SEGMENT)
     return F.when(skip & before.isNotNull(), before).otherwise(last)
 
 
 def _without_codes(s: Column) -> Column:
-    s = F.replace(F.regexp_replace(s, "(?i)\\.(html?|php|aspx|jsp|json|xml|jm)$", ""), F.lit("_JM"), F.lit(""))
-    s = F.regexp_replace(F.regexp_replace(s, "(?i)^ml[balmcuv]-?[0-9]+", ""), "^[-_]+", "")
-    return F.regexp_replace(F.regexp_replace(s, "[-_]+", " "), "(?i)\\b(oficial|original|novo|usado|frete|gratis|grátis)\\b", "")
+    s = F.replace(F.regexp_replace(s, PAGE_ENDING, ""), F.lit("_JM"), F.lit(""))
+    s = F.regexp_replace(F.regexp_replace(s, ITEM_CODE, ""), "^[-_]+", "")
+    return F.regexp_replace(F.regexp_replace(s, "[-_]+", " "), SALES_WORDS, "")
 
 
 def name_from_query(query: Column) -> Column:
     """A readable name from the file name of a search."""
-    base = F.regexp_replace(query, "(?i)(_[0-9]{8}_[0-9]{6})?\\.(json|csv|txt)$", "")
+    base = F.regexp_replace(query, SEARCH_ENDING, "")
     return _title(F.regexp_replace(base, "[-_]+", " "))
 
 

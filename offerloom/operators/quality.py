@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from offerloom.config import MatchConfig
 from offerloom.functions import attributes as E
@@ -33,7 +34,7 @@ def audit_df(df: DataFrame, columns=("brand", "model", "size", "seller"), n: int
 
 
 def precheck_price_sanity(s: str = "") -> Column:
-    """The alert codes of a summary row, as an array."""
+    """The alert codes (fixed values) of a summary row, as an array."""
     c = lambda x: F.col(s + x)
     lo, hi, mean, med, p10, p90, n = (c(x) for x in ("min_price", "max_price", "mean_price", "median_price", "p10", "p90", "n_listings"))
     known = lo.isNotNull() & hi.isNotNull()
@@ -90,9 +91,14 @@ def duplicate_urls(df: DataFrame, n: int = 50) -> DataFrame:
 
 def multi_source_items(df: DataFrame, n: int = 100) -> DataFrame:
     """Products that come from several files, with the files."""
-    d = df.where("brand <> '' AND model <> '' AND size <> ''").groupBy(*TRIPLET)
-    out = d.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("source_file").alias("n_sources"), joined_set(F.col("source_file"), " | ").alias("s_")).where("n_sources >= 2")
-    return out.select(*TRIPLET, "n_rows", "n_sources", F.substring("s_", 1, 300).alias("sources_snippet")).orderBy(F.desc("n_sources"), F.desc("n_rows"), *TRIPLET).limit(n)
+    per_file = df.where("brand <> '' AND model <> '' AND size <> ''").groupBy(*TRIPLET, "source_file").agg(F.count(F.lit(1)).alias("k"))
+    out = per_file.groupBy(*TRIPLET).agg(F.sum("k").alias("n_rows"), F.count("source_file").alias("n_sources")).where("n_sources >= 2")
+    top = out.orderBy(F.desc("n_sources"), F.desc("n_rows"), *TRIPLET).limit(n)
+    # Names of these products only, and of each no more than 300 characters can hold.
+    names = per_file.where(F.trim("source_file") != "").join(top.select(*TRIPLET), TRIPLET, "left_semi")
+    names = names.withColumn("rank", F.row_number().over(Window.partitionBy(*TRIPLET).orderBy("source_file"))).where("rank <= 100")
+    snippet = F.substring(F.array_join(F.array_sort(F.collect_list("source_file")), " | "), 1, 300).alias("sources_snippet")
+    return top.join(names.groupBy(*TRIPLET).agg(snippet), TRIPLET, "left").withColumn("sources_snippet", F.coalesce("sources_snippet", F.lit(""))).orderBy(F.desc("n_sources"), F.desc("n_rows"), *TRIPLET)
 
 
 def same_brand_and_model(df: DataFrame, n: int = 50) -> DataFrame:
@@ -167,7 +173,7 @@ def verify_snapshot(df: DataFrame, key=("marketplace", "sku_norm"), required=("m
 
 def evidence_values(evidence: DataFrame, json_column: str | None, config: MatchConfig, url: str = "url") -> DataFrame:
     """Per url one row of candidate brand, model, size and seller: own column, then a field of the JSON text, then the title."""
-    names = {
+    names = {  # fixed values: fields of the evidence
         "title": ("title", "titulo", "name", "produto", "product_title"), "seller": ("seller", "vendedor", "loja", "seller_name"),
         "brand": ("brand", "brand_raw", "marca"), "model": ("model", "model_raw", "modelo"), "size": ("size", "tamanho", "medida"),
     }
