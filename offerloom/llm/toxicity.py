@@ -8,6 +8,7 @@ words of reporting around it speak for quotation, words of address for abuse. A
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,7 +28,7 @@ QUOTES = "\"'“”„«»‘’‚"
 LOOKS_LIKE = str.maketrans("013457@$", "oieastas")
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + QUOTES + "…–—¿¡"
 WINDOW = 6
-CACHED_WORDS = 100_000
+CACHED_WORDS, MOST_STATES = 100_000, 100_000
 
 
 def clean(token: str) -> str:
@@ -42,8 +43,8 @@ def allowed_edits(term: str) -> int:
 class FuzzyLexicon:
     """Levenshtein automata of all terms at once, intersected with their trie and made deterministic as words are met.
 
-    A state is the set of (trie node, edits so far) that a word's prefix can be in; ``match`` follows one transition per character
-    and stops when the set is empty.
+    A state is the set of (trie node, edits so far) that a word's prefix can be in, kept as packed numbers; ``match`` follows one
+    transition per character and stops when the set is empty. Beyond ``MOST_STATES`` states they are built anew.
     """
 
     def __init__(self, terms: list[str]):
@@ -63,8 +64,11 @@ class FuzzyLexicon:
                 self.most[node] = max(self.most[node], k)
             self.term[node] = t
         self.edits = [allowed_edits(t) for t in terms]
-        self.states: dict[frozenset, int] = {}
-        self.sets: list[frozenset] = []
+        self._begin()
+
+    def _begin(self) -> None:
+        self.states: dict[bytes, int] = {}
+        self.sets: list[bytes] = []
         self.delta: list[dict[str, int]] = []
         self.accept: list[tuple[int, int] | None] = []
         self.start = self._state({(0, 0)})
@@ -78,18 +82,20 @@ class FuzzyLexicon:
                 continue
             best[node] = e
             todo += [(n, e + 1) for n in self.child[node].values()]
-        key = frozenset(best.items())
+        key = array("I", sorted(4 * node + e for node, e in best.items())).tobytes()
         if key not in self.states:
             self.states[key] = len(self.sets)
             self.sets.append(key)
             self.delta.append({})
-            hits = [(e, self.term[n]) for n, e in key if self.term[n] >= 0 and e <= self.edits[self.term[n]]]
+            hits = [(e, self.term[n]) for n, e in best.items() if self.term[n] >= 0 and e <= self.edits[self.term[n]]]
             self.accept.append(min(hits) if hits else None)
         return self.states[key]
 
     def _step(self, state: int, c: str) -> int:
         out = set()
-        for node, e in self.sets[state]:
+        packed = array("I")
+        packed.frombytes(self.sets[state])
+        for node, e in (divmod(k, 4) for k in packed):
             out.add((node, e + 1))  # an extra letter
             for x, n in self.child[node].items():
                 out.add((n, e + (x != c)))
@@ -98,6 +104,8 @@ class FuzzyLexicon:
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(term, edits) of the nearest term within its allowed edits, or None."""
+        if len(self.sets) > MOST_STATES:
+            self._begin()
         s = self.start
         for c in word:
             nxt = self.delta[s].get(c)
