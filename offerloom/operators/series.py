@@ -17,7 +17,7 @@ def _with_global(df: DataFrame, values: DataFrame) -> DataFrame:
     return df.withColumn(one, F.lit(1)).join(F.broadcast(values.withColumn(one, F.lit(1))), one, "left").drop(one)
 
 
-def exact_quantiles(df: DataFrame, column: str, at: dict[str, float], parts: int = 200) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, at: dict[str, float], parts: int = 128) -> DataFrame:
     """One row with the exact quantiles ``at`` of a column, named by the keys, interpolated linearly; nulls don't count.
 
     Distinct values are counted and dealt into ``parts`` ranges of about equal numbers of rows (edges by approximate quantiles). Running
@@ -27,7 +27,14 @@ def exact_quantiles(df: DataFrame, column: str, at: dict[str, float], parts: int
     v = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
     edges = v.agg(F.percentile_approx("v", F.array(*[F.lit(k / parts) for k in range(1, parts)]), F.lit(10 * parts)).alias("edges"))
     counts = _with_global(v.groupBy("v").agg(F.count(F.lit(1)).alias("c")), edges)
-    dealt = counts.select("v", "c", F.size(F.filter("edges", lambda e: e < F.col("v"))).alias("b"))
+
+    def edges_below(low: int, high: int) -> Column:  # by bisection
+        if low == high:
+            return F.lit(low)
+        k = (low + high) // 2
+        return F.when(F.col("edges")[k] < F.col("v"), edges_below(k + 1, high)).otherwise(edges_below(low, k))
+
+    dealt = counts.select("v", "c", edges_below(0, parts - 1).alias("b"))
     every = Window.orderBy("b")
     sizes = dealt.groupBy("b").agg(F.sum("c").alias("n"))
     sizes = sizes.select("b", F.coalesce(F.sum("n").over(every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"), F.sum("n").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))

@@ -62,10 +62,12 @@ def canonical_summary(listings: DataFrame, accuracy: int | None = None) -> DataF
         stats = _null_safe_join(stats.drop("q_"), approx, keys)
     for i, c in enumerate(("p10", "median_price", "p90")):
         stats = stats.withColumn(c, F.round(F.col("q_")[i], DIGITS))
-    bounds = stats.select(*[F.col(k).alias(f"{k}_") for k in keys], "p10", "p90")
-    trimmed = _null_safe_join(rows.where("price IS NOT NULL").select(*keys, "price", "n_"), bounds, keys).where("price BETWEEN p10 AND p90")
-    trimmed = trimmed.groupBy(*[F.col(k).alias(f"{k}_") for k in keys]).agg((cents.cast("double") / F.sum(n)).alias("media_correta"))
-    out = _null_safe_join(stats, trimmed, keys, "left")
+    # Each group's prices beside its statistics; what comes out is a row for each group again. Without a filter here both uses of
+    # ``rows`` are one shuffle.
+    known = stats.drop("q_").withColumnsRenamed({k: f"{k}_" for k in keys})
+    near = F.col("price").between(F.col("p10"), F.col("p90"))
+    grouped = _null_safe_join(rows.select(*keys, "price", "n_"), known, keys).groupBy(*keys, *[c for c in known.columns if c not in {f"{k}_" for k in keys}])
+    out = grouped.agg((F.sum(F.when(near, p.cast("decimal(18,2)") * n)).cast("double") / F.sum(F.when(near, n))).alias("media_correta"))
     out = out.withColumn("marketplaces", F.when(F.col("n_prices") > 0, F.col("m_")).otherwise(""))
     cols = [*keys, "n_listings", "marketplaces", "min_price", "max_price", "mean_price", "median_price", "p10", "p90", "media_correta", "evidence_files"]
     return out.select(*cols)
