@@ -18,11 +18,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import FILTER_BITS, bit_filter, connected_components, discard, materialize
+from offerloom.llm.common import FILTER_BITS, bit_filter, connected_components, discard, materialize, tidy
 
 #: Counters of the frequency sketch (4 bytes each) and of one message; fixed bounds.
 COUNTERS, CHUNK = 1 << 20, 1 << 14
-CACHED_WORDS = 100_000
+CACHED_WORDS = 50_000
 FRAGMENTS = 4
 #: Shingles of more documents than this, by the sketch, and of 8 times the mean counter are spread over SALTS tasks.
 FREQUENT, SALTS = 100_000, 64
@@ -383,7 +383,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    profile = materialize(texts.mapInArrow(_profile(width), "doc long, c1 long, c2 long, n long, bits binary, chunk int, counts binary"), "profile")
+    profile = materialize(texts.mapInArrow(tidy(_profile(width)), "doc long, c1 long, c2 long, n long, bits binary, chunk int, counts binary"), "profile")
     rows = profile.where("chunk is null").select("doc", "c1", "c2", "n")
     bits = profile.where("chunk is null and n > 0").select("doc", "bits")
     order = spark.sparkContext.broadcast(Order(_sketch(spark, profile.where("chunk is not null").select("chunk", "counts")), FRAGMENTS))
@@ -392,8 +392,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     copies = materialize(copies, "copies")
 
     # Shingles of prefixes that two documents share. Of equal word sequences only the first document's rows stay.
-    sigs = texts.mapInArrow(_prefixes(width, percent, order), "sig long, salt int, doc long, n int, pos int")
-    again = sigs.repartition("sig", "salt").sortWithinPartitions("sig", "salt", "n").mapInArrow(_repeated_of(percent), sigs.schema)
+    sigs = texts.mapInArrow(tidy(_prefixes(width, percent, order)), "sig long, salt int, doc long, n int, pos int")
+    again = sigs.repartition("sig", "salt").sortWithinPartitions("sig", "salt", "n").mapInArrow(tidy(_repeated_of(percent)), sigs.schema)
     shared = materialize(again.join(copies.select("doc"), "doc", "left_anti").select("sig", "doc", "n", "pos"), "shared")
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -404,7 +404,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         """
         ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
         wanted = spark.sparkContext.broadcast(bit_filter(ids.select(F.pmod("doc", F.lit(FILTER_BITS)).alias("slot")), "slot"))
-        segments = materialize(texts.mapInArrow(_segments(width, order, wanted), "doc long, frag int, shingles array<long>"), "segments")
+        segments = materialize(texts.mapInArrow(tidy(_segments(width, order, wanted)), "doc long, frag int, shingles array<long>"), "segments")
         spans = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SPAN).alias("spans"))
         partners = pairs.join(spans, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("spans")))
         theirs = partners.join(segments, partners["b"] == segments["doc"]).select("a", "salt", "frag", "b", "na", "nb", "shingles")
@@ -412,7 +412,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         of_a = partners.select("a", "salt").distinct().join(segments, F.col("a") == F.col("doc"))
         of_a = of_a.select("a", "salt", "frag", none.cast("long").alias("b"), none.cast("int").alias("na"), none.cast("int").alias("nb"), "shingles")
         met = of_a.unionByName(theirs).repartition("a", "salt", "frag").sortWithinPartitions("a", "salt", "frag", F.asc_nulls_first("b"))
-        part = met.mapInArrow(_overlaps, "a long, b long, frag int, na int, nb int, o long")
+        part = met.mapInArrow(tidy(_overlaps), "a long, b long, frag int, na int, nb int, o long")
         part = part.groupBy("a", "b", "frag", "na", "nb").agg(F.max("o").alias("o"))  # rows that repeat an id give the same count
         total = part.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
         enough = (100 + percent) * F.col("o") >= percent * (F.col("na").cast("long") + F.col("nb"))
@@ -437,7 +437,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     possible = (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * room >= percent * (na + nb))
     pairs = met.where(possible).select(F.col("hub.doc").alias("a"), F.col("doc").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb")).distinct()
     with_bits = pairs.join(bits.select(F.col("doc").alias("a"), F.col("bits").alias("bits_a")), "a").join(bits.select(F.col("doc").alias("b"), F.col("bits").alias("bits_b")), "b")
-    near = with_bits.select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(_bounded(percent), "a long, b long, na int, nb int, diff long")
+    near = with_bits.select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(tidy(_bounded(percent)), "a long, b long, na int, nb int, diff long")
     near = materialize(near, "near")
     first = near.groupBy("b").agg(F.min(F.struct("diff", "a", "na", "nb")).alias("x")).select("x.a", "b", "x.na", "x.nb")
     tested = near.select("a", "b")
@@ -456,7 +456,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         tiled = active.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         tiled = tiled.select("sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "doc", "n", "pos", "label", "bits")
         tiled = tiled.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", *(["n"] if k == 0 else []), F.xxhash64("doc", F.lit(k)))
-        crossing = materialize(tiled.mapInArrow(_crossing(percent, k < SPARSE_ROUNDS), "sig long, a long, b long, na int, nb int"), "crossing")
+        crossing = materialize(tiled.mapInArrow(tidy(_crossing(percent, k < SPARSE_ROUNDS)), "sig long, a long, b long, na int, nb int"), "crossing")
         if crossing.isEmpty():
             break
         todo = materialize(crossing.drop("sig").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import FILTER_BITS, bit_filter, materialize, strata
+from offerloom.llm.common import FILTER_BITS, bit_filter, materialize, release_memory, strata, tidy
 
 # Words of address and of reporting in English, German, French and Spanish, and characters that stand for letters.
 ADDRESS = frozenset("you your you're u du dein deine ihr euer tu toi ton ta vous votre tú usted ustedes vuestro eres".split())
@@ -28,7 +28,7 @@ QUOTES = "\"'“”„«»‘’‚"
 LOOKS_LIKE = str.maketrans("013457@$", "oieastas")
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + QUOTES + "…–—¿¡"
 WINDOW = 6
-CACHED_WORDS, MOST_STATES = 100_000, 100_000
+CACHED_WORDS, MOST_STATES = 100_000, 50_000
 
 
 def clean(token: str) -> str:
@@ -218,7 +218,7 @@ def words_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) ->
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(words, pa.string())], names=["key", "words"])
 
     texts = texts_of(docs, id_col, text_col).select(F.col("id").cast("string").alias("key"), slot(F.col("id").cast("string")), "text")
-    return texts.mapInArrow(distinct, "key string, words string").join(marked, F.col("key") == F.col("label_id").cast("string")).select("words", "toxic")
+    return texts.mapInArrow(tidy(distinct), "key string, words string").join(marked, F.col("key") == F.col("label_id").cast("string")).select("words", "toxic")
 
 
 def learn_lexicon(rows: DataFrame, most_terms: int = 400, least_docs: int = 8, least_ratio: float = 20.0) -> list[tuple[str, float]]:
@@ -244,7 +244,7 @@ def learn_lexicon(rows: DataFrame, most_terms: int = 400, least_docs: int = 8, l
                     counts = (Counter(), Counter())
         yield sums(counts)
 
-    counts = rows.select("words", "toxic").mapInArrow(count, "word string, a long, b long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counts = rows.select("words", "toxic").mapInArrow(tidy(count), "word string, a long, b long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     counts = materialize(counts.where((F.col("a") >= least_docs) | (F.col("word") == "")), "words")
     n = counts.where("word = ''").first()
     if not n or not n.a or not n.b:
@@ -262,6 +262,8 @@ def feature_udf(lexicon: list[tuple[str, float]]):
         scorer = Scorer(lexicon)
         for texts in batches:
             yield pd.Series([scorer.features(t or "") for t in texts], dtype=object)
+        del scorer
+        release_memory()
 
     return features
 
