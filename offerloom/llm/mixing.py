@@ -132,7 +132,8 @@ def _plan(docs: DataFrame, weights: dict[str, float] | None, cap: float, block_r
     def place(sources: pd.Series, hashes: pd.Series) -> pd.DataFrame:
         return shared.value.places(sources, hashes)
 
-    place = F.pandas_udf(place, "block long, release long, deadline long, slot long, in_mix long")
+    # Not deterministic only in name: so that it is worked out once for each row, however many of its fields are asked for.
+    place = F.pandas_udf(place, "block long, release long, deadline long, slot long, in_mix long").asNondeterministic()
     return shared.value, place(_source(source_col), F.xxhash64(id_col))
 
 

@@ -418,6 +418,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         enough = (100 + percent) * F.col("o") >= percent * (F.col("na").cast("long") + F.col("nb"))
         links = materialize(total.where(enough).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
         discard(segments)
+        wanted.destroy()
         return links
 
     def apart(pairs: DataFrame) -> DataFrame:
@@ -470,6 +471,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         labels = materialize(connected_components(links), "labels")
 
     discard(shared)
+    order.destroy()
     out = rows.join(copies, "doc", "left").withColumn("class_id", F.coalesce("rep", "doc"))
     out = out.join(labels, out["class_id"] == labels["node"], "left")
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), "class_id", F.coalesce("component", "class_id").alias("component_id"))
