@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import license_scan, warc
+from offerloom.llm import divergence, license_scan, vector_codes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +88,20 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_copies(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from offerloom.llm.quality import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_bootstrapped_pii": op2_bootstrapped_pii,
@@ -99,6 +113,9 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_vector_codes": op13_vector_codes,
     "url_rules": url_rules,
 }
 
@@ -114,4 +131,6 @@ ORACLE: dict[str, str] = {
         SELECT page_id, host, path, CASE WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/' WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
                WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule FROM p""",
     "op6_license_scan": license_scan.oracle(),
+    "op11_source_divergence": divergence.ORACLE,
+    "op13_vector_codes": vector_codes.oracle(),
 }
