@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from offerloom.config import DEFAULT, GENERIC_MODEL_TOKENS, KNOWN_BRANDS, MODEL_STOP_WORDS, MatchConfig
-from offerloom.functions.text import blank_to_null, fold_ascii, norm_text
+from offerloom.functions.text import blank_to_null, fold_ascii, let, norm_text
 
 # Ways to write a tyre size. Groups: width, aspect, rim.
 SIZE = "([0-9]{3})\\s*[/ -]\\s*([0-9]{2,3})\\s*[rR]?\\s*[- ]?\\s*([0-9]{2})"
@@ -19,6 +22,7 @@ OFF_ROAD = "(?<![0-9])([0-9]{2})\\s*[xX]\\s*([0-9]{2}\\.?[0-9]*)\\s*[rR]\\s*([0-
 SIZE_PARTS = "([0-9]{3})\\s*[/ ]\\s*([0-9]{2})\\s*[Rr]\\s*([0-9]{2})"
 SIZE_LOOSE = "([0-9]{3})[\\s/-]*([0-9]{2})[\\s/-]*[rR]?[\\s/-]*([0-9]{2})"
 LOAD_SPEED = "(?i)\\b[0-9]{2,3}\\s*[a-z]{1,2}\\b"
+TOKENS = "[a-z0-9]+|[^a-z0-9]"
 # Words that tell an offer of several units.
 KIT_WORDS = "kit|kits|conjunto|jogo|par|pares|dupla|combo|fechamento|lote|unidades|caixa|pack|pacote"
 KIT_COUNTS = "[24]\\s*x?\\s*pneus?|duas?\\s*pneus?|[24]\\s*unid?|4uni|k[0-9]{1,2}|(?:[24568]|10)x|x[2468]"
@@ -68,17 +72,35 @@ def rim(text: Column) -> Column:
 
 
 def _lookup(t: Column, table: dict[str, str]) -> Column:
+    """The table's value for a text, null for other texts: a hash test first, as a map is searched key by key."""
     if not table:
         return F.lit(None).cast("string")
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), t)
+    return F.when(t.isin(*table), F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), t))
+
+
+def _grams(tokens: Column, words: tuple[str, ...], split: Callable[[str], list[str]], sep: str) -> Column:
+    """The dictionary's entries that a text holds: its runs of as many tokens as the entries have, looked up in one hash set."""
+
+    def of(n: int) -> Column:
+        return tokens if n == 1 else F.transform(tokens, lambda _, i: F.array_join(F.slice(tokens, i + 1, n), sep))
+
+    runs = [of(n) for n in sorted({len(split(w)) for w in words})]
+    return F.filter(F.concat(*runs), lambda g: g.isin(*words))
+
+
+def _first_of(found: Column, words: tuple[str, ...]) -> Column:
+    """Of the entries found, the one that is first in the dictionary."""
+    if list(words) == sorted(words):
+        return F.array_min(found)
+    rank = F.create_map(*[x for i, w in enumerate(words) for x in (F.lit(w), F.lit(i))])
+    return F.array_min(F.transform(found, lambda g: F.struct(F.try_element_at(rank, g).alias("rank"), g.alias("word"))))["word"]
 
 
 def _first_token_in(t: Column, words: tuple[str, ...]) -> Column:
-    """The first of ``words`` that stands in the text between spaces."""
+    """The first of ``words`` that stands in the text (single spaces, none at the ends) between spaces."""
     if not words:
         return F.lit(None).cast("string")
-    padded = F.concat(F.lit(" "), t, F.lit(" "))
-    return F.get(F.filter(F.array(*map(F.lit, words)), lambda b: F.contains(padded, F.concat(F.lit(" "), b, F.lit(" ")))), 0)
+    return let(F.split(t, " "), lambda tokens: _first_of(_grams(tokens, words, lambda w: w.split(" "), " "), words))
 
 
 def _alias_in(t: Column, aliases: dict[str, str]) -> Column:
@@ -87,15 +109,17 @@ def _alias_in(t: Column, aliases: dict[str, str]) -> Column:
 
 def canon_brand(c: Column, config: MatchConfig = DEFAULT) -> Column:
     """E5: by alias, by known name, by known name inside, else the first word; '' for nothing."""
-    t = norm_text(c)
-    return F.coalesce(_lookup(t, config.brand_aliases), _first_token_in(t, config.brands), F.split(t, " ")[0])
+    return let(norm_text(c), lambda t: F.coalesce(_lookup(t, config.brand_aliases), F.when(t.isin(*config.brands), t) if config.brands else F.lit(None), _first_token_in(t, config.brands), F.split(t, " ")[0]))
 
 
 def extract_brand(brand_raw: Column, title: Column, config: MatchConfig = DEFAULT, alias_first: bool = False) -> Column:
     """The given brand in canonical form, else a known brand or alias in the title; '' if there is none."""
-    t = norm_text(title)
-    found = [_first_token_in(t, config.brands), _alias_in(t, config.brand_aliases)]
-    return F.coalesce(blank_to_null(canon_brand(brand_raw, config)), *(found[::-1] if alias_first else found), F.lit(""))
+
+    def in_title(t: Column) -> Column:
+        found = [_first_token_in(t, config.brands), _alias_in(t, config.brand_aliases)]
+        return F.coalesce(*(found[::-1] if alias_first else found), F.lit(""))
+
+    return F.coalesce(blank_to_null(canon_brand(brand_raw, config)), let(norm_text(title), in_title))
 
 
 def detect_brand_substring(c: Column, brands: tuple[str, ...] = KNOWN_BRANDS, expected: Column | None = None) -> Column:
@@ -118,25 +142,51 @@ def canon_model(c: Column, config: MatchConfig = DEFAULT, strip_codes: bool = Fa
     return out
 
 
+def _phrase_in(t: Column, brand: Column, config: MatchConfig) -> Column:
+    """The canonical form of the first known phrase in the text, no letter or digit beside it, that isn't the brand."""
+    # Letters and digits run together, anything else is a token of its own, so phrases may hold slashes and hyphens.
+    simple = tuple(p for p in config.model_phrases if re.match("[a-z0-9](?:.*[a-z0-9])?$", p))
+    odd = tuple(p for p in config.model_phrases if p not in simple)
+    alone = lambda p: F.rlike(t, F.lit(f"(?<![a-z0-9]){re.escape(p)}(?![a-z0-9])"))
+    canonical = lambda p: F.coalesce(_lookup(p, config.model_aliases), p)
+
+    def first(tokens: Column) -> Column:
+        found = _grams(tokens, simple, lambda p: re.findall(TOKENS, p), "") if simple else F.array().cast("array<string>")
+        if odd:
+            found = F.concat(found, *[F.when(alone(p), F.array(F.lit(p))).otherwise(F.array().cast("array<string>")) for p in odd])
+        return canonical(_first_of(F.filter(found, lambda p: canonical(p) != brand), config.model_phrases))
+
+    return let(F.regexp_extract_all(t, F.lit(f"({TOKENS})"), 1), first)
+
+
+def _words_after(t: Column, brand: Column, config: MatchConfig, tokens: int) -> Column:
+    """The first words after the brand and before a size, without stop words, in canonical form; null without the brand."""
+    spaced, wanted = F.concat(F.lit(" "), t, F.lit(" ")), F.concat(F.lit(" "), brand, F.lit(" "))
+    after = F.when((brand != "") & F.contains(spaced, wanted), F.substr(spaced, F.instr(spaced, wanted) + F.length(brand) + 2))
+
+    def guess(after: Column) -> Column:
+        cut = after
+        for p in reversed((*SIZE_FORMS, OFF_ROAD)):  # the first form that fits is the one that cuts
+            cut = F.when(after.rlike(p), F.regexp_replace(after, f"(?s){p}.*$", "")).otherwise(cut)
+        words = F.filter(F.split(F.regexp_replace(cut, "[/_,-]+", " "), " +"), lambda w: (w != "") & ~w.isin(*MODEL_STOP_WORDS))
+        return F.array_join(F.slice(words, 1, tokens), " ")
+
+    return let(let(after, guess), lambda g: F.coalesce(_lookup(g, config.model_aliases), g))
+
+
 def extract_model(model_raw: Column, title: Column, brand: Column, config: MatchConfig = DEFAULT, tokens: int = 3) -> Column:
     """The given model unless it is the brand; else the longest known phrase in the title; else the words after the brand.
 
-    The words after the brand end at a size, and stop words are left out. '' if nothing remains.
+    Phrases and words go through the model aliases before they are held against the brand. The words after the brand end at a size,
+    and stop words are left out. '' if nothing remains.
     """
-    given, t, b = canon_model(model_raw, config), norm_text(title), F.coalesce(brand, F.lit(""))
-    phrases = F.array(*map(F.lit, config.model_phrases)) if config.model_phrases else F.array().cast("array<string>")
-    edge = F.regexp_replace(F.concat(F.lit(" "), t, F.lit(" ")), "[^a-z0-9 ]", "  ")
-    padded = F.concat(F.lit(" "), t, F.lit(" "))
-    inside = lambda p: F.contains(padded, F.concat(F.lit(" "), p, F.lit(" "))) | F.contains(edge, F.concat(F.lit(" "), p, F.lit(" ")))
-    phrase = F.get(F.filter(phrases, lambda p: inside(p) & (p != b)), 0)
-    if config.model_aliases:
-        phrase = canon_model(phrase, config)
-    after = F.when((b != "") & F.contains(padded, F.concat(F.lit(" "), b, F.lit(" "))), F.substr(padded, F.instr(padded, F.concat(F.lit(" "), b, F.lit(" "))) + F.length(b) + 2))
-    for p in (*SIZE_FORMS, OFF_ROAD):
-        after = F.regexp_replace(after, f"(?s){p}.*$", "")
-    words = F.filter(F.split(F.regexp_replace(after, "[/_,-]+", " "), " +"), lambda w: (w != "") & ~w.isin(*MODEL_STOP_WORDS))
-    guess = F.array_join(F.slice(words, 1, tokens), " ")
-    return F.when(given != "", F.when(given == b, "").otherwise(given)).otherwise(F.coalesce(phrase, F.when(guess != b, guess), F.lit("")))
+    b = F.coalesce(brand, F.lit(""))
+
+    def in_title(t: Column) -> Column:
+        return F.coalesce(_phrase_in(t, b, config) if config.model_phrases else F.lit(None), let(_words_after(t, b, config, tokens), lambda g: F.when(g != b, g)), F.lit(""))
+
+    found = let(norm_text(title), in_title)
+    return let(canon_model(model_raw, config), lambda given: F.when(given != "", F.when(given == b, "").otherwise(given)).otherwise(found))
 
 
 def normalize_model(title: Column, brand: Column, size: Column) -> Column:

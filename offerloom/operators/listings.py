@@ -11,7 +11,7 @@ from offerloom.functions import attributes as E
 from offerloom.functions import numbers as N
 from offerloom.functions import text as T
 from offerloom.operators.dedup import dedup_global, dedup_listing, dedup_offers, latest_snapshot
-from offerloom.operators.summary import canonical_summary
+from offerloom.operators.summary import canonical_summary, null_safe_join
 
 
 def resolve_columns(df: DataFrame, aliases: dict[str, tuple[str, ...]] = COLUMN_ALIASES) -> DataFrame:
@@ -189,19 +189,30 @@ def unify_products(df: DataFrame, brands: tuple[str, ...] | None = None) -> dict
     return {"unified_products": products_agg(products), "unified_offers": offers, "unify_stats": unify_stats(products)}
 
 
+def with_attributes(df: DataFrame, config: MatchConfig = DEFAULT) -> DataFrame:
+    """Brand, model, size and canonical_key of each row from its title and its raw brand, model and size.
+
+    Listings repeat these texts, so attributes are worked out once for each distinct lot of them and joined back.
+    """
+    raw = ["title", "brand_raw", "model_raw", "size_raw"]
+    d = df.withColumns({c: T.blank_to_null(F.col(c).cast("string")) for c in raw})
+    of = d.select(*raw).distinct()
+    of = of.withColumn("brand", E.extract_brand(F.col("brand_raw"), F.col("title"), config))
+    of = of.withColumn("model", E.extract_model(F.col("model_raw"), F.col("title"), F.col("brand"), config))
+    of = of.withColumn("size", F.coalesce(T.blank_to_null(E.extract_size(F.col("size_raw"), F.col("title"))), E.extract_size_multi(F.col("title"))))
+    of = of.withColumn("canonical_key", E.canonical_key(F.col("brand"), F.col("size"), F.col("model")))
+    return null_safe_join(d.drop("brand", "model", "size", "canonical_key"), of.withColumnsRenamed({c: f"{c}_" for c in raw}), raw)
+
+
 def build_canonical(df: DataFrame, config: MatchConfig = DEFAULT) -> DataFrame:
     """Canonical listings of resolved columns (P1): parsed price and time, brand, model, size and key; copies removed."""
     price = N.to_price(F.col("price"), dict(df.dtypes)["price"])
     raw = lambda c: T.blank_to_null(F.col(c).cast("string"))
     d = df.withColumns({"title": raw("title"), "url": raw("url"), "seller": raw("seller"), "price": price, "collected_at": N.parse_ts(F.col("collected_at"))})
-    d = d.withColumn("brand", E.extract_brand(raw("brand_raw"), F.col("title"), config))
-    d = d.withColumn("model", E.extract_model(raw("model_raw"), F.col("title"), F.col("brand"), config))
-    d = d.withColumn("size", F.coalesce(T.blank_to_null(E.extract_size(raw("size_raw"), F.col("title"))), E.extract_size_multi(F.col("title"))))
-    d = d.withColumn("canonical_key", E.canonical_key(F.col("brand"), F.col("size"), F.col("model")))
     label, own = T.domain_label(F.col("url")), raw("marketplace")
     d = d.withColumn("marketplace", F.coalesce(F.when(~F.coalesce(F.lower(own) == F.lower("seller"), F.lit(False)), own), label, own))
-    d = d.select("marketplace", "title", "price", "url", "brand", "model", "size", "canonical_key", "collected_at", "seller", "source_file")
-    return dedup_listing(has_title_or_url(d))
+    d = with_attributes(has_title_or_url(d), config)
+    return dedup_listing(d.select("marketplace", "title", "price", "url", "brand", "model", "size", "canonical_key", "collected_at", "seller", "source_file"))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

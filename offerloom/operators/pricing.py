@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from offerloom.operators.dedup import latest_per_key
 from offerloom.operators.series import impute_median
+from offerloom.sources.scratch import shared_dir, written
 
 FEATURES = ("cost_price", "stock", "comp_p10", "comp_p50", "comp_p90", "comp_min", "comp_max")
 
@@ -20,21 +21,27 @@ def training_table(internal: DataFrame, daily: DataFrame) -> DataFrame:
     return impute_median(d, list(FEATURES)).withColumn("label", F.col("sale_price").cast("double"))
 
 
-def train_price_model(table: DataFrame, rounds: int = 300, step: float = 0.1, seed: int = 42, scale: bool = False, max_depth: int = 5) -> tuple[PipelineModel, DataFrame]:
-    """Boosted trees on 80 % of the rows, and the scored other rows. With fewer than 3 rows both use all of them.
+def split_rows(table: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """80 % of the rows to learn from and the others, by a hash of the SKU, so alike on every run; all rows twice if there are fewer than 3."""
+    if len(table.limit(3).take(3)) < 3:
+        return table, table
+    part = F.pmod(F.xxhash64("sku_key", F.lit(seed)), F.lit(5))
+    return table.where(part != 0), table.where(part == 0)
+
 
-    The split is by a hash of the SKU, so it is the same on every run. Where a checkpoint folder is set, the rounds' lineage is cut there.
+def train_price_model(table: DataFrame, rounds: int = 300, step: float = 0.1, seed: int = 42, scale: bool = False, max_depth: int = 5, rows_per_task: int = 100_000) -> tuple[PipelineModel, DataFrame]:
+    """Boosted trees on one part of :func:`split_rows`, and the scored other part.
+
+    The table is written before the first round, so no round works it out again, and read in tasks of ``rows_per_task`` rows, as each
+    level of each tree is a job; every ten rounds the residuals are cut from their lineage in the shared folder.
     """
-    if len(table.limit(3).take(3)) < 3:
-        train = test = table
-    else:
-        part = F.pmod(F.xxhash64("sku_key", F.lit(seed)), F.lit(5))
-        train, test = table.where(part != 0), table.where(part == 0)
+    shared_dir(table.sparkSession)  # sets the checkpoint folder where there is none
+    train, test = split_rows(written(table, "training"), seed)
     stages = [VectorAssembler(inputCols=list(FEATURES), outputCol="raw" if scale else "features", handleInvalid="skip")]
     if scale:
         stages.append(StandardScaler(inputCol="raw", outputCol="features", withMean=True))
     stages.append(GBTRegressor(maxIter=rounds, stepSize=step, seed=seed, maxDepth=max_depth, checkpointInterval=10))
-    model = Pipeline(stages=stages).fit(train)
+    model = Pipeline(stages=stages).fit(train.coalesce(-(-train.count() // rows_per_task) or 1))
     return model, model.transform(test)
 
 

@@ -2,74 +2,68 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from offerloom.functions import numbers as N
-from offerloom.functions.names import fresh
 from offerloom.operators.summary import snapshot_mean
+from offerloom.sources.scratch import written
 
 
-def _with_global(df: DataFrame, values: DataFrame) -> DataFrame:
-    """Each row with the columns of the one-row frame ``values``, by a broadcast of that row."""
-    (one,) = fresh(df, "one_")
-    return df.withColumn(one, F.lit(1)).join(F.broadcast(values.withColumn(one, F.lit(1))), one, "left").drop(one)
-
-
-def exact_quantiles(df: DataFrame, column: str, at: dict[str, float], parts: int = 128) -> DataFrame:
-    """One row with the exact quantiles ``at`` of a column, named by the keys, interpolated linearly; nulls don't count.
+def exact_quantiles(df: DataFrame, at: dict[str, tuple[str, float]]) -> dict[str, float | None]:
+    """Exact quantiles of whole columns, ``at``: name to (column, share), interpolated linearly; nulls don't count, None without values.
 
-    Distinct values are counted and dealt into ``parts`` ranges of about equal numbers of rows (edges by approximate quantiles). Running
-    counts inside each range, on top of the counts of the ranges before, give every value its ranks, so no task holds more than one
-    range. The windows over ranges have ``parts`` rows at most.
+    All columns in one pass: distinct (column, value) are counted, sorted into ranges over the tasks and written. Sums of the ranges tell
+    which of them hold the wanted ranks, and only these are ranked, each in a task of its own. What comes to the driver are two
+    values for each quantile.
     """
-    v = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    edges = v.agg(F.percentile_approx("v", F.array(*[F.lit(k / parts) for k in range(1, parts)]), F.lit(10 * parts)).alias("edges"))
-    counts = _with_global(v.groupBy("v").agg(F.count(F.lit(1)).alias("c")), edges)
-
-    def edges_below(low: int, high: int) -> Column:  # by bisection
-        if low == high:
-            return F.lit(low)
-        k = (low + high) // 2
-        return F.when(F.col("edges")[k] < F.col("v"), edges_below(k + 1, high)).otherwise(edges_below(low, k))
-
-    dealt = counts.select("v", "c", edges_below(0, parts - 1).alias("b"))
-    every = Window.orderBy("b")
-    sizes = dealt.groupBy("b").agg(F.sum("c").alias("n"))
-    sizes = sizes.select("b", F.coalesce(F.sum("n").over(every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"), F.sum("n").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
-    inside = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = dealt.join(F.broadcast(sizes), "b").withColumn("first", F.col("start") + F.coalesce(F.sum("c").over(inside), F.lit(0)))
-    of_rank = lambda k: F.max(F.when((F.col("first") <= k) & (k < F.col("first") + F.col("c")), F.col("v")))
-    picked, out = [], []
-    for name, q in at.items():
-        place = (F.col("total") - 1) * F.lit(float(q))
-        low, high, share = of_rank(F.floor(place)), of_rank(F.ceil(place)), F.max(place - F.floor(place))
-        picked += [low.alias(f"low_{name}"), high.alias(f"high_{name}"), share.alias(f"share_{name}")]
-        out.append((F.col(f"low_{name}") * (1 - F.col(f"share_{name}")) + F.col(f"high_{name}") * F.col(f"share_{name}")).alias(name))
-    return ranked.agg(*picked).select(*out)
+    columns = list(dict.fromkeys(c for c, _ in at.values()))
+    shares = [sorted({q for c, q in at.values() if c == column}) for column in columns]
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).cast("double").alias("v")) for k, c in enumerate(columns)])).alias("x")).select("x.*")
+    counts = long.where("v IS NOT NULL").groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
+    dealt = written(counts.repartitionByRange("k", "v").withColumn("part", F.spark_partition_id()), "counts")
+    of_column = Window.partitionBy("k")
+    parts = dealt.groupBy("k", "part").agg(F.sum("c").alias("n"))
+    parts = parts.select("k", "part", "n", F.coalesce(F.sum("n").over(of_column.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"), F.sum("n").over(of_column).alias("total"))
+    wanted = F.array(*[F.array(*map(F.lit, q)) for q in shares])[F.col("k")]
+    places = F.transform(wanted, lambda q: (F.col("total") - 1) * q)
+    ranks = F.array_distinct(F.concat(F.transform(places, lambda p: F.floor(p)), F.transform(places, lambda p: F.ceil(p))))
+    parts = parts.withColumn("ranks", F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n")))).where(F.size("ranks") > 0)
+    inside = Window.partitionBy("k", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = dealt.join(F.broadcast(parts), ["k", "part"]).withColumn("first", F.col("start") + F.coalesce(F.sum("c").over(inside), F.lit(0)))  # two rows a quantile
+    found = ranked.select("k", "v", "total", F.explode(F.filter("ranks", lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("c")))).alias("rank")).collect()
+    values, totals = {(r.k, r["rank"]): r.v for r in found}, {r.k: r.total for r in found}
+    out: dict[str, float | None] = {}
+    for name, (column, q) in at.items():
+        k = columns.index(column)
+        if k not in totals:
+            out[name] = None
+            continue
+        place = (totals[k] - 1) * q
+        low, high, share = values[k, math.floor(place)], values[k, math.ceil(place)], place - math.floor(place)
+        out[name] = low * (1 - share) + high * share
+    return out
 
 
 def clip_quantiles(df: DataFrame, column: str, lo: float = 0.01, hi: float = 0.99, accuracy: int | None = None) -> DataFrame:
     """Values outside two quantiles of the whole column are set to these; ``accuracy`` uses approximate ones."""
-    low, high = fresh(df, "lo_", "hi_")
     if accuracy:
-        q = df.agg(F.percentile_approx(column, F.array(F.lit(lo), F.lit(hi)), F.lit(accuracy)).alias("q"))
-        q = q.select(F.col("q")[0].alias(low), F.col("q")[1].alias(high))
+        low, high = df.agg(F.percentile_approx(column, F.array(F.lit(lo), F.lit(hi)), F.lit(accuracy))).first()[0] or (None, None)
     else:
-        q = exact_quantiles(df, column, {low: lo, high: hi})
-    bounds = q.select(F.round(low, 6).alias(low), F.round(high, 6).alias(high))
-    clipped = F.when(F.col(column).isNotNull(), F.least(F.greatest(F.col(column), low), high))
-    return _with_global(df, bounds).withColumn(column, clipped).drop(low, high)
+        q = exact_quantiles(df, {"low": (column, lo), "high": (column, hi)})
+        low, high = q["low"], q["high"]
+    low, high = (F.round(F.lit(x).cast("double"), 6) for x in (low, high))
+    return df.withColumn(column, F.when(F.col(column).isNotNull(), F.least(F.greatest(F.col(column), low), high)))
 
 
 def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Nulls become the median of their column."""
-    medians = fresh(df, *[f"{c}_med_" for c in columns])
-    out = df
-    for c, m in zip(columns, medians, strict=True):
-        out = _with_global(out, exact_quantiles(df, c, {m: 0.5}))
-    return out.withColumns({c: F.coalesce(F.col(c), F.round(m, 6)) for c, m in zip(columns, medians, strict=True)}).drop(*medians)
+    """Nulls become the median of their column. The rows are written once, the medians found in one pass over them."""
+    df = written(df, "imputed")
+    medians = exact_quantiles(df, {c: (c, 0.5) for c in columns})
+    return df.withColumns({c: F.coalesce(F.col(c), F.round(F.lit(medians[c]).cast("double"), 6)) for c in columns})
 
 
 def series_features(df: DataFrame, key: str = "product_id", when: str = "data_coleta", price: str = "preco", threshold: float = 0.3, tie: tuple[str, ...] = ()) -> DataFrame:

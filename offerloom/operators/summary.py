@@ -31,7 +31,7 @@ def joined_set(c: Column, sep: str = ",") -> Column:
     return F.array_join(F.array_sort(F.collect_set(F.when(F.trim(c) != "", c))), sep)
 
 
-def _null_safe_join(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def null_safe_join(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``df`` with the columns of ``other``, whose keys are named with ``_`` at the end; null keys match null keys."""
     same = F.lit(True)
     for k in keys:
@@ -59,14 +59,14 @@ def canonical_summary(listings: DataFrame, accuracy: int | None = None) -> DataF
     )
     if accuracy:
         approx = listings.groupBy(*[F.col(k).alias(f"{k}_") for k in keys]).agg(quantiles(p, [0.1, 0.5, 0.9], accuracy).alias("q_"))
-        stats = _null_safe_join(stats.drop("q_"), approx, keys)
+        stats = null_safe_join(stats.drop("q_"), approx, keys)
     for i, c in enumerate(("p10", "median_price", "p90")):
         stats = stats.withColumn(c, F.round(F.col("q_")[i], DIGITS))
     # Each group's prices beside its statistics; what comes out is a row for each group again. Without a filter here both uses of
     # ``rows`` are one shuffle.
     known = stats.drop("q_").withColumnsRenamed({k: f"{k}_" for k in keys})
     near = F.col("price").between(F.col("p10"), F.col("p90"))
-    grouped = _null_safe_join(rows.select(*keys, "price", "n_"), known, keys).groupBy(*keys, *[c for c in known.columns if c not in {f"{k}_" for k in keys}])
+    grouped = null_safe_join(rows.select(*keys, "price", "n_"), known, keys).groupBy(*keys, *[c for c in known.columns if c not in {f"{k}_" for k in keys}])
     out = grouped.agg((F.sum(F.when(near, p.cast("decimal(18,2)") * n)).cast("double") / F.sum(F.when(near, n))).alias("media_correta"))
     out = out.withColumn("marketplaces", F.when(F.col("n_prices") > 0, F.col("m_")).otherwise(""))
     cols = [*keys, "n_listings", "marketplaces", "min_price", "max_price", "mean_price", "median_price", "p10", "p90", "media_correta", "evidence_files"]

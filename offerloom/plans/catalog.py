@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -538,18 +539,27 @@ def _(spark, d):
     return pricing.suggest_prices_rule(_training(spark, d)).select("sku_key", "suggested_price")
 
 
+_MODELS: dict[tuple[str, str], PipelineModel] = {}
+
+
+def _price_model(spark, d) -> PipelineModel:
+    """The trained model: one fit for both queries of a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MODELS:
+        _MODELS[key], _ = pricing.train_price_model(_training(spark, d))
+    return _MODELS[key]
+
+
 @query("suggest_ml")
 def _(spark, d):
     """Rows only: a trained model."""
-    t = _training(spark, d)
-    model, _ = pricing.train_price_model(t)
-    return pricing.suggest_prices_ml(model, t)
+    return pricing.suggest_prices_ml(_price_model(spark, d), _training(spark, d))
 
 
 @query("price_model_error")
 def _(spark, d):
-    _, scored = pricing.train_price_model(_training(spark, d))
-    return summary.regression_metrics(scored)
+    _, test = pricing.split_rows(_training(spark, d))
+    return summary.regression_metrics(_price_model(spark, d).transform(test))
 
 
 # --- scalar functions on text, urls, numbers and products ---

@@ -1,9 +1,12 @@
 """Column functions on the small cases of the fixtures."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from offerloom.config import DEFAULT
+from offerloom.config import DEFAULT, MODEL_STOP_WORDS, MatchConfig
 from offerloom.functions import attributes as E
 from offerloom.functions import numbers as N
 from offerloom.functions import text as T
@@ -55,6 +58,49 @@ def test_brand_and_model(spark):
     assert one(spark, lambda a: E.canon_model(a, DEFAULT, True), "Primacy 4 91H XL") == "primacy 4"
 
 
+def plain_brand(raw, t, config):
+    """E5 and E6 word by word, of texts that are normalised already."""
+    inside = lambda words, t: next((w for w in words if f" {w} " in f" {t} "), None)
+    found = config.brand_aliases.get(raw) or inside(config.brands, raw) or raw.split(" ")[0]
+    return found or inside(config.brands, t) or config.brand_aliases.get(inside(config.brand_aliases, t)) or ""
+
+
+def plain_model(raw, t, brand, config):
+    """E9, likewise."""
+    canon = lambda m: config.model_aliases.get(m, m)
+    if raw:
+        return "" if canon(raw) == brand else canon(raw)
+    for p in config.model_phrases:
+        if re.search(f"(?<![a-z0-9]){re.escape(p)}(?![a-z0-9])", t) and canon(p) != brand:
+            return canon(p)
+    if brand and f" {brand} " in f" {t} ":
+        after = f" {t} ".split(f" {brand} ", 1)[1]
+        cut = next((m for m in (re.search(p, after) for p in (*E.SIZE_FORMS, E.OFF_ROAD)) if m), None)
+        words = re.sub("[/_,-]+", " ", after[: cut.start()] if cut else after).split()
+        guess = canon(" ".join([w for w in words if w not in MODEL_STOP_WORDS][:3]))
+        return "" if guess == brand else guess
+    return ""
+
+
+def test_dictionaries_against_plain_search(spark):
+    rng = random.Random(3)
+    words = ["kelly", "edge", "sp", "sport", "p400", "evo", "good", "year", "dun", "lop", "x", "a-b", "175/70", "r13", "19555r16", "31x10 r15", "pneu", "/70"]
+    text = lambda n: " ".join(rng.choices(words, k=rng.randrange(n)))
+    config = MatchConfig.of(
+        ["good year", "dun", "lop", "sp sport", "kelly"] + [f"b{k}" for k in range(20)], {"year": "good year", "x edge": "lop", "evo": "kelly"},
+        ["kelly edge", "sp sport", "p400 evo", "p400", "a-b", "b sp", "/70", "kelly", "edge sp sport"], {"p400": "dun", "edge": "kelly", "a-b": "ab"},
+    )
+    rows = [(i, text(3), text(9), text(3)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "i int, raw string, title string, model string")
+    df = df.withColumn("brand", E.extract_brand(F.col("raw"), F.col("title"), config))
+    df = df.withColumn("found", E.extract_model(F.col("model"), F.col("title"), F.col("brand"), config))
+    got = {r.i: (r.brand, r.found) for r in df.collect()}
+    for i, raw, title, model in rows:
+        brand = plain_brand(raw, title, config)
+        assert got[i] == (brand, plain_model(model, title, brand, config)), (raw, title, model)
+    assert {b for b, _ in got.values()} >= {"good year", "lop", "kelly", ""} and {m for _, m in got.values()} >= {"dun", "ab", "/70"}
+
+
 @pytest.mark.parametrize("text, want", [("Kit 2 pneus aro 13", True), ("2 pneus 175/70", True), ("Pneu 175/70R13", False), ("pneu parcelado", False), (None, False)])
 def test_kit(spark, text, want):
     assert one(spark, E.is_kit, text) is want

@@ -161,14 +161,32 @@ def test_exact_quantiles(spark):
     from offerloom.operators.series import clip_quantiles, exact_quantiles, impute_median
 
     rng = np.random.default_rng(1)
-    for v in ([1.0], [1.0, 2.0], [3.0] * 50 + [1.0], rng.normal(size=1000).round(2).tolist(), rng.exponential(size=777).tolist()):
-        df = spark.createDataFrame([(x,) for x in v] + [(None,)], "v double")
-        got = exact_quantiles(df, "v", {"a": 0.01, "b": 0.5, "c": 0.97, "d": 1.0}, parts=7).first()
-        assert list(got) == pytest.approx(np.quantile(v, [0.01, 0.5, 0.97, 1.0]).tolist())
+    columns = {"a": [1.0], "b": [1.0, 2.0], "c": [3.0] * 50 + [1.0], "d": rng.normal(size=1000).round(2).tolist(), "e": rng.exponential(size=777).tolist(), "f": []}
+    rows = [tuple(v[i] if i < len(v) else None for v in columns.values()) for i in range(1001)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns)).repartition(5)
+    at = [0.01, 0.5, 0.97, 1.0]
+    got = exact_quantiles(df, {f"{c}{q}": (c, q) for c in columns for q in at})
+    for c, v in columns.items():
+        assert [got[f"{c}{q}"] for q in at] == (pytest.approx(np.quantile(v, at).tolist()) if v else [None] * 4)
+    filled = impute_median(df, list(columns)).toPandas()
+    assert filled["e"].notna().all() and filled["e"].iloc[-1:].isin([*columns["e"], round(float(np.median(columns["e"])), 6)]).all() and filled["f"].isna().all()
     empty = spark.createDataFrame([(None,)], "v double").withColumn("lo_", F.lit("mine"))
     assert clip_quantiles(empty, "v").first() == (None, "mine") and impute_median(empty, ["v"]).first().v is None
 
 
+def test_price_model(spark):
+    """A short fit: the same twice, better than the mean, and all rows where there are only two."""
+    from offerloom.operators import pricing
+
+    df = spark.range(300).select(F.col("id").alias("sku_key"), *[((F.col("id") * k) % 17).cast("double").alias(c) for k, c in enumerate(pricing.FEATURES, 1)])
+    df = df.withColumn("label", F.col("cost_price") * 2 + F.col("comp_p50")).withColumn("sale_price", F.col("label"))
+    errors = [summary.regression_metrics(pricing.train_price_model(df, rounds=6, step=0.5)[1]).first() for _ in range(2)]
+    assert errors[0] == errors[1] and errors[0].mae < 3.0
+    train, test = pricing.split_rows(df)
+    assert train.count() + test.count() == 300 and test.count() > 30
+    assert pricing.train_price_model(df.limit(2), rounds=1)[1].count() == 2
+
+
 def test_rows_without_url_are_no_copies(spark):
     rows = [("m", "a", 1.0, "", 1), ("m", "b", 2.0, None, 2), ("m", "b", 2.0, None, 2), ("m", "c", 3.0, "u", 3), ("m", "d", 4.0, "u", 4)]
     df = spark.createDataFrame(rows, "marketplace string, title string, price double, url string, k int").withColumns({"captured_at": F.timestamp_seconds("k"), "rn_": F.lit(7)})
