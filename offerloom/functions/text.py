@@ -32,14 +32,14 @@ def is_blank(c: Column) -> Column:
 
 
 def fold_ascii(c: Column) -> Column:
-    """Accents removed, other characters outside ASCII dropped."""
-    return F.regexp_replace(F.translate(c, _FROM, _TO), "[^\\x00-\\x7F]", "")
+    """Accents removed, other characters outside ASCII dropped; a text of one byte a character is left as it is."""
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.regexp_replace(F.translate(c, _FROM, _TO), "[^\\x00-\\x7F]", ""))
 
 
 def norm_text(c: Column) -> Column:
     """Lower case, ASCII, only ``[a-z0-9 /-]``, single spaces; null becomes ''."""
     t = fold_ascii(F.lower(F.coalesce(c.cast("string"), F.lit(""))))
-    return F.trim(F.regexp_replace(F.regexp_replace(t, "[^a-z0-9 /-]", " "), " +", " "))
+    return F.trim(F.regexp_replace(t, "[^a-z0-9/-]+", " "))
 
 
 def norm_text_keep_dots(c: Column) -> Column:

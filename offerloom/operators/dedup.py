@@ -19,9 +19,13 @@ def _tie_break(df: DataFrame, taken: set[str]) -> list[Column]:
 
 
 def keep_first_by(df: DataFrame, keys: list[str | Column], order: list[Column] | None = None) -> DataFrame:
-    """Of each key the first row in ``order``, then by all columns."""
+    """Of each key the first row in ``order``, then by all columns.
+
+    Each task passes on one row of a key, so a key that holds a third of all rows is a row a task. Rows sort by a hash of the key first:
+    one number decides nearly every comparison, and the columns only those between rows of one key.
+    """
     keys = [F.col(k) if isinstance(k, str) else k for k in keys]
-    w = Window.partitionBy(*keys).orderBy(*(order or []), *_tie_break(df, set()))
+    w = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*(order or []), *_tie_break(df, set()))
     (rank,) = fresh(df, "rn_")
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
 
@@ -55,12 +59,15 @@ def _has(c: str) -> Column:
     return F.col(c).isNotNull() & (F.trim(F.col(c)) != "")
 
 
-def dedup_listing(df: DataFrame) -> DataFrame:
-    """One row of each (marketplace, url, seller, time, price), or without url of each (marketplace, seller, title, price, source)."""
+def dedup_listing(df: DataFrame, within: list[str] | None = None) -> DataFrame:
+    """One row of each (marketplace, url, seller, time, price), or without url of each (marketplace, seller, title, price, source).
+
+    Rows that differ in the columns ``within`` are no copies.
+    """
     url = _has("url")
     part = lambda c: F.when(url, F.col(c))
     rest = lambda c: F.when(~url, F.col(c))
-    keys = [F.col("marketplace"), F.col("seller"), F.col("price"), part("url"), part("collected_at"), rest("title"), rest("source_file")]
+    keys = [*map(F.col, within or []), F.col("marketplace"), F.col("seller"), F.col("price"), part("url"), part("collected_at"), rest("title"), rest("source_file")]
     return keep_first_by(df, keys, [F.col("source_file").asc_nulls_last()])
 
 

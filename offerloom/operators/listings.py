@@ -12,6 +12,7 @@ from offerloom.functions import numbers as N
 from offerloom.functions import text as T
 from offerloom.operators.dedup import dedup_global, dedup_listing, dedup_offers, latest_snapshot
 from offerloom.operators.summary import canonical_summary, null_safe_join
+from offerloom.sources.scratch import written
 
 
 def resolve_columns(df: DataFrame, aliases: dict[str, tuple[str, ...]] = COLUMN_ALIASES) -> DataFrame:
@@ -141,16 +142,20 @@ def with_canonical_name(df: DataFrame) -> DataFrame:
 
 
 def clean_market_items(items: DataFrame) -> dict[str, DataFrame]:
-    """market_items_clean, unifier_input, products_dim and discards from ``market_items``."""
+    """market_items_clean, unifier_input, products_dim and discards from ``market_items``.
+
+    The filled-in rows are written once, as the discards read them too, and so are the rows left without copies, from which the names
+    are counted and to which they are joined.
+    """
     d = items.withColumn("url", T.unwrap_click_url(F.col("url")))
     known = T.blank_to_null(F.col("marketplace"))
     d = d.withColumn("marketplace", F.coalesce(F.when(known != "unknown", known), T.marketplace_from_url(F.col("url")), known))
     d = d.withColumn("title", F.coalesce(T.blank_to_null(F.col("title")), T.name_from_url(F.col("url")), T.name_from_query(F.col("query"))))
     d = d.withColumn("sku_norm", F.coalesce(T.blank_to_null(F.col("sku_norm")), T.norm_sku(F.col("title"))))
     d = d.withColumns({"captured_at": N.parse_ts(F.col("captured_at")), "price": N.to_double_safe(F.col("price"))})
-    d = d.withColumn("captured_date", F.to_date("captured_at"))
+    d = written(d.withColumn("captured_date", F.to_date("captured_at")), "filled")
     discards = d.withColumn("reason", discard_reason()).where("reason IS NOT NULL")
-    clean = with_canonical_name(dedup_offers(essential_filter(d)))
+    clean = with_canonical_name(written(dedup_offers(essential_filter(d)), "offers"))
     return {
         "market_items_clean": clean,
         "unifier_input": latest_snapshot(clean),
@@ -192,27 +197,33 @@ def unify_products(df: DataFrame, brands: tuple[str, ...] | None = None) -> dict
 def with_attributes(df: DataFrame, config: MatchConfig = DEFAULT) -> DataFrame:
     """Brand, model, size and canonical_key of each row from its title and its raw brand, model and size.
 
-    Listings repeat these texts, so attributes are worked out once for each distinct lot of them and joined back.
+    Listings repeat these texts (blank ones are null), so attributes are worked out once for each distinct lot of them and joined back.
     """
     raw = ["title", "brand_raw", "model_raw", "size_raw"]
-    d = df.withColumns({c: T.blank_to_null(F.col(c).cast("string")) for c in raw})
-    of = d.select(*raw).distinct()
+    of = df.select(*raw).distinct()
     of = of.withColumn("brand", E.extract_brand(F.col("brand_raw"), F.col("title"), config))
     of = of.withColumn("model", E.extract_model(F.col("model_raw"), F.col("title"), F.col("brand"), config))
     of = of.withColumn("size", F.coalesce(T.blank_to_null(E.extract_size(F.col("size_raw"), F.col("title"))), E.extract_size_multi(F.col("title"))))
     of = of.withColumn("canonical_key", E.canonical_key(F.col("brand"), F.col("size"), F.col("model")))
-    return null_safe_join(d.drop("brand", "model", "size", "canonical_key"), of.withColumnsRenamed({c: f"{c}_" for c in raw}), raw)
+    return null_safe_join(df.drop("brand", "model", "size", "canonical_key"), of.withColumnsRenamed({c: f"{c}_" for c in raw}), raw)
 
 
-def build_canonical(df: DataFrame, config: MatchConfig = DEFAULT) -> DataFrame:
-    """Canonical listings of resolved columns (P1): parsed price and time, brand, model, size and key; copies removed."""
-    price = N.to_price(F.col("price"), dict(df.dtypes)["price"])
+def _parsed(df: DataFrame) -> DataFrame:
+    """Resolved columns (P1) with blank texts as nulls, and price, time and marketplace parsed."""
     raw = lambda c: T.blank_to_null(F.col(c).cast("string"))
-    d = df.withColumns({"title": raw("title"), "url": raw("url"), "seller": raw("seller"), "price": price, "collected_at": N.parse_ts(F.col("collected_at"))})
+    d = df.withColumns({c: raw(c) for c in ("title", "url", "seller", "brand_raw", "model_raw", "size_raw")})
+    d = d.withColumns({"price": N.to_price(F.col("price"), dict(df.dtypes)["price"]), "collected_at": N.parse_ts(F.col("collected_at"))})
     label, own = T.domain_label(F.col("url")), raw("marketplace")
-    d = d.withColumn("marketplace", F.coalesce(F.when(~F.coalesce(F.lower(own) == F.lower("seller"), F.lit(False)), own), label, own))
-    d = with_attributes(has_title_or_url(d), config)
-    return dedup_listing(d.select("marketplace", "title", "price", "url", "brand", "model", "size", "canonical_key", "collected_at", "seller", "source_file"))
+    return d.withColumn("marketplace", F.coalesce(F.when(~F.coalesce(F.lower(own) == F.lower("seller"), F.lit(False)), own), label, own))
+
+
+LISTING_COLUMNS = ("marketplace", "title", "price", "url", "brand", "model", "size", "canonical_key", "collected_at", "seller", "source_file")
+
+
+def build_canonical(df: DataFrame, config: MatchConfig = DEFAULT) -> DataFrame:
+    """Canonical listings of resolved columns (P1): parsed price and time, brand, model, size and key; copies removed."""
+    d = with_attributes(has_title_or_url(_parsed(df)), config)
+    return dedup_listing(d.select(*LISTING_COLUMNS))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -224,7 +235,13 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def unify_marketplaces(frames: list[DataFrame], config: MatchConfig = DEFAULT, brand: str | None = None, size: str | None = None, model: str | None = None) -> dict[str, DataFrame]:
-    """C4: unified_listings and canonical_summary of frames with any column names."""
-    listings = dedup_global(union_all([build_canonical(resolve_columns(f), config) for f in frames]))
-    listings = filter_listings(listings, brand, size, model)
+    """C4: unified_listings and canonical_summary of frames with any column names.
+
+    Each frame is parsed by itself and rid of its copies; attributes are worked out for all frames at once. The listings are
+    written, as the summary reads them too.
+    """
+    parsed = union_all([_parsed(resolve_columns(f)).withColumn("frame_", F.lit(k)) for k, f in enumerate(frames)])
+    d = with_attributes(has_title_or_url(parsed), config).select(*LISTING_COLUMNS, "frame_")
+    listings = dedup_global(dedup_listing(d, ["frame_"]).drop("frame_"))
+    listings = written(filter_listings(listings, brand, size, model), "unified")
     return {"unified_listings": listings, "canonical_summary": canonical_summary(listings)}
