@@ -6,7 +6,7 @@ import ctypes
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -29,6 +29,12 @@ def discard(df: DataFrame) -> None:
         remove(df.sparkSession, folder)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Set the session to hand texts to Python in batches of so many rows: what a task holds beside them is a tenth of Spark's default."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def tidy(run):
     """``run`` (batches in, batches out), which at its end gives free memory back: a worker process outlives its task."""
 

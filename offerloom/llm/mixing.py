@@ -6,7 +6,7 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,50 +67,56 @@ def pfair_period(shares: dict[str, int]) -> list[tuple[str, int, int]]:
     return [(s, j, slot) for s, j, _, _, slot in pfair_slots(shares)]
 
 
-class Schedule:
-    """The blocks of each source: the hash at which each starts, and its number, release, deadline, slot and mix.
+PLACE = ("block", "release", "deadline", "slot", "in_mix")
 
-    Made on the driver from the counts by source and the hash at the start of each block, which are as many as there are blocks.
-    """
 
-    FIELDS = ("block", "release", "deadline", "slot", "in_mix")
-
-    def __init__(self, starts: dict[str, list[tuple[int, int]]], parts: list[dict[str, int]]):
-        self.slots = 0
-        rows: dict[str, list[tuple[int, int, int, int, bool]]] = {s: [] for s in starts}
-        before = dict.fromkeys(starts, 0)
-        for k, blocks in enumerate(parts):
-            for s, j, *times in pfair_slots(blocks):
-                rows[s].append((before[s] + j, *(self.slots + t for t in times), k == 0))
-            self.slots += sum(blocks.values())
-            for s, b in blocks.items():
-                before[s] = before.get(s, 0) + b
-        self.of = {}
-        for s, found in starts.items():
-            if rows[s]:
-                columns = zip(*sorted(rows[s]), strict=True)
-                self.of[s] = (np.array([h for _, h in sorted(found)], np.int64), *(np.array(c) for c in columns))
-
-    def places(self, sources: pd.Series, hashes: pd.Series) -> pd.DataFrame:
-        """The block of each row: the last one of its source that starts at its hash or before."""
-        out = {c: np.full(len(sources), -1, np.int64) for c in self.FIELDS}
-        for s, rows in sources.groupby(sources).indices.items():
-            if s in self.of:
-                first, *columns = self.of[s]
-                at = np.searchsorted(first, hashes.to_numpy(np.int64)[rows], "right") - 1
-                for c, x in zip(self.FIELDS, columns, strict=True):
-                    out[c][rows] = x[at]
-        return pd.DataFrame(out)
+def schedule(starts: dict[str, list[tuple[int, int]]], parts: list[dict[str, int]]) -> tuple[pa.Table, int]:
+    """The blocks of all sources as ranges of hashes (start_ to end_), cut where the buckets of their source end, and the number of slots.
+
+    ``starts`` has (rank, hash) of the row at the start of each block. Hashes count from 0 upwards; a source with b blocks has as many
+    buckets as the power of two below b, so there are at most twice as many rows as blocks, and some two blocks in each bucket.
+    """
+    slots = 0
+    rows: dict[str, list[tuple[int, int, int, int, bool]]] = {s: [] for s in starts}
+    before = dict.fromkeys(starts, 0)
+    for k, blocks in enumerate(parts):
+        for s, j, *times in pfair_slots(blocks):
+            rows[s].append((before[s] + j, *(slots + t for t in times), k == 0))
+        slots += sum(blocks.values())
+        for s, b in blocks.items():
+            before[s] = before.get(s, 0) + b
+    tables = []
+    for s, found in starts.items():
+        if not rows[s]:
+            continue
+        first = np.array([h for _, h in sorted(found)], np.int64).astype(np.uint64) ^ np.uint64(1 << 63)
+        first[0] = 0
+        last = np.append(first[1:], np.uint64(2**64 - 1))
+        bits = len(first).bit_length() - 1
+        bucket = lambda h: (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)  # noqa: B023, E731
+        low, high = bucket(first), bucket(np.maximum(last, first + np.uint64(1)) - np.uint64(1))
+        at = np.repeat(np.arange(len(first)), high - low + 1)
+        within = np.arange(len(at)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1)
+        signed = lambda h: (h ^ np.uint64(1 << 63)).astype(np.int64)
+        columns = [np.array(c)[at] for c in zip(*sorted(rows[s]), strict=True)]
+        final = at == len(first) - 1
+        tables.append(pa.table({"s_": pa.array([s] * len(at), pa.string()), "bits_": np.full(len(at), bits, np.int32), "bucket_": low[at] + within, "start_": signed(first[at]), "end_": pa.array(signed(last[at]), pa.int64(), mask=final), **dict(zip(PLACE, columns, strict=True))}))
+    return pa.concat_tables(tables) if tables else None, slots
 
 
 def _source(source_col: str) -> Column:
     return F.coalesce(F.col(source_col).cast("string"), F.lit(""))
 
 
-def _plan(docs: DataFrame, weights: dict[str, float] | None, cap: float, block_rows: int | None, id_col: str, source_col: str):
-    """The schedule of ``docs`` (broadcast, or None for an empty table) and the function that gives each row its place."""
+def _hash(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """Orders the rows of a source: of id and text, so that rows without an id, or of one id, still differ."""
+    return F.xxhash64(id_col, *([text_col] if text_col in docs.columns else []))
+
+
+def _planned(docs: DataFrame, weights: dict[str, float] | None, cap: float, block_rows: int | None, id_col: str, source_col: str, text_col: str) -> tuple[DataFrame, str, int]:
+    """``docs`` with a struct of PLACE, null for rows without one; the name of that column; and the number of slots."""
     spark = docs.sparkSession
-    slim = materialize(docs.select(_source(source_col).alias("source"), F.xxhash64(id_col).alias("h_")), "mix")
+    slim = materialize(docs.select(_source(source_col).alias("source"), _hash(docs, id_col, text_col).alias("h_")), "mix")
     found = slim.groupBy("source").count().limit(MOST_SOURCES + 1).collect()
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -127,52 +133,57 @@ def _plan(docs: DataFrame, weights: dict[str, float] | None, cap: float, block_r
     starts: dict[str, list[tuple[int, int]]] = {s: [] for s in left}
     for r in ranked.where(since % block_rows == 0).select("source", "rank_", "h_").collect():  # one row a block
         starts[r.source].append((r.rank_, r.h_))
-    shared = spark.sparkContext.broadcast(Schedule(starts, parts))
-
-    def place(sources: pd.Series, hashes: pd.Series) -> pd.DataFrame:
-        return shared.value.places(sources, hashes)
-
-    # Not deterministic only in name: so that it is worked out once for each row, however many of its fields are asked for.
-    place = F.pandas_udf(place, "block long, release long, deadline long, slot long, in_mix long").asNondeterministic()
-    return shared.value, place(_source(source_col), F.xxhash64(id_col))
-
-
-def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, cap: float = 0.25, block_rows: int | None = None, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    table, slots = schedule(starts, parts)
+    source, h, bits, bucket, place = fresh(docs, "source_", "hash_", "width_", "cell_", "place_")
+    rows = docs.withColumns({source: _source(source_col), h: _hash(docs, id_col, text_col)})
+    if table is None:
+        return rows.withColumn(place, F.lit(None).cast("struct<block:long,release:long,deadline:long,slot:long,in_mix:boolean>")).drop(source, h), place, 0
+    # Rows find their block by a hash join and a comparison of numbers, so texts stay where they are. Bounded: twice MOST_BLOCKS rows.
+    names = dict(zip(("s_", "bits_", "bucket_", "start_", "end_"), fresh(rows, "s_", "bits_", "bucket_", "start_", "end_"), strict=True))
+    blocks = spark.createDataFrame(table).withColumnsRenamed(names)
+    blocks = blocks.select(*names.values(), F.struct(*PLACE).alias(place))
+    n_bits = {s: len(x).bit_length() - 1 for s, x in starts.items() if x}
+    widths = spark.createDataFrame(list(n_bits.items()), f"{names['s_']} string, {bits} int")
+    rows = rows.join(F.broadcast(widths), F.col(source) == F.col(names["s_"]), "left").drop(names["s_"])
+    cell = F.expr(f"CASE WHEN `{bits}` > 0 THEN shiftrightunsigned(`{h}` ^ {-(2**63) + 1}L ^ 1L, 64 - `{bits}`) ELSE 0L END")
+    inside = (F.col(h) >= F.col(names["start_"])) & (F.col(names["end_"]).isNull() | (F.col(h) < F.col(names["end_"])))
+    met = rows.withColumn(bucket, cell).join(F.broadcast(blocks), (F.col(source) == F.col(names["s_"])) & (F.col(bucket) == F.col(names["bucket_"])) & inside, "left")
+    return met.select(*[F.col(f"`{c}`") for c in docs.columns], place), place, slots
+
+
+def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, cap: float = 0.25, block_rows: int | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """A place in the mix for each row: id, source, in_mix, stream, block, release, deadline, slot.
 
     ``weights`` are target shares by source; by default the sources' own shares with none above ``cap``. The mix is the largest that
-    has these shares without repeating a row: a source gives its quota of rows, in the order of a hash of their id, and in_mix is
-    false for the rest. What is left then follows as a second mix, in which each source has its share of the rows left, so every row has
+    has these shares without repeating a row: a source gives its quota of rows, in the order of a hash of their id and text, and in_mix
+    is false for the rest. What is left then follows as a second mix, in which each source has its share of the rows left, so every row has
     a place and all sources end together. The rows of a source form blocks of ``block_rows`` (by default 8, or more, so that there are
     at most ``MOST_BLOCKS``), of which the last in either mix may be shorter; each gets a slot from the Pfair schedule of all blocks of
     its mix, so after any number of slots of a mix a source is less than one block away from its share of the blocks, however rare it
     is. Blocks, releases, deadlines and slots of the second mix count on from those of the first.
 
     The counts by source (``MOST_SOURCES`` at most, else an error) and the hash at the start of each block reach the driver; rows find
-    their block by their hash. Ranks are found in buckets, so a source with a third of all rows is many tasks. A null source is a
-    source of its own, named ''. Sources without a weight stay out: in_mix is false and they have no stream, block or slot. Rows that
-    repeat an id, and rows without an id, have one hash and so share a block. An empty table gives an empty result. Extra columns are
-    ignored.
+    their block by their hash, in a broadcast of the blocks. Ranks are found in buckets, so a source with a third of all rows is many
+    tasks. A null source is a source of its own, named ''. Sources without a weight stay out: in_mix is false and they have no stream,
+    block or slot. Rows without an id, or of one id, differ by their text (where there is such a column); rows that agree in both have
+    one hash and so share a block. An empty table gives an empty result. Extra columns are ignored.
     """
-    _, place = _plan(docs, weights, cap, block_rows, id_col, source_col)
-    rows = docs.select(F.col(id_col), _source(source_col).alias("source"), place.alias("p_"))
-    planned = F.col("p_.slot") >= 0
-    places = [F.when(planned, F.col(f"p_.{c}")).alias(c) for c in ("block", "release", "deadline", "slot")]
-    return rows.select(id_col, "source", (F.col("p_.in_mix") == 1).alias("in_mix"), F.when(planned, F.col("source")).alias("stream"), *places)
+    rows, place, _ = _planned(docs, weights, cap, block_rows, id_col, source_col, text_col)
+    rows = rows.select(F.col(id_col), _source(source_col).alias("source"), F.col(place).alias("p_"))
+    places = [F.col(f"p_.{c}").alias(c) for c in ("block", "release", "deadline", "slot")]
+    return rows.select(id_col, "source", F.coalesce("p_.in_mix", F.lit(False)).alias("in_mix"), F.when(F.col("p_").isNotNull(), F.col("source")).alias("stream"), *places)
 
 
-def mixed(docs: DataFrame, weights: dict[str, float] | None = None, cap: float = 0.25, id_col: str = "doc_id", source_col: str = "source", surplus: bool = False) -> DataFrame:
+def mixed(docs: DataFrame, weights: dict[str, float] | None = None, cap: float = 0.25, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", surplus: bool = False) -> DataFrame:
     """The rows of the mix with their columns, in the order of the schedule; with ``surplus`` those of the second mix after them.
 
     Partition k holds the k-th part of the slots, so rows move once and files written from the result follow the mix by their number.
     Nulls, repeated ids, sources without a weight and empty tables: as in :func:`mix_sources`.
     """
-    schedule, place = _plan(docs, weights, cap, None, id_col, source_col)
-    slot, mix = fresh(docs, "slot_", "mix_")
-    chosen = docs.withColumn(mix, place).where(F.col(f"{mix}.slot") >= 0)
-    if not surplus:
-        chosen = chosen.where(F.col(f"{mix}.in_mix") == 1)
+    rows, place, slots = _planned(docs, weights, cap, None, id_col, source_col, text_col)
+    chosen = rows.where(F.col(place).isNotNull() if surplus else F.coalesce(F.col(place)["in_mix"], F.lit(False)))
+    (slot,) = fresh(rows, "slot_")
+    chosen = chosen.withColumn(slot, F.col(place)["slot"]).drop(place)
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    chosen = chosen.withColumn(slot, F.col(f"{mix}.slot"))
-    part = F.floor(F.col(slot) * parts / max(1, schedule.slots)).cast("int")
+    part = F.floor(F.col(slot) * parts / max(1, slots)).cast("int")
     return chosen.repartitionById(parts, part).sortWithinPartitions(slot, id_col).select(*docs.columns)

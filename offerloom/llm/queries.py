@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.llm import divergence, license_scan, vector_codes, warc
+from offerloom.llm.common import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +56,7 @@ def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from offerloom.llm.ngram_join import jaccard_components
 
+    small_batches(spark)
     return jaccard_components(table(spark, sf_dir, "documents"), width=5, percent=80)
 
 
@@ -73,6 +75,7 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from offerloom.llm.toxicity import score_toxicity
 
+    small_batches(spark)
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

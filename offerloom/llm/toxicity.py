@@ -178,13 +178,15 @@ def train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, m
     """At most ``most`` labelled rows that are not held out, in order of a hash of their id: id, text, toxic, weight.
 
     If there are more, up to half of them are toxic ones and up to half the others, as far as there are so many; weight is the number of
-    labelled rows that a row of its kind stands for.
+    labelled rows that a row of its kind stands for. Documents may repeat a labelled id: of all of them at most ``most`` stay.
     """
     marked = labelled(labels)
     n = {r.toxic: r.n for r in marked.groupBy((F.col("toxic") == 1).cast("int").alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     k = strata(n.get(0, 0), n.get(1, 0), most)
     of = [marked.where((F.col("toxic") == 1) == bool(t)).orderBy(F.xxhash64("label_id"), "label_id").limit(k[t]).withColumn("weight", F.lit(n.get(t, 0) / max(1, k[t]))) for t in (0, 1)]
-    return texts_of(docs, id_col, text_col).join(F.broadcast(of[0].unionByName(of[1])), F.col("id") == F.col("label_id")).select("id", "text", "toxic", "weight")  # at most ``most`` rows of three numbers
+    rows = texts_of(docs, id_col, text_col).join(F.broadcast(of[0].unionByName(of[1])), F.col("id") == F.col("label_id"))  # at most ``most`` rows of three numbers
+    rows = materialize(rows.select("id", "text", "toxic", "weight", F.xxhash64("id", "text").alias("order_")), "labelled")
+    return rows.orderBy("order_").limit(most).drop("order_")
 
 
 def words_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -221,8 +223,9 @@ def words_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) ->
     return texts.mapInArrow(tidy(distinct), "key string, words string").join(marked, F.col("key") == F.col("label_id").cast("string")).select("words", "toxic")
 
 
-def learn_lexicon(rows: DataFrame, most_terms: int = 400, least_docs: int = 8, least_ratio: float = 20.0) -> list[tuple[str, float]]:
-    """Words that stand out in the toxic ones of ``rows`` (words, toxic), with the log of their smoothed ratio; at most ``most_terms``.
+def learn_lexicon(rows: DataFrame, most_terms: int | None = 400, least_docs: int = 4, least_ratio: float = 20.0) -> list[tuple[str, float]]:
+    """Words that stand out in the toxic ones of ``rows`` (words, toxic), with the log of their smoothed ratio; at most ``most_terms``,
+    the most telling first, or all with None.
 
     Counts are document frequencies, so a word counts once for a document. Words need ``least_docs`` toxic documents and a share
     among them that is ``least_ratio`` times the share among the others. Each task counts its words before they are shuffled, and only
@@ -251,7 +254,8 @@ def learn_lexicon(rows: DataFrame, most_terms: int = 400, least_docs: int = 8, l
         return []
     ratio = F.log(((F.col("a") + 0.5) / (n.a + 1)) / ((F.col("b") + 0.5) / (n.b + 1)))
     best = counts.where((F.col("a") >= least_docs) & (F.length("word") >= 3)).withColumn("w", ratio).where(F.col("w") >= math.log(least_ratio))
-    return [(r.word, r.w) for r in best.orderBy(F.desc(F.col("w") * F.sqrt("a")), "word").limit(most_terms).collect()]
+    best = best.orderBy(F.desc(F.col("w") * F.sqrt("a")), "word")
+    return [(r.word, r.w) for r in (best if most_terms is None else best.limit(most_terms)).collect()]
 
 
 def feature_udf(lexicon: list[tuple[str, float]]):
@@ -301,9 +305,9 @@ class ToxicityModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_train: int = 20_000) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_train: int = 20_000, most_terms: int | None = 400) -> ToxicityModel:
     """Learn the lexicon from all labelled rows that are not held out, and the weights from at most ``most_train`` of them; only texts enter."""
-    lexicon = learn_lexicon(words_of(docs, labels, id_col, text_col))
+    lexicon = learn_lexicon(words_of(docs, labels, id_col, text_col), most_terms)
     if not lexicon:
         return ToxicityModel([], None)
     train = train_rows(docs, labels, id_col, text_col, most_train)
@@ -312,15 +316,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return ToxicityModel(lexicon, [float(v) for v in w])
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_train: int = 20_000) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_train: int = 20_000, most_terms: int | None = 400) -> DataFrame:
     """(doc_id, held_out, score, predicted, hits, quoted) for every row of ``docs``.
 
-    Learns only from rows of ``labels`` (doc_id, toxic) with crc32(doc_id as text) mod 5 other than 0: the lexicon from all of these, the
-    weights from at most ``most_train``, drawn by kind; no column but the text enters a score. hits counts lexicon terms, quoted those
+    Learns only from rows of ``labels`` (doc_id, toxic) with crc32(doc_id as text) mod 5 other than 0: the lexicon from all of these (of
+    its terms the ``most_terms`` most telling, or all with None), the weights from at most ``most_train``, drawn by kind; no column but the text enters a score. hits counts lexicon terms, quoted those
     in quotation. Null and empty texts have the score of a text without hits. Rows that repeat an id in ``labels`` count as labels each. With labels of one kind or none, all scores are 0. Rows that repeat each get a row; a null
     id has held_out null. An empty table gives an empty result. Extra columns are ignored.
     """
-    model = fit_toxicity(docs, labels, id_col, text_col, most_train)
+    model = fit_toxicity(docs, labels, id_col, text_col, most_train, most_terms)
     rows = docs.select(F.col(id_col).alias("doc_id"), model.features(F.col(text_col).cast("string")).alias("x"))
     out = rows.select("doc_id", held_out("doc_id").alias("held_out"), model.score(F.col("x")).alias("score"), "x")
     count = lambda k: F.round(F.exp(F.col("x")[k]) - 1).cast("int")

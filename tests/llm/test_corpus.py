@@ -259,6 +259,19 @@ def test_mixing_odd_rows(spark):
     assert mixing.mixed(df.limit(0)).count() == 0
 
 
+def test_mixing_without_ids(spark):
+    """A third of the rows has no id, another one of two ids: blocks stay full, so each source keeps to its share."""
+    n = {"a": 1500, "b": 900, "c": 600}
+    rows = [(None if i % 3 == 0 else i % 2 if i % 3 == 1 else i, f"text {i}", s) for i, s in enumerate(s for s, k in n.items() for _ in range(k))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mixing.mix_sources(df, weights=n).toPandas()
+    sizes = got.groupby(["source", "block"]).size()
+    assert len(got) == 3000 and sizes.max() == 8 and sizes.shape[0] == sum(-(-k // 8) for k in n.values())
+    taken = got.sort_values("slot").drop_duplicates("slot").source
+    for s, k in n.items():
+        assert np.abs((taken == s).to_numpy().cumsum() - np.arange(1, len(taken) + 1) * k / 3000).max() <= 1.01
+
+
 def test_mixing_lag_over_periods(spark):
     """Shares that no short period holds in whole blocks; over 70,000 slots each source, rare ones too, stays within a block."""
     n = {"a": 35_001, "b": 17_507, "c": 17_489, "d": 9, "e": 1}
