@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import materialize
+from offerloom.llm.common import materialize, small_batches
 from offerloom.llm.exact_dedup import drop_exact_copies
 from offerloom.llm.mixing import mixed
 from offerloom.llm.ngram_join import drop_near_copies
@@ -21,6 +21,7 @@ from offerloom.llm.toxicity import drop_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -29,6 +30,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return drop_near_copies(docs, width=5, percent=80)
 
 
@@ -37,6 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     try:  # the row's place in the files that the stage before wrote: number of the file, then of the row
         part = F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1).try_cast("long")
         placed = docs.select("doc_id", "text", (F.coalesce(part, F.lit(0)) * (1 << 32) + F.col("_metadata.row_index")).alias("place"))
