@@ -1,7 +1,7 @@
 """Summaries and reports.
 
-Means of prices are exact decimal sums over counts, so they don't depend on the order of rows. Percentiles interpolate linearly;
-``accuracy`` switches to the approximate form for very large groups.
+Means of prices are exact decimal sums over counts, so they don't depend on the order of rows. Percentiles interpolate linearly and
+are exact for groups of any size (:func:`group_quantiles`); ``accuracy`` switches to the approximate form.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from offerloom.functions.names import fresh
 from offerloom.functions.text import is_blank
+from offerloom.sources.scratch import written
 
 DIGITS = 6
 
@@ -39,38 +40,79 @@ def null_safe_join(df: DataFrame, other: DataFrame, keys: list[str], how: str =
     return df.join(other, same, how).drop(*[f"{k}_" for k in keys])
 
 
+def _band(v: Column) -> Column:
+    """A range of values that grows with the value: 256 ranges to each doubling, mirrored for negative values, one for zero."""
+    return F.coalesce(F.signum(v) * (F.floor(F.log2(F.abs(v)) * 256) + 300_000), F.lit(0)).cast("long")
+
+
+def quantiles_of_counts(counts: DataFrame, at: dict[str, float], most: int = 10_000) -> DataFrame:
+    """The quantiles ``at`` (name to share) of each group, interpolated linearly; ``counts`` is a written table of (k, v, n), no nulls.
+
+    Groups of at most ``most`` distinct values are one buffer each. The values of larger ones stay spread over the tasks by ranges of
+    fixed relative width: sums of the ranges tell which ranges hold the wanted ranks, and only those are sorted, each by itself. Both
+    ways are exact, so a group with a third of all values costs no task more than a range.
+    """
+    large = counts.groupBy("k").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > most).select("k")
+    q = F.percentile("v", F.array(*[F.lit(float(x)) for x in at.values()]), F.col("n"))
+    small = counts.join(large, "k", "left_anti").groupBy("k").agg(q.alias("q")).select("k", *[F.col("q")[i].alias(c) for i, c in enumerate(at)])
+
+    spread = counts.join(large, "k", "left_semi").withColumn("band", _band(F.col("v")))
+    bands = spread.groupBy("k", "band").agg(F.sum("n").alias("m"))
+    of_group, before = Window.partitionBy("k"), (Window.unboundedPreceding, -1)
+    bands = bands.withColumns({"start": F.coalesce(F.sum("m").over(of_group.orderBy("band").rowsBetween(*before)), F.lit(0)), "total": F.sum("m").over(of_group)})
+    places = [(F.col("total") - 1) * F.lit(float(x)) for x in at.values()]
+    ranks = F.array_distinct(F.array(*[f(p) for p in places for f in (F.floor, F.ceil)]))
+    wanted = bands.withColumn("ranks", F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("m")))).where(F.size("ranks") > 0).drop("m")
+    inside = Window.partitionBy("k", "band").orderBy("v").rowsBetween(*before)
+    ranked = spread.join(wanted, ["k", "band"]).withColumn("first", F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    hits = ranked.select("k", "v", "total", F.explode(F.filter("ranks", lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("n")))).alias("rank"))
+    picked = []
+    for c, place in zip(at, places, strict=True):
+        of = lambda r: F.max(F.when(F.col("rank") == r, F.col("v")))
+        share = F.max(place - F.floor(place))
+        picked.append((of(F.floor(place)) * (1 - share) + of(F.ceil(place)) * share).alias(c))
+    return small.unionByName(hits.groupBy("k").agg(*picked))
+
+
+def group_quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, float], accuracy: int | None = None) -> DataFrame:
+    """Keys and quantiles, rounded to DIGITS, of each group that has a value; exact for groups of any size, or by ``accuracy`` approximate."""
+    v = df.where(F.col(value).isNotNull()).select(F.struct(*keys).alias("k"), F.col(value).cast("double").alias("v"))
+    if accuracy:
+        q = v.groupBy("k").agg(F.percentile_approx("v", F.array(*map(F.lit, at.values())), F.lit(accuracy)).alias("q"))
+        q = q.select("k", *[F.col("q")[i].alias(c) for i, c in enumerate(at)])
+    else:
+        q = quantiles_of_counts(written(v.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")), "prices"), at)
+    return q.select(*[F.col("k")[c].alias(c) for c in keys], *[F.round(c, DIGITS).alias(c) for c in at])
+
+
 def canonical_summary(listings: DataFrame, accuracy: int | None = None) -> DataFrame:
     """A1, A2, L1: per (canonical_key, brand, model, size) counts, price statistics, marketplaces and evidence files.
 
-    n_listings counts all rows, the statistics all prices. Prices are counted before anything else; percentiles weigh them by their
-    counts. media_correta is the mean of the prices within [p10, p90]: the bounds are joined back to the counted prices. With
-    ``accuracy`` percentiles are approximate and come from a pass of their own. Groups without a price have no marketplaces.
+    n_listings counts all rows, the statistics all prices. Prices are counted once by group and written; statistics, percentiles and
+    the trimmed mean read the counts, so a group that holds a third of all rows is as many rows as it has prices, over many tasks.
+    media_correta is the mean of the prices within [p10, p90]. With ``accuracy`` percentiles are approximate. Groups without a price
+    have no marketplaces.
     """
     keys = ["canonical_key", "brand", "model", "size"]
-    p, n = F.col("price"), F.col("n_")
-    # One row for each price of a group and source: the only pass over the listings.
-    rows = listings.groupBy(*keys, "price", "marketplace", "source_file").agg(F.count(F.lit(1)).alias("n_"))
-    cents = F.sum(p.cast("decimal(18,2)") * n)
-    of_price = F.sum(F.when(p.isNotNull(), n))
-    stats = rows.groupBy(*keys).agg(
-        F.sum(n).alias("n_listings"), F.coalesce(of_price, F.lit(0)).alias("n_prices"), joined_set(F.col("marketplace")).alias("m_"), joined_set(F.col("source_file")).alias("evidence_files"),
-        F.min(p).alias("min_price"), F.max(p).alias("max_price"), (cents.cast("double") / of_price).alias("mean_price"),
-        F.percentile(p, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)), n if not accuracy else F.lit(0).cast("long")).alias("q_"),
-    )
+    group = F.struct(*keys).alias("k")
+    counts = written(listings.groupBy(group, F.col("price").cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n")), "prices")
+    sets = listings.groupBy(group).agg(joined_set(F.col("marketplace")).alias("marketplaces"), joined_set(F.col("source_file")).alias("evidence_files"))
+    v, n = F.col("v"), F.col("n")
+    cents, priced = F.sum(v.cast("decimal(18,2)") * n).cast("double"), F.sum(F.when(v.isNotNull(), n))
+    stats = counts.groupBy("k").agg(F.sum(n).alias("n_listings"), priced.alias("n_prices"), F.min(v).alias("min_price"), F.max(v).alias("max_price"), (cents / priced).alias("mean_price"))
+    at = {"p10": 0.1, "median_price": 0.5, "p90": 0.9}
     if accuracy:
-        approx = listings.groupBy(*[F.col(k).alias(f"{k}_") for k in keys]).agg(quantiles(p, [0.1, 0.5, 0.9], accuracy).alias("q_"))
-        stats = null_safe_join(stats.drop("q_"), approx, keys)
-    for i, c in enumerate(("p10", "median_price", "p90")):
-        stats = stats.withColumn(c, F.round(F.col("q_")[i], DIGITS))
-    # Each group's prices beside its statistics; what comes out is a row for each group again. Without a filter here both uses of
-    # ``rows`` are one shuffle.
-    known = stats.drop("q_").withColumnsRenamed({k: f"{k}_" for k in keys})
-    near = F.col("price").between(F.col("p10"), F.col("p90"))
-    grouped = null_safe_join(rows.select(*keys, "price", "n_"), known, keys).groupBy(*keys, *[c for c in known.columns if c not in {f"{k}_" for k in keys}])
-    out = grouped.agg((F.sum(F.when(near, p.cast("decimal(18,2)") * n)).cast("double") / F.sum(F.when(near, n))).alias("media_correta"))
-    out = out.withColumn("marketplaces", F.when(F.col("n_prices") > 0, F.col("m_")).otherwise(""))
-    cols = [*keys, "n_listings", "marketplaces", "min_price", "max_price", "mean_price", "median_price", "p10", "p90", "media_correta", "evidence_files"]
-    return out.select(*cols)
+        q = listings.groupBy(group).agg(quantiles(F.col("price"), list(at.values()), accuracy).alias("q")).where("q IS NOT NULL")
+        q = q.select("k", *[F.col("q")[i].alias(c) for i, c in enumerate(at)])
+    else:
+        q = quantiles_of_counts(counts.where("v IS NOT NULL"), at)
+    q = q.select("k", *[F.round(c, DIGITS).alias(c) for c in at])
+    near = counts.join(q.select("k", "p10", "p90"), "k").where(v.between(F.col("p10"), F.col("p90")))
+    trimmed = near.groupBy("k").agg((F.sum(v.cast("decimal(18,2)") * n).cast("double") / F.sum(n)).alias("media_correta"))
+    out = sets.join(stats, "k").join(q, "k", "left").join(trimmed, "k", "left")
+    out = out.withColumn("marketplaces", F.when(F.col("n_prices") > 0, F.col("marketplaces")).otherwise(""))
+    cols = ["n_listings", "marketplaces", "min_price", "max_price", "mean_price", "median_price", "p10", "p90", "media_correta", "evidence_files"]
+    return out.select(*[F.col("k")[c].alias(c) for c in keys], *cols)
 
 
 def in_summary_order(summary: DataFrame) -> DataFrame:
@@ -103,24 +145,27 @@ def unify_stats(offers: DataFrame) -> DataFrame:
 
 def brand_report(listings: DataFrame) -> DataFrame:
     """Rows, mean and median price per brand; most rows first, then the lower mean."""
-    out = listings.groupBy("brand").agg(F.count("canonical_key").alias("n"), exact_mean(F.col("price")).alias("mean_price"), F.round(F.median("price"), DIGITS).alias("median_price"))
+    out = listings.groupBy(F.struct("brand").alias("k")).agg(F.count("canonical_key").alias("n"), exact_mean(F.col("price")).alias("mean_price"))
+    median = group_quantiles(listings, ["brand"], "price", {"median_price": 0.5}).select(F.struct("brand").alias("k"), "median_price")
+    out = out.join(median, "k", "left").select(F.col("k.brand").alias("brand"), "n", "mean_price", "median_price")
     return out.orderBy(F.desc("n"), "mean_price", "brand")
 
 
 def dispersion_report(listings: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Quartiles, mean, sample deviation and its ratio to the mean per canonical key and brand."""
-    p = F.col("price")
-    out = listings.groupBy("canonical_key", "brand").agg(F.count(p).alias("n"), F.min(p).alias("min_price"), quantiles(p, [0.25, 0.5, 0.75], accuracy).alias("q_"), exact_mean(p).alias("mean_price"), F.max(p).alias("max_price"), F.round(F.stddev_samp(p), 4).alias("std_price"))
-    for i, c in enumerate(("q1", "median_price", "q3")):
-        out = out.withColumn(c, F.round(F.col("q_")[i], DIGITS))
-    return out.withColumn("cv", F.round(F.try_divide("std_price", "mean_price"), 4)).drop("q_")
+    p, keys = F.col("price"), ["canonical_key", "brand"]
+    out = listings.groupBy(F.struct(*keys).alias("k")).agg(F.count(p).alias("n"), F.min(p).alias("min_price"), exact_mean(p).alias("mean_price"), F.max(p).alias("max_price"), F.round(F.stddev_samp(p), 4).alias("std_price"))
+    at = {"q1": 0.25, "median_price": 0.5, "q3": 0.75}
+    q = group_quantiles(listings, keys, "price", at, accuracy).select(F.struct(*keys).alias("k"), *at)
+    out = out.join(q, "k", "left").withColumn("cv", F.round(F.try_divide("std_price", "mean_price"), 4))
+    return out.select(*[F.col("k")[c].alias(c) for c in keys], "n", "min_price", "mean_price", "max_price", "std_price", *at, "cv")
 
 
 def iqr_outliers(listings: DataFrame, k: float = 1.5, key: str = "canonical_key") -> DataFrame:
     """Rows outside [q1 - k iqr, q3 + k iqr] of their key, with the bounds; rows without key stay out."""
     d = listings.where(F.col(key).isNotNull())
-    q = d.groupBy(key).agg(quantiles(F.col("price"), [0.25, 0.75]).alias("q_"))
-    a, b = F.round(F.col("q_")[0], DIGITS), F.round(F.col("q_")[1], DIGITS)
+    a, b = F.col("q1"), F.col("q3")
+    q = group_quantiles(d, [key], "price", {"q1": 0.25, "q3": 0.75})
     q = q.select(key, F.round(a - k * (b - a), DIGITS).alias("low"), F.round(b + k * (b - a), DIGITS).alias("high"))
     return d.join(q, key).where("price < low OR price > high")
 
@@ -130,18 +175,18 @@ def price_describe(snapshots: DataFrame) -> DataFrame:
 
     ``snapshots`` has slug, d (date), price and free_shipping.
     """
-    p = F.col("price")
-    day = snapshots.groupBy("slug", "d").agg(
-        F.count(p).alias("n"), F.min(p).alias("min_price"), F.percentile(p, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q_"), exact_mean(p).alias("mean_price"), F.max(p).alias("max_price"),
+    p, keys = F.col("price"), ["slug", "d"]
+    day = snapshots.groupBy(*keys).agg(
+        F.count(p).alias("n"), F.min(p).alias("min_price"), exact_mean(p).alias("mean_price"), F.max(p).alias("max_price"),
         F.round(F.stddev_samp(p), 4).alias("std_price"), F.round(F.avg(F.col("free_shipping").cast("double")) * 100, 4).alias("pct_free_shipping"),
     )
     before = day.select("slug", F.date_add("d", 1).alias("d"), F.col("mean_price").alias("mean_before"))
     last = day.groupBy("slug").agg(F.max("d").alias("d"))
-    out = day.join(last, ["slug", "d"], "left_semi").join(before, ["slug", "d"], "left")
+    at = {"q1": 0.25, "median_price": 0.5, "q3": 0.75}
+    latest = snapshots.join(last, keys, "left_semi")
+    out = day.join(last, keys, "left_semi").join(group_quantiles(latest, keys, "price", at), keys, "left").join(before, keys, "left")
     out = out.withColumn("pct_change", F.round((F.col("mean_price") / F.col("mean_before") - 1) * 100, 4))
-    for i, c in enumerate(("q1", "median_price", "q3")):
-        out = out.withColumn(c, F.round(F.col("q_")[i], DIGITS))
-    return out.withColumn("alert", F.coalesce(F.abs("pct_change") >= 5, F.lit(False))).drop("q_", "mean_before")
+    return out.withColumn("alert", F.coalesce(F.abs("pct_change") >= 5, F.lit(False))).drop("mean_before")
 
 
 def aggregates_daily(offers: DataFrame) -> DataFrame:

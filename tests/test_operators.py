@@ -174,6 +174,27 @@ def test_exact_quantiles(spark):
     assert clip_quantiles(empty, "v").first() == (None, "mine") and impute_median(empty, ["v"]).first().v is None
 
 
+def test_quantiles_of_groups_of_any_size(spark):
+    """One group has most of all distinct prices; its ranges, not the group, are what a task sorts."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    prices = {"hot": rng.lognormal(3, 1, 60_000), "signs": np.r_[rng.normal(0, 5, 3000), np.zeros(100)], None: np.array([2.0, 1.0]), "one": np.array([5.0]), "ties": np.repeat([1.0, 2.0, 3.0], 1500)}
+    rows = [(k, float(v)) for k, x in prices.items() for v in x] + [("none", None), ("one", None)]
+    df = spark.createDataFrame(rows, "canonical_key string, price double").repartition(8)
+    at = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.97, "e": 1.0}
+    counts = df.where("price IS NOT NULL").groupBy(F.struct("canonical_key").alias("k"), F.col("price").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    for most in (0, 2000, 10**6):
+        got = {r.k.canonical_key: [r[c] for c in at] for r in summary.quantiles_of_counts(counts, at, most).collect()}
+        assert got.keys() == prices.keys()
+        for k, x in prices.items():
+            assert got[k] == pytest.approx(np.quantile(x, list(at.values())).tolist(), abs=1e-9)
+    bands = counts.where("k.canonical_key = 'hot'").groupBy(summary._band(F.col("v")).alias("b")).count().agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("most")).first()
+    assert bands.n > 1000 and bands.most < 600
+    in_order = [r.b for r in counts.select("v", summary._band(F.col("v")).alias("b")).orderBy("v").collect()]
+    assert in_order == sorted(in_order)
+
+
 def test_price_model(spark):
     """A short fit: the same twice, better than the mean, and all rows where there are only two."""
     from offerloom.operators import pricing
