@@ -95,6 +95,21 @@ def distributed_rank(df: DataFrame, group: str, order: list[str], rank: str, row
     return joined.withColumn(rank, (F.col(first) + F.row_number().over(within) - 1).cast("long")).drop(b, first)
 
 
+def join_by_frequency(rows: DataFrame, table: DataFrame, key: str, count: str, often: int = 1000) -> DataFrame:
+    """``rows`` with the columns of ``table`` (a written table with one row for each ``key`` of ``rows`` and its ``count``); null keys match.
+
+    Keys with more than one in ``often`` rows, fewer than ``often`` of them, are broadcast; the other rows meet theirs by a shuffle, in
+    which no key is frequent.
+    """
+    (other,) = fresh(rows, "key_")
+    table = table.withColumnRenamed(key, other)
+    n = table.agg(F.sum(count)).first()[0] or 0
+    frequent, same = F.col(count) * often > n, F.col(key).eqNullSafe(F.col(other))
+    hot = F.broadcast(table.where(frequent))
+    rare = rows.join(hot, same, "left_anti").join(table.where(~frequent), same)
+    return rows.join(hot, same).unionByName(rare).drop(other, count)
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nodes of the links (a, b) and, for each, the smallest node it is connected to."""
     nodes, idx = np.unique(np.concatenate([a, b]), return_inverse=True)

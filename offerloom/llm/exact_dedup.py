@@ -44,7 +44,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = docs.drop("keep_id", "group_size", "kept")
     used, key = fresh(docs, "used_", "key_")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    digest = F.when(F.col(used), F.concat(F.lit("t"), F.sha2(text, 256))).otherwise(F.concat(F.lit("i"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    # Rows that no other equals meet no group; keys of their own spread them over the tasks.
+    alone = F.coalesce(F.col(id_col).cast("string"), F.xxhash64(text).cast("string"))
+    digest = F.when(F.col(used), F.concat(F.lit("t"), F.sha2(text, 256))).otherwise(F.concat(F.lit("i"), alone))
     rows = _candidates(docs, text, prefix_chars, used).withColumn(key, digest)
     groups = rows.where(F.col(used)).groupBy(key).agg(F.max(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
     out = rows.drop(used).join(groups, key, "left").drop(key)

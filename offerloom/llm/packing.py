@@ -190,9 +190,9 @@ def best_fit_pack(pieces: DataFrame, capacity: int, order: tuple[str, ...] = ("d
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", place_col: str | None = None) -> DataFrame:
     """Tokenize, cut and pack whole documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    Pieces of one length take their places in the buckets' order of ``place_col`` if that is given, else of their ids. Null and empty
-    texts are one piece with the end id alone. Rows that repeat each are documents of their own; an id may be null. An empty table
+    Pieces of one length take their places in the buckets' order of ``place_col`` if that is given, else of a hash of id, piece and
+    digest, so pieces without an id are spread too; pieces that agree in all of it take theirs in any order. Null and empty texts are one piece with the end id alone. Rows that repeat each are documents of their own; an id may be null. An empty table
     gives an empty result. Extra columns are ignored.
     """
     pieces = materialize(token_pieces(docs, tokenizer_path, capacity, id_col, text_col, place_col), "pieces")
-    return best_fit_pack(pieces, capacity, ("place", "doc_id", "piece"), ranges="place" if place_col else None).drop("place")
+    return best_fit_pack(pieces, capacity, ("place", "doc_id", "piece", "ids_crc32"), ranges="place" if place_col else None).drop("place")

@@ -150,44 +150,46 @@ def _find(batches):
         )
 
 
-def bootstrap(occurrences: DataFrame, most_rounds: int = 8, least_seeds: int = 3, least_pattern: float = 0.5, accept: float = 0.8, smoothing: float = 1.0) -> DataFrame:
+def bootstrap(occurrences: DataFrame, most_rounds: int | None = None, least_seeds: int = 3, least_pattern: float = 0.5, accept: float = 0.8, smoothing: float = 1.0) -> DataFrame:
     """(inst, kind, score): unseen instances whose score reaches ``accept``.
 
     ``occurrences`` has kind (null: not a seed), may (possible kinds as bits), inst and patterns. Each distinct (pattern, instance) is
     one edge of the graph. A pattern's score for a kind is the sum of its instances' scores over their number plus ``smoothing``. Seeds
-    count 1, and so do accepted instances; others count their score. Patterns take part if they reach ``least_pattern`` and have
-    ``least_seeds`` seeds or accepted instances. Rounds end when the scores stay as they are (to three decimals), or after ``most_rounds``.
+    count 1, and so do accepted instances; others count their score in whole thousandths. Patterns take part if they reach
+    ``least_pattern`` and have ``least_seeds`` seeds or accepted instances. No score ever falls from one round to the next, so rounds go on until
+    the sum of all is what it was, which means that nothing changes any more; with ``most_rounds`` they may end before.
     """
     edges = occurrences.select("kind", "may", "inst", F.explode("patterns").alias("pattern")).groupBy("pattern", "inst").agg(F.min("kind").alias("kind"), F.max("may").alias("may"))
     edges = materialize(edges, "graph")
     open_edges = edges.where("kind is null").select("pattern", "inst", "may")
-    seeds = edges.where("kind is not null").groupBy("pattern", "kind").agg(F.count(F.lit(1)).cast("double").alias("s"), F.count(F.lit(1)).alias("sure"))
+    seeds = edges.where("kind is not null").groupBy("pattern", "kind").agg((F.count(F.lit(1)) * 1000).alias("s"), F.count(F.lit(1)).alias("sure"))
     size = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    scores, before = None, None
-    for _ in range(most_rounds):
-        mass = seeds
+    scores, before, rounds = None, None, 0
+    while most_rounds is None or rounds < max(1, most_rounds):
+        mass, rounds = seeds, rounds + 1
         if scores is not None:
-            more = open_edges.join(scores, "inst").groupBy("pattern", "kind").agg(F.sum("score").alias("s"), F.count_if(F.col("score") == 1).alias("sure"))
+            more = open_edges.join(scores, "inst").groupBy("pattern", "kind").agg(F.sum("score").alias("s"), F.count_if(F.col("score") == 1000).alias("sure"))
             mass = mass.unionByName(more).groupBy("pattern", "kind").agg(F.sum("s").alias("s"), F.sum("sure").alias("sure"))
-        strong = mass.where(F.col("sure") >= least_seeds).join(size, "pattern").withColumn("p", F.col("s") / (F.col("n") + smoothing)).where(F.col("p") >= least_pattern).select("pattern", "kind", "p")
+        strong = mass.where(F.col("sure") >= least_seeds).join(size, "pattern").withColumn("p", F.col("s") / 1000 / (F.col("n") + smoothing)).where(F.col("p") >= least_pattern).select("pattern", "kind", "p")
         reached = open_edges.join(strong, "pattern").where(F.expr("(may >> kind) & 1 = 1")).groupBy("inst", "kind").agg(F.max("p").alias("p"))
-        last, scores = scores, materialize(reached.select("inst", "kind", "p", F.when(F.col("p") >= accept, 1.0).otherwise(F.col("p")).alias("score")), "scores")
+        thousandths = F.when(F.col("p") >= accept, 1000).otherwise(F.floor(F.col("p") * 1000)).cast("long")
+        last, scores = scores, materialize(reached.select("inst", "kind", "p", thousandths.alias("score")), "scores")
         if last is not None:
             discard(last)
-        now = scores.agg(F.count(F.lit(1)).alias("n"), F.sum(F.round("score", 3)).alias("s"), F.count_if(F.col("score") == 1).alias("sure")).first()
+        now = scores.agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("s")).first()
         if now == before or not now.n:
             break
         before = now
-    best = scores.where("score = 1").groupBy("inst").agg(F.max(F.struct("p", -F.col("kind"))).alias("b"))
+    best = scores.where("score = 1000").groupBy("inst").agg(F.max(F.struct("p", -F.col("kind"))).alias("b"))
     return best.select("inst", (-F.col("b")["col2"]).cast("int").alias("kind"), F.col("b.p").alias("score"))
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_rounds: int = 8) -> DataFrame:
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_rounds: int | None = None) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) for every row of ``docs``.
 
     The counts and base_sha256 are of the fixed patterns; spans lists these and the spans that bootstrapping adds, as kind:start:end
     by start and kind, with ends exclusive, in code points. Bootstrapping adds what stands beside other identifiers of its kind and has
-    a form that fits: spelt-out addresses, groups of digits, tokens with a digit or @. A null text counts as empty. Rows that repeat each get a row; a null id
+    a form that fits: spelt-out addresses, groups of digits, tokens with a digit or @; its rounds go on until nothing changes. A null text counts as empty. Rows that repeat each get a row; a null id
     stays null. An empty table gives an empty result. Extra columns are ignored.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

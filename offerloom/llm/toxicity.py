@@ -151,7 +151,7 @@ class Scorer:
             term, edits = divmod(int(codes[i]) - 1, 4)
             near = tokens[max(0, i - WINDOW) : i + WINDOW + 1]
             words = {clean(t) for t in near}
-            marks = any(t[0] in QUOTES for t in near[: WINDOW + 1]) and any(t.rstrip(".,;:!?")[-1:] in QUOTES for t in near[min(i, WINDOW) :] if t)
+            marks = any(t[0] in QUOTES for t in near[: WINDOW + 1]) and any((t.rstrip(".,;:!?")[-1:] or " ") in QUOTES for t in near[min(i, WINDOW) :])
             is_quote = bool(marks or words & REPORT)
             total += 1
             weight += self.weights[term] / (1 + edits)

@@ -8,11 +8,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import materialize, strata
+from offerloom.llm.common import join_by_frequency, materialize, strata
 
 #: (verdict, rule): a host, and the path from its first slash.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digit_ratio", "hyphens", "params", "query_length", "fragment", "host_entropy", "path_entropy", "longest_label", "www", "suffix_share", "suffix_block")
+FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digit_ratio", "hyphens", "params", "query_length", "fragment", "host_entropy", "path_entropy", "longest_label", "www", "suffix_share", "suffix_block", "segment_share", "segment_block")
 
 
 def url_parts(url: F.Column) -> tuple[F.Column, F.Column]:
@@ -43,7 +43,7 @@ def entropy(text: F.Column) -> F.Column:
 
 
 def lexical_features(df: DataFrame, url: str, host: str, path: str) -> DataFrame:
-    """Add the lexical FEATURES (all but the suffix statistics) and ``suffix``, the last two labels of the host."""
+    """Add the lexical FEATURES (all but the statistics) and ``suffix``, the last two labels of the host."""
     u = F.coalesce(F.col(url), F.lit(""))
     h, p = F.col(host), F.col(path)
     labels = F.split(h, "\\.")
@@ -67,13 +67,14 @@ def lexical_features(df: DataFrame, url: str, host: str, path: str) -> DataFrame
     })
 
 
-def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, most_train: int = 20_000, rounds: int = 15, depth: int = 4) -> DataFrame:
+def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, most_train: int = 20_000, rounds: int = 15, depth: int = 4, held_out: F.Column | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) for every row of ``pages``.
 
     A rule's verdict stands. URLs without a rule get the verdict of boosted trees that are trained on URLs which a rule labels, on at
-    most ``most_train`` of them, drawn by verdict in order of a hash and weighted to the numbers of all. score is the trees' probability
-    of block, for all URLs. Suffix statistics: the share of a suffix among all URLs, and the smoothed share of block among all its
-    labelled ones.
+    most ``most_train`` of them, drawn by verdict in order of a hash and weighted to the numbers of all; ``held_out`` (a condition on
+    page_id, url, host and path) keeps rows out of the training, so that their scores can be measured. score is the trees' probability
+    of block, for all URLs. Statistics of a suffix (the last two labels of the host) and of the first segment of the path: their share
+    among all URLs, and the smoothed share of block among all their labelled ones but the URL itself.
 
     Null URLs and URLs without ``://`` have an empty host and path and fit no rule. If the labelled URLs are all of one kind or there
     are none, the trees can't be trained: score is null and URLs without a rule are allowed. Rows that repeat each get a row. An
@@ -82,25 +83,28 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
     host, path = url_parts(F.col("url"))
     base = base.withColumns({"host": host, "path": path}).withColumn("match", rule_match(F.col("host"), F.col("path"), rules))
-    rows = materialize(lexical_features(base, "url", "host", "path"), "urls")
+    label = F.when(F.col("match").isNotNull() & ~F.coalesce(F.lit(False) if held_out is None else held_out, F.lit(False)), (F.col("match.verdict") == "block").cast("double"))
+    rows = lexical_features(base.withColumn("label", label), "url", "host", "path")
+    rows = materialize(rows.withColumn("segment", F.regexp_extract("path", "^/([^/]*)", 1)), "urls")
 
-    known = rows.where("match is not null").withColumn("label", (F.col("match.verdict") == "block").cast("double"))
-    n = {int(r.label): r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = {int(r.label): r.n for r in rows.where("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
-    of = [known.where(F.col("label") == t).orderBy(F.xxhash64("url"), "page_id").limit(k).withColumn("weight", F.lit(n.get(t, 0) / max(1, k))) for t, k in enumerate(strata(n0, n1, most_train))]
-    chosen = materialize(of[0].unionByName(of[1]), "labelled")
     total, rate = rows.count(), n1 / max(1, n0 + n1)
-    share = rows.groupBy("suffix").agg((F.count(F.lit(1)) / F.lit(max(1, total))).alias("suffix_share"))
-    block = known.groupBy("suffix").agg(((F.sum("label") + 5 * F.lit(rate)) / (F.count(F.lit(1)) + 5)).alias("suffix_block"))
-    stats = materialize(share.join(block, "suffix", "left").fillna({"suffix_block": rate}), "suffixes")
+    for key in ("suffix", "segment"):
+        stats = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_"), F.count("label").alias("known_"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("blocked_"))
+        stats = materialize(stats.withColumn(f"{key}_share", F.col("n_") / F.lit(max(1, total))), key)
+        own = F.coalesce("label", F.lit(0.0))
+        block = (F.col("blocked_") - own + 5 * F.lit(rate)) / (F.col("known_") - F.col("label").isNotNull().cast("int") + 5)
+        rows = join_by_frequency(rows, stats, key, "n_").withColumn(f"{key}_block", block).drop("known_", "blocked_")
+    rows = materialize(rows, "features")
+    of = [rows.where(F.col("label") == t).orderBy(F.xxhash64("url"), "page_id").limit(k).withColumn("weight", F.lit(n.get(t, 0) / max(1, k))) for t, k in enumerate(strata(n0, n1, most_train))]
 
     verdict = F.coalesce("match.verdict", F.when(F.col("score") >= 0.5, "block").otherwise("allow"))
     if not (n0 and n1):
         scored = rows.withColumn("score", F.lit(None).cast("double"))
     else:
         to_vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        train = to_vector.transform(chosen.join(stats, "suffix", "left")).select("features", "label", "weight").coalesce(2)
+        train = materialize(to_vector.transform(of[0].unionByName(of[1])).select("features", "label", "weight"), "labelled").coalesce(2)
         trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7, checkpointInterval=-1, weightCol="weight").fit(train)
-        ready = to_vector.transform(rows.join(stats, "suffix", "left"))
-        scored = trees.transform(ready).withColumn("score", vector_to_array("probability")[1])
+        scored = trees.transform(to_vector.transform(rows)).withColumn("score", vector_to_array("probability")[1])
     return scored.select("page_id", "host", "path", F.col("match.rule").alias("rule"), verdict.alias("verdict"), "score")

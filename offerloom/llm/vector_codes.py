@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import materialize, tidy
+from offerloom.llm.common import join_by_frequency, materialize, tidy
 
 SCALE = 4096
 #: Rows of one block of distances: bounds the memory of a task.
@@ -72,21 +72,10 @@ def nearest(parts: np.ndarray, entries: np.ndarray, first: int = 2) -> tuple[np.
     return best, low // size
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Rows of integers, padded with zeros to ``width``."""
-    lengths = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    out = np.zeros((len(lengths), width), np.int64)
-    if len(lengths) and (lengths == width).all():
-        return values.reshape(len(lengths), width).astype(np.int64)
-    out[np.arange(width) < lengths[:, None]] = values
-    return out
-
-
 def _blocks(batch: pa.RecordBatch, width: int):
     for k in range(0, batch.num_rows, ROWS):
         part = batch.slice(k, ROWS)
-        yield part, _matrix(part.column(part.schema.get_field_index("q")), width)
+        yield part, part.column("q").flatten().to_numpy(zero_copy_only=False).reshape(-1, width).astype(np.int64)
 
 
 def _sums(books: np.ndarray):
@@ -131,7 +120,7 @@ def learn_codebooks(rows: DataFrame, width: int, parts: int, entries: int, round
     ids = rows.select("vec_id").distinct().orderBy(F.col("vec_id").asc_nulls_last()).limit(entries)
     seeds = rows.join(F.broadcast(ids.withColumnRenamed("vec_id", "id_")), F.col("vec_id").eqNullSafe(F.col("id_"))).groupBy("vec_id").agg(F.min("q").alias("q"))
     first = seeds.orderBy(F.col("vec_id").asc_nulls_last()).collect()  # ``entries`` rows at most
-    start = np.array([r.q + [0] * (parts * width - len(r.q)) for r in first], np.int64)
+    start = np.array([r.q for r in first], np.int64)
     books = start.reshape(len(first), parts, width).transpose(1, 0, 2)
     for _ in range(rounds):
         sums = rows.select("q").mapInArrow(_sums(books), "part long, entry long, at long, total long, n long")
@@ -142,21 +131,6 @@ def learn_codebooks(rows: DataFrame, width: int, parts: int, entries: int, round
     return books
 
 
-def with_group_sum(rows: DataFrame, key: str, value: str, out: str, often: int = 1000) -> DataFrame:
-    """``rows`` with the sum of ``value`` over the rows of equal ``key``; nulls are one key.
-
-    Sums are pre-aggregated. Keys with more than one in ``often`` rows, fewer than ``often`` of them, are broadcast; the other rows
-    meet their sums by a shuffle, in which no key is frequent.
-    """
-    sums = rows.groupBy(key).agg(F.sum(value).alias(out), F.count(F.lit(1)).alias("n_"))
-    sums = materialize(sums.withColumnRenamed(key, "key_"), "sums")
-    n = sums.agg(F.sum("n_")).first()[0] or 0
-    frequent, same = F.col("n_") * often > n, F.col(key).eqNullSafe(F.col("key_"))
-    hot = F.broadcast(sums.where(frequent).select("key_", out))
-    rare = rows.join(hot, same, "left_anti").join(sums.where(~frequent).select("key_", out), same)
-    return rows.join(hot, same).unionByName(rare).drop("key_")
-
-
 def compress_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", parts: int = 8, entries: int = 16, rounds: int = 6) -> DataFrame:
     """(vec_id, code, error, label_error, codebooks_sha256) of each vector without null or non-finite components; others drop out.
 
@@ -182,7 +156,8 @@ def compress_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     if (size.largest or 0) * SCALE >= min(1 << 31, math.isqrt((1 << 61) // padded**2)):
         raise ValueError(f"a component of {size.largest:g} is too large for exact sums")
     scaled = F.transform("v", lambda x: F.floor(x * SCALE).cast("int"))
-    rows = materialize(v.select("vec_id", "label", scaled.alias("q")), "integers")
+    zeros = F.array_repeat(F.lit(0), F.lit(width * parts) - F.size("v"))
+    rows = materialize(v.select("vec_id", "label", F.concat(scaled, zeros).alias("q")), "integers")
     if size.length is None:
         empty = rows.select("vec_id", F.lit("").alias("code"), F.lit(0).cast("long").alias("error"), F.lit(0).cast("long").alias("label_error"), F.lit("").alias("codebooks_sha256"))
         return empty.limit(0)
@@ -190,7 +165,8 @@ def compress_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
     kinds = dict(rows.dtypes)
     codes = materialize(rows.mapInArrow(_codes(books), f"vec_id {kinds['vec_id']}, label {kinds['label']}, code string, error long"), "codes")
-    return with_group_sum(codes, "label", "error", "label_error").select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+    sums = materialize(codes.groupBy("label").agg(F.sum("error").alias("label_error"), F.count(F.lit(1)).alias("n")), "sums")
+    return join_by_frequency(codes, sums, "label", "n").select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
 
 
 def oracle(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:

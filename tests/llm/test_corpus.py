@@ -431,15 +431,15 @@ def test_url_filter_odd_rows(spark):
 
 
 def test_url_suffixes_beyond_sample(spark, monkeypatch):
-    """Suffix statistics are of all labelled URLs, and both verdicts are trained on, however few rows the trees may take."""
+    """Suffix statistics are of all labelled URLs but the row's own, and both verdicts are trained on, however few rows the trees may take."""
     urls = [f"http://h{k}.com/{k}" for k in range(5)] + [f"http://a{k}.s{k % 50}.net/x" for k in range(400)] + [f"http://a{k}.b.org/fr/" for k in range(8)]
     seen = {}
     real = url_filter.materialize
     monkeypatch.setattr(url_filter, "materialize", lambda df, name: seen.setdefault(name, real(df, name)))
     url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), most_train=20, rounds=1).count()
     rate = 400 / 408
-    got = {r.suffix: r.suffix_block for r in seen["suffixes"].collect()}
-    assert all(got[f"s{k}.net"] == pytest.approx((8 + 5 * rate) / 13) for k in range(50)) and got["b.org"] == pytest.approx(5 * rate / 13)
+    got = {r.suffix: r.suffix_block for r in seen["features"].collect()}
+    assert all(got[f"s{k}.net"] == pytest.approx((7 + 5 * rate) / 12) for k in range(50)) and got["b.org"] == pytest.approx(5 * rate / 12) and got["h1.com"] == pytest.approx(rate)
     assert Counter((r.label, round(r.weight, 6)) for r in seen["labelled"].collect()) == {(1.0, round(400 / 12, 6)): 12, (0.0, 1.0): 8}
 
 
