@@ -10,7 +10,8 @@ from offerloom.config import MatchConfig
 from offerloom.functions import attributes as E
 from offerloom.functions.text import blank_to_null, is_blank
 from offerloom.operators.dedup import keep_first_by
-from offerloom.operators.summary import count_by, count_where, joined_set, missing_by_marketplace, missing_rate, top_spread
+from offerloom.operators.summary import count_where, joined_set, missing_by_marketplace, missing_rate, top_spread
+from offerloom.sources.scratch import written
 
 LISTING_COLUMNS = ("marketplace", "title", "price", "url", "brand", "model", "size", "canonical_key", "collected_at", "seller", "source_file")
 SUMMARY_COLUMNS = ("canonical_key", "brand", "model", "size", "n_listings", "marketplaces", "min_price", "max_price", "mean_price", "median_price", "p10", "p90", "media_correta", "evidence_files")
@@ -73,6 +74,11 @@ def unfilled_columns(df: DataFrame, expected: tuple[str, ...]) -> DataFrame:
     return want if counts is None else want.join(counts, "column_name", "left_anti")
 
 
+def _rows(weight: str | None) -> Column:
+    """The number of rows: of the frame, or those that its pre-aggregated rows stand for."""
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
+
+
 def key_with_many_triplets(df: DataFrame) -> DataFrame:
     """Keys that stand for several (brand, model, size)."""
     out = df.groupBy("canonical_key").agg(F.count_distinct(F.struct(*TRIPLET)).alias("distinct_triplets"))
@@ -84,14 +90,14 @@ def triplet_with_many_keys(df: DataFrame) -> DataFrame:
     return df.groupBy(*TRIPLET).agg(F.count_distinct("canonical_key").alias("n_keys")).where("n_keys > 1").orderBy(F.desc("n_keys"), *TRIPLET)
 
 
-def duplicate_urls(df: DataFrame, n: int = 50) -> DataFrame:
+def duplicate_urls(df: DataFrame, n: int = 50, weight: str | None = None) -> DataFrame:
     """(marketplace, url) that occur more than once, most often first."""
-    return df.groupBy("marketplace", "url").agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(F.desc("n"), "marketplace", "url").limit(n)
+    return df.groupBy("marketplace", "url").agg(_rows(weight).alias("n")).where("n > 1").orderBy(F.desc("n"), "marketplace", "url").limit(n)
 
 
-def multi_source_items(df: DataFrame, n: int = 100) -> DataFrame:
+def multi_source_items(df: DataFrame, n: int = 100, weight: str | None = None) -> DataFrame:
     """Products that come from several files, with the files."""
-    per_file = df.where("brand <> '' AND model <> '' AND size <> ''").groupBy(*TRIPLET, "source_file").agg(F.count(F.lit(1)).alias("k"))
+    per_file = df.where("brand <> '' AND model <> '' AND size <> ''").groupBy(*TRIPLET, "source_file").agg(_rows(weight).alias("k"))
     out = per_file.groupBy(*TRIPLET).agg(F.sum("k").alias("n_rows"), F.count("source_file").alias("n_sources")).where("n_sources >= 2")
     top = out.orderBy(F.desc("n_sources"), F.desc("n_rows"), *TRIPLET).limit(n)
     # Names of these products only, and of each no more than 300 characters can hold.
@@ -101,10 +107,10 @@ def multi_source_items(df: DataFrame, n: int = 100) -> DataFrame:
     return top.join(names.groupBy(*TRIPLET).agg(snippet), TRIPLET, "left").withColumn("sources_snippet", F.coalesce("sources_snippet", F.lit(""))).orderBy(F.desc("n_sources"), F.desc("n_rows"), *TRIPLET)
 
 
-def same_brand_and_model(df: DataFrame, n: int = 50) -> DataFrame:
+def same_brand_and_model(df: DataFrame, n: int = 50, weight: str | None = None) -> DataFrame:
     """Products whose model is their brand."""
     d = df.where((F.col("brand") != "") & (F.col("model") != "") & (F.lower("brand") == F.lower("model")))
-    return d.groupBy(*TRIPLET).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), *TRIPLET).limit(n)
+    return d.groupBy(*TRIPLET).agg(_rows(weight).alias("n")).orderBy(F.desc("n"), *TRIPLET).limit(n)
 
 
 def evidence_coverage(summary: DataFrame, listings: DataFrame, n: int = 50) -> DataFrame:
@@ -127,30 +133,49 @@ def evidence_from(summary: DataFrame, tails: tuple[str, ...]) -> DataFrame:
     return count_where(summary, {t: F.contains("evidence_files", F.lit(t)) for t in tails})
 
 
-def run_validations(listings: DataFrame, summary: DataFrame, tails=("MercadoLivre/data/raw/", "MagazineLuiza/data/raw/", "pneustore/dados/raw/")) -> dict[str, DataFrame]:
-    """Every validation section by name."""
+def run_validations(listings: DataFrame, summary: DataFrame, tails=("MercadoLivre/data/raw/", "MagazineLuiza/data/raw/", "pneustore/dados/raw/"), sections: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
+    """Every validation section by name, or those of ``sections``.
+
+    The listings are aggregated once to (key, brand, model, size, marketplace, url, file) with their number and that of bad prices; all
+    sections but the sample of raw rows read this. It is written unless only one section is asked for.
+    """
+    slim = ["canonical_key", *TRIPLET, "marketplace", "url", "source_file"]
+    bad = F.count_if(F.coalesce(F.col("price") <= 0, F.lit(True)))
+    d = listings.groupBy(*slim).agg(F.count(F.lit(1)).alias("n_rows"), bad.alias("n_bad"))
+    if sections is None or len(sections) > 1:
+        d = written(d, "validations")
     blank = lambda c: is_blank(F.col(c))
-    return {
-        "missing_cols_unified_listings": missing_columns(listings, LISTING_COLUMNS),
-        "missing_cols_canonical_summary": missing_columns(summary, SUMMARY_COLUMNS),
-        "critical_blanks": count_where(listings, {"rows_without_source_file": blank("source_file"), "rows_without_canonical_key": blank("canonical_key"), "rows_without_brand_or_model_or_size": blank("brand") | blank("model") | blank("size")}),
-        "count_by_marketplace": count_by(listings, "marketplace"),
-        "count_by_size": count_by(listings, "size", 100),
-        "brand_equals_model": same_brand_and_model(listings),
-        "bad_prices": count_where(listings, {"negative_or_zero_prices": F.coalesce(F.col("price") <= 0, F.lit(True))}),
-        "top_spread": top_spread(summary),
-        "evidence_samples": summary.where(F.trim("evidence_files") != "").orderBy(F.desc("n_listings"), "canonical_key").limit(50).select(*TRIPLET, "n_listings", "marketplaces", F.substring("evidence_files", 1, 200).alias("evidence_snippet")),
-        "evidence_tails": evidence_from(summary, tails),
-        "backslashes": count_where(listings, {"n_with_backslash": F.contains("source_file", F.lit("\\"))}),
-        "key_with_many_triplets": key_with_many_triplets(listings),
-        "triplet_with_many_keys": triplet_with_many_keys(listings),
-        "duplicate_urls": duplicate_urls(listings),
-        "multi_source_items": multi_source_items(listings),
-        "evidence_coverage": evidence_coverage(summary, listings),
-        "marketplace_divergence": marketplace_divergence(summary, listings),
-        "raw_listings": listings.orderBy("canonical_key", "url", "collected_at", "seller").limit(10),
-        "raw_summary": summary.orderBy("canonical_key").limit(10),
+
+    def weighed(conditions: dict[str, Column], weight: str = "n_rows") -> DataFrame:
+        row = d.agg(*[F.coalesce(F.sum(F.when(c, F.col(weight))), F.lit(0)).alias(k) for k, c in conditions.items()])
+        return row.unpivot([], list(conditions), "metric", "n")
+
+    def by(column: str, n: int | None = None) -> DataFrame:
+        out = d.groupBy(column).agg(_rows("n_rows").alias("n")).orderBy(F.desc("n"), F.col(column).asc_nulls_last())
+        return out.limit(n) if n else out
+
+    make = {
+        "missing_cols_unified_listings": lambda: missing_columns(listings, LISTING_COLUMNS),
+        "missing_cols_canonical_summary": lambda: missing_columns(summary, SUMMARY_COLUMNS),
+        "critical_blanks": lambda: weighed({"rows_without_source_file": blank("source_file"), "rows_without_canonical_key": blank("canonical_key"), "rows_without_brand_or_model_or_size": blank("brand") | blank("model") | blank("size")}),
+        "count_by_marketplace": lambda: by("marketplace"),
+        "count_by_size": lambda: by("size", 100),
+        "brand_equals_model": lambda: same_brand_and_model(d, weight="n_rows"),
+        "bad_prices": lambda: weighed({"negative_or_zero_prices": F.lit(True)}, "n_bad"),
+        "top_spread": lambda: top_spread(summary),
+        "evidence_samples": lambda: summary.where(F.trim("evidence_files") != "").orderBy(F.desc("n_listings"), "canonical_key").limit(50).select(*TRIPLET, "n_listings", "marketplaces", F.substring("evidence_files", 1, 200).alias("evidence_snippet")),
+        "evidence_tails": lambda: evidence_from(summary, tails),
+        "backslashes": lambda: weighed({"n_with_backslash": F.contains("source_file", F.lit("\\"))}),
+        "key_with_many_triplets": lambda: key_with_many_triplets(d),
+        "triplet_with_many_keys": lambda: triplet_with_many_keys(d),
+        "duplicate_urls": lambda: duplicate_urls(d, weight="n_rows"),
+        "multi_source_items": lambda: multi_source_items(d, weight="n_rows"),
+        "evidence_coverage": lambda: evidence_coverage(summary, d),
+        "marketplace_divergence": lambda: marketplace_divergence(summary, d),
+        "raw_listings": lambda: listings.orderBy("canonical_key", "url", "collected_at", "seller").limit(10),
+        "raw_summary": lambda: summary.orderBy("canonical_key").limit(10),
     }
+    return {name: make[name]() for name in sections or make}
 
 
 def verify_snapshot(df: DataFrame, key=("marketplace", "sku_norm"), required=("marketplace", "sku_norm", "title", "price", "url", "captured_at")) -> DataFrame:

@@ -185,24 +185,35 @@ def _(spark, d):
 # --- C13, J10, L3 ---
 
 
-def _validations(spark, d) -> dict[str, DataFrame]:
+def _validation(spark, d, name: str) -> DataFrame:
     g = views.gappy(spark, d).drop(*ROW.split(", "))
-    return quality.run_validations(g, summary.canonical_summary(g))
+    return quality.run_validations(g, summary.canonical_summary(g), sections=(name,))[name]
 
 
 @query("check_evidence_samples", f"WITH {SUM_G} SELECT brand, model, size, n_listings, marketplaces, substr(evidence_files, 1, 200) AS evidence_snippet FROM summary WHERE trim(evidence_files) <> '' ORDER BY n_listings DESC, canonical_key NULLS FIRST LIMIT 50", "gappy")
 def _(spark, d):
-    return _validations(spark, d)["evidence_samples"]
+    return _validation(spark, d, "evidence_samples")
 
 
 @query("check_raw_listings", "SELECT canonical_key, url, strftime(collected_at, '%Y-%m-%d') AS collected_at, seller FROM gappy ORDER BY canonical_key NULLS FIRST, url NULLS FIRST, collected_at NULLS FIRST, seller NULLS FIRST LIMIT 10", "gappy")
 def _(spark, d):
-    return _validations(spark, d)["raw_listings"].select("canonical_key", "url", F.date_format("collected_at", "yyyy-MM-dd").alias("collected_at"), "seller")
+    return _validation(spark, d, "raw_listings").select("canonical_key", "url", F.date_format("collected_at", "yyyy-MM-dd").alias("collected_at"), "seller")
+
+
+@query("validation_sections", f"""WITH {SUM_G}, {", ".join(f"x_{k} AS ({v})" for k, v in SECTIONS.items())}
+    {" UNION ALL ".join(f"SELECT '{k}' AS section, count(*) AS n FROM x_{k}" for k in SECTIONS if k != "brand_equals_model")}
+    UNION ALL SELECT 'raw_summary', least(10, count(*)) FROM summary UNION ALL SELECT 'raw_listings', least(10, count(*)) FROM gappy UNION ALL SELECT 'count_by_marketplace', count(*) FROM (SELECT marketplace FROM gappy GROUP BY 1)""", "gappy")
+def _(spark, d):
+    """Rows of each section, all of them from one pre-aggregate of the listings."""
+    g = views.gappy(spark, d).drop(*ROW.split(", "))
+    made = quality.run_validations(g, summary.canonical_summary(g))
+    names = [*(k for k in SECTIONS if k != "brand_equals_model"), "raw_summary", "raw_listings", "count_by_marketplace"]
+    return listings.union_all([made[k].agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("section"), "n") for k in names])
 
 
 @query("check_raw_summary", f"WITH {SUM_G} SELECT canonical_key FROM summary ORDER BY canonical_key NULLS FIRST LIMIT 10", "gappy")
 def _(spark, d):
-    return _validations(spark, d)["raw_summary"].select("canonical_key")
+    return _validation(spark, d, "raw_summary").select("canonical_key")
 
 
 @query("check_unfilled_columns", "WITH filled AS (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER (NOT {BLANK.format(c)}) AS n FROM gappy" for c in ("marketplace", "title", "price::VARCHAR", "url", "brand", "model", "size", "collected_at::VARCHAR", "source_file")).replace("'price::VARCHAR'", "'price'").replace("'collected_at::VARCHAR'", "'collected_at'") + ") SELECT * FROM (VALUES " + ", ".join(f"('{c}')" for c in quality.LISTING_COLUMNS) + ") t(column_name) EXCEPT SELECT column_name FROM filled WHERE n > 0", "gappy")
@@ -253,6 +264,12 @@ def _(spark, d):
     return p.select("p_partkey", T.name_from_query(query_).alias("query_name"), T.unwrap_click_url(click).alias("target"), T.asin(link).alias("asin"), T.norm_text_keep_dots(F.concat(F.lit("  PNEU (#)"), key, F.lit("/55.5-É_*!"))).alias("dots"))
 
 
+@query("norm_text_keep_dots", f"SELECT {ROW}, lower(trim(regexp_replace(regexp_replace(coalesce(title, '') || ' 4.5/6-e_' || l_partkey, '[^\\p{{L}}\\p{{N}}_\\s/.-]', ' ', 'g'), '\\s+', ' ', 'g'))) AS t FROM gappy", "gappy")
+def _(spark, d):
+    t = F.concat(F.coalesce("title", F.lit("")), F.lit(" 4.5/6-é_"), F.col("l_partkey").cast("string"))
+    return views.gappy(spark, d).select(*ROW.split(", "), T.norm_text_keep_dots(t).alias("t"))
+
+
 @query("counts_and_slugs", "SELECT p_partkey, p_size AS stock, 0 AS no_stock, p_partkey AS rating_count, substr(replace(p_name, ' ', '-'), 1, 5) AS cut, 'none' AS empty FROM part")
 def _(spark, d):
     p = table(spark, d, "part")
@@ -322,6 +339,32 @@ def _(spark, d):
     return pages.extract_listings_from_pages(_pages(spark, d)).drop("discount_pct")
 
 
+@query("extract_page_products", """
+    WITH n AS (SELECT *, unnest(range(1 + p_partkey % 3)) AS k, 1 + p_partkey % 3 AS of FROM part)
+    SELECT 'https://shop.com/' || p_partkey AS url, p_name || ' ' || k AS title, CASE WHEN k = 1 THEN p_size + 1.5 ELSE p_retailprice + k END AS price,
+      CASE WHEN k = 2 THEN p_retailprice + 1000 END AS previous_price, CASE WHEN k = 1 THEN 'EUR' ELSE 'BRL' END AS currency FROM n""")
+def _(spark, d):
+    """Pages with one to three products: alone, in a graph, and in an item list beside other nodes; single offers, lists of offers, offers of a range."""
+    p = table(spark, d, "part").withColumn("price_", F.col("p_retailprice").cast("double"))
+    name = lambda k: F.concat(F.col("p_name"), F.lit(f" {k}"))
+    price = lambda k: F.format_string("%.2f", F.col("price_") + k)
+    node = [
+        F.to_json(F.struct(F.lit("Product").alias("@type"), name(0).alias("name"), F.struct(F.lit("Offer").alias("@type"), price(0).alias("price"), F.lit("BRL").alias("priceCurrency")).alias("offers"))),
+        F.to_json(F.struct(F.array(F.lit("Thing"), F.lit("Product")).alias("@type"), name(1).alias("name"), F.array(F.struct(F.lit(None).cast("double").alias("price"), F.lit(None).cast("string").alias("priceCurrency")), F.struct((F.col("p_size") + 1.5).alias("price"), F.lit("EUR").alias("priceCurrency"))).alias("offers"))),
+        F.to_json(F.struct(name(2).alias("name"), F.struct(F.lit("AggregateOffer").alias("@type"), price(2).alias("lowPrice"), price(1000).alias("highPrice"), F.lit("BRL").alias("priceCurrency")).alias("offers"))),
+    ]
+    block = lambda *parts: F.concat(F.lit('<script type="application/ld+json">'), *[F.lit(x) if isinstance(x, str) else x for x in parts], F.lit("</script>"))
+    k = F.col("p_partkey") % 3
+    ld = (
+        F.when(k == 0, block(node[0]))
+        .when(k == 1, F.concat(block('{"@context": "x", "@graph": [{"@type": "WebPage"}, ', node[0], ", ", node[1], "]}"), block("{broken")))
+        .otherwise(F.concat(block('{"@type": "ItemList", "itemListElement": [{"item": ', node[0], '}, {"item": ', node[2], "}]}"), block("[", node[1], "]")))
+    )
+    html = F.concat(F.lit("<html><h1>Shop</h1>"), ld, F.lit("<del>R$ 9,00</del><p>R$ 5,00</p></html>"))
+    out = pages.extract_listings_from_pages(p.select(F.concat(F.lit("https://shop.com/"), F.col("p_partkey").cast("string")).alias("url"), html.alias("html")))
+    return out.select("url", "title", "price", "previous_price", "currency")
+
+
 @query("enrich_listings", "SELECT p_partkey, least(1000.0, CASE p_partkey % 3 WHEN 0 THEN p_retailprice WHEN 1 THEN p_size + 100.5 ELSE p_size + 1100.25 END) AS price, CASE WHEN p_partkey % 2 = 0 THEN 'x' WHEN contains(p_name, 'ring') THEN 'ring' END AS brand FROM part")
 def _(spark, d):
     details = pages.extract_listings_from_pages(_pages(spark, d))

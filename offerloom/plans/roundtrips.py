@@ -146,3 +146,20 @@ def _(spark, d):
         run = ingest_stream(spark, f"{path}/in", "p_partkey long, p_name string, p_size int", f"{path}/out", f"{path}/checkpoint", lambda b: b.withColumn("p_name", F.upper("p_name")), multi_line=False, files_per_batch=2 + k)
         run.awaitTermination()
     return spark.read.parquet(f"{path}/out").select("p_partkey", "p_name", "p_size")
+
+
+@query("read_snapshots", "SELECT slug, cast(d AS VARCHAR) AS d, price, event_id FROM snapshots", "snapshots")
+def _(spark, d):
+    """One file a slug and day, whose name alone tells both."""
+    path = new_path(spark, "named")
+    sinks.save_snapshots(views.snapshots(spark, d).select("slug", "d", "price", "event_id"), path)
+    out = files.read_snapshots(spark, path, top10_only=False, schema="price double, event_id long")
+    return out.select("slug", F.col("d").cast("string").alias("d"), "price", "event_id")
+
+
+@query("read_top10_snapshots", "SELECT slug, cast(d AS VARCHAR) AS d, price, event_id FROM snapshots QUALIFY row_number() OVER (PARTITION BY slug, d ORDER BY price, event_id) <= 10", "snapshots")
+def _(spark, d):
+    path = new_path(spark, "top10")
+    sinks.save_snapshots(views.snapshots(spark, d).select("slug", "d", "price", "event_id"), path, top=10)
+    out = files.read_snapshots(spark, path, schema="price double, event_id long")
+    return out.select("slug", F.col("d").cast("string").alias("d"), "price", "event_id")

@@ -37,6 +37,20 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def rename_parts(spark: SparkSession, staging: str, path: str, ending: str) -> None:
+    """Move the file of each folder ``column=value`` below ``staging`` to ``path``/value + ``ending``, replacing what is there."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop(path))
+    for folder in fs.listStatus(hadoop(staging)):
+        name = folder.getPath().getName()
+        if "=" in name:
+            target = hadoop(path, name.split("=", 1)[1] + ending)
+            fs.delete(target, False)
+            part = next(f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-"))
+            fs.rename(part, target)
+
+
 def clean_up(spark: SparkSession) -> None:
     """Delete all intermediate data of this application, once no result is read any more."""
     remove(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")

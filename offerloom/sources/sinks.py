@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from offerloom.functions.text import safe_part
 from offerloom.operators.summary import canonical_summary
+from offerloom.sources.scratch import new_path, remove, rename_parts
 
 SPLITS = ("brand", "size", "model")
 
@@ -46,6 +47,23 @@ def save_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def save_snapshots(snapshots: DataFrame, path: str, top: int | None = None) -> None:
+    """One JSON array for each (slug, d), named ``slug_YYYYMMDD.json``, or ``slug_topN_YYYYMMDD.json`` with its first ``top`` rows by price.
+
+    A snapshot is what one search found on one day and is one file, so it is made in one task; the executors write the files, the driver
+    only gives them their names. Slugs are made safe for paths.
+    """
+    rows = snapshots.withColumn("name_", F.concat_ws("_", safe_part(F.col("slug")), *([F.lit(f"top{top}")] if top else []), F.date_format("d", "yyyyMMdd")))
+    fields = [c for c in snapshots.columns if c not in ("slug", "d")]
+    found = F.array_sort(F.collect_list(F.struct(F.col("price").alias("sort_price"), *fields)))
+    files = rows.groupBy("name_").agg((F.slice(found, 1, top) if top else found).alias("rows_"))
+    text = files.select("name_", F.to_json(F.transform("rows_", lambda r: F.struct(*[r[c].alias(c) for c in fields]))).alias("value"))
+    staging = new_path(snapshots.sparkSession, "snapshots")
+    text.repartition("name_").write.partitionBy("name_").text(staging)
+    rename_parts(snapshots.sparkSession, staging, path, ".json")
+    remove(snapshots.sparkSession, staging)
+
+
 def save_listing_files(listings: DataFrame, path: str, ceps: list[str] | None = None) -> None:
     """K7: the same rows as JSON and as CSV; in the CSV the map ``shipping`` becomes a column per wanted postcode, other maps JSON text."""
     listings.write.mode("overwrite").json(f"{path}/json")
