@@ -5,12 +5,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from offerloom.functions.names import fresh
 from offerloom.functions.text import norm_txt_ws, url_norm
+from offerloom.sources.scratch import written
 
 
 def _tie_break(df: DataFrame, taken: set[str]) -> list[Column]:
@@ -94,3 +95,41 @@ def upsert_by_key(target: DataFrame, updates: DataFrame, keys: list[str], order:
     for k in keys:
         matches = matches & target[k].eqNullSafe(new[k])
     return target.join(new.select(*keys), matches, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def _bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def create_upsert_table(df: DataFrame, path: str, keys: list[str], buckets: int = 256) -> None:
+    """K5: a table that :func:`upsert_table` can update: files by the bucket of their keys, and version 0 in its manifest."""
+    bucketed = df.withColumn("bucket_", _bucket(keys, buckets))
+    bucketed.repartition("bucket_").write.mode("overwrite").partitionBy("bucket_").parquet(f"{path}/rows")
+    _note(df.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket_")), path, 0, buckets, "overwrite")
+
+
+def _note(changed: DataFrame, path: str, version: int, buckets: int, mode: str = "append") -> None:
+    changed.select(F.lit(version).alias("version"), F.lit(buckets).alias("buckets"), "bucket_").coalesce(1).write.mode(mode).parquet(f"{path}/manifest")
+
+
+def read_upsert_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of such a table."""
+    return spark.read.parquet(f"{path}/rows").drop("bucket_")
+
+
+def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], order: list[Column] | None = None) -> int:
+    """K5: :func:`upsert_by_key` on a stored table; returns the new version.
+
+    Only buckets that an update's key falls into are read and replaced; the files of all others stay as they are. The new rows are
+    written beside the table first, so a failure before the replacement leaves it as it was, and one during it is mended by running the
+    same update again. The manifest lists the buckets that each version replaced. New columns of the updates are null in older rows.
+    """
+    last = spark.read.parquet(f"{path}/manifest").agg(F.max("version").alias("version"), F.max("buckets").alias("buckets")).first()
+    new = written(updates.withColumn("bucket_", _bucket(keys, last.buckets)), "updates")
+    changed = written(new.select("bucket_").distinct(), "changed")
+    touched = [r.bucket_ for r in changed.collect()]  # one number a bucket at most
+    old = spark.read.parquet(f"{path}/rows").where(F.col("bucket_").isin(touched))
+    merged = written(upsert_by_key(old.drop("bucket_"), new.drop("bucket_"), keys, order).withColumn("bucket_", _bucket(keys, last.buckets)), "merged")
+    merged.repartition("bucket_").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket_").parquet(f"{path}/rows")
+    _note(changed, path, last.version + 1, last.buckets)
+    return last.version + 1

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from offerloom.functions import numbers as N
+from offerloom.functions.names import fresh
 from offerloom.operators.summary import snapshot_mean
 from offerloom.sources.scratch import written
 
@@ -66,20 +67,51 @@ def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.round(F.lit(medians[c]).cast("double"), 6)) for c in columns})
 
 
-def series_features(df: DataFrame, key: str = "product_id", when: str = "data_coleta", price: str = "preco", threshold: float = 0.3, tie: tuple[str, ...] = ()) -> DataFrame:
-    """Difference to the price before, means of the last 7 and 30 rows, and whether the difference exceeds 30 %.
+def in_ranges(df: DataFrame, key: str, order: list[str], rows_before: int) -> tuple[DataFrame, str, str]:
+    """The rows of long series in ranges of their order, each with the rows before it; the names of the range column and of the mark of added rows.
 
-    Rows of one time follow ``tie``.
+    Rows are sorted over the tasks by key and order, so one series is many ranges. A range that goes on with the series of the one
+    before gets that series' last ``rows_before`` rows again, marked, whether one range or several hold them.
     """
-    w = Window.partitionBy(key).orderBy(when, *tie)
-    p = F.col(price)
-
-    def mean(n: int) -> Column:
-        frame = w.rowsBetween(-(n - 1), 0)
-        return F.sum(p.cast("decimal(20,6)")).over(frame).cast("double") / F.count(p).over(frame)
+    part, added, rank, number = fresh(df, "range_", "added_", "rank_", "number_")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = written(df.repartitionByRange(n, key, *order).withColumn(part, F.spark_partition_id()), "ranges")
+    last = Window.partitionBy(key, part).orderBy(*[F.col(c).desc() for c in order])
+    tails = d.withColumn(rank, F.row_number().over(last)).where(F.col(rank) <= rows_before).drop(rank)  # so many rows of each series and range
+    tails = tails.withColumn(number, F.row_number().over(Window.partitionBy(key).orderBy(part, *order)))
+    ends = tails.groupBy(key, part).agg(F.min(number).alias(number)).where(F.col(number) > 1)
+    wanted = ends.select(F.col(key).alias("key_"), F.col(part).alias("part_"), F.explode(F.sequence(F.greatest(F.lit(1), F.col(number) - rows_before), F.col(number) - 1)).alias("n_"))
+    before = tails.join(wanted, F.col(key).eqNullSafe(F.col("key_")) & (F.col(number) == F.col("n_")))
+    out = d.withColumn(added, F.lit(False)).unionByName(before.select(*df.columns, F.col("part_").alias(part), F.lit(True).alias(added)))
+    return out, part, added
+
+
+def series_features(df: DataFrame, key: str = "product_id", when: str = "data_coleta", price: str = "preco", threshold: float = 0.3, tie: tuple[str, ...] = (), most_rows: int = 1_000_000) -> DataFrame:
+    """Difference to the price before, means of the last 7 and 30 rows, and whether the difference exceeds 30 %.
 
-    d = df.withColumns({"preco_diff": p - F.lag(p).over(w), "preco_ma7": mean(7), "preco_ma30": mean(30)})
-    return d.withColumn("anomaly", F.coalesce((F.abs("preco_diff") > p * threshold).cast("int"), F.lit(0)))
+    Rows of one time follow ``tie``. Series of more than ``most_rows`` rows are cut into ranges, each with the 30 rows before it, so one
+    product with a third of all rows is many tasks; the others are windows of one task each. Both give the same rows.
+    """
+    p, order = F.col(price), list(dict.fromkeys(c for c in (when, *tie) if c != key))
+
+    def features(d: DataFrame, *by: str) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(*order)
+
+        def mean(n: int) -> Column:
+            frame = w.rowsBetween(-(n - 1), 0)
+            return F.sum(p.cast("decimal(20,6)")).over(frame).cast("double") / F.count(p).over(frame)
+
+        d = d.withColumns({"preco_diff": p - F.lag(p).over(w), "preco_ma7": mean(7), "preco_ma30": mean(30)})
+        return d.withColumn("anomaly", F.coalesce((F.abs("preco_diff") > p * threshold).cast("int"), F.lit(0)))
+
+    (one,) = fresh(df, "key_")
+    long = written(df.groupBy(F.col(key).alias(one)).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_rows).select(one), "long")
+    if long.isEmpty():
+        return features(df, key)
+    same = F.col(key).eqNullSafe(F.col(one))
+    rows, part, added = in_ranges(df.join(long, same, "left_semi"), key, order, 30)
+    cut = features(rows, key, part).where(~F.col(added)).drop(part, added)
+    return features(df.join(long, same, "left_anti"), key).unionByName(cut)
 
 
 def price_features(df: DataFrame, money_style: str = "auto_tail") -> DataFrame:

@@ -18,6 +18,7 @@ from offerloom.functions import text as T
 from offerloom.operators import audit, dedup, listings, pages, pricing, quality, series, summary
 from offerloom.plans import views
 from offerloom.plans.views import table, with_views
+from offerloom.sources.scratch import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -163,11 +164,29 @@ def _(spark, d):
     return dedup.keep_first_by(table(spark, d, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"], [F.col("o_orderkey")])
 
 
-@query("upsert_by_key", "SELECT c_custkey, CASE WHEN o.k IS NULL THEN c_name ELSE 'orders ' || o.n END AS c_name FROM customer LEFT JOIN (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) o ON c_custkey = o.k UNION ALL SELECT -k - 1, 'orders ' || n AS c_name FROM (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) WHERE k % 10 = 0")
-def _(spark, d):
+UPSERTED = "SELECT c_custkey, CASE WHEN o.k IS NULL THEN c_name ELSE 'orders ' || o.n END AS c_name FROM customer LEFT JOIN (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) o ON c_custkey = o.k UNION ALL SELECT -k - 1, 'orders ' || n AS c_name FROM (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) WHERE k % 10 = 0"
+
+
+def _upserts(spark, d) -> tuple[DataFrame, DataFrame]:
     counts = table(spark, d, "orders").groupBy("o_custkey").agg(F.concat(F.lit("orders "), F.count(F.lit(1)).cast("string")).alias("c_name"))
     updates = counts.select(F.col("o_custkey").alias("c_custkey"), "c_name").unionByName(counts.where("o_custkey % 10 = 0").select((-F.col("o_custkey") - 1).alias("c_custkey"), "c_name"))
-    return dedup.upsert_by_key(table(spark, d, "customer").select("c_custkey", "c_name"), updates, ["c_custkey"])
+    return table(spark, d, "customer").select("c_custkey", "c_name"), updates
+
+
+@query("upsert_by_key", UPSERTED)
+def _(spark, d):
+    return dedup.upsert_by_key(*_upserts(spark, d), ["c_custkey"])
+
+
+@query("upsert_table", UPSERTED)
+def _(spark, d):
+    """The same on a stored table, in two rounds of updates."""
+    target, updates = _upserts(spark, d)
+    dedup.create_upsert_table(target, path := new_path(spark, "upserted"), ["c_custkey"], buckets=64)
+    for part in (updates.where("c_custkey % 3 = 0"), updates.where("c_custkey % 3 <> 0")):
+        dedup.upsert_table(spark, path, part, ["c_custkey"])
+    return dedup.read_upsert_table(spark, path)
+
 
 
 @query("canonical_name", "SELECT marketplace, sku_norm, title AS product_name FROM (SELECT marketplace, l_partkey % 50 AS sku_norm, title, count(*) AS n FROM gappy WHERE title IS NOT NULL GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY marketplace, sku_norm ORDER BY n DESC, title) = 1", "gappy")

@@ -2,11 +2,12 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from offerloom.operators import audit, dedup, listings, pages, pricing, quality, summary
+from offerloom.operators import audit, dedup, listings, pages, pricing, quality, series, summary
 from offerloom.sources import files, sinks
 from offerloom.streaming.ingest import ingest_stream
 
@@ -195,6 +196,40 @@ def test_quantiles_of_groups_of_any_size(spark):
     assert in_order == sorted(in_order)
 
 
+def test_long_series_in_ranges(spark):
+    """A series with most of all rows, cut into ranges, gives what one window gives, also where ranges are shorter than the longest mean."""
+    rng = random.Random(5)
+    rows = [(rng.choices(["hot", "b", "c", None], [90, 5, 3, 2])[0], rng.randrange(40), i, rng.choice([None, float(rng.randrange(1, 500))]) if i % 9 == 0 else float(rng.randrange(1, 500))) for i in range(2500)]
+    df = spark.createDataFrame(rows, "product_id string, t int, i int, preco double").withColumn("data_coleta", F.timestamp_seconds("t"))
+    want = sorted(map(repr, series.series_features(df, tie=("i",)).collect()))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (3, 150):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            assert sorted(map(repr, series.series_features(df, tie=("i",), most_rows=60).collect())) == want
+            cut, part, added = series.in_ranges(df, "product_id", ["data_coleta", "i"], 30)
+            assert cut.where(~F.col(added)).count() == 2500 and cut.where("product_id = 'hot'").select(part).distinct().count() >= 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_upsert_table_replaces_touched_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(500).select("id", F.lit("old").alias("v"))
+    dedup.create_upsert_table(df, path, ["id"], buckets=16)
+    before = {f for f in (tmp_path / "t/rows").rglob("*.parquet")}
+    updates = spark.createDataFrame([(3, "new", 1), (3, "newer", 0), (1000, "more", 2)], "id long, v string, k int")
+    assert dedup.upsert_table(spark, path, updates, ["id"], [F.col("k")]) == 1
+    got = {r.id: r.v for r in dedup.read_upsert_table(spark, path).collect()}
+    assert got == {**dict.fromkeys(range(500), "old"), 3: "newer", 1000: "more"}
+    after = {f for f in (tmp_path / "t/rows").rglob("*.parquet")}
+    replaced = {f.parent.name for f in before - after}
+    assert len(replaced) <= 2 and {f for f in before if f.parent.name not in replaced} <= after
+    noted = spark.read.parquet(f"{path}/manifest").where("version = 1").collect()
+    assert {f"bucket_={r.bucket_}" for r in noted} >= replaced and len(noted) <= 2
+    assert dedup.upsert_table(spark, path, updates.limit(0), ["id"]) == 2 and dedup.read_upsert_table(spark, path).count() == 501
+
+
 def test_price_model(spark):
     """A short fit: the same twice, better than the mean, and all rows where there are only two."""
     from offerloom.operators import pricing
