@@ -133,7 +133,9 @@ class Scorer:
         for t in tokens:
             if t not in self.known:
                 w = clean(t)
-                hit = (self.fuzzy.match(w) or self.fuzzy.match(w.translate(LOOKS_LIKE))) if w else None
+                hit = self.fuzzy.match(w) if w else None
+                if hit is None and w and not w.isalpha():  # only these hold characters that stand for letters
+                    hit = self.fuzzy.match(w.translate(LOOKS_LIKE))
                 self.known[t] = 0 if hit is None else 1 + 4 * hit[0] + hit[1]
 
     def features(self, text: str) -> list[float]:
