@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 
 from offerloom.operators.quality import precheck_price_sanity, precheck_title_flags
 from offerloom.operators.summary import brand_report, dispersion_report, iqr_outliers, price_examples, top_values
+from offerloom.sources.scratch import written
 
 
 def audit_sample(summary: DataFrame, listings: DataFrame, titles: int = 5, sellers: int = 3) -> DataFrame:
     """Each group with its most frequent titles and sellers, its price examples and its precheck alerts.
 
-    One grouped pass over the listings of the wanted groups, instead of a query per group.
+    The listings of the wanted groups are counted once by what the samples show, and written; titles, sellers and examples are read
+    from these counts, instead of a query per group.
     """
-    mine = listings.join(summary.select("canonical_key"), "canonical_key", "left_semi")
-    ex = price_examples(mine).groupBy("canonical_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("example", "title", "price", "seller", "marketplace"))), lambda x: x.dropFields("example")).alias("examples"))
-    d = summary.join(top_values(mine, "canonical_key", "title", titles), "canonical_key", "left")
-    d = d.join(top_values(mine, "canonical_key", "seller", sellers), "canonical_key", "left").join(ex, "canonical_key", "left")
+    shown = ["canonical_key", "title", "price", "seller", "marketplace", "url"]
+    counts = listings.groupBy(*shown).agg(F.count(F.lit(1)).alias("rows_"))
+    mine = written(counts.join(summary.select("canonical_key"), "canonical_key", "left_semi"), "sample")
+    ex = price_examples(mine, weight="rows_").groupBy("canonical_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("example", "title", "price", "seller", "marketplace"))), lambda x: x.dropFields("example")).alias("examples"))
+    d = summary.join(top_values(mine, "canonical_key", "title", titles, "rows_"), "canonical_key", "left")
+    d = d.join(top_values(mine, "canonical_key", "seller", sellers, "rows_"), "canonical_key", "left").join(ex, "canonical_key", "left")
     return d.withColumn("precheck_alerts", F.array_union(precheck_price_sanity(), F.coalesce(precheck_title_flags(F.col("top_title")), F.array().cast("array<string>"))))
 
 

@@ -10,6 +10,7 @@ from offerloom.config import COLUMN_ALIASES, DEFAULT, RECORD_ALIASES, MatchConfi
 from offerloom.functions import attributes as E
 from offerloom.functions import numbers as N
 from offerloom.functions import text as T
+from offerloom.functions.names import fresh
 from offerloom.operators.dedup import dedup_global, dedup_listing, dedup_offers, latest_snapshot
 from offerloom.operators.summary import canonical_summary, null_safe_join
 from offerloom.sources.scratch import written
@@ -137,8 +138,9 @@ def canonical_name(df: DataFrame) -> DataFrame:
 
 def with_canonical_name(df: DataFrame) -> DataFrame:
     """Each row with its product's canonical name; null keys match null keys."""
-    names = canonical_name(df).withColumnsRenamed({"marketplace": "m_", "sku_norm": "s_"})
-    return df.join(names, F.col("marketplace").eqNullSafe(F.col("m_")) & F.col("sku_norm").eqNullSafe(F.col("s_")), "left").drop("m_", "s_")
+    market, sku = fresh(df, "market_", "sku_")
+    names = canonical_name(df).withColumnsRenamed({"marketplace": market, "sku_norm": sku})
+    return df.join(names, F.col("marketplace").eqNullSafe(F.col(market)) & F.col("sku_norm").eqNullSafe(F.col(sku)), "left").drop(market, sku)
 
 
 def clean_market_items(items: DataFrame) -> dict[str, DataFrame]:

@@ -218,7 +218,8 @@ def search_run_report(hits: DataFrame, most: int = 50) -> DataFrame:
 
 def first_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each group."""
-    return df.withColumn("rn_", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("rn_") <= n).drop("rn_")
+    (rank,) = fresh(df, "rn_")
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col(rank) <= n).drop(rank)
 
 
 def cheapest_n_mean(hits: DataFrame, n: int = 10, group: str = "term") -> DataFrame:
@@ -227,34 +228,38 @@ def cheapest_n_mean(hits: DataFrame, n: int = 10, group: str = "term") -> DataFr
     return low.groupBy(group).agg(exact_mean(F.col("price")).alias("mean_price"), F.count(F.lit(1)).alias("n"))
 
 
-def top_values(df: DataFrame, group: str, value: str, k: int) -> DataFrame:
+def top_values(df: DataFrame, group: str, value: str, k: int, weight: str | None = None) -> DataFrame:
     """Per group the ``k`` most frequent non-blank values, most frequent first, as an array; ties by value.
 
-    Values are counted before they are ranked, so a value with very many rows is one row in the window.
+    Values are counted before they are ranked, so a value with very many rows is one row in the window. Rows count ``weight`` times.
     """
-    counts = df.where(~is_blank(F.col(value))).groupBy(group, value).agg(F.count(F.lit(1)).alias("n_"))
-    top = counts.withColumn("rn_", F.row_number().over(Window.partitionBy(group).orderBy(F.desc("n_"), value))).where(F.col("rn_") <= k)
-    return top.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("rn_", value))), lambda x: x[value]).alias(f"top_{value}"))
+    n, rank = fresh(df, "n_", "rn_")
+    counts = df.where(~is_blank(F.col(value))).groupBy(group, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias(n))
+    top = counts.withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(F.desc(n), value))).where(F.col(rank) <= k)
+    return top.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct(rank, value))), lambda x: x[value]).alias(f"top_{value}"))
 
 
-def price_examples(df: DataFrame, group: str = "canonical_key") -> DataFrame:
+def price_examples(df: DataFrame, group: str = "canonical_key", weight: str | None = None) -> DataFrame:
     """The rows with the lowest, the upper-median and the highest price of each group, one per url, those without url left out.
 
-    Rows without a price or a group don't count.
+    Rows without a price or a group don't count, others ``weight`` times. Ranks of the prices come from their counts; only rows of the
+    three wanted prices are ranked, and equal rows as one.
     """
-    w = Window.partitionBy(group)
-    d = df.where(F.col("price").isNotNull() & F.col(group).isNotNull()).select(group, "title", "price", "seller", "marketplace", "url")
-    # Ranks of the prices come from their counts; only rows of the three wanted prices are ranked one by one.
-    by_price = w.orderBy("price").rowsBetween(Window.unboundedPreceding, -1)
-    prices = d.groupBy(group, "price").agg(F.count(F.lit(1)).alias("c_"))
-    prices = prices.withColumns({"before_": F.coalesce(F.sum("c_").over(by_price), F.lit(0)), "n_": F.sum("c_").over(w)})
-    wanted = F.array(F.lit(1).cast("long"), F.floor(F.col("n_") / 2) + 1, F.col("n_"))
-    prices = prices.withColumn("want_", F.filter(F.array_distinct(wanted), lambda k: (k > F.col("before_")) & (k <= F.col("before_") + F.col("c_")))).where(F.size("want_") > 0)
+    of_group, before = Window.partitionBy(group), (Window.unboundedPreceding, -1)
+    fields = [group, "title", "price", "seller", "marketplace", "url"]
+    d = df.where(F.col("price").isNotNull() & F.col(group).isNotNull())
+    d = d.groupBy(*fields).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("m_"))
+    prices = d.groupBy(group, "price").agg(F.sum("m_").alias("c_"))
+    prices = prices.withColumns({"before_": F.coalesce(F.sum("c_").over(of_group.orderBy("price").rowsBetween(*before)), F.lit(0)), "n_": F.sum("c_").over(of_group)})
+    wanted = F.array_distinct(F.array(F.lit(1).cast("long"), F.floor(F.col("n_") / 2) + 1, F.col("n_")))
+    inside = lambda first, n: lambda k: (k > first) & (k <= first + n)
+    prices = prices.withColumn("want_", F.filter(wanted, inside(F.col("before_"), F.col("c_")))).where(F.size("want_") > 0)
     d = d.join(prices.drop("c_", "n_"), [group, "price"])
-    d = d.withColumn("rn_", F.col("before_") + F.row_number().over(Window.partitionBy(group, "price").orderBy("url", "title", "seller", "marketplace")))
-    d = d.where(F.array_contains("want_", F.col("rn_"))).where(~is_blank(F.col("url")))
+    within = Window.partitionBy(group, "price").orderBy("url", "title", "seller", "marketplace").rowsBetween(*before)
+    d = d.withColumn("first_", F.col("before_") + F.coalesce(F.sum("m_").over(within), F.lit(0)))
+    d = d.withColumn("rn_", F.array_min(F.filter("want_", inside(F.col("first_"), F.col("m_"))))).where("rn_ IS NOT NULL").where(~is_blank(F.col("url")))
     d = d.withColumn("u_", F.row_number().over(Window.partitionBy(group, "url").orderBy("rn_"))).where("u_ = 1")
-    return d.select(group, F.row_number().over(w.orderBy("rn_")).alias("example"), "title", "price", "seller", "marketplace", "url")
+    return d.select(group, F.row_number().over(of_group.orderBy("rn_")).alias("example"), "title", "price", "seller", "marketplace", "url")
 
 
 def _unpivot(row: DataFrame, names: list[str], name: str, value: str) -> DataFrame:
