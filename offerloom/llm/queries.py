@@ -91,6 +91,17 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_copies(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10 on the given vectors beside a longer, a moved and a turned copy of each, so that each has links; small enough for all pairs in SQL at small scale."""
+    from offerloom.llm.embedding_dedup import embedding_near_copies
+
+    v = F.transform("embedding", lambda x: x.cast("double"))
+    moved = F.transform(v, lambda x, i: F.when(i == 0, x + 0.25).otherwise(x))
+    copies = F.array(v, F.transform(v, lambda x: x * 3), moved, F.transform(v, lambda x: -x))
+    every = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(copies).alias("k", "embedding")).select((F.col("vec_id") * 4 + F.col("k")).alias("vec_id"), "embedding")
+    return embedding_near_copies(every, threshold=0.9).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
 
@@ -120,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op12_quality_classifier": op12_quality_classifier,
     "op13_vector_codes": op13_vector_codes,
     "url_rules": url_rules,
+    "embedding_links": embedding_links,
 }
 
 ORACLE: dict[str, str] = {
@@ -135,5 +147,14 @@ ORACLE: dict[str, str] = {
                WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule FROM p""",
     "op6_license_scan": license_scan.oracle(),
     "op11_source_divergence": divergence.ORACLE,
+    "embedding_links": """
+        WITH RECURSIVE e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+        c AS (SELECT vec_id * 4 AS i, v FROM e UNION ALL SELECT vec_id * 4 + 1, list_transform(v, lambda x: x * 3) FROM e
+            UNION ALL SELECT vec_id * 4 + 2, list_concat([v[1] + 0.25], v[2:]) FROM e UNION ALL SELECT vec_id * 4 + 3, list_transform(v, lambda x: -x) FROM e),
+        u AS MATERIALIZED (SELECT i, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM c),
+        l AS MATERIALIZED (SELECT a.i, b.i AS j FROM u a, u b WHERE a.i <> b.i AND a.n > 0 AND b.n > 0 AND list_dot_product(a.v, b.v) >= 0.9 * a.n * b.n),
+        r(i, j) AS (SELECT i, i FROM u UNION SELECT r.i, l.j FROM r JOIN l ON r.j = l.i),
+        k AS (SELECT i, min(j) AS component_id FROM r GROUP BY i), m AS (SELECT i, count(*) AS n FROM l GROUP BY i)
+        SELECT i AS vec_id, coalesce(m.n, 0) AS n_links, component_id, i = component_id AS kept FROM k LEFT JOIN m USING (i)""",
     "op13_vector_codes": vector_codes.oracle(),
 }
