@@ -699,7 +699,32 @@ def _(spark, d):
     )
 
 
-@query("pages_extract")
+HEADING = "nullif(trim(regexp_extract(html, '(?is)<{0}[^>]*>(.*?)</{0}>', 1)), '')"
+
+
+@query("size_forms", """
+    WITH p AS (SELECT p_partkey, 100 + p_size AS w, 30 + p_partkey % 60 AS a, 10 + p_partkey % 12 AS r FROM part)
+    SELECT p_partkey, CASE WHEN p_partkey % 4 = 3 THEN a || 'X' || (30 + w % 60) || '.5R' || r ELSE w || '/' || a || 'R' || r END AS found, w::VARCHAR AS width, a::VARCHAR AS aspect, r::VARCHAR AS rim,
+      w || '/' || a || 'R' || r AS size, w || '-' || a || '-r' || r AS folder, r AS rim_number, CASE WHEN p_partkey % 2 = 0 THEN w || '/' || a || 'R' || r ELSE 'none' END AS folder_or_none FROM p""")
+def _(spark, d):
+    """All four forms, sizes from the SKU where the title has none, folders and rims."""
+    text = lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in c])
+    key = F.col("p_partkey")
+    w, a, r = 100 + F.col("p_size"), 30 + key % 60, 10 + key % 12
+    form = (
+        F.when(key % 4 == 0, text("tyre ", w, "/", a, "ZR", r, " x")).when(key % 4 == 1, text(w, "/", a, " ", r)).when(key % 4 == 2, text("a ", w, a, "R", r, "b"))
+        .otherwise(text("4x4 ", a, "x", 30 + w % 60, ".5 r", r))
+    )
+    parts = E.size_parts(F.when(key % 2 == 0, text(w, " ", a, "R", r)).otherwise("no size"), text("SKU-", w, "/", a, "-R", r))
+    loose = F.when(key % 2 == 0, text("x", w, " ", a, "-r", r))
+    return table(spark, d, "part").select(
+        "p_partkey", E.extract_size_multi(form).alias("found"), parts["width"].alias("width"), parts["aspect"].alias("aspect"), parts["rim"].alias("rim"), parts["size"].alias("size"),
+        E.size_folder(text(w, "/", a, "R", r)).alias("folder"), E.rim(text("aro r ", r)).cast("bigint").alias("rim_number"), F.coalesce(E.size_canonical(loose), F.lit("none")).alias("folder_or_none"),
+    )
+
+
+@query("pages_extract", f"""SELECT url, trim(regexp_replace(coalesce({HEADING.format("h1")}, {HEADING.format("title")}), '<[^>]+>|\\s+', ' ', 'g')) AS title, NULL::DOUBLE AS price, NULL::DOUBLE AS previous_price,
+    NULL::DOUBLE AS discount_pct, NULL::VARCHAR AS currency, false AS free_shipping, NULL::DOUBLE AS shipping_price FROM pages""")
 def _(spark, d):
-    """Rows only: the given pages carry no price markup; fixtures hold the extraction."""
+    """The given pages hold no price; pages made of the given tables do (extract_pages, extract_page_products)."""
     return pages.extract_listings_from_pages(table(spark, d, "pages"))

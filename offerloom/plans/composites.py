@@ -247,6 +247,13 @@ def _(spark, d):
     return p.select("p_partkey", E.extract_model(F.col("p_type"), F.lit("x"), brand, BUILD).alias("given"), E.extract_model(F.col("p_brand"), F.lit("x"), brand, BUILD).alias("is_brand"), E.extract_model(none, F.concat_ws(" ", "p_name", "p_type"), none, BUILD).alias("phrase"), E.extract_model(none, title, brand, no_phrases).alias("after_brand"))
 
 
+@query("search_filter_models", f"SELECT p_partkey, (100 + p_size) || '/65R15' AS size, lower(p_brand) AS brand, nullif({IN_TITLE}, '') AS model FROM (SELECT *, {_norm_sql("p_type || ' ' || p_name")} AS nt FROM part)")
+def _(spark, d):
+    """What a search term asks for, the model phrase included."""
+    term = F.concat(F.lit("pneu "), (100 + F.col("p_size")).cast("string"), F.lit("-65-r15 "), "p_brand", F.lit(" "), "p_type", F.lit(" "), "p_name")
+    return table(spark, d, "part").select("p_partkey", E.search_filters(term, tuple(f"brand#{i}" for i in range(1, 100)), BUILD).alias("s")).select("p_partkey", "s.*")
+
+
 @query("free_shipping", "SELECT p_partkey, p_size % 3 = 0 AS free, CASE p_size % 3 WHEN 0 THEN 0.0 WHEN 1 THEN p_size + 0.9 END AS cost, p_size % 2 = 0 AS ships_free FROM part")
 def _(spark, d):
     k = F.col("p_size") % 3
