@@ -39,7 +39,7 @@ def parse_money(c: Column, style: str = "auto_tail") -> Column:
 
 def to_price(c: Column, kind: str, style: str = "auto_tail") -> Column:
     """A price column of any type: numbers pass, text is parsed. ``kind`` is the column's type name."""
-    return parse_money(c, style) if kind == "string" else to_double_safe(c)
+    return parse_money(c, style) if kind == "string" else to_double(c, kind)
 
 
 def money_parts(whole: Column, cents: Column) -> Column:
@@ -54,6 +54,19 @@ def to_double_safe(c: Column) -> Column:
     return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
 
 
+def to_double(c: Column, kind: str) -> Column:
+    """N3 of a column whose type is known: numbers need no way over text (but floats, which would gain digits)."""
+    if kind not in ("tinyint", "smallint", "int", "bigint", "double") and not kind.startswith("decimal"):
+        return to_double_safe(c)
+    v = c.cast("double")
+    return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
+
+
+def to_ts(c: Column, kind: str) -> Column:
+    """N4 of a column whose type is known: times need no way over text."""
+    return c.cast("timestamp_ntz") if kind in ("date", "timestamp", "timestamp_ntz") else parse_ts(c)
+
+
 def parse_ts(c: Column) -> Column:
     """A time without zone (UTC) from text; null if no format fits."""
     s = c.cast("string")

@@ -154,7 +154,8 @@ def clean_market_items(items: DataFrame) -> dict[str, DataFrame]:
     d = d.withColumn("marketplace", F.coalesce(F.when(known != "unknown", known), T.marketplace_from_url(F.col("url")), known))
     d = d.withColumn("title", F.coalesce(T.blank_to_null(F.col("title")), T.name_from_url(F.col("url")), T.name_from_query(F.col("query"))))
     d = d.withColumn("sku_norm", F.coalesce(T.blank_to_null(F.col("sku_norm")), T.norm_sku(F.col("title"))))
-    d = d.withColumns({"captured_at": N.parse_ts(F.col("captured_at")), "price": N.to_double_safe(F.col("price"))})
+    kinds = dict(items.dtypes)
+    d = d.withColumns({"captured_at": N.to_ts(F.col("captured_at"), kinds["captured_at"]), "price": N.to_double(F.col("price"), kinds["price"])})
     d = written(d.withColumn("captured_date", F.to_date("captured_at")), "filled")
     discards = d.withColumn("reason", discard_reason()).where("reason IS NOT NULL")
     clean = with_canonical_name(written(dedup_offers(essential_filter(d)), "offers"))
@@ -214,7 +215,7 @@ def _parsed(df: DataFrame) -> DataFrame:
     """Resolved columns (P1) with blank texts as nulls, and price, time and marketplace parsed."""
     raw = lambda c: T.blank_to_null(F.col(c).cast("string"))
     d = df.withColumns({c: raw(c) for c in ("title", "url", "seller", "brand_raw", "model_raw", "size_raw")})
-    d = d.withColumns({"price": N.to_price(F.col("price"), dict(df.dtypes)["price"]), "collected_at": N.parse_ts(F.col("collected_at"))})
+    d = d.withColumns({"price": N.to_price(F.col("price"), dict(df.dtypes)["price"]), "collected_at": N.to_ts(F.col("collected_at"), dict(df.dtypes)["collected_at"])})
     label, own = T.domain_label(F.col("url")), raw("marketplace")
     return d.withColumn("marketplace", F.coalesce(F.when(~F.coalesce(F.lower(own) == F.lower("seller"), F.lit(False)), own), label, own))
 

@@ -120,7 +120,7 @@ def price_features(df: DataFrame, money_style: str = "auto_tail") -> DataFrame:
     d = df.withColumn("preco", N.to_price(F.col("preco"), kinds["preco"], money_style))
     if "estoque" in kinds:
         d = d.withColumn("estoque", N.parse_stock(F.col("estoque")))
-    d = impute_median(d.withColumn("data_coleta", N.parse_ts(F.col("data_coleta"))), ["preco"])
+    d = impute_median(d.withColumn("data_coleta", N.to_ts(F.col("data_coleta"), kinds["data_coleta"])), ["preco"])
     d = d.withColumns({"dia_semana": N.weekday_of(F.col("data_coleta")), "fim_de_semana": N.is_weekend(F.col("data_coleta"))})
     return series_features(clip_quantiles(d, "preco"), tie=tuple(c for c, t in d.dtypes if not t.startswith(("map", "variant"))))
 
