@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from offerloom.llm.common import fresh
+from offerloom.llm.common import fresh, materialize
 
 #: Slots of the broadcast filter; a proven bound of its size (so many integers at most), whatever the input.
 SLOTS = 1 << 20
@@ -33,8 +33,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows are counted by text length and by hash of the first ``prefix_chars`` characters. Only rows of a class that occurs twice (and
     of its slot of the filter) have their whole text digested (SHA-256), where they were read; equal digests form a group. Counts
-    are pre-aggregated in the map tasks, and what is joined back is one row per group, so a group that holds a third of all
-    rows is a few partial counts, and its join is one that AQE splits. No step shuffles text that the caller doesn't select. Once all
+    are pre-aggregated in the map tasks, and what is joined back is one row per group, by broadcast for groups with more than a
+    thousandth of all copies, so no key of the shuffle is frequent. No step shuffles text that the caller doesn't select. Once all
     slots are used (some million repeated classes), every row is digested, which costs hashing and no shuffle; the result is the same.
 
     A null text counts as empty; all empty texts form one group. An id of null is kept as null and never chosen over another id.
@@ -49,7 +49,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     digest = F.when(F.col(used), F.concat(F.lit("t"), F.sha2(text, 256))).otherwise(F.concat(F.lit("i"), alone))
     rows = _candidates(docs, text, prefix_chars, used).withColumn(key, digest)
     groups = rows.where(F.col(used)).groupBy(key).agg(F.max(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
-    out = rows.drop(used).join(groups, key, "left").drop(key)
+    groups = materialize(groups, "groups")
+    # Groups with more than a thousandth of all copies, fewer than a thousand, are broadcast; their rows then spread like single ones.
+    total = groups.agg(F.sum("group_size")).first()[0] or 0
+    large = F.col("group_size") * 1000 > total
+    keep, size = fresh(rows, "keep_", "size_")
+    hot = groups.where(large).withColumnsRenamed({"keep_id": keep, "group_size": size})
+    rows = rows.drop(used).join(F.broadcast(hot), key, "left").withColumn(key, F.when(F.col(size).isNull(), F.col(key)).otherwise(F.concat(F.lit("i"), alone)))
+    out = rows.join(groups.where(~large), key, "left").drop(key)
+    out = out.withColumns({"keep_id": F.coalesce("keep_id", keep), "group_size": F.coalesce("group_size", size)}).drop(keep, size)
     alone = F.col("group_size").isNull()
     return out.withColumns({
         "keep_id": F.when(alone, F.col(id_col)).otherwise(F.col("keep_id")),
