@@ -372,6 +372,15 @@ def _(spark, d):
     return out.select("url", "title", "price", "previous_price", "currency")
 
 
+@query("spec_map", "SELECT p_partkey, '/p/' || p_partkey AS link, p_size::VARCHAR AS size, lower(p_type) AS kind FROM part")
+def _(spark, d):
+    """Names and values of a table of facts, of which one name repeats and one is null, and links cut at their query."""
+    names, values = F.array(F.lit("Size"), F.lit(None), F.lit("Kind"), F.lit("Size")), F.array(F.col("p_size").cast("string"), F.lit("y"), F.lower("p_type"), F.lit("x"))
+    m = pages.spec_map(names, values)
+    p = table(spark, d, "part").select("p_partkey", T.link_clean(F.concat(F.lit("/p/"), F.col("p_partkey").cast("string"), F.lit("?a=1#b"))).alias("link"), m.alias("m"))
+    return p.select("p_partkey", "link", F.try_element_at("m", F.lit("Size")).alias("size"), F.try_element_at("m", F.lit("Kind")).alias("kind"))
+
+
 @query("enrich_listings", "SELECT p_partkey, least(1000.0, CASE p_partkey % 3 WHEN 0 THEN p_retailprice WHEN 1 THEN p_size + 100.5 ELSE p_size + 1100.25 END) AS price, CASE WHEN p_partkey % 2 = 0 THEN 'x' WHEN contains(p_name, 'ring') THEN 'ring' END AS brand FROM part")
 def _(spark, d):
     details = pages.extract_listings_from_pages(_pages(spark, d))
