@@ -35,7 +35,9 @@ def train_price_model(table: DataFrame, rounds: int = 300, step: float = 0.1, se
     The table is written before the first round, so no round works it out again, and read in tasks of ``rows_per_task`` rows, as each
     level of each tree is a job; every ten rounds the residuals are cut from their lineage in the shared folder.
     """
-    shared_dir(table.sparkSession)  # sets the checkpoint folder where there is none
+    context = table.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(table.sparkSession))
     train, test = split_rows(written(table, "training"), seed)
     stages = [VectorAssembler(inputCols=list(FEATURES), outputCol="raw" if scale else "features", handleInvalid="skip")]
     if scale:
