@@ -111,10 +111,10 @@ def promo(prices: Column, least: float = 100.0) -> Column:
 
 
 def free_shipping(c: Column) -> Column:
-    """Struct (free, cost) from a shipping text."""
+    """Struct (free, cost) from a shipping text; the amount follows the word frete or envio, not letters inside another word."""
     t = F.lower(fold_ascii(F.lower(c)))
     free = F.coalesce(t.rlike(FREE_SHIPPING), F.lit(False))
-    cost = parse_money(blank_to_null(F.regexp_extract(t, "(?:frete|envio)[^0-9]*([0-9][0-9.,]*)", 1)))
+    cost = parse_money(blank_to_null(F.regexp_extract(t, "(?<![a-z])(?:frete|envio)s?(?![a-z])[^0-9]*([0-9][0-9.,]*)", 1)))
     return F.struct(free.alias("free"), F.when(free, F.lit(0.0)).otherwise(cost).alias("cost"))
 
 
