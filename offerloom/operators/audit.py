@@ -13,15 +13,15 @@ from offerloom.sources.scratch import written
 def audit_sample(summary: DataFrame, listings: DataFrame, titles: int = 5, sellers: int = 3) -> DataFrame:
     """Each group with its most frequent titles and sellers, its price examples and its precheck alerts.
 
-    The listings of the wanted groups are counted once by what the samples show, and written; titles, sellers and examples are read
-    from these counts, instead of a query per group.
+    The summary is written, and so is what the samples show of the listings of its groups; titles, sellers and examples are read from
+    these rows, instead of a query per group.
     """
     shown = ["canonical_key", "title", "price", "seller", "marketplace", "url"]
-    counts = listings.groupBy(*shown).agg(F.count(F.lit(1)).alias("rows_"))
-    mine = written(counts.join(summary.select("canonical_key"), "canonical_key", "left_semi"), "sample")
-    ex = price_examples(mine, weight="rows_").groupBy("canonical_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("example", "title", "price", "seller", "marketplace"))), lambda x: x.dropFields("example")).alias("examples"))
-    d = summary.join(top_values(mine, "canonical_key", "title", titles, "rows_"), "canonical_key", "left")
-    d = d.join(top_values(mine, "canonical_key", "seller", sellers, "rows_"), "canonical_key", "left").join(ex, "canonical_key", "left")
+    summary = written(summary, "groups")
+    mine = written(listings.select(*shown).join(summary.select("canonical_key"), "canonical_key", "left_semi"), "sample")
+    ex = price_examples(mine).groupBy("canonical_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("example", "title", "price", "seller", "marketplace"))), lambda x: x.dropFields("example")).alias("examples"))
+    d = summary.join(top_values(mine, "canonical_key", "title", titles), "canonical_key", "left")
+    d = d.join(top_values(mine, "canonical_key", "seller", sellers), "canonical_key", "left").join(ex, "canonical_key", "left")
     return d.withColumn("precheck_alerts", F.array_union(precheck_price_sanity(), F.coalesce(precheck_title_flags(F.col("top_title")), F.array().cast("array<string>"))))
 
 
@@ -71,10 +71,11 @@ def summary_of_keys(summary: DataFrame, listings: DataFrame) -> DataFrame:
     return summary.join(listings.select("canonical_key"), "canonical_key", "left_semi")
 
 
-def generate_final(listings: DataFrame, summary: DataFrame, audit: DataFrame, threshold: float = 0.70, exclude_prechecks: bool = False) -> dict[str, DataFrame]:
-    """C11: the final tables, counts and reports of the approved groups."""
+def generate_final(listings: DataFrame, summary: DataFrame, audit: DataFrame, threshold: float = 0.70, exclude_prechecks: bool = False, sections: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
+    """C11: the final tables, counts and reports of the approved groups, or those of ``sections``."""
     final = approved_listings(listings, audit, threshold, exclude_prechecks)
-    return {
-        "unified_listings_final": final, "canonical_summary_final": summary_of_keys(summary, final), "counts": audit_counts(listings, audit, threshold, exclude_prechecks),
-        "brand_report": brand_report(final), "dispersion_report": dispersion_report(final), "outliers": iqr_outliers(final),
+    make = {
+        "unified_listings_final": lambda: final, "canonical_summary_final": lambda: summary_of_keys(summary, final), "counts": lambda: audit_counts(listings, audit, threshold, exclude_prechecks),
+        "brand_report": lambda: brand_report(final), "dispersion_report": lambda: dispersion_report(final), "outliers": lambda: iqr_outliers(final),
     }
+    return {name: make[name]() for name in sections or make}

@@ -88,13 +88,15 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, fl
 def canonical_summary(listings: DataFrame, accuracy: int | None = None) -> DataFrame:
     """A1, A2, L1: per (canonical_key, brand, model, size) counts, price statistics, marketplaces and evidence files.
 
-    n_listings counts all rows, the statistics all prices. Prices are counted once by group and written; statistics, percentiles and
-    the trimmed mean read the counts, so a group that holds a third of all rows is as many rows as it has prices, over many tasks.
+    n_listings counts all rows, the statistics all prices. What is read of the listings is written, so they are worked out once. Prices
+    are counted by group and written; statistics, percentiles and the trimmed mean read the counts, so a group that holds a third of
+    all rows is as many rows as it has prices, over many tasks.
     media_correta is the mean of the prices within [p10, p90]. With ``accuracy`` percentiles are approximate. Groups without a price
     have no marketplaces.
     """
     keys = ["canonical_key", "brand", "model", "size"]
     group = F.struct(*keys).alias("k")
+    listings = written(listings.select(*keys, "price", "marketplace", "source_file"), "priced")
     counts = written(listings.groupBy(group, F.col("price").cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n")), "prices")
     sets = listings.groupBy(group).agg(joined_set(F.col("marketplace")).alias("marketplaces"), joined_set(F.col("source_file")).alias("evidence_files"))
     v, n = F.col("v"), F.col("n")
@@ -242,19 +244,20 @@ def top_values(df: DataFrame, group: str, value: str, k: int, weight: str | None
 def price_examples(df: DataFrame, group: str = "canonical_key", weight: str | None = None) -> DataFrame:
     """The rows with the lowest, the upper-median and the highest price of each group, one per url, those without url left out.
 
-    Rows without a price or a group don't count, others ``weight`` times. Ranks of the prices come from their counts; only rows of the
-    three wanted prices are ranked, and equal rows as one.
+    Rows without a price or a group don't count, others ``weight`` times. Ranks of the prices come from their counts, and the wanted
+    prices are written; only rows of these are counted and ranked, and equal rows as one.
     """
     of_group, before = Window.partitionBy(group), (Window.unboundedPreceding, -1)
     fields = [group, "title", "price", "seller", "marketplace", "url"]
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
     d = df.where(F.col("price").isNotNull() & F.col(group).isNotNull())
-    d = d.groupBy(*fields).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("m_"))
-    prices = d.groupBy(group, "price").agg(F.sum("m_").alias("c_"))
+    prices = d.groupBy(group, "price").agg(rows.alias("c_"))
     prices = prices.withColumns({"before_": F.coalesce(F.sum("c_").over(of_group.orderBy("price").rowsBetween(*before)), F.lit(0)), "n_": F.sum("c_").over(of_group)})
     wanted = F.array_distinct(F.array(F.lit(1).cast("long"), F.floor(F.col("n_") / 2) + 1, F.col("n_")))
     inside = lambda first, n: lambda k: (k > first) & (k <= first + n)
     prices = prices.withColumn("want_", F.filter(wanted, inside(F.col("before_"), F.col("c_")))).where(F.size("want_") > 0)
-    d = d.join(prices.drop("c_", "n_"), [group, "price"])
+    prices = written(prices.drop("c_", "n_"), "wanted")
+    d = d.join(prices.select(group, "price"), [group, "price"], "left_semi").groupBy(*fields).agg(rows.alias("m_")).join(prices, [group, "price"])
     within = Window.partitionBy(group, "price").orderBy("url", "title", "seller", "marketplace").rowsBetween(*before)
     d = d.withColumn("first_", F.col("before_") + F.coalesce(F.sum("m_").over(within), F.lit(0)))
     d = d.withColumn("rn_", F.array_min(F.filter("want_", inside(F.col("first_"), F.col("m_"))))).where("rn_ IS NOT NULL").where(~is_blank(F.col("url")))

@@ -13,6 +13,7 @@ from offerloom.operators import audit, listings, pages, quality, series, summary
 from offerloom.plans import views
 from offerloom.plans.catalog import BLANK, CHANGE, EXAMPLES, HASURL, MEAN, REASON, ROW, SECTIONS, SUM_G, SUM_L, SUMMARY, _norm_sql, query
 from offerloom.plans.views import table
+from offerloom.sources.scratch import written
 
 # --- C1, J1: clean market items ---
 
@@ -129,11 +130,13 @@ def _(spark, d):
 FINAL = f"{SUM_G}, decided AS (SELECT canonical_key, coalesce(n_listings % 3 <> 0, false) AND 0.5 + (n_listings % 10) / 10 >= 0.7 AS ok FROM summary), final AS (SELECT g.* FROM gappy g JOIN decided USING (canonical_key) WHERE ok)"
 
 
-def _final(spark, d) -> dict[str, DataFrame]:
+def _final(spark, d, name: str) -> DataFrame:
+    """The listings are written without what no report shows, and so is their summary, as more than one step reads them."""
     g = views.gappy(spark, d).withColumn("canonical_key", F.concat_ws("|", "canonical_key", "brand", "model", "size"))
-    s = summary.canonical_summary(g)
+    g = written(g.drop("title", "url", "collected_at", "seller"), "keyed")
+    s = written(summary.canonical_summary(g), "groups")
     decisions = s.select("canonical_key", (F.col("n_listings") % 3 != 0).alias("llm_ok"), (0.5 + (F.col("n_listings") % 10) / 10).alias("llm_confidence"), F.array().cast("array<string>").alias("precheck_alerts"))
-    return audit.generate_final(g, s, decisions)
+    return audit.generate_final(g, s, decisions, sections=(name,))[name]
 
 
 KEYED = FINAL.replace("FROM gappy", "FROM keyed_rows").replace("JOIN gappy", "JOIN keyed_rows").replace(" l JOIN keyed k", " l JOIN keyed k")
@@ -142,28 +145,28 @@ KEYED = "keyed_rows AS (SELECT * REPLACE (concat_ws('|', canonical_key, brand, m
 
 @query("final_listings", f"WITH {KEYED} SELECT {ROW}, canonical_key, price FROM final", "gappy")
 def _(spark, d):
-    return _final(spark, d)["unified_listings_final"].select(*ROW.split(", "), "canonical_key", "price")
+    return _final(spark, d, "unified_listings_final").select(*ROW.split(", "), "canonical_key", "price")
 
 
 @query("final_summary", f"WITH {KEYED} SELECT s.* FROM summary s WHERE canonical_key IN (SELECT canonical_key FROM final)", "gappy")
 def _(spark, d):
-    return _final(spark, d)["canonical_summary_final"]
+    return _final(spark, d, "canonical_summary_final")
 
 
 @query("final_counts", f"WITH {KEYED} SELECT count(*) FILTER (ok) AS kept, count(*) FILTER (NOT ok) AS dropped, count(*) AS total FROM keyed_rows JOIN decided USING (canonical_key)", "gappy")
 def _(spark, d):
-    return _final(spark, d)["counts"]
+    return _final(spark, d, "counts")
 
 
 @query("final_brand_report", f"WITH {KEYED} SELECT brand, count(*) AS n, {MEAN} AS mean_price, round(median(price), 6) AS median_price FROM final GROUP BY 1", "gappy")
 def _(spark, d):
-    return _final(spark, d)["brand_report"]
+    return _final(spark, d, "brand_report")
 
 
 @query("final_outliers", f"""WITH {KEYED}, q AS (SELECT canonical_key, round(quantile_cont(price, 0.25), 6) AS a, round(quantile_cont(price, 0.75), 6) AS b FROM final GROUP BY 1)
     SELECT {ROW}, price FROM final JOIN q USING (canonical_key) WHERE price < round(a - 1.5 * (b - a), 6) OR price > round(b + 1.5 * (b - a), 6)""", "gappy")
 def _(spark, d):
-    return _final(spark, d)["outliers"].select(*ROW.split(", "), "price")
+    return _final(spark, d, "outliers").select(*ROW.split(", "), "price")
 
 
 # --- C6, J8: backfill from JSON evidence ---

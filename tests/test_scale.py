@@ -9,3 +9,40 @@ from offerloom.operators import audit, summary
 def test_shipping_words_stand_alone(spark):
     df = spark.createDataFrame([("laenvioipa ment 40",), ("Frete: R$ 12,90",), ("fretes 7",), ("Envío 3,5",)], "t string")
     assert [r.c for r in df.select(N.free_shipping(F.col("t"))["cost"].alias("c")).collect()] == [None, 12.9, 7.0, 3.5]
+
+
+ROWS = [(f"k{i % 3}", "b", "m", "s", f"t{i % 5}", float(i), f"u{i}", f"s{i % 2}", "mk", "f") for i in range(60)]
+SCHEMA = "canonical_key string, brand string, model string, size string, title string, price double, url string, seller string, marketplace string, source_file string"
+
+
+def read(df) -> set[str]:
+    """The names of the written tables that a frame reads."""
+    return {f.rsplit("/", 2)[1].split("-")[0] for f in df.inputFiles()}
+
+
+def test_audit_sample_reads_written_groups(spark):
+    """The summary is worked out once, not for each of its uses."""
+    x = spark.createDataFrame(ROWS, SCHEMA)
+    out = audit.audit_sample(summary.canonical_summary(x), x)
+    assert read(out) == {"groups", "sample", "wanted"} and out.count() == 3
+
+
+def test_summary_reads_listings_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    summary.canonical_summary(spark.createDataFrame(ROWS, SCHEMA).mapInArrow(rows, SCHEMA)).collect()
+    assert seen.value == len(ROWS)
+
+
+def test_final_sections(spark):
+    """Only the wanted reports are worked out."""
+    x = spark.createDataFrame(ROWS, SCHEMA)
+    s = summary.canonical_summary(x)
+    marks = s.select("canonical_key", F.lit(True).alias("llm_ok"), F.lit(1.0).alias("llm_confidence"), F.array().cast("array<string>").alias("precheck_alerts"))
+    out = audit.generate_final(x, s, marks, sections=("counts",))
+    assert list(out) == ["counts"] and out["counts"].first().kept == 60
