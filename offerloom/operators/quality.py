@@ -8,9 +8,10 @@ from pyspark.sql.window import Window
 
 from offerloom.config import MatchConfig
 from offerloom.functions import attributes as E
+from offerloom.functions.names import fresh
 from offerloom.functions.text import blank_to_null, is_blank
 from offerloom.operators.dedup import keep_first_by
-from offerloom.operators.summary import count_where, joined_set, missing_by_marketplace, missing_rate, top_spread
+from offerloom.operators.summary import count_where, joined_set, missing_by_marketplace, missing_rate, null_safe_join, top_spread
 from offerloom.sources.scratch import written
 
 LISTING_COLUMNS = ("marketplace", "title", "price", "url", "brand", "model", "size", "canonical_key", "collected_at", "seller", "source_file")
@@ -197,25 +198,36 @@ def verify_snapshot(df: DataFrame, key=("marketplace", "sku_norm"), required=("m
 
 
 def evidence_values(evidence: DataFrame, json_column: str | None, config: MatchConfig, url: str = "url") -> DataFrame:
-    """Per url one row of candidate brand, model, size and seller: own column, then a field of the JSON text, then the title."""
+    """Per url one row of candidate brand, model, size and seller: own column, then a field of the JSON text, then the title.
+
+    The JSON text is parsed once a row. Evidence repeats its titles, so attributes are worked out once for each distinct lot of title
+    and fields and joined back; the rows are written, as both steps read them.
+    """
     names = {  # fixed values: fields of the evidence
         "title": ("title", "titulo", "name", "produto", "product_title"), "seller": ("seller", "vendedor", "loja", "seller_name"),
         "brand": ("brand", "brand_raw", "marca"), "model": ("model", "model_raw", "modelo"), "size": ("size", "tamanho", "medida"),
     }
+    inside = {}
+    if json_column:
+        fields = [c for field in names.values() for c in field]
+        inside = dict(zip(fields, fresh(evidence, *[f"json_{c}_" for c in fields]), strict=True))
+        evidence = evidence.select("*", F.json_tuple(F.col(json_column), *fields).alias(*inside.values()))
 
     def pick(field: str) -> Column:
-        own = [blank_to_null(F.col(c).cast("string")) for c in names[field] if c in evidence.columns]
-        inside = [blank_to_null(F.get_json_object(F.col(json_column), f"$.{c}")) for c in names[field]] if json_column else []
-        return F.coalesce(*own, *inside, F.lit(None).cast("string"))
+        own = [F.col(c).cast("string") for c in names[field] if c in evidence.columns] + [F.col(inside[c]) for c in names[field] if inside]
+        return F.coalesce(*map(blank_to_null, own), F.lit(None).cast("string"))
 
     text = F.coalesce(pick("title"), F.col(json_column) if json_column else F.lit(None).cast("string"))
     d = evidence.select(F.col(url).alias("url"), *[pick(f).alias(f) for f in ("seller", "brand", "model", "size")], text.alias("text_")).where(~is_blank(F.col("url")))
-    d = keep_first_by(d, ["url"])
-    found = blank_to_null(E.extract_brand(F.lit(None), F.col("text_"), config, alias_first=True))
-    d = d.withColumn("brand", F.coalesce("brand", found))
-    d = d.withColumn("size", F.coalesce("size", blank_to_null(E.extract_size_multi(F.col("text_")))))
-    model = E.canon_model(F.coalesce("model", blank_to_null(E.extract_model(F.lit(None), F.col("text_"), F.col("brand"), config))), config, strip_codes=True)
-    return d.withColumn("model", blank_to_null(model)).drop("text_")
+    d = written(keep_first_by(d, ["url"]), "evidence")
+    raw = ["brand", "model", "size", "text_"]
+    of = d.select(*[F.col(c).alias(f"{c}_") for c in raw]).distinct()
+    title, given = F.col("text__"), F.lit(None)
+    of = of.withColumn("brand_new", F.coalesce("brand_", blank_to_null(E.extract_brand(given, title, config, alias_first=True))))
+    of = of.withColumn("size_new", F.coalesce("size_", blank_to_null(E.extract_size_multi(title))))
+    model = E.canon_model(F.coalesce("model_", blank_to_null(E.extract_model(given, title, F.col("brand_new"), config))), config, strip_codes=True)
+    of = of.withColumn("model_new", blank_to_null(model))
+    return null_safe_join(d, of, raw).select("url", "seller", *[F.col(f"{c}_new").alias(c) for c in ("brand", "model", "size")])
 
 
 def backfill_from_evidence(listings: DataFrame, evidence: DataFrame, json_column: str | None = None, config: MatchConfig | None = None) -> dict[str, DataFrame]:

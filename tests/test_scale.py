@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from offerloom.config import DEFAULT
 from offerloom.functions import numbers as N
-from offerloom.operators import audit, summary
+from offerloom.operators import audit, quality, summary
+from offerloom.plans import catalog, composites  # noqa: F401
 
 
 def test_shipping_words_stand_alone(spark):
@@ -46,3 +48,20 @@ def test_final_sections(spark):
     marks = s.select("canonical_key", F.lit(True).alias("llm_ok"), F.lit(1.0).alias("llm_confidence"), F.array().cast("array<string>").alias("precheck_alerts"))
     out = audit.generate_final(x, s, marks, sections=("counts",))
     assert list(out) == ["counts"] and out["counts"].first().kept == 60
+
+
+def test_pages_are_spread(spark, tmp_path):
+    """Pages made of a small file are more than one task."""
+    spark.createDataFrame([(k, f"part {k}", k % 50, 900.0 + k) for k in range(9)], "p_partkey long, p_name string, p_size int, p_retailprice double").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    for name in ("extract_pages", "extract_page_products"):
+        assert "REPARTITION_BY_NUM" in catalog.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().toString()
+
+
+def test_evidence_titles_once(spark):
+    """Attributes come from the distinct titles of the written evidence; fields inside the JSON text as before."""
+    rows = [("u1", '{"titulo": "pneu Pirelli P1 205/55R16", "loja": "s"}'), ("u2", '{"titulo": "pneu Pirelli P1 205/55R16", "marca": " ", "brand_raw": "X", "modelo": 7}'), ("u3", "{broken"), ("u4", None)]
+    out = quality.evidence_values(spark.createDataFrame(rows, "url string, payload string"), "payload", DEFAULT)
+    assert read(out) == {"evidence"}
+    got = {r.url: (r.seller, r.brand, r.model, r.size) for r in out.collect()}
+    assert got["u1"][0] == "s" and got["u1"][1] == "pirelli" and got["u1"][3] == "205/55R16"
+    assert got["u2"][:3] == (None, "X", "7") and got["u3"][0] is None and got["u4"][1:] == (None, None, None)
