@@ -332,8 +332,13 @@ PAGES = """
       ELSE '<h1>' || p_name || '</h1><p>por R$ 1.' || (p_size + 100) || ',25 no pix</p>' END AS html FROM part"""
 
 
+def _parts(spark, d) -> DataFrame:
+    """Rows of part, spread over the tasks: a page is far more work than its row, and a small file is one task."""
+    return table(spark, d, "part").repartition(4 * spark.sparkContext.defaultParallelism, "p_partkey")
+
+
 def _pages(spark, d) -> DataFrame:
-    p, size = table(spark, d, "part"), lambda n: (F.col("p_size") + n).cast("string")
+    p, size = _parts(spark, d), lambda n: (F.col("p_size") + n).cast("string")
     cat = lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in c])
     k, name = F.col("p_partkey") % 3, F.col("p_name")
     html = (
@@ -355,7 +360,7 @@ def _(spark, d):
       CASE WHEN k = 2 THEN p_retailprice + 1000 END AS previous_price, CASE WHEN k = 1 THEN 'EUR' ELSE 'BRL' END AS currency FROM n""")
 def _(spark, d):
     """Pages with one to three products: alone, in a graph, and in an item list beside other nodes; single offers, lists of offers, offers of a range."""
-    p = table(spark, d, "part").withColumn("price_", F.col("p_retailprice").cast("double"))
+    p = _parts(spark, d).withColumn("price_", F.col("p_retailprice").cast("double"))
     name = lambda k: F.concat(F.col("p_name"), F.lit(f" {k}"))
     price = lambda k: F.format_string("%.2f", F.col("price_") + k)
     node = [
