@@ -31,15 +31,34 @@ def keep_first_by(df: DataFrame, keys: list[str | Column], order: list[Column] |
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
 
 
-def dedup_offers(df: DataFrame) -> DataFrame:
+def keep_first_of_few(df: DataFrame, keys: list[str | Column], order: list[Column] | None = None, stored: bool = False, most: int = 1 << 22) -> DataFrame:
+    """W12 for keys that few rows share: rows alone with their key stay where they are, and only the others are shuffled and sorted.
+
+    ``df`` is written, unless it is ``stored`` already. Hashes of the keys are counted; those that occur more than once are broadcast, if
+    they are at most ``most`` (eight bytes each). With more of them all rows go the way of :func:`keep_first_by`.
+    """
+    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
+    df = df if stored else written(df, "rows")
+    (h,) = fresh(df, "h_")
+    d = df.withColumn(h, F.xxhash64(*keys))
+    repeated = written(d.groupBy(h).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(h), "repeated")
+    if repeated.count() > most:
+        return keep_first_by(df, keys, order)
+    repeated = F.broadcast(repeated)
+    alone, others = d.join(repeated, h, "left_anti"), d.join(repeated, h, "left_semi")
+    return alone.drop(h).unionByName(keep_first_by(others.drop(h), keys, order))
+
+
+def dedup_offers(df: DataFrame, stored: bool = False) -> DataFrame:
     """The newest row of each (marketplace, url) stays, then of each (marketplace, title, price); so exact copies go too.
 
     Rows without a url are no copies of each other: in the first step each is a group of its own, by a hash of the whole row.
+    ``df`` is written, unless it is ``stored`` already.
     """
     newest = [F.col("captured_at").desc_nulls_last(), F.col("url").desc_nulls_last()]
     url = _has("url")
     groups = [F.col("marketplace"), F.when(url, F.col("url")), F.when(~url, F.xxhash64(*_hashable(df)))]
-    return keep_first_by(keep_first_by(df, groups, newest), ["marketplace", "title", "price"], newest)
+    return keep_first_by(keep_first_of_few(df, groups, newest, stored), ["marketplace", "title", "price"], newest)
 
 
 def latest_snapshot(df: DataFrame) -> DataFrame:
@@ -60,26 +79,26 @@ def _has(c: str) -> Column:
     return F.col(c).isNotNull() & (F.trim(F.col(c)) != "")
 
 
-def dedup_listing(df: DataFrame, within: list[str] | None = None) -> DataFrame:
+def dedup_listing(df: DataFrame, within: list[str] | None = None, stored: bool = False) -> DataFrame:
     """One row of each (marketplace, url, seller, time, price), or without url of each (marketplace, seller, title, price, source).
 
-    Rows that differ in the columns ``within`` are no copies.
+    Rows that differ in the columns ``within`` are no copies. ``df`` is written, unless it is ``stored`` already.
     """
     url = _has("url")
     part = lambda c: F.when(url, F.col(c))
     rest = lambda c: F.when(~url, F.col(c))
     keys = [*map(F.col, within or []), F.col("marketplace"), F.col("seller"), F.col("price"), part("url"), part("collected_at"), rest("title"), rest("source_file")]
-    return keep_first_by(df, keys, [F.col("source_file").asc_nulls_last()])
+    return keep_first_of_few(df, keys, [F.col("source_file").asc_nulls_last()], stored)
 
 
-def dedup_global(df: DataFrame) -> DataFrame:
+def dedup_global(df: DataFrame, stored: bool = False) -> DataFrame:
     """As W4 over all sources: urls without fragment and case, the date for the time, texts folded; null key parts match nulls."""
     url = _has("url")
     keys = [
         norm_txt_ws(F.col("marketplace")), norm_txt_ws(F.col("seller")), F.coalesce("price", F.lit(-1.0)),
         F.when(url, url_norm(F.col("url"))), F.when(url, F.to_date("collected_at")), F.when(~url, norm_txt_ws(F.col("title"))),
     ]
-    return keep_first_by(df, keys, [F.col("source_file").asc_nulls_last()])
+    return keep_first_of_few(df, keys, [F.col("source_file").asc_nulls_last()], stored)
 
 
 def recency_check(df: DataFrame) -> DataFrame:

@@ -143,11 +143,11 @@ def with_canonical_name(df: DataFrame) -> DataFrame:
     return df.join(names, F.col("marketplace").eqNullSafe(F.col(market)) & F.col("sku_norm").eqNullSafe(F.col(sku)), "left").drop(market, sku)
 
 
-def clean_market_items(items: DataFrame) -> dict[str, DataFrame]:
-    """market_items_clean, unifier_input, products_dim and discards from ``market_items``.
+def clean_market_items(items: DataFrame, sections: tuple[str, ...] = ("market_items_clean", "unifier_input", "products_dim", "discards")) -> dict[str, DataFrame]:
+    """market_items_clean, unifier_input, products_dim and discards from ``market_items``, or those of ``sections``.
 
     The filled-in rows are written once, as the discards read them too, and so are the rows left without copies, from which the names
-    are counted and to which they are joined.
+    are counted and to which they are joined; discards alone need no copies removed.
     """
     d = items.withColumn("url", T.unwrap_click_url(F.col("url")))
     known = T.blank_to_null(F.col("marketplace"))
@@ -157,14 +157,11 @@ def clean_market_items(items: DataFrame) -> dict[str, DataFrame]:
     kinds = dict(items.dtypes)
     d = d.withColumns({"captured_at": N.to_ts(F.col("captured_at"), kinds["captured_at"]), "price": N.to_double(F.col("price"), kinds["price"])})
     d = written(d.withColumn("captured_date", F.to_date("captured_at")), "filled")
-    discards = d.withColumn("reason", discard_reason()).where("reason IS NOT NULL")
-    clean = with_canonical_name(written(dedup_offers(essential_filter(d)), "offers"))
-    return {
-        "market_items_clean": clean,
-        "unifier_input": latest_snapshot(clean),
-        "products_dim": clean.select("marketplace", "sku_norm", "product_name").dropDuplicates(),
-        "discards": discards,
-    }
+    out = {"discards": d.withColumn("reason", discard_reason()).where("reason IS NOT NULL")}
+    if set(sections) - {"discards"}:
+        clean = with_canonical_name(written(dedup_offers(essential_filter(d), stored=True), "offers"))
+        out |= {"market_items_clean": clean, "unifier_input": latest_snapshot(clean), "products_dim": clean.select("marketplace", "sku_norm", "product_name").dropDuplicates()}
+    return {name: out[name] for name in sections}
 
 
 def with_product(df: DataFrame, brands: tuple[str, ...] | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from offerloom.config import DEFAULT
 from offerloom.functions import numbers as N
-from offerloom.operators import audit, quality, summary
+from offerloom.operators import audit, dedup, listings, quality, summary
 from offerloom.plans import catalog, composites  # noqa: F401
 
 
@@ -65,3 +65,19 @@ def test_evidence_titles_once(spark):
     got = {r.url: (r.seller, r.brand, r.model, r.size) for r in out.collect()}
     assert got["u1"][0] == "s" and got["u1"][1] == "pirelli" and got["u1"][3] == "205/55R16"
     assert got["u2"][:3] == (None, "X", "7") and got["u3"][0] is None and got["u4"][1:] == (None, None, None)
+
+
+def test_rows_alone_are_not_shuffled(spark):
+    """Only rows that share a key go through the window; with too many shared keys all rows do, with the same result."""
+    df = spark.range(300).select((F.col("id") % 290).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("v"), F.lit("x").alias("h_"))
+    key = lambda d: sorted(map(str, d.collect()))
+    few = dedup.keep_first_of_few(df, ["k"], [F.col("v").desc_nulls_last()])
+    assert read(few) == {"rows", "repeated"} and few.columns == df.columns
+    assert key(few) == key(dedup.keep_first_of_few(df, ["k"], [F.col("v").desc_nulls_last()], most=5)) == key(dedup.keep_first_by(df, ["k"], [F.col("v").desc_nulls_last()]))
+
+
+def test_discards_remove_no_copies(spark):
+    rows = [("m", None, "t", None, 1.0, "u", None), ("m", None, "t", None, 0.0, "u", None)]
+    items = spark.createDataFrame(rows, "marketplace string, query string, title string, sku_norm string, price double, url string, captured_at timestamp")
+    out = listings.clean_market_items(items, ("discards",))
+    assert list(out) == ["discards"] and [r.reason for r in out["discards"].collect()] == ["bad_price"]
