@@ -31,7 +31,9 @@ CLEAN = f"""
 
 
 def _clean(spark, d, name: str) -> DataFrame:
-    return listings.clean_market_items(views.market_items(spark, d))[name]
+    """All rows, in the columns that the queries show or that fill these."""
+    items = views.market_items(spark, d).select("marketplace", "query", "title", "sku_norm", "price", "url", "captured_at")
+    return listings.clean_market_items(items, (name,))[name]
 
 
 @query("clean_market_items", f"WITH {CLEAN} SELECT marketplace, title, sku AS sku_norm, price, url, strftime(captured_at, '%Y-%m-%d %H:%M:%S') AS captured_at, cast(cast(captured_at AS date) AS VARCHAR) AS captured_date, product_name FROM clean", "gappy")
