@@ -19,7 +19,8 @@ from offerloom.llm.common import connected_components, distributed_rank, forest,
 
 BLOCK = 512  # rows of a tile that are compared at once
 STRIPS = 128  # ranges of the first axis at most
-BUNDLE_BYTES = 64 << 20  # of the tiles that travel together
+BUNDLE_BYTES = 128 << 20  # of the tiles that travel together, at most
+LEAST_BUNDLES = 16  # with as many tiles or more: enough pairs of bundles for the tasks, and few enough copies of each tile
 SLACK = 1e-4  # more than single precision can be off in a bound
 
 
@@ -189,9 +190,13 @@ def embedding_near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def tiles_together(n_tiles: int, tile_bytes: int) -> int:
+    """The tiles of a bundle. A tile is sent once for each bundle, so bundles are LEAST_BUNDLES, until BUNDLE_BYTES call for more."""
+    return max(1, min(BUNDLE_BYTES // tile_bytes, -(-n_tiles // LEAST_BUNDLES)))
+
+
 def _links_of(classes: DataFrame, dim: int, threshold: float, tile_rows: int) -> DataFrame:
     """(vec, n, low) for the classes (vec, m, raw) of one length: see :func:`_compare`."""
-    spark = classes.sparkSession
     sums = classes.select("raw").mapInArrow(_moments(dim, False), "s binary").repartition(8).mapInArrow(_moments(dim, True), "s binary").collect()  # 8 rows
     moment = sum(np.frombuffer(r.s).reshape(dim, dim) for r in sums)
     axes = np.linalg.eigh(moment)[1][:, ::-1]
@@ -206,18 +211,19 @@ def _links_of(classes: DataFrame, dim: int, threshold: float, tile_rows: int) ->
     ranked = distributed_rank(placed.withColumn("strip", strip), "strip", ["vec"], "rank_")
     numbered = ranked.withColumn("part", F.floor(F.col("rank_") / tile_rows).cast("long"))
     tiles = numbered.groupBy("strip", "part").applyInPandas(_pack_tile, "strip int, part long, ids binary, counts binary, vectors binary, low double, high double")
-    together = max(1, BUNDLE_BYTES // (8 * dim * tile_rows))
-    bundle = F.col("strip") * F.lit(1 << 32) + F.floor(F.col("part") / together).cast("long")
-    tiles = materialize(tiles.withColumn("bundle", bundle), "tiles")
+    tiles = materialize(tiles, "tiles")
+
+    # Tiles are numbered along the first axis (at most STRIPS counts come to the driver), and neighbours share a bundle, across strips.
+    sizes = {r.strip: r.n for r in tiles.groupBy("strip").agg(F.count(F.lit(1)).alias("n")).collect()}
+    before = F.array(*[F.lit(sum(n for t, n in sizes.items() if t < k)).cast("long") for k in range(max(sizes) + 1)])
+    together = tiles_together(sum(sizes.values()), 8 * dim * tile_rows)
+    tiles = tiles.withColumn("bundle", F.floor((F.element_at(before, F.col("strip") + 1) + F.col("part")) / together).cast("long"))
 
-    # Pairs of strips within reach of each other (at most STRIPS rows come to the driver), then pairs of their bundles.
+    # Pairs of bundles within reach of each other; the lower number is the lower one on the axis.
     reach = (2 - 2 * threshold) ** 0.5 + SLACK
-    span = tiles.groupBy("strip").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
-    near = [(a["strip"], b["strip"]) for a in span for b in span if a["strip"] <= b["strip"] and b["low"] - a["high"] <= reach]
-    near = spark.createDataFrame(near, "sa int, sb int")
-    of = tiles.select("strip", "bundle").distinct()
-    pairs = near.join(of.select(F.col("strip").alias("sa"), F.col("bundle").alias("ba")), "sa").join(of.select(F.col("strip").alias("sb"), F.col("bundle").alias("bb")), "sb")
-    pairs = pairs.where("ba <= bb").select("ba", "bb")
+    span = materialize(tiles.groupBy("bundle").agg(F.min("low").alias("low"), F.max("high").alias("high")), "spans")
+    a, b = (span.select(*[F.col(c).alias(c[0] + side) for c in ("bundle", "low", "high")]) for side in "ab")
+    pairs = a.join(b, (F.col("ba") <= F.col("bb")) & (F.col("lb") - F.col("ha") <= reach)).select("ba", "bb")
     content = ["ids", "counts", "vectors", "low", "high"]
     first = pairs.join(tiles, F.col("ba") == F.col("bundle")).select("ba", "bb", F.lit(0).alias("side"), *content)
     second = pairs.where("ba < bb").join(tiles, F.col("bb") == F.col("bundle")).select("ba", "bb", F.lit(1).alias("side"), *content)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from offerloom.config import DEFAULT
 from offerloom.functions import numbers as N
+from offerloom.llm import embedding_dedup
 from offerloom.operators import audit, dedup, listings, quality, summary
 from offerloom.plans import catalog, composites  # noqa: F401
 
@@ -81,3 +82,10 @@ def test_discards_remove_no_copies(spark):
     items = spark.createDataFrame(rows, "marketplace string, query string, title string, sku_norm string, price double, url string, captured_at timestamp")
     out = listings.clean_market_items(items, ("discards",))
     assert list(out) == ["discards"] and [r.reason for r in out["discards"].collect()] == ["bad_price"]
+
+
+def test_bundles_of_tiles():
+    """A tile is sent at most 16 times, as long as bundles have their room, and there are bundles enough for many tasks."""
+    for n in (1, 15, 16, 50, 128, 600, 1024):
+        bundles = -(-n // embedding_dedup.tiles_together(n, 2 << 20))
+        assert bundles <= 16 and (n < 16 or bundles > 8)
