@@ -71,6 +71,12 @@ def latest_per_key(df: DataFrame, key: str, date: str) -> DataFrame:
     return keep_first_by(df, [key], [F.col(date).desc_nulls_last()])
 
 
+def rows_of_latest(df: DataFrame, key: str, date: str) -> DataFrame:
+    """All rows of the latest date of each key; each task passes on only those of the latest date it has seen."""
+    (rank,) = fresh(df, "rank_")
+    return df.withColumn(rank, F.rank().over(Window.partitionBy(key).orderBy(F.col(date).desc_nulls_last()))).where(F.col(rank) == 1).drop(rank)
+
+
 def _hashable(df: DataFrame) -> list[Column]:
     return [F.to_json(F.col(f"`{c}`")) if "map" in t else F.col(f"`{c}`") for c, t in df.dtypes]
 

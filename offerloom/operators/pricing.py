@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from offerloom.operators.series import impute_median
 from offerloom.sources.scratch import shared_dir, written
 
 FEATURES = ("cost_price", "stock", "comp_p10", "comp_p50", "comp_p90", "comp_min", "comp_max")
+BINS = 32  # of each feature, as MLlib has by default
 
 
 def training_table(internal: DataFrame, daily: DataFrame) -> DataFrame:
@@ -29,21 +30,33 @@ def split_rows(table: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     return table.where(part != 0), table.where(part == 0)
 
 
-def train_price_model(table: DataFrame, rounds: int = 300, step: float = 0.1, seed: int = 42, scale: bool = False, max_depth: int = 5, rows_per_task: int = 100_000) -> tuple[PipelineModel, DataFrame]:
+def train_price_model(table: DataFrame, rounds: int = 300, step: float = 0.1, seed: int = 42, scale: bool = False, max_depth: int = 5, rows_per_task: int = 25_000, most_vectors: int = 10_000) -> tuple[PipelineModel, DataFrame]:
     """Boosted trees on one part of :func:`split_rows`, and the scored other part.
 
-    The table is written before the first round, so no round works it out again, and read in tasks of ``rows_per_task`` rows, as each
-    level of each tree is a job; every ten rounds the residuals are cut from their lineage in the shared folder.
+    Rows of one feature vector get the same prediction in every round, so they are one row of the fit: their mean label, weighted by
+    their number. Of more than ``most_vectors`` vectors MLlib would draw a sample to choose each feature's ``BINS`` - 1 thresholds; these
+    are quantiles of all rows then, and vectors of the same bins are one row. The rows of the fit are written, so no round works them
+    out again, and read in tasks of ``rows_per_task``, as each level of each tree is a job; every ten rounds the residuals are cut
+    from their lineage in the shared folder.
     """
     context = table.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_dir(table.sparkSession))
     train, test = split_rows(written(table, "training"), seed)
-    stages = [VectorAssembler(inputCols=list(FEATURES), outputCol="raw" if scale else "features", handleInvalid="skip")]
+    columns, stages, bins = list(FEATURES), [], BINS
+    if len(train.select(columns).distinct().take(most_vectors + 1)) > most_vectors:
+        binned = [f"{c}_bin" for c in columns]
+        stages.append(QuantileDiscretizer(numBucketsArray=[BINS] * len(columns), inputCols=columns, outputCols=binned, handleInvalid="skip"))
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(f'{b} + 0 AS {b}_number' for b in binned)} FROM __THIS__"))  # numbers, no categories
+        columns, bins = [f"{b}_number" for b in binned], 32 * BINS  # that many bins let MLlib look at a million rows, so it takes every bin's end as a threshold
+    stages.append(VectorAssembler(inputCols=columns, outputCol="raw" if scale else "features", handleInvalid="skip"))
     if scale:
         stages.append(StandardScaler(inputCol="raw", outputCol="features", withMean=True))
-    stages.append(GBTRegressor(maxIter=rounds, stepSize=step, seed=seed, maxDepth=max_depth, checkpointInterval=10))
-    model = Pipeline(stages=stages).fit(train.coalesce(-(-train.count() // rows_per_task) or 1))
+    prepare = Pipeline(stages=stages).fit(train)
+    label = F.avg(F.coalesce("label", F.lit(float("nan")))).alias("label")  # a row without label is refused by the fit
+    cells = written(prepare.transform(train).groupBy("features").agg(label, F.count(F.lit(1)).cast("double").alias("weight")), "cells")
+    trees = GBTRegressor(maxIter=rounds, stepSize=step, seed=seed, maxDepth=max_depth, maxBins=bins, checkpointInterval=10, weightCol="weight")
+    model = PipelineModel([*prepare.stages, trees.fit(cells.repartition(-(-cells.count() // rows_per_task) or 1))])
     return model, model.transform(test)
 
 

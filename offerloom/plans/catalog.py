@@ -543,7 +543,8 @@ DAILY = """
 
 
 def _training(spark, d):
-    return pricing.training_table(views.internal_data(spark, d), summary.aggregates_daily(views.offers_by_day(spark, d)))
+    latest = dedup.rows_of_latest(views.offers_by_day(spark, d), "sku_key", "date")  # of other days no percentile is read
+    return pricing.training_table(views.internal_data(spark, d), summary.aggregates_daily(latest))
 
 
 @query("training_table", f"WITH {DAILY} SELECT sku_key, cost_price, sale_price, stock, comp_p10, comp_p50, comp_p90, comp_min, comp_max, sale_price AS label FROM internal_data JOIN latest USING (sku_key)", "internal_data", "offers_by_day")
@@ -559,24 +560,24 @@ def _(spark, d):
 _MODELS: dict[tuple[str, str], PipelineModel] = {}
 
 
-def _price_model(spark, d) -> PipelineModel:
-    """The trained model: one fit for both queries of a session."""
-    key = (spark.sparkContext.applicationId, d)
+def _price_model(spark, d) -> tuple[PipelineModel, DataFrame]:
+    """The trained model, one fit for both queries of a session, and the training table, whose rows are written by each."""
+    key, rows = (spark.sparkContext.applicationId, d), _training(spark, d)
     if key not in _MODELS:
-        _MODELS[key], _ = pricing.train_price_model(_training(spark, d))
-    return _MODELS[key]
+        _MODELS[key], _ = pricing.train_price_model(rows)
+    return _MODELS[key], rows
 
 
 @query("suggest_ml")
 def _(spark, d):
     """Rows only: a trained model."""
-    return pricing.suggest_prices_ml(_price_model(spark, d), _training(spark, d))
+    return pricing.suggest_prices_ml(*_price_model(spark, d))
 
 
 @query("price_model_error")
 def _(spark, d):
-    _, test = pricing.split_rows(_training(spark, d))
-    return summary.regression_metrics(_price_model(spark, d).transform(test))
+    model, rows = _price_model(spark, d)
+    return summary.regression_metrics(model.transform(pricing.split_rows(rows)[1]))
 
 
 # --- scalar functions on text, urls, numbers and products ---

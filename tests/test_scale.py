@@ -1,11 +1,15 @@
 """Steps that are worked out once, or on few rows, whatever the size of the input."""
 
+import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from offerloom.config import DEFAULT
 from offerloom.functions import numbers as N
 from offerloom.llm import embedding_dedup
-from offerloom.operators import audit, dedup, listings, quality, summary
+from offerloom.operators import audit, dedup, listings, pricing, quality, summary
 from offerloom.plans import catalog, composites  # noqa: F401
 
 
@@ -89,3 +93,66 @@ def test_bundles_of_tiles():
     for n in (1, 15, 16, 50, 128, 600, 1024):
         bundles = -(-n // embedding_dedup.tiles_together(n, 2 << 20))
         assert bundles <= 16 and (n < 16 or bundles > 8)
+
+
+def offers(spark, n, distinct):
+    """``n`` training rows of ``distinct`` feature vectors, with labels that differ inside a vector."""
+    v = F.col("id") % distinct
+    df = spark.range(n).select(F.col("id").alias("sku_key"), *[((v * k * k) % (distinct + k)).cast("double").alias(c) for k, c in enumerate(pricing.FEATURES, 1)], (F.col("id") % 4).cast("double").alias("noise"))
+    return df.select("*", (F.col("cost_price") * 2 + F.col("stock") % 7 + F.col("noise")).alias("label")).withColumn("sale_price", F.col("label"))
+
+
+def fitted(spark, monkeypatch, *args, **kwargs):
+    """A trained model and the number of rows that its rounds read."""
+    rows, fit = [], pricing.GBTRegressor.fit
+    with monkeypatch.context() as m:
+        m.setattr(pricing.GBTRegressor, "fit", lambda self, df: rows.append(df.count()) or fit(self, df))
+        return pricing.train_price_model(*args, **kwargs)[0], rows[0]
+
+
+def test_price_model_reads_vectors(spark, monkeypatch):
+    """Rows of one feature vector are one row of the fit, and the predictions those of a fit of all rows."""
+    table = offers(spark, 2000, 60).cache()
+    model, n = fitted(spark, monkeypatch, table, rounds=5, step=0.5)
+    assert n == 60
+    whole = Pipeline(stages=[VectorAssembler(inputCols=list(pricing.FEATURES), outputCol="features"), GBTRegressor(maxIter=5, stepSize=0.5, seed=42)]).fit(pricing.split_rows(table)[0])
+    got, want = ({r.sku_key: r.prediction for r in m.transform(table).select("sku_key", "prediction").collect()} for m in (model, whole))
+    assert len(got) == 2000 and max(abs(got[k] - want[k]) for k in want) < 1e-6
+
+
+def test_price_model_reads_bins(spark, monkeypatch):
+    """Of many vectors, those of the same bins are one row of the fit, which is as good as one of all rows, also with scaled features."""
+    table = offers(spark, 6000, 3000).withColumns({c: F.col("cost_price") + F.col("sku_key") % 5 / 10 for c in pricing.FEATURES[2:]}).cache()
+    error = lambda m: summary.regression_metrics(m.transform(pricing.split_rows(table)[1])).first().rmse
+    (bins, few), (vectors, n) = (fitted(spark, monkeypatch, table, rounds=5, step=0.5, most_vectors=k) for k in (100, 10_000))
+    assert few < n / 2 and 0.9 < error(bins) / error(vectors) < 1.1
+    assert not any(" in {" in t.toDebugString for t in bins.stages[-1].trees)  # bins are numbers, so trees cut them in order
+    scaled, _ = fitted(spark, monkeypatch, table, rounds=5, step=0.5, most_vectors=100, scale=True)
+    assert 0.95 < error(scaled) / error(bins) < 1.05
+
+
+def test_price_model_refuses_missing_labels(spark):
+    table = offers(spark, 200, 20).withColumn("label", F.when(F.col("sku_key") != 7, F.col("label")))
+    with pytest.raises(Exception, match="(?i)label"):
+        pricing.train_price_model(table.union(table.withColumn("sku_key", F.col("sku_key") + 1000)), rounds=1)
+
+
+def test_percentiles_of_the_latest_day_only(spark):
+    """Only offers of the latest day of each SKU are summarised; SKUs without any day keep theirs."""
+    x = spark.createDataFrame([(1, "2024-01-01", 5.0), (1, "2024-01-02", 7.0), (1, "2024-01-02", 9.0), (1, None, 1.0), (2, None, 3.0), (2, None, 4.0)], "sku_key int, date string, price double")
+    latest = dedup.rows_of_latest(x, "sku_key", "date")
+    assert sorted((r.sku_key, r.price) for r in latest.collect()) == [(1, 7.0), (1, 9.0), (2, 3.0), (2, 4.0)]
+    got, want = (dedup.latest_per_key(summary.aggregates_daily(d), "sku_key", "date").collect() for d in (latest, x))
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_price_model_error_makes_its_table_once(spark, monkeypatch):
+    made = []
+    table = offers(spark, 300, 40)
+    monkeypatch.setattr(catalog, "_training", lambda *_: made.append(1) or table)
+    full = pricing.train_price_model
+    monkeypatch.setattr(pricing, "train_price_model", lambda t: full(t, rounds=2))
+    for name in ("price_model_error", "suggest_ml"):
+        assert not catalog.QUERIES[name](spark, "made").isEmpty()
+    catalog._MODELS.clear()
+    assert len(made) == 2
