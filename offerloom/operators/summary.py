@@ -15,6 +15,8 @@ from offerloom.functions.text import is_blank
 from offerloom.sources.scratch import written
 
 DIGITS = 6
+#: Groups of more prices than that are counted and stay spread over the tasks; those of others are sorted by group.
+MOST_PRICES = 1_000_000
 
 
 def exact_mean(c: Column) -> Column:
@@ -45,33 +47,54 @@ def _band(v: Column) -> Column:
     return F.coalesce(F.signum(v) * (F.floor(F.log2(F.abs(v)) * 256) + 300_000), F.lit(0)).cast("long")
 
 
+def _at_rank(place: Column, first: Column, n: Column, v: Column) -> Column:
+    """The value at a ``place`` between two ranks of its group; a row of ``v`` holds the ranks from ``first`` on, ``n`` of them."""
+    of = lambda r: F.max(F.when((r >= first) & (r < first + n), v))
+    share = F.max(place - F.floor(place))
+    return of(F.floor(place)) * (1 - share) + of(F.ceil(place)) * share
+
+
+BEFORE = (Window.unboundedPreceding, -1)
+
+
+def _ranked(counts: DataFrame) -> DataFrame:
+    """``counts`` (k, v, n) with ``first``, the rank of the first row of the value in its group, and ``total``, the group's rows.
+
+    Rows are dealt out and sorted by ``h``, a hash of the group, and the group: one number decides nearly every comparison.
+    """
+    w = Window.partitionBy("h", "k")
+    return counts.withColumn("h", F.xxhash64("k")).withColumns({"first": F.coalesce(F.sum("n").over(w.orderBy("v").rowsBetween(*BEFORE)), F.lit(0)), "total": F.sum("n").over(w)})
+
+
 def quantiles_of_counts(counts: DataFrame, at: dict[str, float], most: int = 10_000) -> DataFrame:
     """The quantiles ``at`` (name to share) of each group, interpolated linearly; ``counts`` is a written table of (k, v, n), no nulls.
 
-    Groups of at most ``most`` distinct values are one buffer each. The values of larger ones stay spread over the tasks by ranges of
-    fixed relative width: sums of the ranges tell which ranges hold the wanted ranks, and only those are sorted, each by itself. Both
-    ways are exact, so a group with a third of all values costs no task more than a range.
+    Groups of at most ``most`` distinct values are sorted in one task each. The values of larger ones stay spread over the tasks by
+    ranges of fixed relative width (:func:`_quantiles_in_bands`). Both ways are exact. The quantiles are written: a union of parts that
+    are dealt out alike passes for a table dealt out like these, until one of them is planned anew, and a join with it then fails.
     """
-    large = counts.groupBy("k").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > most).select("k")
-    q = F.percentile("v", F.array(*[F.lit(float(x)) for x in at.values()]), F.col("n"))
-    small = counts.join(large, "k", "left_anti").groupBy("k").agg(q.alias("q")).select("k", *[F.col("q")[i].alias(c) for i, c in enumerate(at)])
+    large = written(counts.groupBy("k").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > most).select("k"), "large")
+    places = {c: (F.col("total") - 1) * F.lit(float(x)) for c, x in at.items()}
+    small = _ranked(counts.join(large, "k", "left_anti")).groupBy("h", "k").agg(*[_at_rank(p, F.col("first"), F.col("n"), F.col("v")).alias(c) for c, p in places.items()])
+    small = small.select("k", *at)
+    return written(small if large.isEmpty() else small.unionByName(_quantiles_in_bands(counts.join(large, "k", "left_semi"), at)), "quantiles")
+
 
-    spread = counts.join(large, "k", "left_semi").withColumn("band", _band(F.col("v")))
+def _quantiles_in_bands(counts: DataFrame, at: dict[str, float]) -> DataFrame:
+    """The quantiles of groups of any size: sums of the ranges of values tell which ranges hold the wanted ranks, and only those are
+    sorted, each by itself; so a group with a third of all values costs no task more than a range.
+    """
+    spread = counts.withColumn("band", _band(F.col("v")))
     bands = spread.groupBy("k", "band").agg(F.sum("n").alias("m"))
-    of_group, before = Window.partitionBy("k"), (Window.unboundedPreceding, -1)
-    bands = bands.withColumns({"start": F.coalesce(F.sum("m").over(of_group.orderBy("band").rowsBetween(*before)), F.lit(0)), "total": F.sum("m").over(of_group)})
+    of_group = Window.partitionBy("k")
+    bands = bands.withColumns({"start": F.coalesce(F.sum("m").over(of_group.orderBy("band").rowsBetween(*BEFORE)), F.lit(0)), "total": F.sum("m").over(of_group)})
     places = [(F.col("total") - 1) * F.lit(float(x)) for x in at.values()]
     ranks = F.array_distinct(F.array(*[f(p) for p in places for f in (F.floor, F.ceil)]))
     wanted = bands.withColumn("ranks", F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("m")))).where(F.size("ranks") > 0).drop("m")
-    inside = Window.partitionBy("k", "band").orderBy("v").rowsBetween(*before)
-    ranked = spread.join(wanted, ["k", "band"]).withColumn("first", F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    inside = Window.partitionBy("k", "band").orderBy("v").rowsBetween(*BEFORE)
+    ranked = spread.join(written(wanted, "ranges"), ["k", "band"]).withColumn("first", F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
     hits = ranked.select("k", "v", "total", F.explode(F.filter("ranks", lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("n")))).alias("rank"))
-    picked = []
-    for c, place in zip(at, places, strict=True):
-        of = lambda r: F.max(F.when(F.col("rank") == r, F.col("v")))
-        share = F.max(place - F.floor(place))
-        picked.append((of(F.floor(place)) * (1 - share) + of(F.ceil(place)) * share).alias(c))
-    return small.unionByName(hits.groupBy("k").agg(*picked))
+    return hits.groupBy("k").agg(*[_at_rank(p, F.col("rank"), F.lit(1), F.col("v")).alias(c) for c, p in zip(at, places, strict=True)])
 
 
 def group_quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, float], accuracy: int | None = None) -> DataFrame:
@@ -85,38 +108,67 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, fl
     return q.select(*[F.col("k")[c].alias(c) for c in keys], *[F.round(c, DIGITS).alias(c) for c in at])
 
 
+def _trimmed_mean() -> Column:
+    """The mean of the values within [p10, p90] of rows (v, n, p10, p90)."""
+    near = F.col("v").between(F.col("p10"), F.col("p90"))
+    return F.sum(F.when(near, F.col("v").cast("decimal(18,2)") * F.col("n"))).cast("double") / F.sum(F.when(near, F.col("n")))
+
+
+def _spread_of_small(counts: DataFrame, at: dict[str, float]) -> DataFrame:
+    """Quantiles, rounded to DIGITS, and trimmed mean of each group, from one sort of its values in one task."""
+    whole = Window.partitionBy("h", "k")
+    places = {c: (F.col("total") - 1) * F.lit(float(x)) for c, x in at.items()}
+    of = lambda r: F.max(F.when((r >= F.col("first")) & (r < F.col("first") + F.col("n")), F.col("v"))).over(whole)
+    share = lambda p: p - F.floor(p)
+    ranked = _ranked(counts).withColumns({c: F.round(of(F.floor(p)) * (1 - share(p)) + of(F.ceil(p)) * share(p), DIGITS) for c, p in places.items()})
+    return ranked.groupBy("h", "k").agg(*[F.max(c).alias(c) for c in at], _trimmed_mean().alias("media_correta")).select("k", *at, "media_correta")
+
+
 def canonical_summary(listings: DataFrame, accuracy: int | None = None) -> DataFrame:
     """A1, A2, L1: per (canonical_key, brand, model, size) counts, price statistics, marketplaces and evidence files.
 
-    n_listings counts all rows, the statistics all prices. What is read of the listings is written, so they are worked out once. Prices
-    are counted by group and written; statistics, percentiles and the trimmed mean read the counts, so a group that holds a third of
-    all rows is as many rows as it has prices, over many tasks.
+    n_listings counts all rows, the statistics all prices. What is read of the listings is written, so they are worked out once. Counts,
+    sums and sets come from one aggregate by group, marketplace and file. Percentiles and the trimmed mean of groups of at most
+    MOST_PRICES prices come from one sort of the group's prices, which may spill; the prices of larger ones are counted, written and stay spread
+    over many tasks (:func:`quantiles_of_counts`). Both parts are written before the summary is joined, as the quantiles are there.
     media_correta is the mean of the prices within [p10, p90]. With ``accuracy`` percentiles are approximate. Groups without a price
     have no marketplaces.
     """
     keys = ["canonical_key", "brand", "model", "size"]
-    group = F.struct(*keys).alias("k")
     listings = written(listings.select(*keys, "price", "marketplace", "source_file"), "priced")
-    counts = written(listings.groupBy(group, F.col("price").cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n")), "prices")
-    sets = listings.groupBy(group).agg(joined_set(F.col("marketplace")).alias("marketplaces"), joined_set(F.col("source_file")).alias("evidence_files"))
-    v, n = F.col("v"), F.col("n")
-    cents, priced = F.sum(v.cast("decimal(18,2)") * n).cast("double"), F.sum(F.when(v.isNotNull(), n))
-    stats = counts.groupBy("k").agg(F.sum(n).alias("n_listings"), priced.alias("n_prices"), F.min(v).alias("min_price"), F.max(v).alias("max_price"), (cents / priced).alias("mean_price"))
+    rows = listings.select(F.struct(*keys).alias("k"), F.col("price").cast("double").alias("v"), "marketplace", "source_file")
+    v = F.col("v")
+    of_file = rows.groupBy("k", "marketplace", "source_file").agg(F.count(F.lit(1)).alias("n"), F.count(v).alias("n_prices"), F.min(v).alias("low"), F.max(v).alias("high"), F.sum(v.cast("decimal(18,2)")).alias("total"))
+    stats = of_file.groupBy("k").agg(
+        F.sum("n").alias("n_listings"), F.sum("n_prices").alias("n_prices"), F.min("low").alias("min_price"), F.max("high").alias("max_price"),
+        (F.sum("total").cast("double") / F.nullif(F.sum("n_prices"), F.lit(0))).alias("mean_price"), joined_set(F.col("marketplace")).alias("marketplaces"), joined_set(F.col("source_file")).alias("evidence_files"),
+    )
+    stats = written(stats, "stats")
     at = {"p10": 0.1, "median_price": 0.5, "p90": 0.9}
+    prices = rows.where("v IS NOT NULL").select("k", "v")
+    counted = lambda d: d.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
     if accuracy:
-        q = listings.groupBy(group).agg(quantiles(F.col("price"), list(at.values()), accuracy).alias("q")).where("q IS NOT NULL")
-        q = q.select("k", *[F.col("q")[i].alias(c) for i, c in enumerate(at)])
+        q = prices.groupBy("k").agg(quantiles(v, list(at.values()), accuracy).alias("q"))
+        q = _with_trimmed(q.select("k", *[F.round(F.col("q")[i], DIGITS).alias(c) for i, c in enumerate(at)]), counted(prices))
     else:
-        q = quantiles_of_counts(counts.where("v IS NOT NULL"), at)
-    q = q.select("k", *[F.round(c, DIGITS).alias(c) for c in at])
-    near = counts.join(q.select("k", "p10", "p90"), "k").where(v.between(F.col("p10"), F.col("p90")))
-    trimmed = near.groupBy("k").agg((F.sum(v.cast("decimal(18,2)") * n).cast("double") / F.sum(n)).alias("media_correta"))
-    out = sets.join(stats, "k").join(q, "k", "left").join(trimmed, "k", "left")
+        large = written(stats.where(F.col("n_prices") > MOST_PRICES).select("k"), "large")
+        q = _spread_of_small(counted(prices.join(large, "k", "left_anti")), at)
+        if not large.isEmpty():
+            counts = written(counted(prices.join(large, "k", "left_semi")), "prices")
+            of_large = quantiles_of_counts(counts, at).select("k", *[F.round(c, DIGITS).alias(c) for c in at])
+            q = q.unionByName(_with_trimmed(of_large, counts))
+    out = stats.join(written(q, "spread"), "k", "left")
     out = out.withColumn("marketplaces", F.when(F.col("n_prices") > 0, F.col("marketplaces")).otherwise(""))
     cols = ["n_listings", "marketplaces", "min_price", "max_price", "mean_price", "median_price", "p10", "p90", "media_correta", "evidence_files"]
     return out.select(*[F.col("k")[c].alias(c) for c in keys], *cols)
 
 
+def _with_trimmed(q: DataFrame, counts: DataFrame) -> DataFrame:
+    """Quantiles with the trimmed mean of their groups; they are written, so that Spark sees how few they are and not the counts travel."""
+    q = written(q, "quantiles")
+    return q.join(counts.join(q.select("k", "p10", "p90"), "k").groupBy("k").agg(_trimmed_mean().alias("media_correta")), "k", "left")
+
+
 def in_summary_order(summary: DataFrame) -> DataFrame:
     """L1: by brand, model and size, nulls last, then by falling count."""
     return summary.orderBy(*[F.col(c).asc_nulls_last() for c in ("brand", "model", "size")], F.col("n_listings").desc_nulls_last())

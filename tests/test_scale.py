@@ -156,3 +156,23 @@ def test_price_model_error_makes_its_table_once(spark, monkeypatch):
         assert not catalog.QUERIES[name](spark, "made").isEmpty()
     catalog._MODELS.clear()
     assert len(made) == 2
+
+
+def test_quantiles_of_small_and_large_groups_are_joined(spark, monkeypatch):
+    """A union of two parts that are dealt out alike passed for one table dealt out like these, and the join with it failed."""
+    price = F.when(F.col("id") % 40 < 20, F.col("id") + 0.25).otherwise(F.col("id") % 100 + 0.5)
+    x = spark.range(20_000).select((F.col("id") % 40).cast("string").alias("canonical_key"), *[F.lit(c[0]).alias(c) for c in ("brand", "model", "size", "marketplace", "source_file")], price.alias("price"))
+    want = sorted(map(str, summary.canonical_summary(x).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts, of = [], summary.quantiles_of_counts
+        monkeypatch.setattr(summary, "MOST_PRICES", 499, raising=False)
+        monkeypatch.setattr(summary, "quantiles_of_counts", lambda c, at: parts.append(c.select("k").distinct().count()) or of(c, at, 300))
+        assert sorted(map(str, summary.canonical_summary(x).collect())) == want and parts == [40]
+        mixed = x.where("canonical_key < '2' OR price > 90")  # only some groups have more prices than that
+        got = sorted(map(str, summary.canonical_summary(mixed).collect()))
+        monkeypatch.setattr(summary, "MOST_PRICES", 10**6)
+        assert got == sorted(map(str, summary.canonical_summary(mixed).collect())) and 0 < parts[1] < 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
